@@ -544,3 +544,405 @@ def best_moderate_cost(spark, d):
 @query("high_rated_by_price")
 def high_rated_by_price(spark, d):
     return L.high_rated_by_price(clean(spark, d))
+
+
+# =====================================================================
+# Order database: joins, extracts
+# =====================================================================
+def src_of(spark, d) -> Oltp:
+    return Oltp(spark, d)
+
+
+@query("join_left")
+def join_left(spark, d):
+    src = src_of(spark, d)
+    pickers = bounded_broadcast(src.people.select(F.col("PersonID").alias("PickedByPersonID"),
+                                                  F.col("LogonName").alias("PickerLogon")))
+    return src.orders().join(pickers, "PickedByPersonID", "left").select("OrderID", "PickerLogon")
+
+
+@query("join_snowflake")
+def join_snowflake(spark, d):
+    return ex.city_details(src_of(spark, d))
+
+
+@query("join_role_playing")
+def join_role_playing(spark, d):
+    return ex.extract_customers(src_of(spark, d)).select(
+        "CustomerName", "DeliveryCityName", "DeliveryCountryName", "PostalCityName", "PostalCountryName"
+    )
+
+
+WIDE_COLUMNS = ("OrderID", "LineNumber", "OrderDate", "CustomerName", "Quantity", "UnitPrice", "TaxRate",
+                "LogonName", "CityName", "StateProvinceName", "CountryName", "StockItemName", "PickingStaffName")
+
+
+@query("join_order_lines_wide")
+def join_order_lines_wide(spark, d):
+    return ex.order_lines_wide(src_of(spark, d)).select(*WIDE_COLUMNS)
+
+
+@query("extract_customers")
+def extract_customers(spark, d):
+    return ex.extract_customers(src_of(spark, d))
+
+
+@query("extract_products")
+def extract_products(spark, d):
+    return ex.extract_products(src_of(spark, d))
+
+
+@query("extract_salespeople")
+def extract_salespeople(spark, d):
+    return ex.extract_salespeople(src_of(spark, d))
+
+
+@query("extract_picking_staff")
+def extract_picking_staff(spark, d):
+    return ex.extract_picking_staff(src_of(spark, d))
+
+
+@query("extract_orders")
+def extract_orders(spark, d):
+    return ex.extract_orders(src_of(spark, d))
+
+
+@query("rowcount_guard")
+def rowcount_guard(spark, d):
+    path = work_path(spark, "customers_stage")
+    write_guarded(ex.extract_customers(src_of(spark, d)), path, name="customers")
+    return spark.read.parquet(path)
+
+
+# =====================================================================
+# Type-1 dimensions: the dimension before is derived from the sources
+# (even city ids / every fourth salesperson already known, names of the
+# known salespeople changed so the type-1 overwrite shows).
+# =====================================================================
+def cities_before(src: Oltp) -> DataFrame:
+    det = ex.city_details(src).filter(F.col("CityID") % 2 == 0)
+    return det.select(
+        (F.col("CityID") + 1).cast("long").alias("CityKey"),
+        "CityName",
+        F.col("StateProvinceName").alias("StateProvName"),
+        "CountryName",
+        F.col("StateProvinceCode").alias("StateProvCode"),
+        F.col("FormalName").alias("CountryFormalName"),
+    )
+
+
+def salespeople_before(src: Oltp) -> DataFrame:
+    sp = src.people.filter((F.col("IsSalesperson") == 1) & (F.col("PersonID") % 4 == 0))
+    return sp.select(
+        (F.col("PersonID") + 1).cast("long").alias("SalespersonKey"), "LogonName",
+        F.concat(F.lit("OLD "), F.col("FullName")).alias("FullName"),
+        "PreferredName", "PhoneNumber", "FaxNumber", "EmailAddress",
+    )
+
+
+def delivery_cities_stage(src: Oltp) -> DataFrame:
+    return ex.extract_customers(src).select(
+        "CustomerName", F.col("DeliveryCityName").alias("CityName"),
+        F.col("DeliveryStateProvinceName").alias("StateProvName"), F.col("DeliveryCountryName").alias("CountryName"),
+    )
+
+
+@query("join_composite")
+def join_composite(spark, d):
+    src = src_of(spark, d)
+    return delivery_cities_stage(src).join(
+        cities_before(src), ["CityName", "StateProvName", "CountryName"], "inner"
+    ).select("CustomerName", "CityKey")
+
+
+@query("anti_join_composite")
+def anti_join_composite(spark, d):
+    src = src_of(spark, d)
+    return delivery_cities_stage(src).join(
+        cities_before(src), ["CityName", "StateProvName", "CountryName"], "left_anti"
+    ).select("CustomerName", "CityName", "StateProvName", "CountryName")
+
+
+@query("scd1_cities")
+def scd1_cities(spark, d):
+    src = src_of(spark, d)
+    return M.apply_scd1(M.CITIES, ex.extract_customers(src), cities_before(src))
+
+
+@query("scd1_salespeople")
+def scd1_salespeople(spark, d):
+    src = src_of(spark, d)
+    return M.apply_scd1(M.SALESPEOPLE, ex.extract_salespeople(src), salespeople_before(src))
+
+
+@query("surrogate_keys")
+def surrogate_keys(spark, d):
+    lines = read_table(spark, d, "lineitem")
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity",
+             "l_extendedprice", "l_returnflag", "l_linestatus", "l_tax", "l_discount"]
+    keyed = with_dense_keys(lines, order, "LineKey", key_type="long")
+    return keyed.select("LineKey", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+# =====================================================================
+# Type-2 dimensions (inputs by id % 10, see mart.scd2_fixture)
+# =====================================================================
+def _scd2_parts(spark, d, which="customers"):
+    dim, stage, spec, d0 = M.scd2_inputs(src_of(spark, d), which)
+    parts = M.scd2_branches(spec, stage, dim, d0 + dt.timedelta(days=1), d0)
+    return parts, dim, stage, spec, d0
+
+
+@query("scd2_changed")
+def scd2_changed(spark, d):
+    return _scd2_parts(spark, d)[0]["changed"]
+
+
+@query("scd2_closed_and_carried")
+def scd2_closed_and_carried(spark, d):
+    return _scd2_parts(spark, d)[0]["closed"]
+
+
+@query("scd2_new")
+def scd2_new(spark, d):
+    return _scd2_parts(spark, d)[0]["new"]
+
+
+@query("scd2_expired")
+def scd2_expired(spark, d):
+    return _scd2_parts(spark, d)[0]["expired"]
+
+
+@query("union_all_branches")
+def union_all_branches(spark, d):
+    parts = _scd2_parts(spark, d)[0]
+    out = parts["changed"]
+    for k in ("closed", "new", "expired", "history"):
+        out = out.unionByName(parts[k])
+    return out
+
+
+@query("scd2_customers")
+def scd2_customers(spark, d):
+    return M.scd2_run(src_of(spark, d), "customers")
+
+
+@query("scd2_products")
+def scd2_products(spark, d):
+    return M.scd2_run(src_of(spark, d), "products")
+
+
+@query("scd2_picking_staff")
+def scd2_picking_staff(spark, d):
+    return M.scd2_run(src_of(spark, d), "picking_staff")
+
+
+@query("filter_open_rows")
+def filter_open_rows(spark, d):
+    dim = M.scd2_inputs(src_of(spark, d), "customers")[0]
+    return dim.filter(F.col("EndDate").isNull())
+
+
+def _stage_vs_open(spark, d):
+    dim, stage, spec, d0 = M.scd2_inputs(src_of(spark, d), "customers")
+    open_rows = dim.filter(F.col("EndDate").isNull()).select(
+        "CustomerKey", "CustomerName", *[F.col(a).alias(f"OLD_{a}") for a in spec.attrs]
+    )
+    from dimwright.functions.semantics import any_changed
+    changed = any_changed([(stage[a], open_rows[f"OLD_{a}"]) for a in spec.attrs])
+    return stage.join(open_rows, "CustomerName", "inner").filter(changed), dim, stage, spec, d0
+
+
+@query("changed_rows")
+def changed_rows(spark, d):
+    j, _, stage, spec, _ = _stage_vs_open(spark, d)
+    return j.select("CustomerName", *spec.attrs)
+
+
+@query("join_residual")
+def join_residual(spark, d):
+    j = _stage_vs_open(spark, d)[0]
+    return j.select("CustomerName", "CustomerKey", F.col("CustomerCategoryName").alias("NEW_CATEGORY"),
+                    F.col("OLD_CustomerCategoryName").alias("OLD_CATEGORY"))
+
+
+def _left_on_open(spark, d):
+    j, dim, _, _, d0 = _stage_vs_open(spark, d)
+    pl = j.select(F.col("CustomerName").alias("PL_NAME"))
+    joined = dim.join(pl, (dim.CustomerName == pl.PL_NAME) & dim.EndDate.isNull(), "left")
+    return joined, d0
+
+
+@query("join_left_on_predicate")
+def join_left_on_predicate(spark, d):
+    joined, _ = _left_on_open(spark, d)
+    return joined.select("CustomerKey", "CustomerName", "StartDate", "PL_NAME")
+
+
+@query("fn_case_null")
+def fn_case_null(spark, d):
+    joined, d0 = _left_on_open(spark, d)
+    end = F.when(F.col("PL_NAME").isNotNull(), F.lit(str(d0)).cast("date"))
+    return joined.select("CustomerKey", end.alias("NEW_END_DATE"))
+
+
+@query("anti_join")
+def anti_join(spark, d):
+    dim, stage, _, _ = M.scd2_inputs(src_of(spark, d), "customers")
+    return stage.join(dim.select("CustomerName"), "CustomerName", "left_anti").select("CustomerName")
+
+
+@query("replaced_rows")
+def replaced_rows_q(spark, d):
+    dim, stage, spec, d0 = M.scd2_inputs(src_of(spark, d), "customers")
+    pre = M.apply_scd2(spec, stage, dim, d0 + dt.timedelta(days=1), d0)
+    return replaced_rows(dim.select(*spec.columns), pre, spec.key_col)
+
+
+@query("load_dimension")
+def load_dimension(spark, d):
+    dim, stage, spec, d0 = M.scd2_inputs(src_of(spark, d), "customers")
+    mart = Mart(spark)
+    mart.publish(spec.name, dim.select(*spec.columns))
+    pre = M.apply_scd2(spec, stage, mart.read(spec.name), d0 + dt.timedelta(days=1), d0)
+    return mart.upsert(spec.name, pre.select(*spec.columns), spec.key_col)
+
+
+@query("join_asof_dimension")
+def join_asof_dimension(spark, d):
+    from dimwright.operators.joins import asof_lookup
+    src = src_of(spark, d)
+    versions = M.scd2_run(src, "customers")
+    orders = src.orders().join(src.customers.select("CustomerID", "CustomerName"), "CustomerID", "left")
+    out = asof_lookup(orders, versions, ["CustomerName"], ["CustomerName"], "OrderDate",
+                      {"CustomerKey": "CustomerKey"})
+    return out.select("OrderID", "OrderDate", "CustomerKey")
+
+
+# =====================================================================
+# Calendar and measures
+# =====================================================================
+def order_dates(spark, d) -> DataFrame:
+    return src_of(spark, d).orders().select("OrderDate").distinct()
+
+
+@query("fn_date_parts")
+def fn_date_parts(spark, d):
+    o = order_dates(spark, d)
+    return o.select("OrderDate", F.year("OrderDate").alias("YEAR"), F.month("OrderDate").alias("MONTH"),
+                    F.dayofmonth("OrderDate").alias("DAY"))
+
+
+@query("fn_quarter")
+def fn_quarter(spark, d):
+    return order_dates(spark, d).select("OrderDate", F.quarter("OrderDate").alias("QUARTER"))
+
+
+@query("fn_month_start")
+def fn_month_start(spark, d):
+    return order_dates(spark, d).select("OrderDate", fd.month_start(F.col("OrderDate")).alias("MONTH_START"))
+
+
+@query("fn_month_end")
+def fn_month_end(spark, d):
+    return order_dates(spark, d).select("OrderDate", fd.month_end(F.col("OrderDate")).alias("MONTH_END"))
+
+
+@query("fn_date_names")
+def fn_date_names(spark, d):
+    return order_dates(spark, d).select(
+        "OrderDate", fd.month_name(F.col("OrderDate")).alias("MONTH_NAME"),
+        fd.day_name(F.col("OrderDate")).alias("DAY_NAME"),
+    )
+
+
+@query("fn_date_key")
+def fn_date_key(spark, d):
+    return order_dates(spark, d).select("OrderDate", fd.date_key(F.col("OrderDate")).alias("DATE_KEY"))
+
+
+@query("fn_to_date")
+def fn_to_date(spark, d):
+    o = src_of(spark, d).orders().select("OrderID", F.date_format("OrderDate", "yyyy-MM-dd").alias("ORDER_DATE_TEXT"))
+    return o.withColumn("ORDER_DATE", F.to_date("ORDER_DATE_TEXT"))
+
+
+@query("fn_total_before_tax")
+def fn_total_before_tax(spark, d):
+    lines = src_of(spark, d).order_lines
+    return lines.select("OrderID", "LineNumber", "Quantity", "UnitPrice",
+                        total_before_tax(F.col("Quantity"), F.col("UnitPrice")).alias("TOTAL_BEFORE_TAX"))
+
+
+@query("fn_total_after_tax")
+def fn_total_after_tax(spark, d):
+    lines = src_of(spark, d).order_lines
+    return lines.select("OrderID", "LineNumber", "Quantity", "UnitPrice", "TaxRate",
+                        total_after_tax(F.col("Quantity"), F.col("UnitPrice"), F.col("TaxRate"))
+                        .alias("TOTAL_AFTER_TAX"))
+
+
+@query("dim_date")
+def dim_date(spark, d):
+    return M.dim_date_for_orders(src_of(spark, d))
+
+
+# =====================================================================
+# Fact, loads, daily run, quality, summary
+# =====================================================================
+@query("fact_orders")
+def fact_orders(spark, d):
+    return M.initial_fact(src_of(spark, d))
+
+
+@query("star_lookup")
+def star_lookup(spark, d):
+    """The reference's lookup: inner joins, so lines without a member drop out."""
+    return M.initial_fact(src_of(spark, d), strict=True)
+
+
+@query("load_fact")
+def load_fact(spark, d):
+    mart = Mart(spark)
+    mart.write_fact(M.initial_fact(src_of(spark, d)))
+    return mart.read_fact()
+
+
+@query("daily_run")
+def daily_run(spark, d):
+    return M.daily_run(src_of(spark, d))
+
+
+@query("dq_duplicate_keys")
+def dq_duplicate_keys(spark, d):
+    return quality.duplicate_keys(src_of(spark, d).order_lines, ["OrderID", "LineNumber"])
+
+
+def _initial_mart(spark, d):
+    src = src_of(spark, d)
+    dims = M.build_dimensions(src, M.first_order_date(src))
+    fact = M.fact_orders(ex.extract_orders(src), dims)
+    return src, dims, fact
+
+
+@query("dq_orphan_keys")
+def dq_orphan_keys(spark, d):
+    src, dims, fact = _initial_mart(spark, d)
+    refs = {
+        "CustomerKey": (dims["customers"], "CustomerKey"), "CityKey": (dims["cities"], "CityKey"),
+        "ProductKey": (dims["products"], "ProductKey"), "SalespersonKey": (dims["salespeople"], "SalespersonKey"),
+        "DateKey": (M.dim_date_for_orders(src), "DateKey"),
+        "PickingStaffKey": (dims["picking_staff"], "PickingStaffKey"),
+    }
+    return quality.orphan_keys(fact, refs)
+
+
+@query("dq_null_counts")
+def dq_null_counts(spark, d):
+    return quality.null_counts(ex.extract_orders(src_of(spark, d)))
+
+
+@query("mart_summary")
+def mart_summary(spark, d):
+    src, dims, fact = _initial_mart(spark, d)
+    return M.mart_summary(fact, dims["customers"], M.dim_date_for_orders(src))

@@ -84,7 +84,8 @@ FACT_COLUMNS = (
 
 
 def _stage_for(spec: DimSpec, stage: DataFrame) -> DataFrame:
-    if spec.stage_to_dim:
+    """Rename stage columns to dimension names (no-op if already renamed)."""
+    if spec.stage_to_dim and set(spec.stage_to_dim) <= set(stage.columns):
         return stage.select(*[F.col(s).alias(d) for s, d in spec.stage_to_dim.items()])
     return stage
 
