@@ -286,3 +286,384 @@ sql("booking_vs_rating", BOOKING)
 sql("location_ratings", LOCATION)
 sql("best_moderate_cost", W_CLEAN + f" SELECT * FROM clean WHERE {BEST}")
 sql("high_rated_by_price", HIGH_RATED)
+
+
+# =====================================================================
+# Order database views, stages, dimensions, fact
+# =====================================================================
+N_SUP = "(SELECT count(*) FROM supplier)"
+OLTP = f"""cities AS (SELECT n_nationkey AS CityID, n_name AS CityName, n_nationkey AS StateProvinceID FROM nation),
+provinces AS (
+  SELECT n_nationkey AS StateProvinceID, 'N' || CAST(n_nationkey AS VARCHAR) AS StateProvinceCode,
+         n_name || ' Province' AS StateProvinceName, n_regionkey AS CountryID FROM nation),
+countries AS (SELECT r_regionkey AS CountryID, r_name AS CountryName, 'Formal ' || r_name AS FormalName FROM region),
+customers AS (
+  SELECT c_custkey AS CustomerID, c_name AS CustomerName, c_mktsegment AS CustomerCategoryID,
+         c_nationkey AS DeliveryCityID, (c_nationkey + 7) % 25 AS PostalCityID FROM customer),
+categories AS (SELECT DISTINCT c_mktsegment AS CustomerCategoryID, c_mktsegment AS CustomerCategoryName FROM customer),
+stock_items AS (
+  SELECT p_partkey AS StockItemID, p_name || ' #' || CAST(p_partkey AS VARCHAR) AS StockItemName, p_brand AS Brand,
+         CAST(p_size AS VARCHAR) AS Size, split_part(p_name, ' ', 1) AS ColorID FROM part),
+colors AS (SELECT DISTINCT split_part(p_name, ' ', 1) AS ColorID, split_part(p_name, ' ', 1) AS ColorName FROM part),
+people AS (
+  SELECT s_suppkey AS PersonID, s_name AS FullName, replace(s_name, 'Supplier#', 'S') AS PreferredName,
+         lower(replace(s_name, '#', '.')) AS LogonName,
+         '{{"nation": ' || CAST(s_nationkey AS VARCHAR) || '}}' AS CustomFields,
+         '(' || CAST(s_nationkey AS VARCHAR) || ') 555-' || CAST(s_suppkey AS VARCHAR) AS PhoneNumber,
+         '(' || CAST(s_nationkey AS VARCHAR) || ') 556-' || CAST(s_suppkey AS VARCHAR) AS FaxNumber,
+         lower(replace(s_name, '#', '.')) || '@example.com' AS EmailAddress,
+         CASE WHEN s_suppkey % 2 = 0 THEN 1 ELSE 0 END AS IsSalesperson
+  FROM supplier),
+orders_v AS (
+  SELECT o_orderkey AS OrderID, CAST(o_orderdate AS DATE) AS OrderDate, o_custkey AS CustomerID,
+         (o_custkey % 50) * 2 % {N_SUP} AS SalespersonPersonID,
+         CASE WHEN o_orderstatus = 'O' THEN NULL ELSE o_orderkey % {N_SUP} END AS PickedByPersonID
+  FROM orders),
+lines AS (
+  SELECT l_orderkey AS OrderID, l_linenumber AS LineNumber, l_partkey AS StockItemID,
+         CAST(l_quantity AS INTEGER) AS Quantity, CAST(l_tax * 100 AS DECIMAL(18,3)) AS TaxRate,
+         CASE WHEN CAST(l_quantity AS INTEGER) > 0 THEN
+           CAST(CAST((2 * CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 100 AS BIGINT) + CAST(l_quantity AS INTEGER))
+                     // (2 * CAST(l_quantity AS INTEGER)) AS DECIMAL(18,0)) * 0.01 AS DECIMAL(18,2)) END AS UnitPrice
+  FROM lineitem),
+city_details AS (
+  SELECT ci.CityID, ci.CityName, sp.StateProvinceCode, sp.StateProvinceName, co.CountryName, co.FormalName
+  FROM cities ci LEFT JOIN provinces sp ON ci.StateProvinceID = sp.StateProvinceID
+  LEFT JOIN countries co ON sp.CountryID = co.CountryID),
+customers_stage_id AS (
+  SELECT cu.CustomerID, cu.CustomerName, cat.CustomerCategoryName,
+         dc.CityName AS DeliveryCityName, dc.StateProvinceCode AS DeliveryStateProvinceCode,
+         dc.StateProvinceName AS DeliveryStateProvinceName, dc.CountryName AS DeliveryCountryName,
+         dc.FormalName AS DeliveryFormalName,
+         pc.CityName AS PostalCityName, pc.StateProvinceCode AS PostalStateProvinceCode,
+         pc.StateProvinceName AS PostalStateProvinceName, pc.CountryName AS PostalCountryName,
+         pc.FormalName AS PostalFormalName
+  FROM customers cu LEFT JOIN categories cat ON cu.CustomerCategoryID = cat.CustomerCategoryID
+  LEFT JOIN city_details dc ON cu.DeliveryCityID = dc.CityID
+  LEFT JOIN city_details pc ON cu.PostalCityID = pc.CityID),
+customers_stage AS (SELECT * EXCLUDE (CustomerID) FROM customers_stage_id),
+products_stage_id AS (
+  SELECT s.StockItemID, s.StockItemName AS ProductName, c.ColorName AS ProductColour, s.Brand AS ProductBrand,
+         s.Size AS ProductSize
+  FROM stock_items s LEFT JOIN colors c ON s.ColorID = c.ColorID),
+products_stage AS (SELECT * EXCLUDE (StockItemID) FROM products_stage_id),
+salespeople_stage AS (
+  SELECT FullName, PreferredName, LogonName, PhoneNumber, FaxNumber, EmailAddress FROM people WHERE IsSalesperson = 1),
+picking_stage_id AS (
+  SELECT PersonID, FullName, PreferredName, LogonName, CustomFields, PhoneNumber, FaxNumber, EmailAddress
+  FROM people
+  WHERE PersonID IN (SELECT PickedByPersonID FROM orders_v WHERE PickedByPersonID IS NOT NULL)
+    AND LogonName IS NOT NULL),
+picking_stage AS (SELECT * EXCLUDE (PersonID) FROM picking_stage_id),
+wide AS (
+  SELECT o.OrderID, l.LineNumber, o.OrderDate, cu.CustomerName, l.Quantity, l.UnitPrice, l.TaxRate,
+         sp.LogonName, cd.CityName, cd.StateProvinceName, cd.CountryName, si.StockItemName,
+         pk.LogonName AS PickingStaffName
+  FROM orders_v o
+  LEFT JOIN customers cu ON cu.CustomerID = o.CustomerID
+  LEFT JOIN lines l ON o.OrderID = l.OrderID
+  LEFT JOIN people sp ON o.SalespersonPersonID = sp.PersonID
+  LEFT JOIN city_details cd ON cd.CityID = cu.DeliveryCityID
+  LEFT JOIN stock_items si ON si.StockItemID = l.StockItemID
+  LEFT JOIN people pk ON o.PickedByPersonID = pk.PersonID),
+orders_stage AS (
+  SELECT OrderDate, Quantity, UnitPrice, TaxRate, CustomerName, CityName, StateProvinceName, CountryName,
+         StockItemName, LogonName, PickingStaffName FROM wide),
+d0 AS (SELECT min(CAST(o_orderdate AS DATE)) AS d FROM orders)"""
+W_OLTP = "WITH " + OLTP
+
+# First load of every dimension on the first order date: keys numbered by business key.
+DIMS = """,
+dim_cities AS (
+  SELECT row_number() OVER (ORDER BY CityName, StateProvName, CountryName) AS CityKey, CityName, StateProvName,
+         CountryName, m.StateProvCode, m.CountryFormalName
+  FROM (SELECT DeliveryCityName AS CityName, DeliveryStateProvinceName AS StateProvName,
+               DeliveryCountryName AS CountryName,
+               min({'StateProvCode': DeliveryStateProvinceCode, 'CountryFormalName': DeliveryFormalName}) AS m
+        FROM customers_stage GROUP BY 1, 2, 3)),
+dim_salespeople AS (SELECT row_number() OVER (ORDER BY LogonName) AS SalespersonKey, * FROM salespeople_stage),
+dim_customers AS (
+  SELECT row_number() OVER (ORDER BY CustomerName) AS CustomerKey, CustomerName, CustomerCategoryName,
+         DeliveryCityName, DeliveryStateProvinceCode AS DeliveryStateProvCode, DeliveryCountryName,
+         PostalCityName, PostalStateProvinceCode AS PostalStateProvCode, PostalCountryName,
+         (SELECT d FROM d0) AS StartDate, CAST(NULL AS DATE) AS EndDate
+  FROM customers_stage),
+dim_products AS (
+  SELECT row_number() OVER (ORDER BY ProductName) AS ProductKey, *, (SELECT d FROM d0) AS StartDate,
+         CAST(NULL AS DATE) AS EndDate FROM products_stage),
+dim_picking AS (
+  SELECT row_number() OVER (ORDER BY LogonName) AS PickingStaffKey, *, (SELECT d FROM d0) AS StartDate,
+         CAST(NULL AS DATE) AS EndDate FROM picking_stage)"""
+
+
+def valid(alias: str, on: str) -> str:
+    return f"{alias}.StartDate <= {on} AND {on} <= coalesce({alias}.EndDate, DATE '9999-12-31')"
+
+
+def fact_sql(strict: bool = False) -> str:
+    j = "JOIN" if strict else "LEFT JOIN"
+    k = (lambda c: c) if strict else (lambda c: f"coalesce({c}, -1)")
+    return f""",
+fact AS (
+  SELECT CAST({k('cu.CustomerKey')} AS BIGINT) AS CustomerKey, CAST({k('ci.CityKey')} AS BIGINT) AS CityKey,
+         CAST({k('pr.ProductKey')} AS BIGINT) AS ProductKey,
+         CAST({k('sp.SalespersonKey')} AS BIGINT) AS SalespersonKey,
+         CAST(year(s.OrderDate) * 10000 + month(s.OrderDate) * 100 + day(s.OrderDate) AS INTEGER) AS DateKey,
+         CAST({k('pk.PickingStaffKey')} AS BIGINT) AS PickingStaffKey,
+         s.Quantity, s.UnitPrice, s.TaxRate,
+         CAST(s.Quantity * s.UnitPrice AS DECIMAL(18,2)) AS TotalBeforeTax,
+         CAST(s.Quantity * s.UnitPrice * (1 + s.TaxRate * 0.01) AS DECIMAL(18,2)) AS TotalAfterTax
+  FROM (SELECT * FROM orders_stage WHERE Quantity IS NOT NULL) s
+  {j} dim_customers cu ON s.CustomerName = cu.CustomerName AND {valid('cu', 's.OrderDate')}
+  {j} dim_cities ci ON s.CityName = ci.CityName AND s.StateProvinceName = ci.StateProvName
+                      AND s.CountryName = ci.CountryName
+  {j} dim_products pr ON s.StockItemName = pr.ProductName AND {valid('pr', 's.OrderDate')}
+  {j} dim_salespeople sp ON s.LogonName = sp.LogonName
+  {j} dim_picking pk ON s.PickingStaffName = pk.LogonName AND {valid('pk', 's.OrderDate')})"""
+
+
+W_FACT = W_OLTP + DIMS + fact_sql()
+
+sql("scan_source_join", W_OLTP + " SELECT * FROM orders_v")
+sql("conform_schema", W_OLTP + " SELECT * FROM orders_stage")
+sql("extract_date_slice", W_OLTP + " SELECT * FROM orders_stage WHERE OrderDate = (SELECT d FROM d0)")
+sql("join_left", W_OLTP + """
+SELECT o.OrderID, p.LogonName AS PickerLogon FROM orders_v o LEFT JOIN people p ON p.PersonID = o.PickedByPersonID""")
+sql("join_snowflake", W_OLTP + " SELECT * FROM city_details")
+sql("join_role_playing", W_OLTP + """
+SELECT CustomerName, DeliveryCityName, DeliveryCountryName, PostalCityName, PostalCountryName FROM customers_stage""")
+sql("join_order_lines_wide", W_OLTP + " SELECT * FROM wide")
+sql("extract_customers", W_OLTP + " SELECT * FROM customers_stage")
+sql("rowcount_guard", W_OLTP + " SELECT * FROM customers_stage")
+sql("extract_products", W_OLTP + " SELECT * FROM products_stage")
+sql("extract_salespeople", W_OLTP + " SELECT * FROM salespeople_stage")
+sql("extract_picking_staff", W_OLTP + " SELECT * FROM picking_stage")
+sql("extract_orders", W_OLTP + " SELECT * FROM orders_stage")
+
+# -- type 1 -----------------------------------------------------------------
+CITIES_BEFORE = """,
+cities_before AS (
+  SELECT CAST(CityID + 1 AS BIGINT) AS CityKey, CityName, StateProvinceName AS StateProvName, CountryName,
+         StateProvinceCode AS StateProvCode, FormalName AS CountryFormalName
+  FROM city_details WHERE CityID % 2 = 0),
+delivery AS (
+  SELECT CustomerName, DeliveryCityName AS CityName, DeliveryStateProvinceName AS StateProvName,
+         DeliveryCountryName AS CountryName, DeliveryStateProvinceCode AS StateProvCode,
+         DeliveryFormalName AS CountryFormalName
+  FROM customers_stage)"""
+sql("join_composite", W_OLTP + CITIES_BEFORE + """
+SELECT d.CustomerName, c.CityKey FROM delivery d JOIN cities_before c
+  ON d.CityName = c.CityName AND d.StateProvName = c.StateProvName AND d.CountryName = c.CountryName""")
+sql("anti_join_composite", W_OLTP + CITIES_BEFORE + """
+SELECT d.CustomerName, d.CityName, d.StateProvName, d.CountryName FROM delivery d
+WHERE NOT EXISTS (SELECT 1 FROM cities_before c WHERE d.CityName = c.CityName AND d.StateProvName = c.StateProvName
+                  AND d.CountryName = c.CountryName)""")
+sql("scd1_cities", W_OLTP + CITIES_BEFORE + """,
+staged AS (
+  SELECT CityName, StateProvName, CountryName,
+         min({'StateProvCode': StateProvCode, 'CountryFormalName': CountryFormalName}) AS m
+  FROM delivery GROUP BY 1, 2, 3)
+SELECT c.CityKey, s.CityName, s.StateProvName, s.CountryName, s.m.StateProvCode, s.m.CountryFormalName
+FROM staged s JOIN cities_before c
+  ON s.CityName = c.CityName AND s.StateProvName = c.StateProvName AND s.CountryName = c.CountryName
+UNION ALL
+SELECT (SELECT coalesce(max(CityKey), 0) FROM cities_before)
+         + row_number() OVER (ORDER BY s.CityName, s.StateProvName, s.CountryName),
+       s.CityName, s.StateProvName, s.CountryName, s.m.StateProvCode, s.m.CountryFormalName
+FROM staged s
+WHERE NOT EXISTS (SELECT 1 FROM cities_before c WHERE s.CityName = c.CityName AND s.StateProvName = c.StateProvName
+                  AND s.CountryName = c.CountryName)""")
+sql("scd1_salespeople", W_OLTP + """,
+before AS (
+  SELECT CAST(PersonID + 1 AS BIGINT) AS SalespersonKey, LogonName FROM people
+  WHERE IsSalesperson = 1 AND PersonID % 4 = 0)
+SELECT b.SalespersonKey, s.LogonName, s.FullName, s.PreferredName, s.PhoneNumber, s.FaxNumber, s.EmailAddress
+FROM salespeople_stage s JOIN before b ON s.LogonName = b.LogonName
+UNION ALL
+SELECT (SELECT coalesce(max(SalespersonKey), 0) FROM before) + row_number() OVER (ORDER BY s.LogonName),
+       s.LogonName, s.FullName, s.PreferredName, s.PhoneNumber, s.FaxNumber, s.EmailAddress
+FROM salespeople_stage s WHERE NOT EXISTS (SELECT 1 FROM before b WHERE b.LogonName = s.LogonName)""")
+sql("surrogate_keys", """
+SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity,
+                                   l_extendedprice, l_returnflag, l_linestatus, l_tax, l_discount) AS LineKey,
+       l_orderkey, l_linenumber, l_partkey, l_suppkey
+FROM lineitem""")
+
+
+# -- type 2 -----------------------------------------------------------------
+def scd2_ctes(stage_id: str, id_col: str, bk: str, tracked: list[str], key: str,
+              rename: dict[str, str] | None = None) -> str:
+    """CTEs dim_before / stage / result for a type-2 run starting the day after d0.
+
+    Inputs by id % 10: 9 new, 8 missing, 7 first tracked column changed, 6 unchanged
+    plus an older version, 5 closed only and back in the stage.
+    """
+    rename = rename or {}
+    src_cols = ", ".join(f"{s} AS {d}" for s, d in rename.items()) or ", ".join([bk, *tracked])
+    first = tracked[0]
+    t_cur = ", ".join(f"CASE WHEN _id % 10 = 7 THEN 'OLD ' || {c} ELSE {c} END AS {c}" if c == first else c
+                      for c in tracked)
+    t_old = ", ".join(f"'PREV ' || {c} AS {c}" if c == first else c for c in tracked)
+    cols = ", ".join([bk, *tracked])
+    diff = " OR ".join(f"s.{c} IS DISTINCT FROM o.{c}" for c in tracked)
+    s_cols = ", ".join(f"s.{c}" for c in [bk, *tracked])
+    o_cols = ", ".join(f"o.{c}" for c in [key, bk, *tracked])
+    return f""",
+st AS (SELECT {id_col} AS _id, {src_cols} FROM {stage_id}),
+mx AS (SELECT max(_id) AS m FROM st),
+dim_before AS (
+  SELECT CAST(_id + 1 AS BIGINT) AS {key}, {bk}, {t_cur}, (SELECT d FROM d0) AS StartDate,
+         CAST(NULL AS DATE) AS EndDate
+  FROM st WHERE _id % 10 NOT IN (9, 5)
+  UNION ALL
+  SELECT CAST(_id + 2 + (SELECT m FROM mx) AS BIGINT), {bk}, {t_old}, (SELECT d FROM d0) - 365,
+         (SELECT d FROM d0) - 1
+  FROM st WHERE _id % 10 IN (5, 6)),
+stage AS (SELECT {cols} FROM st WHERE _id % 10 <> 8),
+open_rows AS (SELECT * FROM dim_before WHERE EndDate IS NULL),
+changed_keys AS (SELECT s.{bk} FROM stage s JOIN open_rows o ON s.{bk} = o.{bk} WHERE {diff}),
+versions AS (
+  SELECT s.*, CASE WHEN s.{bk} IN (SELECT {bk} FROM changed_keys) THEN 'changed' ELSE 'new' END AS kind
+  FROM stage s
+  WHERE s.{bk} IN (SELECT {bk} FROM changed_keys)
+     OR NOT EXISTS (SELECT 1 FROM open_rows o WHERE o.{bk} = s.{bk})),
+numbered AS (
+  SELECT (SELECT max({key}) FROM dim_before) + row_number() OVER (ORDER BY {bk}) AS {key}, {cols},
+         (SELECT d FROM d0) + 1 AS StartDate, CAST(NULL AS DATE) AS EndDate, kind
+  FROM versions),
+b_changed AS (SELECT * EXCLUDE (kind) FROM numbered WHERE kind = 'changed'),
+b_new AS (SELECT * EXCLUDE (kind) FROM numbered WHERE kind = 'new'),
+b_closed AS (
+  SELECT {o_cols}, o.StartDate,
+         CASE WHEN o.{bk} IN (SELECT {bk} FROM changed_keys) THEN (SELECT d FROM d0) END AS EndDate
+  FROM open_rows o WHERE o.{bk} IN (SELECT {bk} FROM stage)),
+b_expired AS (
+  SELECT {o_cols}, o.StartDate, (SELECT d FROM d0) AS EndDate
+  FROM open_rows o WHERE o.{bk} NOT IN (SELECT {bk} FROM stage)),
+b_history AS (SELECT * FROM dim_before WHERE EndDate IS NOT NULL),
+result AS (
+  SELECT * FROM b_changed UNION ALL SELECT * FROM b_closed UNION ALL SELECT * FROM b_new
+  UNION ALL SELECT * FROM b_expired UNION ALL SELECT * FROM b_history)"""
+
+
+CUST_TRACKED = ["CustomerCategoryName", "DeliveryCityName", "DeliveryStateProvCode", "DeliveryCountryName",
+                "PostalCityName", "PostalStateProvCode", "PostalCountryName"]
+CUST_RENAME = {"CustomerName": "CustomerName", "CustomerCategoryName": "CustomerCategoryName",
+               "DeliveryCityName": "DeliveryCityName", "DeliveryStateProvinceCode": "DeliveryStateProvCode",
+               "DeliveryCountryName": "DeliveryCountryName", "PostalCityName": "PostalCityName",
+               "PostalStateProvinceCode": "PostalStateProvCode", "PostalCountryName": "PostalCountryName"}
+W_CUST = W_OLTP + scd2_ctes("customers_stage_id", "CustomerID", "CustomerName", CUST_TRACKED, "CustomerKey",
+                            CUST_RENAME)
+W_PROD = W_OLTP + scd2_ctes("products_stage_id", "StockItemID", "ProductName",
+                            ["ProductColour", "ProductBrand", "ProductSize"], "ProductKey")
+W_PICK = W_OLTP + scd2_ctes("picking_stage_id", "PersonID", "LogonName",
+                            ["FullName", "PreferredName", "CustomFields", "PhoneNumber", "FaxNumber", "EmailAddress"],
+                            "PickingStaffKey")
+
+sql("scd2_changed", W_CUST + " SELECT * FROM b_changed")
+sql("scd2_closed_and_carried", W_CUST + " SELECT * FROM b_closed")
+sql("scd2_new", W_CUST + " SELECT * FROM b_new")
+sql("scd2_expired", W_CUST + " SELECT * FROM b_expired")
+sql("union_all_branches", W_CUST + " SELECT * FROM result")
+sql("scd2_customers", W_CUST + " SELECT * FROM result")
+sql("upsert_by_key", W_CUST + """
+SELECT * FROM dim_before WHERE CustomerKey NOT IN (SELECT CustomerKey FROM result)
+UNION ALL SELECT * FROM result""")
+sql("load_dimension", W_CUST + " SELECT * FROM result")
+sql("replaced_rows", W_CUST + " SELECT * FROM dim_before WHERE CustomerKey IN (SELECT CustomerKey FROM result)")
+sql("scd2_products", W_PROD + " SELECT * FROM result")
+sql("scd2_picking_staff", W_PICK + " SELECT * FROM result")
+sql("filter_open_rows", W_CUST + " SELECT * FROM dim_before WHERE EndDate IS NULL")
+CHANGED = " OR ".join(f"s.{c} IS DISTINCT FROM o.{c}" for c in CUST_TRACKED)
+sql("changed_rows", W_CUST + f"""
+SELECT s.* FROM stage s JOIN open_rows o ON s.CustomerName = o.CustomerName WHERE {CHANGED}""")
+sql("join_residual", W_CUST + f"""
+SELECT s.CustomerName, o.CustomerKey, s.CustomerCategoryName AS NEW_CATEGORY, o.CustomerCategoryName AS OLD_CATEGORY
+FROM stage s JOIN open_rows o ON s.CustomerName = o.CustomerName WHERE {CHANGED}""")
+sql("join_left_on_predicate", W_CUST + """
+SELECT cu.CustomerKey, cu.CustomerName, cu.StartDate, pl.CustomerName AS PL_NAME
+FROM dim_before cu LEFT JOIN changed_keys pl ON pl.CustomerName = cu.CustomerName AND cu.EndDate IS NULL""")
+sql("fn_case_null", W_CUST + """
+SELECT cu.CustomerKey, CASE WHEN pl.CustomerName IS NULL THEN NULL ELSE (SELECT d FROM d0) END AS NEW_END_DATE
+FROM dim_before cu LEFT JOIN changed_keys pl ON pl.CustomerName = cu.CustomerName AND cu.EndDate IS NULL""")
+sql("anti_join", W_CUST + """
+SELECT s.CustomerName FROM stage s WHERE NOT EXISTS (SELECT 1 FROM dim_before d WHERE d.CustomerName = s.CustomerName)""")
+sql("join_asof_dimension", W_CUST + f"""
+SELECT o.OrderID, o.OrderDate, r.CustomerKey
+FROM orders_v o LEFT JOIN customers c ON c.CustomerID = o.CustomerID
+LEFT JOIN result r ON r.CustomerName = c.CustomerName AND {valid('r', 'o.OrderDate')}""")
+
+# -- calendar and measures ------------------------------------------------------
+DATES = W_OLTP + ", od AS (SELECT DISTINCT OrderDate FROM orders_v)"
+sql("fn_date_parts", DATES + """
+SELECT OrderDate, CAST(year(OrderDate) AS INTEGER) AS YEAR, CAST(month(OrderDate) AS INTEGER) AS MONTH,
+       CAST(day(OrderDate) AS INTEGER) AS DAY FROM od""")
+sql("fn_quarter", DATES + " SELECT OrderDate, CAST(quarter(OrderDate) AS INTEGER) AS QUARTER FROM od")
+sql("fn_month_start", DATES + " SELECT OrderDate, CAST(date_trunc('month', OrderDate) AS DATE) AS MONTH_START FROM od")
+sql("fn_month_end", DATES + " SELECT OrderDate, last_day(OrderDate) AS MONTH_END FROM od")
+sql("fn_date_names", DATES + """
+SELECT OrderDate, strftime(OrderDate, '%B') AS MONTH_NAME, strftime(OrderDate, '%A') AS DAY_NAME FROM od""")
+sql("fn_date_key", DATES + """
+SELECT OrderDate, CAST(year(OrderDate) * 10000 + month(OrderDate) * 100 + day(OrderDate) AS INTEGER) AS DATE_KEY
+FROM od""")
+sql("fn_to_date", W_OLTP + """
+SELECT OrderID, strftime(OrderDate, '%Y-%m-%d') AS ORDER_DATE_TEXT, CAST(strftime(OrderDate, '%Y-%m-%d') AS DATE)
+       AS ORDER_DATE FROM orders_v""")
+sql("fn_total_before_tax", W_OLTP + """
+SELECT OrderID, LineNumber, Quantity, UnitPrice, CAST(Quantity * UnitPrice AS DECIMAL(18,2)) AS TOTAL_BEFORE_TAX
+FROM lines""")
+sql("fn_total_after_tax", W_OLTP + """
+SELECT OrderID, LineNumber, Quantity, UnitPrice, TaxRate,
+       CAST(Quantity * UnitPrice * (1 + TaxRate * 0.01) AS DECIMAL(18,2)) AS TOTAL_AFTER_TAX
+FROM lines""")
+CALENDAR = """,
+cal AS (
+  SELECT CAST(unnest(generate_series(min(OrderDate), max(OrderDate), INTERVAL 1 DAY)) AS DATE) AS d FROM orders_v),
+dim_date AS (
+  SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS DateKey, d AS DateValue,
+         CAST(year(d) AS SMALLINT) AS Year, CAST(month(d) AS SMALLINT) AS Month, CAST(day(d) AS SMALLINT) AS Day,
+         CAST(quarter(d) AS SMALLINT) AS Quarter, CAST(date_trunc('month', d) AS DATE) AS StartOfMonth,
+         last_day(d) AS EndOfMonth, strftime(d, '%B') AS MonthName, strftime(d, '%A') AS DayOfWeekName
+  FROM cal)"""
+sql("dim_date", W_OLTP + CALENDAR + " SELECT * FROM dim_date")
+
+# -- fact, loads, quality, summary -------------------------------------------------
+sql("fact_orders", W_FACT + " SELECT * FROM fact")
+sql("append_fact", W_FACT + " SELECT * FROM fact")
+sql("load_fact", W_FACT + " SELECT * FROM fact")
+sql("daily_run", W_FACT + " SELECT * FROM fact")
+sql("star_lookup", W_OLTP + DIMS + fact_sql(strict=True) + " SELECT * FROM fact")
+sql("dq_duplicate_keys", W_OLTP + """
+SELECT OrderID, LineNumber, count(*) AS N FROM lines GROUP BY OrderID, LineNumber HAVING count(*) > 1""")
+sql("dq_orphan_keys", W_FACT + CALENDAR + """
+SELECT 'CustomerKey' AS KEY_NAME, CustomerKey AS KEY_VALUE, count(*) AS N FROM fact
+WHERE CustomerKey NOT IN (SELECT CustomerKey FROM dim_customers) GROUP BY CustomerKey
+UNION ALL SELECT 'CityKey', CityKey, count(*) FROM fact
+WHERE CityKey NOT IN (SELECT CityKey FROM dim_cities) GROUP BY CityKey
+UNION ALL SELECT 'ProductKey', ProductKey, count(*) FROM fact
+WHERE ProductKey NOT IN (SELECT ProductKey FROM dim_products) GROUP BY ProductKey
+UNION ALL SELECT 'SalespersonKey', SalespersonKey, count(*) FROM fact
+WHERE SalespersonKey NOT IN (SELECT SalespersonKey FROM dim_salespeople) GROUP BY SalespersonKey
+UNION ALL SELECT 'DateKey', DateKey, count(*) FROM fact
+WHERE DateKey NOT IN (SELECT DateKey FROM dim_date) GROUP BY DateKey
+UNION ALL SELECT 'PickingStaffKey', PickingStaffKey, count(*) FROM fact
+WHERE PickingStaffKey NOT IN (SELECT PickingStaffKey FROM dim_picking) GROUP BY PickingStaffKey""")
+sql("dq_null_counts", W_OLTP + """
+SELECT COLUMN_NAME, NULL_COUNT FROM (
+  SELECT count(*) FILTER (WHERE OrderDate IS NULL) AS OrderDate, count(*) FILTER (WHERE Quantity IS NULL) AS Quantity,
+         count(*) FILTER (WHERE UnitPrice IS NULL) AS UnitPrice, count(*) FILTER (WHERE TaxRate IS NULL) AS TaxRate,
+         count(*) FILTER (WHERE CustomerName IS NULL) AS CustomerName,
+         count(*) FILTER (WHERE CityName IS NULL) AS CityName,
+         count(*) FILTER (WHERE StateProvinceName IS NULL) AS StateProvinceName,
+         count(*) FILTER (WHERE CountryName IS NULL) AS CountryName,
+         count(*) FILTER (WHERE StockItemName IS NULL) AS StockItemName,
+         count(*) FILTER (WHERE LogonName IS NULL) AS LogonName,
+         count(*) FILTER (WHERE PickingStaffName IS NULL) AS PickingStaffName
+  FROM orders_stage) UNPIVOT (NULL_COUNT FOR COLUMN_NAME IN (OrderDate, Quantity, UnitPrice, TaxRate, CustomerName,
+      CityName, StateProvinceName, CountryName, StockItemName, LogonName, PickingStaffName))""")
+sql("mart_summary", W_FACT + CALENDAR + """
+SELECT dd.Year, cu.CustomerCategoryName, count(*) AS ORDER_LINES, CAST(sum(f.Quantity) AS BIGINT) AS QUANTITY,
+       CAST(sum(f.TotalAfterTax) AS DECIMAL(18,2)) AS REVENUE
+FROM fact f LEFT JOIN dim_date dd ON f.DateKey = dd.DateKey
+LEFT JOIN dim_customers cu ON f.CustomerKey = cu.CustomerKey
+GROUP BY dd.Year, cu.CustomerCategoryName""")
