@@ -7,8 +7,7 @@ counted (one small row per partition), and a running sum of those sizes gives
 each partition's offset.  The key equals ``base + row_number() over (order by
 keys)`` but no step holds more than one partition's rows.
 
-The ranged data is written with ``checkpoint()`` (to the shared checkpoint
-folder) before counting: range bounds come from sampling, so the counted copy
+The ranged data is written to the shared checkpoint folder before counting: range bounds come from sampling, so the counted copy
 and the numbered copy must be the same materialisation, also if an executor is
 lost and a stage re-runs.
 """
@@ -18,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimwright.session import default_partitions, ensure_checkpoint_dir
+from dimwright.session import default_partitions, ensure_checkpoint_dir, work_path
 
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | position
 
@@ -39,11 +38,10 @@ def with_dense_keys(
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or default_partitions(spark)
-    ranged = (
+    ranged = materialize(
         df.repartitionByRange(n, *order_by)
         .sortWithinPartitions(*order_by)
         .withColumn("_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
     )
     pid = F.shiftright(F.col("_mid"), _POS_BITS)
     pos = F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
@@ -67,6 +65,19 @@ def with_dense_keys(
     return keyed.withColumn(key_col, key).drop("_mid", "_pid", "_pos", "_off", "_base")
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and continue from the copy.
+
+    Used for preloads (dimension versions): they are read by several joins and
+    their keys must never be recomputed.  A reliable checkpoint survives the
+    loss of the executors that computed it.
+    """
+    spark = df.sparkSession
+    path = work_path(spark, "materialized")
+    df.write.mode("overwrite").parquet(path)  # one job; eager checkpoint() would run two
+    return spark.read.parquet(path)
+
+
 def max_key(dim: DataFrame, key_col: str) -> DataFrame:
     """One-row DataFrame holding the highest key in use (0 when empty)."""
     return dim.agg(F.coalesce(F.max(key_col), F.lit(0)).alias("_max"))

@@ -35,8 +35,8 @@ ORDER_STAGE_COLUMNS = (
 
 def city_details(src: Oltp) -> DataFrame:
     """Cities -> state/province -> country (snowflake flattened by two left joins)."""
-    sp = bounded_broadcast(src.state_provinces)
-    co = bounded_broadcast(src.countries)
+    sp = src.lookup("state_provinces")
+    co = src.lookup("countries")
     return (
         src.cities.join(sp, "StateProvinceID", "left")
         .join(co, "CountryID", "left")
@@ -53,8 +53,8 @@ def _role(details: DataFrame, prefix: str) -> DataFrame:
 
 
 def extract_customers(src: Oltp, keep_id: bool = False) -> DataFrame:
-    details = bounded_broadcast(city_details(src))
-    cats = bounded_broadcast(src.customer_categories)
+    details = src.lookup("city_details", city_details)
+    cats = src.lookup("customer_categories")
     out = (
         src.customers.join(cats, "CustomerCategoryID", "left")
         .join(_role(details, "Delivery"), "DeliveryCityID", "left")
@@ -64,7 +64,7 @@ def extract_customers(src: Oltp, keep_id: bool = False) -> DataFrame:
 
 
 def extract_products(src: Oltp, keep_id: bool = False) -> DataFrame:
-    colors = bounded_broadcast(src.colors)
+    colors = src.lookup("colors")
     return src.stock_items.join(colors, "ColorID", "left").select(
         *(("StockItemID",) if keep_id else ()),
         F.col("StockItemName").alias("ProductName"),
@@ -98,8 +98,8 @@ def order_lines_wide(src: Oltp, start: dt.date | None = None, end: dt.date | Non
     Orders without lines are kept with null line columns.
     """
     orders = src.orders(start, end)
-    details = bounded_broadcast(city_details(src))
-    people = bounded_broadcast(src.people.select("PersonID", "LogonName"))
+    details = src.lookup("city_details", city_details)
+    people = src.lookup("people_logons", lambda s: s.people.select("PersonID", "LogonName"))
     sales = people.select(F.col("PersonID").alias("SalespersonPersonID"), F.col("LogonName"))
     pickers = people.select(F.col("PersonID").alias("PickedByPersonID"), F.col("LogonName").alias("PickingStaffName"))
     cust = src.customers.select("CustomerID", "CustomerName", "DeliveryCityID")

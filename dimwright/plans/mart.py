@@ -18,6 +18,7 @@ from dimwright.functions.dates import calendar_columns, date_key
 from dimwright.functions.measures import total_after_tax, total_before_tax
 from dimwright.operators import scd
 from dimwright.operators.joins import asof_lookup, bounded_broadcast, key_lookup
+from dimwright.operators.keys import materialize
 from dimwright.operators.load import Mart, write_guarded
 from dimwright.plans import extract as ex
 from dimwright.sources.oltp import Oltp
@@ -108,7 +109,13 @@ def scd2_branches(spec: DimSpec, stage: DataFrame, dim: DataFrame, start, end) -
 # -- calendar -----------------------------------------------------------------
 def first_order_date(src: Oltp) -> dt.date:
     """The earliest order date (a single scalar)."""
-    return src.orders().agg(F.min("OrderDate").alias("d")).first()["d"]
+    return order_date_bounds(src)[0]
+
+
+def order_date_bounds(src: Oltp) -> tuple[dt.date, dt.date]:
+    """(first, last) order date from one aggregate over the date column."""
+    row = src.orders().agg(F.min("OrderDate").alias("lo"), F.max("OrderDate").alias("hi")).first()
+    return row["lo"], row["hi"]
 
 
 def dim_date_between(spark: SparkSession, start, end) -> DataFrame:
@@ -217,11 +224,13 @@ def fact_orders(stage: DataFrame, dims: dict[str, DataFrame], strict: bool = Fal
     ).select(*FACT_COLUMNS)
 
 
-def build_dimensions(src: Oltp, start: dt.date, current: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+def build_dimensions(src: Oltp, start: dt.date, current: dict[str, DataFrame] | None = None,
+                     materialized: bool = True) -> dict[str, DataFrame]:
     """Next version of all five dimensions from fresh extracts.
 
     ``current`` holds the previous versions (empty on the first load); type-2
-    changes open on ``start`` and close the day before.
+    changes open on ``start`` and close the day before.  With
+    ``materialized=False`` the versions stay lazy (the caller writes them).
     """
     spark = src.spark
     cur = current or {}
@@ -231,13 +240,17 @@ def build_dimensions(src: Oltp, start: dt.date, current: dict[str, DataFrame] |
         return cur.get(spec.name, spec.empty(spark))
 
     customers_stage = ex.extract_customers(src)
-    return {
+    built = {
         "cities": apply_scd1(CITIES, customers_stage, prev(CITIES)),
         "salespeople": apply_scd1(SALESPEOPLE, ex.extract_salespeople(src), prev(SALESPEOPLE)),
         "customers": apply_scd2(CUSTOMERS, customers_stage, prev(CUSTOMERS), start, end),
         "products": apply_scd2(PRODUCTS, ex.extract_products(src), prev(PRODUCTS), start, end),
         "picking_staff": apply_scd2(PICKING_STAFF, ex.extract_picking_staff(src), prev(PICKING_STAFF), start, end),
     }
+    # Each version is read by the fact lookups (and its size check): write it
+    # once instead of recomputing extract + SCD joins per consumer.
+    shaped = {k: v.select(*SPEC_BY_DIM[k].columns) for k, v in built.items()}
+    return {k: materialize(v) for k, v in shaped.items()} if materialized else shaped
 
 
 SPEC_BY_DIM = {"cities": CITIES, "salespeople": SALESPEOPLE, "customers": CUSTOMERS,
@@ -262,7 +275,7 @@ def run_dates(src: Oltp, mart: Mart, start: dt.date, end: dt.date) -> DataFrame:
     spark = src.spark
     mart.upsert("dim_date", dim_date_between(spark, start, end), "DateKey")
     current = {k: mart.read(spec.name) for k, spec in SPEC_BY_DIM.items() if mart.has(spec.name)}
-    preloads = build_dimensions(src, start, current)
+    preloads = build_dimensions(src, start, current, materialized=False)
     dims = {}
     for k, spec in SPEC_BY_DIM.items():
         # Each preload is the complete next version: publish it whole.
@@ -279,8 +292,7 @@ def daily_run(src: Oltp, mart: Mart | None = None) -> DataFrame:
     """First load on the first order date, then one incremental run over every
     later date; returns the whole fact table from the mart."""
     mart = mart or Mart(src.spark)
-    d0 = first_order_date(src)
-    last = src.orders().agg(F.max("OrderDate").alias("d")).first()["d"]
+    d0, last = order_date_bounds(src)
     run_dates(src, mart, d0, d0)
     if last > d0:
         run_dates(src, mart, d0 + dt.timedelta(days=1), last)

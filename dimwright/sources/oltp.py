@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimwright.functions.semantics import half_up_quotient
+from dimwright.operators.joins import bounded_broadcast
 from dimwright.sources.tables import read_table
 
 
@@ -37,6 +38,14 @@ class Oltp:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._lookups: dict[str, DataFrame] = {}
+
+    def lookup(self, name: str, build=None) -> DataFrame:
+        """A small view, broadcast after a size check; the check runs once per source."""
+        if name not in self._lookups:
+            df = build(self) if build is not None else getattr(self, name)
+            self._lookups[name] = bounded_broadcast(df)
+        return self._lookups[name]
 
     def _t(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
