@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 # Lookups and dimensions up to this many rows are broadcast; larger ones fall
 # back to the planner (sort-merge / shuffled hash join, AQE skew handling).
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# Callers broadcast narrow projections (business key, validity, surrogate key:
+# ~100 bytes a row), so the bound keeps a broadcast near 100 MB.
+DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

@@ -31,12 +31,11 @@ def orphan_keys(fact: DataFrame, references: dict[str, tuple[DataFrame, str]]) -
     parts = []
     for fk, (dim, dim_key) in references.items():
         keys = dim.select(F.col(dim_key).alias(fk)).distinct()
-        missing = (
-            fact.select(fk)
-            .join(keys, fk, "left_anti")
-            .groupBy(fk)
-            .agg(F.count(F.lit(1)).alias("N"))
-        )
+        # Count per key first (map-side partial aggregation): only one row per
+        # key value and task is shuffled, so a hot key - such as the unknown
+        # member -1 - cannot pile its raw rows into one task of the anti join.
+        per_key = fact.groupBy(fk).agg(F.count(F.lit(1)).alias("N"))
+        missing = per_key.join(keys, fk, "left_anti")
         parts.append(
             missing.select(
                 F.lit(fk).alias("KEY_NAME"), F.col(fk).cast("long").alias("KEY_VALUE"), F.col("N")

@@ -83,7 +83,13 @@ def extract_picking_staff(src: Oltp, keep_id: bool = False) -> DataFrame:
 
     A semi join keeps each person once however many orders they picked.
     """
-    pickers = src.orders().select(F.col("PickedByPersonID").alias("PersonID")).filter(F.col("PersonID").isNotNull())
+    # Distinct first: partial aggregation runs map-side, so a picker holding a
+    # large share of all orders never lands as raw rows in one task.
+    pickers = (
+        src.orders().select(F.col("PickedByPersonID").alias("PersonID"))
+        .filter(F.col("PersonID").isNotNull())
+        .distinct()
+    )
     return (
         src.people.join(pickers, "PersonID", "left_semi")
         .filter(F.col("LogonName").isNotNull())

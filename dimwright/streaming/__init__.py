@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+The reference has no streaming work (no watermarks, stream windows or stateful
+operators).  Its nearest relative, the per-date incremental load, is a batch
+job: ``dimwright.plans.mart.run_dates`` / ``daily_run``.
+"""

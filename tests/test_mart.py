@@ -121,3 +121,11 @@ def test_quality_checks(spark):
         [("CustomerKey", 9, 1)]
     got = {r.COLUMN_NAME: r.NULL_COUNT for r in quality.null_counts(fact).collect()}
     assert got == {"CustomerKey": 0, "Other": 1}
+
+
+def test_s04_empty_and_refill(spark):
+    """A stage write replaces the previous contents (TRUNCATE + INSERT)."""
+    path = work_path(spark, "stage")
+    write_guarded(spark.createDataFrame([(1,), (2,)], "k long"), path, "stage")
+    write_guarded(spark.createDataFrame([(3,)], "k long"), path, "stage")
+    assert [r.k for r in spark.read.parquet(path).collect()] == [3]
