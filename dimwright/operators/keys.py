@@ -28,7 +28,7 @@ def with_dense_keys(
     key_col: str,
     base: int | DataFrame = 0,
     num_partitions: int | None = None,
-    key_type: str = "int",
+    key_type: str = "long",
 ) -> DataFrame:
     """Add ``key_col`` = base + 1, base + 2, ... in ``order_by`` order.
 

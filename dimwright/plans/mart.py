@@ -18,7 +18,7 @@ from dimwright.functions.dates import calendar_columns, date_key
 from dimwright.functions.measures import total_after_tax, total_before_tax
 from dimwright.operators import scd
 from dimwright.operators.joins import asof_lookup, bounded_broadcast, key_lookup
-from dimwright.operators.keys import materialize
+from dimwright.operators.keys import materialize, with_dense_keys
 from dimwright.operators.load import Mart, write_guarded
 from dimwright.plans import extract as ex
 from dimwright.sources.oltp import Oltp
@@ -224,8 +224,19 @@ def fact_orders(stage: DataFrame, dims: dict[str, DataFrame], strict: bool = Fal
     ).select(*FACT_COLUMNS)
 
 
+def extract_stages(src: Oltp) -> dict[str, DataFrame]:
+    """The four dimension extracts (lazy)."""
+    return {
+        "customers": ex.extract_customers(src),
+        "products": ex.extract_products(src),
+        "salespeople": ex.extract_salespeople(src),
+        "picking_staff": ex.extract_picking_staff(src),
+    }
+
+
 def build_dimensions(src: Oltp, start: dt.date, current: dict[str, DataFrame] | None = None,
-                     materialized: bool = True) -> dict[str, DataFrame]:
+                     materialized: bool = True, stages: dict[str, DataFrame] | None = None
+                     ) -> dict[str, DataFrame]:
     """Next version of all five dimensions from fresh extracts.
 
     ``current`` holds the previous versions (empty on the first load); type-2
@@ -235,17 +246,23 @@ def build_dimensions(src: Oltp, start: dt.date, current: dict[str, DataFrame] |
     spark = src.spark
     cur = current or {}
     end = start - dt.timedelta(days=1)
+    st = stages or extract_stages(src)
+
+    if not cur:
+        # First load: every business key is new.  De-duplicate and number;
+        # the numbering already reads from its own materialised copy, so the
+        # result needs no second write.
+        return {k: first_load(SPEC_BY_DIM[k], st[STAGE_OF[k]], start) for k in SPEC_BY_DIM}
 
     def prev(spec: DimSpec) -> DataFrame:
         return cur.get(spec.name, spec.empty(spark))
 
-    customers_stage = ex.extract_customers(src)
     built = {
-        "cities": apply_scd1(CITIES, customers_stage, prev(CITIES)),
-        "salespeople": apply_scd1(SALESPEOPLE, ex.extract_salespeople(src), prev(SALESPEOPLE)),
-        "customers": apply_scd2(CUSTOMERS, customers_stage, prev(CUSTOMERS), start, end),
-        "products": apply_scd2(PRODUCTS, ex.extract_products(src), prev(PRODUCTS), start, end),
-        "picking_staff": apply_scd2(PICKING_STAFF, ex.extract_picking_staff(src), prev(PICKING_STAFF), start, end),
+        "cities": apply_scd1(CITIES, st["customers"], prev(CITIES)),
+        "salespeople": apply_scd1(SALESPEOPLE, st["salespeople"], prev(SALESPEOPLE)),
+        "customers": apply_scd2(CUSTOMERS, st["customers"], prev(CUSTOMERS), start, end),
+        "products": apply_scd2(PRODUCTS, st["products"], prev(PRODUCTS), start, end),
+        "picking_staff": apply_scd2(PICKING_STAFF, st["picking_staff"], prev(PICKING_STAFF), start, end),
     }
     # Each version is read by the fact lookups (and its size check): write it
     # once instead of recomputing extract + SCD joins per consumer.
@@ -255,6 +272,18 @@ def build_dimensions(src: Oltp, start: dt.date, current: dict[str, DataFrame] |
 
 SPEC_BY_DIM = {"cities": CITIES, "salespeople": SALESPEOPLE, "customers": CUSTOMERS,
                "products": PRODUCTS, "picking_staff": PICKING_STAFF}
+STAGE_OF = {"cities": "customers", "salespeople": "salespeople", "customers": "customers",
+            "products": "products", "picking_staff": "picking_staff"}
+
+
+def first_load(spec: DimSpec, stage: DataFrame, start) -> DataFrame:
+    """Version 1 of a dimension: one row per business key, keys 1..n in key order."""
+    staged = scd.dedupe_by_key(_stage_for(spec, stage), list(spec.business_key), list(spec.attrs))
+    numbered = with_dense_keys(staged, list(spec.business_key), spec.key_col, key_type="long")
+    if spec.type2:
+        numbered = numbered.withColumn("StartDate", F.lit(str(start)).cast("date")).withColumn(
+            "EndDate", F.lit(None).cast("date"))
+    return numbered.select(*spec.columns)
 
 
 def initial_fact(src: Oltp, strict: bool = False) -> DataFrame:
@@ -275,7 +304,13 @@ def run_dates(src: Oltp, mart: Mart, start: dt.date, end: dt.date) -> DataFrame:
     spark = src.spark
     mart.upsert("dim_date", dim_date_between(spark, start, end), "DateKey")
     current = {k: mart.read(spec.name) for k, spec in SPEC_BY_DIM.items() if mart.has(spec.name)}
-    preloads = build_dimensions(src, start, current, materialized=False)
+    # Stage tables: emptied and refilled per run, each guarded against an empty extract.
+    stages = {}
+    for name, df in extract_stages(src).items():
+        path = f"{mart.root}/_stage/{name}"
+        write_guarded(df, path, name=name)
+        stages[name] = spark.read.parquet(path)
+    preloads = build_dimensions(src, start, current, materialized=False, stages=stages)
     dims = {}
     for k, spec in SPEC_BY_DIM.items():
         # Each preload is the complete next version: publish it whole.
