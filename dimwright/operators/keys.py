@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimwright.session import default_partitions, ensure_checkpoint_dir, work_path
+from dimwright.session import ensure_checkpoint_dir, work_path
 
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | position
 
@@ -37,9 +37,11 @@ def with_dense_keys(
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or default_partitions(spark)
+    # Without an explicit count AQE may coalesce adjacent ranges; partition ids
+    # after coalescing are still in key order, which is all the numbering needs.
+    ranged_df = df.repartitionByRange(num_partitions, *order_by) if num_partitions else df.repartitionByRange(*order_by)
     ranged = materialize(
-        df.repartitionByRange(n, *order_by)
+        ranged_df
         .sortWithinPartitions(*order_by)
         .withColumn("_mid", F.monotonically_increasing_id())
     )

@@ -87,13 +87,19 @@ class Mart:
 
     def publish(self, table: str, df: DataFrame) -> DataFrame:
         """Write the complete next version of ``table``, then make it current."""
-        v = self._versions.get(table, 0) + 1
-        df.write.mode("overwrite").parquet(f"{self.root}/{table}/v={v}")
-        self.spark.createDataFrame([(table, v)], "table string, version int").write.mode(
+        return self.publish_many({table: df})[table]
+
+    def publish_many(self, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Write the next version of several tables, then make them current
+        together with one manifest append (nothing is current until all are written)."""
+        versions = {t: self._versions.get(t, 0) + 1 for t in tables}
+        for t, df in tables.items():
+            df.write.mode("overwrite").parquet(f"{self.root}/{t}/v={versions[t]}")
+        self.spark.createDataFrame(list(versions.items()), "table string, version int").write.mode(
             "append"
         ).parquet(f"{self.root}/_manifest")
-        self._versions[table] = v
-        return self.read(table)
+        self._versions.update(versions)
+        return {t: self.read(t) for t in tables}
 
     def upsert(self, table: str, preload: DataFrame, key_col: str) -> DataFrame:
         if not self.has(table):
@@ -109,10 +115,10 @@ class Mart:
         """Replace the ``DateKey`` partitions present in ``fact`` (idempotent per date)."""
         # Range-partition on (date, customer, product): each task holds few
         # dates (few files), and one very large date is spread over several
-        # tasks instead of landing in one.
-        n = int(self.spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        # tasks instead of landing in one.  No fixed count: AQE coalesces
+        # adjacent ranges to its advisory partition size.
         (
-            fact.repartitionByRange(n, "DateKey", "CustomerKey", "ProductKey")
+            fact.repartitionByRange("DateKey", "CustomerKey", "ProductKey")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("DateKey")

@@ -311,10 +311,9 @@ def run_dates(src: Oltp, mart: Mart, start: dt.date, end: dt.date) -> DataFrame:
         write_guarded(df, path, name=name)
         stages[name] = spark.read.parquet(path)
     preloads = build_dimensions(src, start, current, materialized=False, stages=stages)
-    dims = {}
-    for k, spec in SPEC_BY_DIM.items():
-        # Each preload is the complete next version: publish it whole.
-        dims[k] = mart.publish(spec.name, preloads[k].select(*spec.columns))
+    # Each preload is the complete next version: publish them whole, together.
+    published = mart.publish_many({spec.name: preloads[k].select(*spec.columns) for k, spec in SPEC_BY_DIM.items()})
+    dims = {k: published[spec.name] for k, spec in SPEC_BY_DIM.items()}
     stage_path = f"{mart.root}/_stage/orders/{start:%Y%m%d}-{end:%Y%m%d}"
     write_guarded(ex.extract_orders(src, start, end), stage_path, name="orders")
     stage = spark.read.parquet(stage_path)
