@@ -142,11 +142,12 @@ class Oltp:
         as a pushed filter (row-group pruning) instead of a post-scan cast.
         """
         raw = self._t("orders")
+        # String literals cast to timestamp_ntz: no session or process time zone is involved.
         if start is not None:
-            raw = raw.filter(F.col("o_orderdate") >= F.lit(dt.datetime.combine(start, dt.time())).cast("timestamp_ntz"))
+            raw = raw.filter(F.col("o_orderdate") >= F.lit(f"{start} 00:00:00").cast("timestamp_ntz"))
         if end is not None:
-            nxt = dt.datetime.combine(end + dt.timedelta(days=1), dt.time())
-            raw = raw.filter(F.col("o_orderdate") < F.lit(nxt).cast("timestamp_ntz"))
+            nxt = end + dt.timedelta(days=1)
+            raw = raw.filter(F.col("o_orderdate") < F.lit(f"{nxt} 00:00:00").cast("timestamp_ntz"))
         # One-row aggregate: exactly one row, so broadcasting it is bounded.
         n_sup = self._t("supplier").agg(F.count(F.lit(1)).alias("_n_sup"))
         n = F.col("_n_sup")

@@ -129,3 +129,26 @@ def test_s04_empty_and_refill(spark):
     write_guarded(spark.createDataFrame([(1,), (2,)], "k long"), path, "stage")
     write_guarded(spark.createDataFrame([(3,)], "k long"), path, "stage")
     assert [r.k for r in spark.read.parquet(path).collect()] == [3]
+
+
+def test_d1_conform_selects_by_name(spark):
+    from dimwright.plans.schemas import FACT_ORDERS, conform
+
+    shuffled = spark.createDataFrame(
+        [(7, 20130101, 5, 1, 2, 3, 4, D("1.00"), D("0.000"), D("7.00"), D("7.00"), "extra")],
+        "Quantity int, DateKey int, PickingStaffKey long, CustomerKey long, CityKey long, ProductKey long, "
+        "SalespersonKey long, UnitPrice decimal(18,2), TaxRate decimal(18,3), TotalBeforeTax decimal(18,2), "
+        "TotalAfterTax decimal(18,2), Junk string")
+    out = conform(shuffled, FACT_ORDERS)
+    assert out.columns == [f.name for f in FACT_ORDERS.fields]
+    r = out.first()
+    assert (r.CustomerKey, r.DateKey, r.PickingStaffKey, r.Quantity) == (1, 20130101, 5, 7)
+
+
+def test_d4_picking_staff_distinct_and_no_null_logons(spark):
+    from dimwright.plans import extract as ex
+    from dimwright.sources.oltp import Oltp
+
+    staff = ex.extract_picking_staff(Oltp(spark, "/root/testdata/sf0.001"), keep_id=True).collect()
+    ids = [r.PersonID for r in staff]
+    assert len(ids) == len(set(ids)) and all(r.LogonName for r in staff)

@@ -97,3 +97,17 @@ def test_surrogate_keys_never_single_partition_over_rows(spark):
     plan = _plan(with_dense_keys(df, ["v"], "k"))
     # the only unpartitioned window runs over one row per partition (the offsets)
     assert "RowNumber" not in plan
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    from __spark_entry__ import queries
+
+    keys = ("extract_date_slice", "fn_date_parts", "dim_date")
+    base = {k: sorted(map(tuple, queries()[k](spark, SF).collect())) for k in keys}
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Pacific/Kiritimati")
+        for k in keys:
+            assert sorted(map(tuple, queries()[k](spark, SF).collect())) == base[k], k
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
