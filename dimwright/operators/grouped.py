@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimwright.functions.semantics import percentage
+from dimwright.operators.joins import single_row_broadcast
 
 
 def group_count(df: DataFrame, keys: list[str], counted: str | Column, alias: str) -> DataFrame:
@@ -30,7 +31,7 @@ def running_total(
 
 def _extreme_groups(counts: DataFrame, value: str, fn) -> DataFrame:
     best = counts.agg(fn(value).alias("_best"))
-    return counts.join(F.broadcast(best), F.col(value) == F.col("_best")).drop("_best")
+    return counts.join(single_row_broadcast(best), F.col(value) == F.col("_best")).drop("_best")
 
 
 def argmax_groups(counts: DataFrame, value: str) -> DataFrame:
@@ -51,7 +52,7 @@ def share_of_total(df: DataFrame, group: str, counted: Column, count_alias: str,
     """
     per = df.groupBy(group).agg(F.count(counted).alias(count_alias)).filter(F.col(group).isNotNull())
     total = df.agg(F.count(counted).alias("_total"))
-    return per.crossJoin(F.broadcast(total)).select(
+    return per.crossJoin(single_row_broadcast(total)).select(
         group, count_alias, percentage(F.col(count_alias), F.col("_total")).alias(pct_alias)
     )
 

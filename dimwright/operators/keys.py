@@ -56,7 +56,7 @@ def with_dense_keys(
             F.lit(0),
         ).alias("_off"),
     )
-    keyed = ranged.withColumn("_pid", pid).withColumn("_pos", pos).join(F.broadcast(offsets), "_pid")
+    keyed = ranged.withColumn("_pid", pid).withColumn("_pos", pos).join(F.broadcast(offsets), "_pid")  # one row per partition
     if isinstance(base, DataFrame):
         b = base.select(F.coalesce(F.col(base.columns[0]).cast("long"), F.lit(0)).alias("_base"))
         keyed = keyed.crossJoin(F.broadcast(b))  # one-row aggregate

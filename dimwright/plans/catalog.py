@@ -20,7 +20,7 @@ from dimwright.functions.semantics import (
     eq_ci, int_avg, is_null_or_blank, like_ci, percentage, to_whole_decimal, avg_rounded,
 )
 from dimwright.operators import grouped, profile, quality
-from dimwright.operators.joins import bounded_broadcast, lateral_split
+from dimwright.operators.joins import bounded_broadcast, lateral_split, single_row_broadcast
 from dimwright.operators.keys import with_dense_keys
 from dimwright.operators.load import Mart, replaced_rows, upsert_by_key, write_guarded
 from dimwright.plans import extract as ex
@@ -109,7 +109,7 @@ def upsert_by_key_q(spark, d):
 def view_total_count(spark, d):
     lst = clean(spark, d)
     total = lst.agg(F.count(to_whole_decimal("RestaurantID")).alias("TOTAL_REST"))
-    lst.select("COUNTRY_NAME").distinct().crossJoin(F.broadcast(total)).createOrReplaceTempView("TOTAL_COUNT")
+    lst.select("COUNTRY_NAME").distinct().crossJoin(single_row_broadcast(total)).createOrReplaceTempView("TOTAL_COUNT")
     return spark.table("TOTAL_COUNT")
 
 
@@ -391,7 +391,7 @@ def running_count_desc(spark, d):
 def grand_total_window(spark, d):
     lst = clean(spark, d)
     total = lst.agg(F.count(to_whole_decimal("RestaurantID")).alias("TOTAL_REST"))
-    return lst.select("COUNTRY_NAME").distinct().crossJoin(F.broadcast(total))
+    return lst.select("COUNTRY_NAME").distinct().crossJoin(single_row_broadcast(total))
 
 
 @query("sort_desc")

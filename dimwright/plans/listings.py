@@ -194,11 +194,13 @@ def winner_rows(listing: DataFrame, country: str = HOME_COUNTRY) -> DataFrame:
     """Listing rows of the busiest locality (or localities, on a tie).
 
     Joined on (country, city, locality), so a homonymous locality elsewhere
-    does not leak in.  The winners are a handful of rows, broadcast.
+    does not leak in.  The winners are usually a handful of rows, but ties are
+    data-dependent (uniform counts make every group a winner), so the
+    broadcast goes through the size check.
     """
     keys = ["COUNTRY_NAME", "City", "Locality"]
     winners = grouped.argmax_groups(locality_counts(listing, country), "REST_COUNT").select(*keys)
-    return listing.join(F.broadcast(winners), keys, "left_semi")
+    return listing.join(bounded_broadcast(winners), keys, "left_semi")
 
 
 def busiest_locality_menus(listing: DataFrame, country: str = HOME_COUNTRY) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from dimwright.functions.dates import calendar_columns, date_key
 from dimwright.functions.measures import total_after_tax, total_before_tax
 from dimwright.operators import scd
-from dimwright.operators.joins import asof_lookup, bounded_broadcast, key_lookup
+from dimwright.operators.joins import asof_lookup, bounded_broadcast, key_lookup, single_row_broadcast
 from dimwright.operators.keys import materialize, with_dense_keys
 from dimwright.operators.load import Mart, write_guarded
 from dimwright.plans import extract as ex
@@ -150,7 +150,7 @@ def scd2_fixture(stage_with_id: DataFrame, id_col: str, spec: DimSpec, d0: dt.da
     m = F.col("_id") % 10
     day = lambda n: F.lit(str(d0 + dt.timedelta(days=n))).cast("date")
     max_id = staged.agg(F.max("_id").alias("_max_id"))
-    base = staged.filter(m != 9).crossJoin(F.broadcast(max_id))
+    base = staged.filter(m != 9).crossJoin(single_row_broadcast(max_id))
     current = base.filter(m != 5).select(
         (F.col("_id") + 1).cast("long").alias(spec.key_col),
         F.col(bk),

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimwright.functions.semantics import half_up_quotient
-from dimwright.operators.joins import bounded_broadcast
+from dimwright.operators.joins import bounded_broadcast, single_row_broadcast
 from dimwright.sources.tables import read_table
 
 
@@ -151,7 +151,7 @@ class Oltp:
         # One-row aggregate: exactly one row, so broadcasting it is bounded.
         n_sup = self._t("supplier").agg(F.count(F.lit(1)).alias("_n_sup"))
         n = F.col("_n_sup")
-        return raw.crossJoin(F.broadcast(n_sup)).select(
+        return raw.crossJoin(single_row_broadcast(n_sup)).select(
             F.col("o_orderkey").alias("OrderID"),
             F.col("o_orderdate").cast("date").alias("OrderDate"),
             F.col("o_custkey").alias("CustomerID"),
