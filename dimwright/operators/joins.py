@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,15 +14,42 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """True when ``df`` holds at most ``max_rows`` rows.
+
+    Reads at most ``max_rows + 1`` rows (the limit is pushed into the plan), so
+    the check stays cheap even when the side turns out to be large.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows.
+    """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows;
+    beyond the bound it is returned unchanged and Spark shuffles both sides."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+
+
+def _lookup_join(facts: DataFrame, d: DataFrame, fact_keys: list[str], cond: list[Column], how: str,
+                 broadcast_rows: int | None) -> DataFrame:
+    """Join ``facts`` to the prepared lookup ``d``.
 
-    The check reads at most ``max_rows + 1`` rows (a limit pushed into the scan),
-    so it stays cheap even when the side turns out to be large; beyond the bound
-    the side is returned unchanged and Spark shuffles both sides instead.
+    Broadcast when ``d`` is within the bound.  Otherwise the join shuffles, and
+    rows whose business key is null - which can never match, and could be a
+    large share of the facts (e.g. unpicked orders) - would all hash into one
+    task; they are split off and passed through unmatched instead.  Hot
+    non-null keys are left to AQE's skew-join splitting of the fact side.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    bound = DEFAULT_BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
+    if fits_broadcast(d, bound):
+        return facts.join(F.broadcast(d), cond, how)
+    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in fact_keys])
+    joined = facts.filter(has_key).join(d, cond, how)
+    if how != "left":
+        return joined
+    unmatched = facts.filter(~has_key)
+    for f in d.schema.fields:
+        unmatched = unmatched.withColumn(f.name, F.lit(None).cast(f.dataType))
+    return joined.unionByName(unmatched)
 
 
 def single_row_broadcast(one_row: DataFrame) -> DataFrame:
@@ -41,7 +70,7 @@ def asof_lookup(
     date_col: str,
     take: dict[str, str],
     how: str = "left",
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Attach dimension columns valid on ``facts[date_col]``.
 
@@ -55,10 +84,9 @@ def asof_lookup(
         F.col("EndDate").alias("_de"),
         *[F.col(c).alias(o) for c, o in take.items()],
     )
-    d = bounded_broadcast(d, broadcast_rows)
-    cond = [facts[f] == d[f"_dk{i}"] for i, f in enumerate(fact_keys)]
-    cond.append(valid_on(d["_ds"], d["_de"], facts[date_col]))
-    out = facts.join(d, cond, how)
+    cond = [F.col(f) == d[f"_dk{i}"] for i, f in enumerate(fact_keys)]
+    cond.append(valid_on(d["_ds"], d["_de"], F.col(date_col)))
+    out = _lookup_join(facts, d, fact_keys, cond, how, broadcast_rows)
     return out.drop(*[f"_dk{i}" for i in range(len(dim_keys))], "_ds", "_de")
 
 
@@ -69,16 +97,16 @@ def key_lookup(
     dim_keys: list[str],
     take: dict[str, str],
     how: str = "left",
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Attach columns of a dimension with one row per business key (type 1)."""
     d = dim.select(
         *[F.col(k).alias(f"_dk{i}") for i, k in enumerate(dim_keys)],
         *[F.col(c).alias(o) for c, o in take.items()],
     )
-    d = bounded_broadcast(d, broadcast_rows)
-    cond = [facts[f] == d[f"_dk{i}"] for i, f in enumerate(fact_keys)]
-    return facts.join(d, cond, how).drop(*[f"_dk{i}" for i in range(len(dim_keys))])
+    cond = [F.col(f) == d[f"_dk{i}"] for i, f in enumerate(fact_keys)]
+    out = _lookup_join(facts, d, fact_keys, cond, how, broadcast_rows)
+    return out.drop(*[f"_dk{i}" for i in range(len(dim_keys))])
 
 
 def lateral_split(df: DataFrame, column: str, sep: str, out: str | None = None) -> DataFrame:

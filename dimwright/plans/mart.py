@@ -193,7 +193,8 @@ def scd2_run(src: Oltp, which: str, null_safe: bool = True) -> DataFrame:
 
 
 # -- fact ------------------------------------------------------------------------
-def fact_orders(stage: DataFrame, dims: dict[str, DataFrame], strict: bool = False) -> DataFrame:
+def fact_orders(stage: DataFrame, dims: dict[str, DataFrame], strict: bool = False,
+                broadcast_rows: int | None = None) -> DataFrame:
     """Key lookups and measures for staged order lines.
 
     Type-2 dimensions are joined as of the order date (the version valid on
@@ -204,14 +205,14 @@ def fact_orders(stage: DataFrame, dims: dict[str, DataFrame], strict: bool = Fal
     how = "inner" if strict else "left"
     f = stage.filter(F.col("Quantity").isNotNull())
     f = asof_lookup(f, dims["customers"], ["CustomerName"], ["CustomerName"], "OrderDate",
-                    {"CustomerKey": "CustomerKey"}, how)
+                    {"CustomerKey": "CustomerKey"}, how, broadcast_rows)
     f = key_lookup(f, dims["cities"], ["CityName", "StateProvinceName", "CountryName"],
-                   ["CityName", "StateProvName", "CountryName"], {"CityKey": "CityKey"}, how)
+                   ["CityName", "StateProvName", "CountryName"], {"CityKey": "CityKey"}, how, broadcast_rows)
     f = asof_lookup(f, dims["products"], ["StockItemName"], ["ProductName"], "OrderDate",
-                    {"ProductKey": "ProductKey"}, how)
-    f = key_lookup(f, dims["salespeople"], ["LogonName"], ["LogonName"], {"SalespersonKey": "SalespersonKey"}, how)
+                    {"ProductKey": "ProductKey"}, how, broadcast_rows)
+    f = key_lookup(f, dims["salespeople"], ["LogonName"], ["LogonName"], {"SalespersonKey": "SalespersonKey"}, how, broadcast_rows)
     f = asof_lookup(f, dims["picking_staff"], ["PickingStaffName"], ["LogonName"], "OrderDate",
-                    {"PickingStaffKey": "PickingStaffKey"}, how)
+                    {"PickingStaffKey": "PickingStaffKey"}, how, broadcast_rows)
     keys = ["CustomerKey", "CityKey", "ProductKey", "SalespersonKey", "PickingStaffKey"]
     return f.select(
         *[F.coalesce(F.col(k), F.lit(UNKNOWN_KEY)).cast("long").alias(k) for k in keys],

@@ -152,3 +152,13 @@ def test_d4_picking_staff_distinct_and_no_null_logons(spark):
     staff = ex.extract_picking_staff(Oltp(spark, "/root/testdata/sf0.001"), keep_id=True).collect()
     ids = [r.PersonID for r in staff]
     assert len(ids) == len(set(ids)) and all(r.LogonName for r in staff)
+
+
+def test_fact_lookups_without_broadcast_match(stage, dims):
+    """The shuffled path (dimension over the broadcast bound) gives the same
+    rows, with null business keys split off instead of shuffled to one task."""
+    expected = sorted(tuple(r) for r in M.fact_orders(stage, dims).collect())
+    shuffled = M.fact_orders(stage, dims, broadcast_rows=0)
+    plan = shuffled._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan
+    assert sorted(tuple(r) for r in shuffled.collect()) == expected
