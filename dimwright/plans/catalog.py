@@ -464,7 +464,7 @@ def fn_percentage(spark, d):
 
 
 # =====================================================================
-# Listing pipeline and questions
+# Listing cleaning and questions
 # =====================================================================
 @query("clean_listings")
 def clean_listings(spark, d):
