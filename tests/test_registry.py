@@ -111,3 +111,30 @@ def test_results_do_not_depend_on_session_time_zone(spark):
             assert sorted(map(tuple, queries()[k](spark, SF).collect())) == base[k], k
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+@pytest.mark.parametrize("key", ["running_listings", "country_share", "busiest_locality_cuisines",
+                                 "quietest_localities", "scd2_customers", "fact_orders", "dq_orphan_keys",
+                                 "grand_total_window", "surrogate_keys"])
+def test_single_partition_exchanges_only_over_aggregates(spark, key):
+    """No plan moves unaggregated rows into one task: the child of every
+    SinglePartition exchange is a (partial) aggregate."""
+    from __spark_entry__ import queries
+
+    df = queries()[key](spark, SF)
+    df.write.format("noop").mode("overwrite").save()
+    lines = _plan(df).splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            child = lines[i + 1]
+            assert "HashAggregate" in child, f"{key}: {line.strip()} over {child.strip()}"
+
+
+def test_country_shares_sum_to_100(spark):
+    from decimal import Decimal
+
+    from __spark_entry__ import queries
+
+    rows = queries()["country_share"](spark, "/root/testdata/sf0.01").collect()
+    total = sum(r.PCT for r in rows)
+    assert abs(total - Decimal(100)) <= Decimal("0.01") * len(rows)
