@@ -52,6 +52,24 @@ def _lookup_join(facts: DataFrame, d: DataFrame, fact_keys: list[str], cond: lis
     return joined.unionByName(unmatched)
 
 
+def left_join_small_preserved(small: DataFrame, big: DataFrame, on: str | list[str],
+                              max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``small LEFT JOIN big`` where the preserved side is the small one
+    (e.g. one day of orders against all order lines).
+
+    An outer hash join can only build its non-preserved side, so broadcasting
+    ``small`` directly is not possible.  Instead the distinct join keys of
+    ``small`` are broadcast (after the size check) and ``big`` is semi-joined
+    against them: it streams through a broadcast hash join and is never
+    shuffled, and only its matching rows reach the final left join.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    wanted = small.select(*keys).distinct()
+    if fits_broadcast(wanted, max_rows):
+        big = big.join(F.broadcast(wanted), keys, "left_semi")
+    return small.join(big, keys, "left")
+
+
 def single_row_broadcast(one_row: DataFrame) -> DataFrame:
     """Broadcast an ungrouped aggregate: it has exactly one row by construction."""
     return F.broadcast(one_row)

@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimwright.operators.joins import bounded_broadcast
+from dimwright.operators.joins import bounded_broadcast, left_join_small_preserved
 from dimwright.sources.oltp import Oltp
 
 CITY_DETAIL_COLUMNS = ("CityName", "StateProvinceCode", "StateProvinceName", "CountryName", "FormalName")
@@ -97,6 +97,10 @@ def extract_picking_staff(src: Oltp, keep_id: bool = False) -> DataFrame:
     )
 
 
+def cust_cols(src: Oltp) -> DataFrame:
+    return src.customers.select("CustomerID", "CustomerName", "DeliveryCityID")
+
+
 def order_lines_wide(src: Oltp, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
     """Orders left-joined to customer, lines, salesperson, city, province,
     country, stock item and picker (nine inputs), optionally one date range.
@@ -104,15 +108,23 @@ def order_lines_wide(src: Oltp, start: dt.date | None = None, end: dt.date | Non
     Orders without lines are kept with null line columns.
     """
     orders = src.orders(start, end)
+    if start is None and end is None:
+        # Backfill: orders are as large as anything else here; shuffled joins.
+        with_customer = orders.join(cust_cols(src), "CustomerID", "left")
+        with_lines = with_customer.join(src.order_lines, "OrderID", "left")
+    else:
+        # A date range: the day's orders are usually small.  After the size
+        # check they are broadcast and customers / order lines stream past them
+        # without a shuffle (left joins written as right joins).
+        with_customer = left_join_small_preserved(orders, cust_cols(src), "CustomerID")
+        with_lines = left_join_small_preserved(with_customer, src.order_lines, "OrderID")
     details = src.lookup("city_details", city_details)
     people = src.lookup("people_logons", lambda s: s.people.select("PersonID", "LogonName"))
     sales = people.select(F.col("PersonID").alias("SalespersonPersonID"), F.col("LogonName"))
     pickers = people.select(F.col("PersonID").alias("PickedByPersonID"), F.col("LogonName").alias("PickingStaffName"))
-    cust = src.customers.select("CustomerID", "CustomerName", "DeliveryCityID")
     items = src.stock_items.select("StockItemID", "StockItemName")
     return (
-        orders.join(cust, "CustomerID", "left")
-        .join(src.order_lines, "OrderID", "left")
+        with_lines
         .join(sales, "SalespersonPersonID", "left")
         .join(
             details.select(

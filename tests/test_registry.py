@@ -138,3 +138,22 @@ def test_country_shares_sum_to_100(spark):
     rows = queries()["country_share"](spark, "/root/testdata/sf0.01").collect()
     total = sum(r.PCT for r in rows)
     assert abs(total - Decimal(100)) <= Decimal("0.01") * len(rows)
+
+
+def test_one_day_extract_does_not_shuffle_order_lines(spark):
+    from dimwright.plans import extract as ex
+    from dimwright.plans import mart as M
+    from dimwright.sources.oltp import Oltp
+
+    src = Oltp(spark, SF)
+    d0 = M.first_order_date(src)
+    df = ex.extract_orders(src, d0, d0)
+    df.write.format("noop").mode("overwrite").save()
+    plan = _plan(df)
+    lines = plan.splitlines()
+    # lineitem streams through a semi join against the broadcast order keys
+    semi = [i for i, ln in enumerate(lines) if "LeftSemi, BuildRight" in ln]
+    assert semi, plan
+    assert not any("Exchange hashpartitioning" in ln and "l_orderkey" in ln for ln in lines)
+    assert not any("BroadcastExchange" in lines[i] and "l_orderkey" in lines[i + 1]
+                   for i in range(len(lines) - 1))
