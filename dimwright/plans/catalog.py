@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from dimwright.functions import dates as fd
 from dimwright.functions.measures import total_after_tax, total_before_tax
 from dimwright.functions.semantics import (
-    eq_ci, int_avg, is_null_or_blank, like_ci, percentage, to_whole_decimal, avg_rounded,
+    avg_rounded, eq_ci, is_null_or_blank, like_ci, percentage, to_whole_decimal,
 )
 from dimwright.operators import grouped, profile, quality
 from dimwright.operators.joins import bounded_broadcast, lateral_split, single_row_broadcast

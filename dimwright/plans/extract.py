@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimwright.operators.joins import bounded_broadcast, left_join_small_preserved
+from dimwright.operators.joins import left_join_small_preserved
 from dimwright.sources.oltp import Oltp
 
 CITY_DETAIL_COLUMNS = ("CityName", "StateProvinceCode", "StateProvinceName", "CountryName", "FormalName")
