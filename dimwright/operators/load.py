@@ -61,10 +61,12 @@ class Mart:
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
+        """Open the mart at ``root``, or start a new one in a fresh folder."""
         self.spark = spark
         self.root = (root or work_path(spark, "mart")).rstrip("/")
         self._versions: dict[str, int] = {}
-        self._load_manifest()
+        if root is not None:
+            self._load_manifest()
 
     def _load_manifest(self) -> None:
         try:

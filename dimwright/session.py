@@ -14,7 +14,13 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "dimwright") -> SparkSession:
-    """A local session for tests and the bench (UI off, AQE on, UTC)."""
+    """A local session for tests and the bench (UI off, AQE on, UTC).
+
+    Partition discovery of a folder with many partitions (the date-partitioned
+    fact) runs as a listing job with up to 10,000 tasks by default - sized for
+    a large cluster; locally it is capped at twice the core count.
+    """
+    n_cores = os.cpu_count() if cores == "*" else int(cores)
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -27,6 +33,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(2 * (n_cores or 8)))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
