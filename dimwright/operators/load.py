@@ -12,6 +12,7 @@ re-running a date replaces that date's rows instead of appending duplicates.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -95,8 +96,13 @@ class Mart:
         """Write the next version of several tables, then make them current
         together with one manifest append (nothing is current until all are written)."""
         versions = {t: self._versions.get(t, 0) + 1 for t in tables}
-        for t, df in tables.items():
-            df.write.mode("overwrite").parquet(f"{self.root}/{t}/v={versions[t]}")
+
+        def write(t: str) -> None:
+            tables[t].write.mode("overwrite").parquet(f"{self.root}/{t}/v={versions[t]}")
+
+        # Independent writes, submitted from parallel threads.
+        with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
+            list(pool.map(write, tables))
         self.spark.createDataFrame(list(versions.items()), "table string, version int").write.mode(
             "append"
         ).parquet(f"{self.root}/_manifest")

@@ -8,6 +8,8 @@ customer or product count can pass 2^31.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,6 +86,14 @@ FACT_COLUMNS = (
 )
 
 
+def in_parallel(tasks: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Run independent driver-side steps (each submitting its own Spark jobs)
+    from a small thread pool; Spark schedules the concurrent jobs together."""
+    with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:
+        futures = {k: pool.submit(fn) for k, fn in tasks.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
 def _stage_for(spec: DimSpec, stage: DataFrame) -> DataFrame:
     """Rename stage columns to dimension names (no-op if already renamed)."""
     if spec.stage_to_dim and set(spec.stage_to_dim) <= set(stage.columns):
@@ -252,8 +262,10 @@ def build_dimensions(src: Oltp, start: dt.date, current: dict[str, DataFrame] |
     if not cur:
         # First load: every business key is new.  De-duplicate and number;
         # the numbering already reads from its own materialised copy, so the
-        # result needs no second write.
-        return {k: first_load(SPEC_BY_DIM[k], st[STAGE_OF[k]], start) for k in SPEC_BY_DIM}
+        # result needs no second write.  The five are independent: their
+        # (small, many) jobs are submitted from parallel threads.
+        return in_parallel({k: (lambda k=k: first_load(SPEC_BY_DIM[k], st[STAGE_OF[k]], start))
+                            for k in SPEC_BY_DIM})
 
     def prev(spec: DimSpec) -> DataFrame:
         return cur.get(spec.name, spec.empty(spark))
@@ -268,7 +280,9 @@ def build_dimensions(src: Oltp, start: dt.date, current: dict[str, DataFrame] |
     # Each version is read by the fact lookups (and its size check): write it
     # once instead of recomputing extract + SCD joins per consumer.
     shaped = {k: v.select(*SPEC_BY_DIM[k].columns) for k, v in built.items()}
-    return {k: materialize(v) for k, v in shaped.items()} if materialized else shaped
+    if not materialized:
+        return shaped
+    return in_parallel({k: (lambda v=v: materialize(v)) for k, v in shaped.items()})
 
 
 SPEC_BY_DIM = {"cities": CITIES, "salespeople": SALESPEOPLE, "customers": CUSTOMERS,
@@ -306,11 +320,12 @@ def run_dates(src: Oltp, mart: Mart, start: dt.date, end: dt.date) -> DataFrame:
     mart.upsert("dim_date", dim_date_between(spark, start, end), "DateKey")
     current = {k: mart.read(spec.name) for k, spec in SPEC_BY_DIM.items() if mart.has(spec.name)}
     # Stage tables: emptied and refilled per run, each guarded against an empty extract.
-    stages = {}
-    for name, df in extract_stages(src).items():
+    def stage(name: str, df: DataFrame) -> DataFrame:
         path = f"{mart.root}/_stage/{name}"
         write_guarded(df, path, name=name)
-        stages[name] = spark.read.parquet(path)
+        return spark.read.parquet(path)
+
+    stages = in_parallel({n: (lambda n=n, df=df: stage(n, df)) for n, df in extract_stages(src).items()})
     preloads = build_dimensions(src, start, current, materialized=False, stages=stages)
     # Each preload is the complete next version: publish them whole, together.
     published = mart.publish_many({spec.name: preloads[k].select(*spec.columns) for k, spec in SPEC_BY_DIM.items()})
