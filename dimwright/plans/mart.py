@@ -365,3 +365,31 @@ def mart_summary(fact: DataFrame, customers: DataFrame, calendar: DataFrame) ->
             F.sum("TotalAfterTax").cast("decimal(18,2)").alias("REVENUE"),
         )
     )
+
+
+def check_mart(mart: Mart) -> DataFrame:
+    """Quality report over a built mart: (CHECK, TABLE_NAME, KEY_NAME, KEY_VALUE, N).
+
+    Duplicate surrogate keys per dimension, orphan foreign keys of the fact
+    (the unknown member -1 shows up here by design), all in distributed jobs.
+    """
+    from functools import reduce
+
+    from dimwright.operators import quality
+
+    parts = []
+    refs = {}
+    for k, spec in SPEC_BY_DIM.items():
+        dim = mart.read(spec.name)
+        dups = quality.duplicate_keys(dim, [spec.key_col])
+        parts.append(dups.select(
+            F.lit("duplicate_key").alias("CHECK"), F.lit(spec.name).alias("TABLE_NAME"),
+            F.lit(spec.key_col).alias("KEY_NAME"), F.col(spec.key_col).cast("long").alias("KEY_VALUE"), F.col("N"),
+        ))
+        refs[spec.key_col] = (dim, spec.key_col)
+    refs["DateKey"] = (mart.read("dim_date"), "DateKey")
+    orphans = quality.orphan_keys(mart.read_fact(), refs)
+    parts.append(orphans.select(
+        F.lit("orphan_key").alias("CHECK"), F.lit("fact_orders").alias("TABLE_NAME"), "KEY_NAME", "KEY_VALUE", "N",
+    ))
+    return reduce(DataFrame.unionByName, parts)
