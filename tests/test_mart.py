@@ -186,3 +186,21 @@ def test_daily_runs_persist_and_rerun_changes_nothing(spark):
         assert sorted(map(tuple, after.read(s.name).collect())) == before_dims[s.name]
     report = M.check_mart(after).collect()
     assert all(r.CHECK == "orphan_key" and r.KEY_VALUE == -1 for r in report)
+
+
+def test_hot_date_is_split_across_tasks(spark):
+    """All rows on one date: the rebalanced write spreads them over several
+    files (tasks) once they exceed AQE's advisory partition size."""
+    rows = spark.range(20000).select(
+        F.lit(20130101).alias("DateKey"), (F.col("id") % 97).alias("CustomerKey"), F.col("id").alias("ProductKey"),
+        F.col("id").cast("string").alias("payload"))
+    mart = Mart(spark)
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+        mart.write_fact(rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    back = mart.read_fact()
+    assert back.count() == 20000
+    assert len(back.inputFiles()) > 1
