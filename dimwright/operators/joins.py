@@ -64,9 +64,11 @@ def left_join_small_preserved(small: DataFrame, big: DataFrame, on: str | list[s
     shuffled, and only its matching rows reach the final left join.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    wanted = small.select(*keys).distinct()
-    if fits_broadcast(wanted, max_rows):
-        big = big.join(F.broadcast(wanted), keys, "left_semi")
+    # Size check on the rows of ``small`` (its distinct keys are never more):
+    # the limit stops the scan after max_rows + 1 rows, whereas checking the
+    # distinct keys would aggregate a large range completely first.
+    if fits_broadcast(small, max_rows):
+        big = big.join(F.broadcast(small.select(*keys).distinct()), keys, "left_semi")
     return small.join(big, keys, "left")
 
 

@@ -20,8 +20,12 @@ from pyspark.sql import functions as F
 from dimwright.session import work_path
 
 
+# Fixed value from the reference: the message of its empty-extract error.
+EMPTY_EXTRACT_MESSAGE = "No records found. Check with source system."
+
+
 class EmptyExtractError(RuntimeError):
-    """No records found. Check with source system."""
+    """Raised when an extract wrote no rows."""
 
 
 def upsert_by_key(current: DataFrame, preload: DataFrame, key_col: str) -> DataFrame:
@@ -47,7 +51,7 @@ def write_guarded(df: DataFrame, path: str, name: str = "extract", mode: str = "
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
     rows = obs.get["rows"]
     if rows == 0:
-        raise EmptyExtractError(f"{name}: no records found. Check with source system.")
+        raise EmptyExtractError(f"{name}: {EMPTY_EXTRACT_MESSAGE}")
     return rows
 
 
