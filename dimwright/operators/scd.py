@@ -170,16 +170,3 @@ def scd2(
     parts = scd2_branches(stage, dim, key, tracked, key_col, start_date, end_date, stage_to_dim, null_safe)
     return reduce(DataFrame.unionByName, parts.values())
 
-
-def initial_scd2(stage: DataFrame, key: str, tracked: list[str], key_col: str, start_date,
-                 stage_to_dim: dict[str, str] | None = None) -> DataFrame:
-    """First load of a type-2 dimension: every business key opens at ``start_date``."""
-    if stage_to_dim:
-        stage = stage.select(*[F.col(s).alias(d) for s, d in stage_to_dim.items()])
-    staged = dedupe_by_key(stage, [key], tracked)
-    numbered = with_dense_keys(staged, [key], key_col)
-    return numbered.select(
-        key_col, key, *tracked,
-        _lit_date(start_date).alias("StartDate"),
-        F.lit(None).cast("date").alias("EndDate"),
-    )

@@ -70,10 +70,3 @@ def work_path(spark: SparkSession, name: str) -> str:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/dimwright/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def default_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200") or 200)
-
-
-def env_sf_dir(default: str = "/root/testdata/sf0.1") -> str:
-    return os.environ.get("BENCH_SF_DIR", default)
