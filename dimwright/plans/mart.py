@@ -149,7 +149,8 @@ def scd2_fixture(stage_with_id: DataFrame, id_col: str, spec: DimSpec, d0: dt.da
 
     By ``id % 10``: 9 only in the stage (new); 8 only in the dimension
     (missing); 7 first tracked column changed; 6 unchanged plus an older closed
-    version; 5 only a closed version, back in the stage; others unchanged.
+    version; 5 only a closed version, back in the stage; 4 first tracked column
+    null in the dimension (a null-to-value change); others unchanged.
     The dimension's open rows start on ``d0`` and use key ``id + 1``; older
     versions use key ``id + 2 + max(id)``.
     """
@@ -165,7 +166,9 @@ def scd2_fixture(stage_with_id: DataFrame, id_col: str, spec: DimSpec, d0: dt.da
         (F.col("_id") + 1).cast("long").alias(spec.key_col),
         F.col(bk),
         *[
-            (F.when(m == 7, F.concat(F.lit("OLD "), F.col(a))).otherwise(F.col(a)) if a == first else F.col(a)).alias(a)
+            (F.when(m == 7, F.concat(F.lit("OLD "), F.col(a)))
+             .when(m == 4, F.lit(None).cast("string"))
+             .otherwise(F.col(a)) if a == first else F.col(a)).alias(a)
             for a in spec.attrs
         ],
         day(0).alias("StartDate"),

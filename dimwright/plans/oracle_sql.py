@@ -496,13 +496,14 @@ def scd2_ctes(stage_id: str, id_col: str, bk: str, tracked: list[str], key: str,
     """CTEs dim_before / stage / result for a type-2 run starting the day after d0.
 
     Inputs by id % 10: 9 new, 8 missing, 7 first tracked column changed, 6 unchanged
-    plus an older version, 5 closed only and back in the stage.
+    plus an older version, 5 closed only and back in the stage, 4 first tracked column
+    null in the dimension.
     """
     rename = rename or {}
     src_cols = ", ".join(f"{s} AS {d}" for s, d in rename.items()) or ", ".join([bk, *tracked])
     first = tracked[0]
-    t_cur = ", ".join(f"CASE WHEN _id % 10 = 7 THEN 'OLD ' || {c} ELSE {c} END AS {c}" if c == first else c
-                      for c in tracked)
+    t_cur = ", ".join(f"CASE WHEN _id % 10 = 7 THEN 'OLD ' || {c} WHEN _id % 10 = 4 THEN NULL ELSE {c} END AS {c}"
+                      if c == first else c for c in tracked)
     t_old = ", ".join(f"'PREV ' || {c} AS {c}" if c == first else c for c in tracked)
     cols = ", ".join([bk, *tracked])
     diff = " OR ".join(f"s.{c} IS DISTINCT FROM o.{c}" for c in tracked)
