@@ -138,3 +138,16 @@ def test_running_total_last_equals_city_total(clean):
 def test_booking_vs_rating_keeps_empty_branch(clean):
     got = {r.TABLE_BOOKING_OPT: (r.TOTAL_REST, r.AVG_RATING) for r in L.booking_vs_rating(clean, "A").collect()}
     assert got == {"WITH_TABLE": (1, D("4.50")), "WITHOUT_TABLE": (2, D("3.70"))}
+
+
+def test_d15_running_total_partitioned_by_country_and_city(spark):
+    """The same city name in two countries keeps two separate running totals."""
+    rows = [("1", "India", "Goa", "A", "5"), ("2", "India", "Goa", "B", "5"),
+            ("3", "Peru", "Goa", "A", "5")]
+    df = spark.createDataFrame(rows, "RestaurantID string, COUNTRY_NAME string, City string, Locality string, "
+                                     "Votes string")
+    got = {}
+    for country in ("india", "peru"):
+        for r in L.running_listings(df, country).collect():
+            got[(r.COUNTRY_NAME, r.Locality)] = r.ROLL_COUNT
+    assert got == {("India", "B"): 1, ("India", "A"): 2, ("Peru", "A"): 1}
