@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimwright.functions.semantics import any_changed
-from dimwright.operators.keys import max_key, with_dense_keys
+from dimwright.operators.keys import materialize, max_key, with_dense_keys
 
 NEW, CHANGED, UNCHANGED, MISSING = "new", "changed", "unchanged", "missing"
 
@@ -125,7 +125,10 @@ def scd2_branches(
     ``expired``  open rows missing from the stage, closed
     ``history``  closed rows, untouched
     """
-    cls = scd2_classify(stage, dim, key, tracked, stage_to_dim, null_safe)
+    # The classification (the one shuffle join) feeds both the numbered new
+    # versions and the carried / closed rows: write it once instead of
+    # running the join twice.
+    cls = materialize(scd2_classify(stage, dim, key, tracked, stage_to_dim, null_safe))
     out_cols = [key_col, key, *tracked, "StartDate", "EndDate"]
     start, end = _lit_date(start_date), _lit_date(end_date)
 
