@@ -204,3 +204,15 @@ def test_hot_date_is_split_across_tasks(spark):
     back = mart.read_fact()
     assert back.count() == 20000
     assert len(back.inputFiles()) > 1
+
+
+def test_command_line_load_and_check(spark, capsys):
+    from dimwright.__main__ import main
+
+    root = work_path(spark, "mart-cli")
+    assert main(["load", "--src", "/root/testdata/sf0.001", "--mart", root, "--start", "1995-01-01",
+                 "--end", "1995-01-02"]) == 0
+    assert "fact rows" in capsys.readouterr().out
+    assert main(["check", "--mart", root]) == 0
+    assert "CHECK" in capsys.readouterr().out  # the report's header
+    assert Mart(spark, root).read_fact().count() > 0
