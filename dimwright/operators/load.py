@@ -73,7 +73,15 @@ class Mart:
         if root is not None:
             self._load_manifest()
 
+    def _exists(self, path: str) -> bool:
+        """Whether ``path`` exists, asked of the Hadoop file system behind it."""
+        jvm = self.spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        return hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
     def _load_manifest(self) -> None:
+        if not self._exists(f"{self.root}/_manifest"):
+            return
         try:
             rows = (
                 self.spark.read.parquet(f"{self.root}/_manifest")
