@@ -253,8 +253,9 @@ def build_dimensions(src: Oltp, start: dt.date, current: dict[str, DataFrame] |
                      ) -> dict[str, DataFrame]:
     """Next version of all five dimensions from fresh extracts.
 
-    ``current`` holds the previous versions (empty on the first load); type-2
-    changes open on ``start`` and close the day before.  With
+    ``current`` holds the previous versions keyed like ``SPEC_BY_DIM``
+    ("customers", ...; empty on the first load); type-2 changes open on
+    ``start`` and close the day before.  With
     ``materialized=False`` the versions stay lazy (the caller writes them).
     """
     spark = src.spark
@@ -271,7 +272,9 @@ def build_dimensions(src: Oltp, start: dt.date, current: dict[str, DataFrame] |
                             for k in SPEC_BY_DIM})
 
     def prev(spec: DimSpec) -> DataFrame:
-        return cur.get(spec.name, spec.empty(spark))
+        # ``current`` is keyed like SPEC_BY_DIM ("customers", ...).
+        key = next(k for k, v in SPEC_BY_DIM.items() if v is spec)
+        return cur[key] if key in cur else spec.empty(spark)
 
     built = {
         "cities": apply_scd1(CITIES, st["customers"], prev(CITIES)),
