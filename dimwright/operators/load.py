@@ -37,6 +37,18 @@ def upsert_by_key(current: DataFrame, preload: DataFrame, key_col: str) -> DataF
     return kept.unionByName(preload.select(*current.columns))
 
 
+def adds_rows(preload: DataFrame, current: DataFrame) -> bool:
+    """True when ``preload`` holds a row that is not already in ``current``
+    (null-safe comparison of every column).  If False, upserting ``preload``
+    into ``current`` would change nothing, so the write can be skipped.
+
+    One anti join; it stops at the first row found (limit 1).
+    """
+    cur = current.select(*[current[c].alias(f"_c_{c}") for c in preload.columns])
+    cond = [preload[c].eqNullSafe(cur[f"_c_{c}"]) for c in preload.columns]
+    return preload.join(cur, cond, "left_anti").limit(1).count() > 0
+
+
 def replaced_rows(current: DataFrame, preload: DataFrame, key_col: str) -> DataFrame:
     """Rows of ``current`` that an upsert of ``preload`` replaces."""
     return current.join(preload.select(key_col), key_col, "left_semi")

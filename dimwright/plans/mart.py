@@ -21,7 +21,7 @@ from dimwright.functions.measures import total_after_tax, total_before_tax
 from dimwright.operators import scd
 from dimwright.operators.joins import asof_lookup, bounded_broadcast, key_lookup, single_row_broadcast
 from dimwright.operators.keys import materialize, with_dense_keys
-from dimwright.operators.load import Mart, write_guarded
+from dimwright.operators.load import Mart, adds_rows, upsert_by_key, write_guarded
 from dimwright.plans import extract as ex
 from dimwright.sources.oltp import Oltp
 
@@ -318,7 +318,7 @@ def run_dates(src: Oltp, mart: Mart, start: dt.date, end: dt.date) -> DataFrame:
     """One incremental run for the dates [start, end].
 
     Order (per run): calendar rows, extracts, dimension transforms, dimension
-    loads (new versions published), order extract (guarded), fact build with
+    loads (upserts; a new version only where something changed), order extract (guarded), fact build with
     as-of lookups, fact partitions overwritten.  Re-running the same dates
     changes nothing.  Returns the fact rows of those dates.
     """
@@ -333,9 +333,22 @@ def run_dates(src: Oltp, mart: Mart, start: dt.date, end: dt.date) -> DataFrame:
 
     stages = in_parallel({n: (lambda n=n, df=df: stage(n, df)) for n, df in extract_stages(src).items()})
     preloads = build_dimensions(src, start, current, materialized=False, stages=stages)
-    # Each preload is the complete next version: publish them whole, together.
-    published = mart.publish_many({spec.name: preloads[k].select(*spec.columns) for k, spec in SPEC_BY_DIM.items()})
-    dims = {k: published[spec.name] for k, spec in SPEC_BY_DIM.items()}
+    # Load = upsert by surrogate key (rows of the current version that the
+    # preload does not replace stay - a type-1 member missing from today's
+    # stage is kept).  A dimension whose preload adds no new row keeps its
+    # current version: nothing is rewritten.
+    dims: dict[str, DataFrame] = {}
+    to_publish: dict[str, DataFrame] = {}
+    for k, spec in SPEC_BY_DIM.items():
+        pre = preloads[k].select(*spec.columns)
+        if k not in current:
+            to_publish[spec.name] = pre
+        elif adds_rows(pre, current[k]):
+            to_publish[spec.name] = upsert_by_key(current[k], pre, spec.key_col)
+        else:
+            dims[k] = current[k]
+    published = mart.publish_many(to_publish) if to_publish else {}
+    dims.update({k: published[spec.name] for k, spec in SPEC_BY_DIM.items() if spec.name in published})
     stage_path = f"{mart.root}/_stage/orders/{start:%Y%m%d}-{end:%Y%m%d}"
     write_guarded(ex.extract_orders(src, start, end), stage_path, name="orders")
     stage = spark.read.parquet(stage_path)

@@ -233,3 +233,14 @@ def test_incremental_run_keeps_history(spark):
         assert sorted(map(tuple, mart.read(s.name).collect())) == first[s.name], s.name
     starts = {r.StartDate for r in mart.read(M.CUSTOMERS.name).collect()}
     assert starts == {d0}
+    # nothing changed in the sources: no dimension was rewritten
+    assert all(Mart(spark, mart.root)._versions[s.name] == 1 for s in M.SPEC_BY_DIM.values())
+
+
+def test_adds_rows(spark):
+    from dimwright.operators.load import adds_rows
+
+    cur = spark.createDataFrame([(1, "a"), (2, None)], "k long, v string")
+    assert not adds_rows(spark.createDataFrame([(2, None)], "k long, v string"), cur)
+    assert adds_rows(spark.createDataFrame([(2, "b")], "k long, v string"), cur)
+    assert adds_rows(spark.createDataFrame([(3, "c")], "k long, v string"), cur)
