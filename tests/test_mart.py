@@ -244,3 +244,31 @@ def test_adds_rows(spark):
     assert not adds_rows(spark.createDataFrame([(2, None)], "k long, v string"), cur)
     assert adds_rows(spark.createDataFrame([(2, "b")], "k long, v string"), cur)
     assert adds_rows(spark.createDataFrame([(3, "c")], "k long, v string"), cur)
+
+
+def test_members_missing_from_stage_are_kept(spark):
+    """Customers of one nation vanish from the source before the second run:
+    the type-1 city row stays (load is an upsert), their type-2 customer rows
+    are closed, not removed."""
+    from functools import cached_property
+
+    from dimwright.sources.oltp import Oltp
+
+    class Shrunk(Oltp):
+        @cached_property
+        def customers(self):
+            return super().customers.filter(F.col("DeliveryCityID") != 0)
+
+    sf = "/root/testdata/sf0.001"
+    mart = Mart(spark)
+    src = Oltp(spark, sf)
+    d0 = M.first_order_date(src)
+    M.run_dates(src, mart, d0, d0)
+    cities_before = {r.CityName for r in mart.read(M.CITIES.name).collect()}
+    custs_before = mart.read(M.CUSTOMERS.name).count()
+    M.run_dates(Shrunk(spark, sf), mart, d0 + dt.timedelta(days=1), d0 + dt.timedelta(days=3))
+    assert {r.CityName for r in mart.read(M.CITIES.name).collect()} == cities_before
+    after = mart.read(M.CUSTOMERS.name).collect()
+    assert len(after) == custs_before
+    closed = [r for r in after if r.EndDate is not None]
+    assert closed and all(r.EndDate == d0 for r in closed)
