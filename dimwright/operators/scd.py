@@ -116,9 +116,14 @@ def scd2_branches(
     end_date,
     stage_to_dim: dict[str, str] | None = None,
     null_safe: bool = True,
+    report: dict | None = None,
 ) -> dict[str, DataFrame]:
     """The four disjoint preload branches plus the untouched history.
 
+    If ``report`` is given, ``report["changed"]`` tells whether the version
+    differs from ``dim`` at all (new versions or closings), read from the
+    already materialised classification - no extra join.
+
     ``changed``  new versions of changed rows          (new keys)
     ``closed``   open rows: superseded ones closed, unchanged ones carried
     ``new``      first versions of new business keys   (new keys)
@@ -137,6 +142,9 @@ def scd2_branches(
     )
     numbered = with_dense_keys(versions, [key], key_col, base=max_key(dim, key_col))
     numbered = numbered.withColumn("StartDate", start).withColumn("EndDate", F.lit(None).cast("date"))
+    if report is not None:
+        report["changed"] = (numbered.limit(1).count() > 0
+                             or cls.filter(F.col("_status") == MISSING).limit(1).count() > 0)
 
     def old_rows(statuses: list[str], closing: bool) -> DataFrame:
         rows = cls.filter(F.col("_status").isin(*statuses))
@@ -168,8 +176,9 @@ def scd2(
     end_date,
     stage_to_dim: dict[str, str] | None = None,
     null_safe: bool = True,
+    report: dict | None = None,
 ) -> DataFrame:
     """The whole next version of a type-2 dimension (every row, old and new)."""
-    parts = scd2_branches(stage, dim, key, tracked, key_col, start_date, end_date, stage_to_dim, null_safe)
+    parts = scd2_branches(stage, dim, key, tracked, key_col, start_date, end_date, stage_to_dim, null_safe, report)
     return reduce(DataFrame.unionByName, parts.values())
 

@@ -105,10 +105,11 @@ def apply_scd1(spec: DimSpec, stage: DataFrame, dim: DataFrame) -> DataFrame:
     return scd.scd1(_stage_for(spec, stage), dim, list(spec.business_key), list(spec.attrs), spec.key_col)
 
 
-def apply_scd2(spec: DimSpec, stage: DataFrame, dim: DataFrame, start, end, null_safe: bool = True) -> DataFrame:
+def apply_scd2(spec: DimSpec, stage: DataFrame, dim: DataFrame, start, end, null_safe: bool = True,
+               report: dict | None = None) -> DataFrame:
     (key,) = spec.business_key
     return scd.scd2(_stage_for(spec, stage), dim, key, list(spec.attrs), spec.key_col, start, end,
-                    null_safe=null_safe)
+                    null_safe=null_safe, report=report)
 
 
 def scd2_branches(spec: DimSpec, stage: DataFrame, dim: DataFrame, start, end) -> dict[str, DataFrame]:
@@ -249,14 +250,16 @@ def extract_stages(src: Oltp) -> dict[str, DataFrame]:
 
 
 def build_dimensions(src: Oltp, start: dt.date, current: dict[str, DataFrame] | None = None,
-                     materialized: bool = True, stages: dict[str, DataFrame] | None = None
-                     ) -> dict[str, DataFrame]:
+                     materialized: bool = True, stages: dict[str, DataFrame] | None = None,
+                     changes: dict[str, bool] | None = None) -> dict[str, DataFrame]:
     """Next version of all five dimensions from fresh extracts.
 
     ``current`` holds the previous versions keyed like ``SPEC_BY_DIM``
     ("customers", ...; empty on the first load); type-2 changes open on
     ``start`` and close the day before.  With
     ``materialized=False`` the versions stay lazy (the caller writes them).
+    ``changes`` (if given) receives, per type-2 dimension, whether its new
+    version differs from the current one.
     """
     spark = src.spark
     cur = current or {}
@@ -276,13 +279,18 @@ def build_dimensions(src: Oltp, start: dt.date, current: dict[str, DataFrame] |
         key = next(k for k, v in SPEC_BY_DIM.items() if v is spec)
         return cur[key] if key in cur else spec.empty(spark)
 
+    reports: dict[str, dict] = {"customers": {}, "products": {}, "picking_staff": {}}
     built = {
         "cities": apply_scd1(CITIES, st["customers"], prev(CITIES)),
         "salespeople": apply_scd1(SALESPEOPLE, st["salespeople"], prev(SALESPEOPLE)),
-        "customers": apply_scd2(CUSTOMERS, st["customers"], prev(CUSTOMERS), start, end),
-        "products": apply_scd2(PRODUCTS, st["products"], prev(PRODUCTS), start, end),
-        "picking_staff": apply_scd2(PICKING_STAFF, st["picking_staff"], prev(PICKING_STAFF), start, end),
+        "customers": apply_scd2(CUSTOMERS, st["customers"], prev(CUSTOMERS), start, end,
+                                report=reports["customers"]),
+        "products": apply_scd2(PRODUCTS, st["products"], prev(PRODUCTS), start, end, report=reports["products"]),
+        "picking_staff": apply_scd2(PICKING_STAFF, st["picking_staff"], prev(PICKING_STAFF), start, end,
+                                    report=reports["picking_staff"]),
     }
+    if changes is not None:
+        changes.update({k: r["changed"] for k, r in reports.items()})
     # Each version is read by the fact lookups (and its size check): write it
     # once instead of recomputing extract + SCD joins per consumer.
     shaped = {k: v.select(*SPEC_BY_DIM[k].columns) for k, v in built.items()}
@@ -332,17 +340,24 @@ def run_dates(src: Oltp, mart: Mart, start: dt.date, end: dt.date) -> DataFrame:
         return spark.read.parquet(path)
 
     stages = in_parallel({n: (lambda n=n, df=df: stage(n, df)) for n, df in extract_stages(src).items()})
-    preloads = build_dimensions(src, start, current, materialized=False, stages=stages)
+    changes: dict[str, bool] = {}
+    preloads = build_dimensions(src, start, current, materialized=False, stages=stages, changes=changes)
     # Load = upsert by surrogate key (rows of the current version that the
     # preload does not replace stay - a type-1 member missing from today's
-    # stage is kept).  A dimension whose preload adds no new row keeps its
-    # current version: nothing is rewritten.
+    # stage is kept).  A type-2 preload is already the complete next version.
+    # A dimension that did not change keeps its current version: nothing is
+    # rewritten (type 2: read from the SCD classification; type 1: one anti join).
     dims: dict[str, DataFrame] = {}
     to_publish: dict[str, DataFrame] = {}
     for k, spec in SPEC_BY_DIM.items():
         pre = preloads[k].select(*spec.columns)
         if k not in current:
             to_publish[spec.name] = pre
+        elif spec.type2:
+            if changes.get(k, True):
+                to_publish[spec.name] = pre
+            else:
+                dims[k] = current[k]
         elif adds_rows(pre, current[k]):
             to_publish[spec.name] = upsert_by_key(current[k], pre, spec.key_col)
         else:

@@ -107,3 +107,15 @@ def test_scd2_properties(spark, first, second):
     dim2 = spark.createDataFrame([tuple(r) for r in v2], DIM_SCHEMA)
     v3 = scd2(s2, dim2, "name", ["cat"], "k", START, END).collect()
     assert {tuple(r) for r in v3} == {tuple(r) for r in v2}
+
+
+def test_scd2_change_report(spark):
+    dim = spark.createDataFrame(BEFORE, DIM_SCHEMA)
+    stg = spark.createDataFrame(STAGE, "name string, cat string")
+    report = {}
+    after = scd2(stg, dim, "name", ["cat"], "k", START, END, report=report)
+    assert report == {"changed": True}
+    again = {}
+    scd2(stg, spark.createDataFrame([tuple(r) for r in after.collect()], DIM_SCHEMA), "name", ["cat"], "k",
+         START, END, report=again)
+    assert again == {"changed": False}
