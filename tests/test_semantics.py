@@ -101,3 +101,24 @@ def test_window_is_partitioned(spark):
     df = spark.createDataFrame([("c", "a", 1)], "city string, loc string, n long")
     plan = running_total(df, ["city"], [F.col("loc")], "n", "run")._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+keys = st.one_of(st.none(), st.integers(min_value=0, max_value=6))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(keys, st.integers(0, 9)), max_size=12),
+       st.lists(st.tuples(keys, st.integers(0, 9)), max_size=12),
+       st.sampled_from([0, 1_000]))
+def test_left_join_small_preserved_equals_left_join(spark, small_rows, big_rows, bound):
+    from dimwright.operators.joins import left_join_small_preserved
+
+    small = spark.createDataFrame(small_rows, "k int, a int")
+    big = spark.createDataFrame(big_rows, "k int, b int")
+    got = sorted(map(tuple, left_join_small_preserved(small, big, "k", max_rows=bound).select("k", "a", "b")
+                     .collect()), key=str)
+    want = sorted(map(tuple, small.join(big, "k", "left").select("k", "a", "b").collect()), key=str)
+    assert got == want
