@@ -115,19 +115,19 @@ def view_total_count(spark, d):
 
 @query("cte_chain")
 def cte_chain(spark, d):
-    clean(spark, d).createOrReplaceTempView("listing")
+    # The listing is bound as a query argument ({listing}), not a shared temp view.
     return spark.sql(f"""
         WITH ct1 AS (
             SELECT COUNTRY_NAME, City, Locality, COUNT(RestaurantID) AS REST_COUNT
-            FROM listing WHERE lower(COUNTRY_NAME) = '{L.HOME_COUNTRY.lower()}'
+            FROM {{listing}} WHERE lower(COUNTRY_NAME) = '{L.HOME_COUNTRY.lower()}'
             GROUP BY COUNTRY_NAME, City, Locality),
         ct2 AS (
             SELECT c.COUNTRY_NAME, c.City, c.Locality, c.REST_COUNT
             FROM ct1 c JOIN (SELECT MAX(REST_COUNT) AS m FROM ct1) x ON c.REST_COUNT = x.m)
         SELECT ct2.Locality, ct2.REST_COUNT, l.Cuisines
-        FROM ct2 JOIN listing l
+        FROM ct2 JOIN {{listing}} l
           ON l.COUNTRY_NAME = ct2.COUNTRY_NAME AND l.City = ct2.City AND l.Locality = ct2.Locality
-    """)
+    """, listing=clean(spark, d))
 
 
 @query("profile_columns")
