@@ -134,9 +134,14 @@ class Mart:
         return {t: self.read(t) for t in tables}
 
     def upsert(self, table: str, preload: DataFrame, key_col: str) -> DataFrame:
+        """Publish ``current`` upserted with ``preload``; no new version when
+        the preload adds nothing (e.g. re-running dates already loaded)."""
         if not self.has(table):
             return self.publish(table, preload)
-        return self.publish(table, upsert_by_key(self.read(table), preload, key_col))
+        current = self.read(table)
+        if not adds_rows(preload.select(*current.columns), current):
+            return current
+        return self.publish(table, upsert_by_key(current, preload, key_col))
 
     # -- fact --------------------------------------------------------------
     @property

@@ -235,6 +235,10 @@ def test_incremental_run_keeps_history(spark):
     assert starts == {d0}
     # nothing changed in the sources: no dimension was rewritten
     assert all(Mart(spark, mart.root)._versions[s.name] == 1 for s in M.SPEC_BY_DIM.values())
+    # re-running the same dates adds no calendar rows: no new calendar version
+    v = Mart(spark, mart.root)._versions["dim_date"]
+    M.run_dates(src, mart, d0 + dt.timedelta(days=1), d0 + dt.timedelta(days=5))
+    assert Mart(spark, mart.root)._versions["dim_date"] == v
 
 
 def test_adds_rows(spark):
