@@ -122,3 +122,19 @@ def test_left_join_small_preserved_equals_left_join(spark, small_rows, big_rows,
                      .collect()), key=str)
     want = sorted(map(tuple, small.join(big, "k", "left").select("k", "a", "b").collect()), key=str)
     assert got == want
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(keys, st.integers(0, 9)), max_size=12),
+       st.lists(st.integers(min_value=0, max_value=6), max_size=6, unique=True))
+def test_key_lookup_shuffled_path_equals_broadcast_path(spark, fact_rows, dim_keys):
+    """The null-splitting shuffled lookup returns what the broadcast lookup returns."""
+    from dimwright.operators.joins import key_lookup
+
+    facts = spark.createDataFrame(fact_rows, "k int, v int")
+    dim = spark.createDataFrame([(k, k * 10) for k in dim_keys], "k int, sk int")
+    a = key_lookup(facts, dim, ["k"], ["k"], {"sk": "SK"}, "left", broadcast_rows=1_000)
+    b = key_lookup(facts, dim, ["k"], ["k"], {"sk": "SK"}, "left", broadcast_rows=0)
+    assert sorted(map(tuple, a.select("k", "v", "SK").collect()), key=str) == \
+        sorted(map(tuple, b.select("k", "v", "SK").collect()), key=str)
+    assert b.count() == facts.count()
