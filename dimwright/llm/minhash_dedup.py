@@ -55,7 +55,7 @@ class Params:
     #: Buckets up to this size are searched completely when they still hold several components.
     small_bucket: int = 32
     #: Centres per round in larger ones; rounds go on until ``quiet_rounds`` bring no link.
-    centres: int = 8
+    centres: int = 3
     quiet_rounds: int = 2
     seed: int = 20260
 
