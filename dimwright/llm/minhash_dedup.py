@@ -246,3 +246,12 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
         "doc_id", "n_shingles",
         F.when(F.col("component") == LAST_ID, F.lit(None)).otherwise(F.col("component")).cast("long").alias("component_id"),
         (F.col("component") == F.col("rank_id")).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
+    """The rows of ``docs`` that are the smallest id of their component, with their columns.
+
+    Rows without words have no near duplicate and stay; of rows with a null id that share a component all stay.
+    """
+    gone = near_duplicates(docs, p).where(~F.col("kept")).select(F.col("doc_id").alias("_gone_id"))
+    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone_id")), "left_anti")

@@ -3,8 +3,9 @@
 1. Every document is tokenised and an end id added; only documents longer than a
    sequence are cut, into full pieces after a shorter first one.  Pieces are rows
    of a few numbers; token ids stay behind.
-2. Pieces are dealt to tasks of about ``pieces_per_task`` by a hash of the document.
-3. In each task an online best-fit packer takes the pieces in a fixed order.  Its
+2. Pieces are dealt by hash to waves of about ``WAVE`` pieces, and waves to tasks.
+3. In each task an online best-fit packer takes the pieces wave by wave, long ones
+   of a wave first, so the short ones fill what the long ones left open.  Its
    open sequences are kept by free space, and an integer used as a bitset tells
    which free spaces exist, so the tightest fit is found with a few bit
    operations.  The number of open sequences is fixed; when one too many is open,
@@ -38,7 +39,8 @@ from dimwright.llm.common import id_and_text, pieces_of, stored
 CAPACITY = 1024
 #: Sequences open at once in one task.
 OPEN_BINS = 512
-PIECES_PER_TASK = 100_000
+#: Pieces of one wave, and waves of one task.
+WAVE, WAVES_PER_TASK = 2_000, 50
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PACKED = f"{_PIECE}, sequence_id long, offset long"
 #: Task in the high bits, the task's own sequence number in the low ones.
@@ -141,13 +143,14 @@ class BestFit:
         self.open -= 1
 
 
-def pack(table: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS,
-         pieces_per_task: int = PIECES_PER_TASK) -> DataFrame:
+def pack(table: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS) -> DataFrame:
     """Pieces with ``sequence_id`` and ``offset``.  ``table`` should be a stored one: it is counted first."""
-    tasks = max(1, -(-table.count() // pieces_per_task))
-    # The first piece's number is part of the hash, so many rows of one document spread as well.
-    dealt = table.withColumn("_task", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(tasks)))
-    dealt = dealt.repartition(tasks, "_task").sortWithinPartitions("_task", "ids_crc32", "doc_id", "piece")
+    waves = max(1, -(-table.count() // WAVE))
+    # Piece number and checksum are part of the hash, so many rows of one document spread as well.
+    wave = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(waves))
+    dealt = table.withColumn("_wave", wave).withColumn("_task", F.floor(F.col("_wave") / WAVES_PER_TASK))
+    dealt = dealt.repartition(-(-waves // WAVES_PER_TASK), "_task").sortWithinPartitions(
+        "_task", "_wave", F.desc("length"), "ids_crc32", "doc_id", "piece")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, current = None, None
