@@ -2,7 +2,13 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
 written as Parquet and reread as the next stage's ``docs``.  All stages but the
-last return the columns of ``docs``; the last returns one row per packed piece.
+last return the columns of ``docs``, whatever they are; the last returns one row per
+packed piece.
+
+Defined cases: null and blank texts (and texts without a letter) go in the first
+stage; rows that repeat a document (id and text) share every decision; a null
+``doc_id`` is an id like any other, ordered last; extra columns are carried
+through; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -10,10 +16,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from dimwright.llm.common import documents, stored
+from dimwright.llm.exact_dedup import drop_exact_duplicates
+from dimwright.llm.language_id import keep_known_language
+from dimwright.llm.minhash_dedup import drop_near_duplicates
+from dimwright.llm.packing import pack_documents
+from dimwright.llm.pii import mask
+from dimwright.llm.queries import BYTE_BPE
+
+#: Below this posterior probability of its best language a document is rejected.
+MIN_LANGUAGE_SCORE = 0.5
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is known with enough certainty."""
+    return keep_known_language(docs, MIN_LANGUAGE_SCORE)
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the row with the largest doc_id."""
+    return drop_exact_duplicates(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate component."""
+    return drop_near_duplicates(docs)
+
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with personal data replaced by its kind."""
+    return mask(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces packed into sequences."""
+    return pack_documents(docs, BYTE_BPE)
+
 
-STAGES = []
+STAGES = [("language", language), ("exact", exact), ("near", near), ("private", private), ("packed", packed)]
 
-#: Language scores and byte-pair tokens cannot be expressed in SQL.
+#: Language scores, similarity components and byte-pair tokens cannot be expressed in SQL.
 ORACLE_SQL = None
 
 
