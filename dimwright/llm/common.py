@@ -77,13 +77,16 @@ def shuffle_cleanup(spark: SparkSession):
         spark.conf.set(_CLEANUP, before)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, small: bool = False) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
     Cuts the lineage with a table that every executor can read, so a lost
-    executor never forces the steps before it to run again.
+    executor never forces the steps before it to run again.  ``small`` is for
+    tables far smaller than the input: eight shuffle partitions share a file.
     """
     spark = df.sparkSession
+    if small:
+        df = df.coalesce(max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
     path = work_path(spark, f"llm-{name}")
     with shuffle_cleanup(spark):
         df.write.parquet(path)

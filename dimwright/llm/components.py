@@ -20,10 +20,10 @@ def connected_components(links: DataFrame) -> DataFrame:
     both = stored(
         links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         .where("a <> b").distinct(),
-        "links",
+        "links", small=True,
     )
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component")),
-                    "labels")
+                    "labels", small=True)
     while True:
         near = (
             both.join(labels.withColumnRenamed("node", "b"), "b")
@@ -34,7 +34,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         after = stored(
             lower.join(target, "step").select("node", F.least("step", "jump").alias("component"),
                                               (F.least("step", "jump") < F.col("component")).alias("moved")),
-            "labels",
+            "labels", small=True,
         )
         labels = after.select("node", "component")
         if after.where("moved").isEmpty():

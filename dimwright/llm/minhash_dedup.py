@@ -10,15 +10,17 @@ at least 0.75; a document's component is everything reachable over links.
 2. *Tensored banding.*  Every pair (a value of the first collection, a value of
    the second) is a table key: ``m * m`` tables from only ``2 m`` minhashes.  A
    pair of similarity s shares a key with probability ``(1 - (1-s)^m)^2``; with
-   m = 8 that is 0.99997 at the threshold.
+   m = 11 keys of two minhashes each that is 0.9998 at the threshold and more above it.
 3. *Star candidates.*  In each bucket every member is paired with the bucket's
    smallest id only - never all pairs of a bucket.
 4. *Verification* on the full shingle sets (64-bit shingle hashes), and connected
    components of the confirmed links.
 5. *Remaining buckets.*  A bucket whose members now lie in one component can add
-   nothing.  In each of the others, members are paired with the smallest member
-   of every *other* component they were not compared with, and steps 4-5 repeat
-   until no bucket yields a pair that has not been verified.
+   nothing.  In the others, all pairs between different components are verified if
+   the bucket has at most ``small_bucket`` members (a constant number per member);
+   in larger ones all members of other components are verified against a
+   pseudo-random member, a new one each round, until two rounds in a row bring no
+   link.  Rounds never drop a member or a bucket.
 
 Defined cases: a null or blank text has no shingle and links with nothing; fewer
 than five words form one shingle; rows with equal word sequences are always
@@ -49,13 +51,13 @@ class Params:
     #: Link when ``100 * |intersection| >= percent * |union|``.
     percent: int = 75
     #: Keys in each of the two collections; ``collection ** 2`` tables.
-    collection: int = 10
+    collection: int = 11
     #: Minhash values joined into one collection key.
     width: int = 2
     #: Buckets up to this size are searched completely when they still hold several components.
     small_bucket: int = 32
-    #: Centres per round in larger ones; rounds go on until ``quiet_rounds`` bring no link.
-    centres: int = 3
+    #: Centres per round in larger ones; rounds go on until ``quiet_rounds`` in a row bring no link.
+    centres: int = 2
     quiet_rounds: int = 2
     seed: int = 20260
 
@@ -182,7 +184,7 @@ def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
         "component", F.coalesce("component", "rep"))
     several = named.groupBy("key").agg(
         F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    return stored(named.join(several, "key", "left_semi"), "open")
+    return stored(named.join(several, "key", "left_semi"), "open", small=True)
 
 
 def _further_pairs(open_: DataFrame, step: int, p: Params) -> DataFrame:
@@ -219,22 +221,21 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
         shingle_sets(ranked.join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi"), p)
         .withColumnRenamed("doc_id", "rep").dropDuplicates(["rep"]), "sets")
 
-    tested = stored(_verified(_star_pairs(members, p), sets, p), "tested")
-    links = tested.where("linked")
-    labels = connected_components(links)
+    tested = stored(_verified(_star_pairs(members, p), sets, p), "tested", small=True)
+    labels = connected_components(tested.where("linked"))
     step = quiet = 0
     while quiet < p.quiet_rounds:
         open_ = _open_buckets(members, labels)
-        new = stored(_further_pairs(open_, step, p).join(tested, ["a", "b"], "left_anti"), "pairs")
-        if new.isEmpty():
+        new = _further_pairs(open_, step, p).join(tested, ["a", "b"], "left_anti")
+        found = stored(_verified(new, sets, p), "tested", small=True)
+        if found.isEmpty():
             break
-        found = stored(_verified(new, sets, p), "tested")
-        tested = tested.unionByName(found)
         if found.where("linked").isEmpty():
             quiet += 1
         else:
             quiet = 0
-            labels = connected_components(tested.where("linked"))
+            labels = connected_components(tested.unionByName(found).where("linked"))
+        tested = tested.unionByName(found)
         step += 1
     names = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "c1", "c2", F.coalesce("component", "rep").alias("component"))
