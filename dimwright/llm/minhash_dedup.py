@@ -55,9 +55,9 @@ class Params:
     #: Minhash values joined into one collection key.
     width: int = 2
     #: Buckets up to this size are searched completely when they still hold several components.
-    small_bucket: int = 32
+    small_bucket: int = 64
     #: Centres per round in larger ones; rounds go on until ``quiet_rounds`` in a row bring no link.
-    centres: int = 2
+    centres: int = 1
     quiet_rounds: int = 2
     seed: int = 20260
 
