@@ -2,10 +2,12 @@
 
     python -m dimwright load  --src /root/testdata/sf0.01 --mart <folder> --start 1995-01-01 [--end 1995-01-31]
     python -m dimwright check --mart <folder>
+    python -m dimwright prune --mart <folder> [--keep 2]
 
 ``load`` opens (or starts) the mart at ``--mart``: dimension versions and the
 manifest persist there between runs, so successive invocations behave like
 the reference's per-date procedure calls.  Re-running a date replaces it.
+``check`` writes the quality report as a table of the mart and prints its counts.
 On a cluster, pass a shared-storage folder.
 """
 
@@ -28,6 +30,9 @@ def main(argv: list[str] | None = None) -> int:
     load.add_argument("--end", type=dt.date.fromisoformat)
     check = sub.add_parser("check", help="quality report over the mart")
     check.add_argument("--mart", required=True)
+    prune = sub.add_parser("prune", help="delete superseded versions")
+    prune.add_argument("--mart", required=True)
+    prune.add_argument("--keep", type=int, default=2, help="versions of each table to keep")
     args = ap.parse_args(argv)
 
     from dimwright.operators.load import Mart
@@ -39,11 +44,17 @@ def main(argv: list[str] | None = None) -> int:
     ensure_checkpoint_dir(spark)
     mart = Mart(spark, args.mart)
     if args.cmd == "load":
-        rows = M.run_dates(Oltp(spark, args.src), mart, args.start, args.end or args.start).count()
+        rows = M.run_dates(Oltp(spark, args.src), mart, args.start, args.end or args.start)
         print(f"loaded {rows} fact rows for {args.start}..{args.end or args.start} into {mart.root}")
+    elif args.cmd == "prune":
+        print(f"removed {mart.prune(args.keep)} folders below {mart.root}")
     else:
-        report = M.check_mart(mart)
-        report.show(50, truncate=False)
+        mart.publish("quality_report", M.check_mart(mart))
+        report = mart.read("quality_report").groupBy("CHECK", "TABLE_NAME", "KEY_NAME").count()
+        print("CHECK TABLE_NAME KEY_NAME rows")
+        for r in sorted(map(tuple, report.collect()), key=str):  # one row per check and column
+            print(*r)
+        print(f"all rows: {mart.root}/quality_report")
     return 0
 
 

@@ -39,6 +39,12 @@ def is_null_or_blank(c: str | Column) -> Column:
     return col(c).isNull() | (F.rtrim(col(c)) == F.lit(""))
 
 
+def key_form(c: Column, is_text: bool = True) -> Column:
+    """The form in which business keys and tracked text are compared: case and
+    trailing blanks do not count.  Values that are not text compare as they are."""
+    return F.lower(F.rtrim(c)) if is_text else c
+
+
 # -- null logic -------------------------------------------------------------
 def keep_unless(predicate: Column) -> Column:
     """Filter for ``DELETE ... WHERE predicate``: rows where it is unknown survive."""

@@ -1,75 +1,71 @@
-"""Join helpers: size-checked broadcast, validity-interval (as-of) join, lateral split."""
+"""Join helpers: null-key spreading, validity-interval (as-of) lookups, lateral split.
+
+No join here carries a size check or a hint of its own (one-row aggregates
+aside): Spark's statistics and AQE choose broadcast or shuffle by bytes, and
+the same plan shape holds at every size.
+"""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from dimwright.functions.semantics import key_form
+from dimwright.operators.keys import materialize
 
-# Lookups and dimensions up to this many rows are broadcast; larger ones fall
-# back to the planner (sort-merge / shuffled hash join, AQE skew handling).
-# Callers broadcast narrow projections (business key, validity, surrogate key:
-# ~100 bytes a row), so the bound keeps a broadcast near 100 MB.
-DEFAULT_BROADCAST_ROWS = 1_000_000
 
+def _fingerprint(keys: list[Column]) -> Column:
+    return F.xxhash64(*[k.cast("string") for k in keys])
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` holds at most ``max_rows`` rows.
 
-    Reads at most ``max_rows + 1`` rows (the limit is pushed into the plan), so
-    the check stays cheap even when the side turns out to be large.
+def _spread(keys: list[Column], by: list[Column]) -> Column:
+    """A second join column: the keys' hash, or for rows with a null key a hash of ``by``.
+
+    Rows with a null key match nothing, but a shuffled join would still send all
+    of them to one task; with this column they scatter.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    null_key = reduce(lambda a, b: a | b, [k.isNull() for k in keys])
+    return F.when(null_key, F.xxhash64(*by)).otherwise(_fingerprint(keys))
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows;
-    beyond the bound it is returned unchanged and Spark shuffles both sides."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+def left_join_spread(left: DataFrame, right: DataFrame, on: str, by: str) -> DataFrame:
+    """``left LEFT JOIN right`` on a column that is null in many rows of ``left``; those scatter by ``by``."""
+    a = left.withColumn("_spread", _spread([left[on]], [left[by]]))
+    b = right.withColumn("_spread", _fingerprint([right[on]]))
+    return a.join(b, [on, "_spread"], "left").drop("_spread")
 
 
-def _lookup_join(facts: DataFrame, d: DataFrame, fact_keys: list[str], cond: list[Column], how: str,
-                 broadcast_rows: int | None) -> DataFrame:
-    """Join ``facts`` to the prepared lookup ``d``.
+def _text(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, T.StringType)
 
-    Broadcast when ``d`` is within the bound.  Otherwise the join shuffles, and
-    rows whose business key is null - which can never match, and could be a
-    large share of the facts (e.g. unpicked orders) - would all hash into one
-    task; they are split off and passed through unmatched instead.  Hot
-    non-null keys are left to AQE's skew-join splitting of the fact side.
-    """
-    bound = DEFAULT_BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
-    if fits_broadcast(d, bound):
-        return facts.join(F.broadcast(d), cond, how)
-    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in fact_keys])
-    joined = facts.filter(has_key).join(d, cond, how)
-    if how != "left":
-        return joined
-    unmatched = facts.filter(~has_key)
-    for f in d.schema.fields:
-        unmatched = unmatched.withColumn(f.name, F.lit(None).cast(f.dataType))
-    return joined.unionByName(unmatched)
-
-
-def left_join_small_preserved(small: DataFrame, big: DataFrame, on: str | list[str],
-                              max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``small LEFT JOIN big`` where the preserved side is the small one
+
+def _lookup_join(facts: DataFrame, d: DataFrame, fact_keys: list[str], n_keys: int, extra: list[Column],
+                 how: str) -> DataFrame:
+    """Join ``facts`` to the prepared lookup ``d`` (key columns ``_dk0``...) in one pass over ``facts``."""
+    fact_side = [key_form(F.col(k), _text(facts, k)) for k in fact_keys]
+    dim_side = [key_form(F.col(f"_dk{i}"), _text(d, f"_dk{i}")) for i in range(n_keys)]
+    f = facts.withColumn("_spread", _spread(fact_side, [facts[c] for c in facts.columns]))
+    d = d.withColumn("_dspread", _fingerprint(dim_side))
+    cond = [a == b for a, b in zip(fact_side, dim_side)] + [F.col("_spread") == F.col("_dspread")] + extra
+    return f.join(d, cond, how).drop("_spread", "_dspread", *[f"_dk{i}" for i in range(n_keys)])
+
+
+def left_join_small_preserved(small: DataFrame, big: DataFrame, on: str | list[str]) -> DataFrame:
+    """``small LEFT JOIN big`` where the preserved side is usually the small one
     (e.g. one day of orders against all order lines).
 
-    An outer hash join can only build its non-preserved side, so broadcasting
-    ``small`` directly is not possible.  Instead the distinct join keys of
-    ``small`` are broadcast (after the size check) and ``big`` is semi-joined
-    against them: it streams through a broadcast hash join and is never
-    shuffled, and only its matching rows reach the final left join.
+    An outer hash join can only build its non-preserved side.  So the distinct
+    join keys of ``small`` are written and ``big`` is semi-joined against
+    them first: the written keys' size is known in bytes, so Spark
+    broadcasts them when they are few - ``big`` then streams past without a
+    shuffle - and shuffles both sides when they are many.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    # Size check on the rows of ``small`` (its distinct keys are never more):
-    # the limit stops the scan after max_rows + 1 rows, whereas checking the
-    # distinct keys would aggregate a large range completely first.
-    if fits_broadcast(small, max_rows):
-        big = big.join(F.broadcast(small.select(*keys).distinct()), keys, "left_semi")
-    return small.join(big, keys, "left")
+    wanted = materialize(small.select(*keys).distinct())
+    return small.join(big.join(wanted, keys, "left_semi"), keys, "left")
 
 
 def single_row_broadcast(one_row: DataFrame) -> DataFrame:
@@ -90,13 +86,15 @@ def asof_lookup(
     date_col: str,
     take: dict[str, str],
     how: str = "left",
-    broadcast_rows: int | None = None,
+    first_covers_earlier: bool = False,
 ) -> DataFrame:
     """Attach dimension columns valid on ``facts[date_col]``.
 
-    Equi-join on the business key plus an inclusive ``StartDate``/``EndDate``
-    residual, so a key with several versions matches exactly one of them.
-    ``take`` maps dimension column -> output name.
+    Equi-join on the business key (case and trailing blanks ignored) plus an
+    inclusive ``StartDate``/``EndDate`` residual, so a key with several versions
+    matches exactly one of them.  ``take`` maps dimension column -> output name.
+    With ``first_covers_earlier`` the first version of each key also covers
+    the dates before its ``StartDate`` (late or backfilled facts).
     """
     d = dim.select(
         *[F.col(k).alias(f"_dk{i}") for i, k in enumerate(dim_keys)],
@@ -104,10 +102,13 @@ def asof_lookup(
         F.col("EndDate").alias("_de"),
         *[F.col(c).alias(o) for c, o in take.items()],
     )
-    cond = [F.col(f) == d[f"_dk{i}"] for i, f in enumerate(fact_keys)]
-    cond.append(valid_on(d["_ds"], d["_de"], F.col(date_col)))
-    out = _lookup_join(facts, d, fact_keys, cond, how, broadcast_rows)
-    return out.drop(*[f"_dk{i}" for i in range(len(dim_keys))], "_ds", "_de")
+    if first_covers_earlier:
+        # One key's versions: bounded by how often that member changed.
+        per_key = Window.partitionBy(*[key_form(F.col(f"_dk{i}"), _text(d, f"_dk{i}")) for i in range(len(dim_keys))])
+        d = d.withColumn("_ds", F.when(F.col("_ds") == F.min("_ds").over(per_key), F.lit("0001-01-01").cast("date"))
+                         .otherwise(F.col("_ds")))
+    valid = valid_on(F.col("_ds"), F.col("_de"), F.col(date_col))
+    return _lookup_join(facts, d, fact_keys, len(dim_keys), [valid], how).drop("_ds", "_de")
 
 
 def key_lookup(
@@ -117,16 +118,13 @@ def key_lookup(
     dim_keys: list[str],
     take: dict[str, str],
     how: str = "left",
-    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Attach columns of a dimension with one row per business key (type 1)."""
     d = dim.select(
         *[F.col(k).alias(f"_dk{i}") for i, k in enumerate(dim_keys)],
         *[F.col(c).alias(o) for c, o in take.items()],
     )
-    cond = [F.col(f) == d[f"_dk{i}"] for i, f in enumerate(fact_keys)]
-    out = _lookup_join(facts, d, fact_keys, cond, how, broadcast_rows)
-    return out.drop(*[f"_dk{i}" for i in range(len(dim_keys))])
+    return _lookup_join(facts, d, fact_keys, len(dim_keys), [], how)
 
 
 def lateral_split(df: DataFrame, column: str, sep: str, out: str | None = None) -> DataFrame:

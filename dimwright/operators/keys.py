@@ -3,7 +3,7 @@
 ``row_number()`` over an unpartitioned window would pull every row into one
 task.  Instead rows are range-partitioned and sorted on the (unique) ordering
 key, each row gets its position inside its partition, partition sizes are
-counted (one small row per partition), and a running sum of those sizes gives
+counted (one small row per partition), and their running sum gives
 each partition's offset.  The key equals ``base + row_number() over (order by
 keys)`` but no step holds more than one partition's rows.
 
@@ -14,7 +14,7 @@ lost and a stage re-runs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimwright.session import ensure_checkpoint_dir, work_path
@@ -33,7 +33,7 @@ def with_dense_keys(
     """Add ``key_col`` = base + 1, base + 2, ... in ``order_by`` order.
 
     ``base`` is an int or a one-row DataFrame with a single column (for example
-    ``dim.agg(max(key))``), so "continue after the highest key" stays lazy.
+    ``dim.agg(max(key))``).
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -47,24 +47,17 @@ def with_dense_keys(
     )
     pid = F.shiftright(F.col("_mid"), _POS_BITS)
     pos = F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    # At most one row per partition: the window over it is bounded by n.
-    sizes = ranged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select(
-        "_pid",
-        F.coalesce(
-            F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("_off"),
-    )
-    keyed = ranged.withColumn("_pid", pid).withColumn("_pos", pos).join(F.broadcast(offsets), "_pid")  # one row per partition
-    if isinstance(base, DataFrame):
-        b = base.select(F.coalesce(F.col(base.columns[0]).cast("long"), F.lit(0)).alias("_base"))
-        keyed = keyed.crossJoin(F.broadcast(b))  # one-row aggregate
-        base_col = F.col("_base")
-    else:
-        base_col = F.lit(int(base))
-    key = (base_col + F.col("_off") + F.col("_pos") + 1).cast(key_type)
-    return keyed.withColumn(key_col, key).drop("_mid", "_pid", "_pos", "_off", "_base")
+    # One count per partition comes to the driver and goes back as one literal
+    # array, so the result is a plain projection of the written copy and its
+    # size stays known to the planner.
+    sizes = {r["_pid"]: r["_n"] for r in ranged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n")).collect()}
+    offsets, total = [], 0
+    for p in range(max(sizes, default=-1) + 1):
+        offsets.append(total)
+        total += sizes.get(p, 0)
+    first = int((base.first()[0] or 0) if isinstance(base, DataFrame) else base)
+    off = F.element_at(F.lit(offsets or [0]), (pid + 1).cast("int")).cast("long")
+    return ranged.withColumn(key_col, (F.lit(first) + off + pos + 1).cast(key_type)).drop("_mid")
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -77,7 +70,7 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = work_path(spark, "materialized")
     df.write.mode("overwrite").parquet(path)  # one job; eager checkpoint() would run two
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def max_key(dim: DataFrame, key_col: str) -> DataFrame:

@@ -4,20 +4,23 @@ and the empty-extract guard.
 Parquet tables have no UPDATE/DELETE/MERGE, and a table must never be
 overwritten while it is being read.  So a dimension load writes the complete
 next version to a new folder and only then records it as current in a small
-manifest; a failed job leaves the previous version current.  The fact is
-partitioned by ``DateKey`` and written with dynamic partition overwrite, so
-re-running a date replaces that date's rows instead of appending duplicates.
+manifest; a failed job leaves the previous version current.  A fact load writes
+its dates to a new run folder, partitioned by ``DateKey``; for every date the
+newest listed run that covers it counts, so re-running a date replaces that
+date's rows - also when the date is empty now.  One manifest append makes
+the dimensions and the fact of a run current together.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from dimwright.session import work_path
+from dimwright.session import delete_path, path_exists, work_path
 
 
 # Fixed value from the reference: the message of its empty-extract error.
@@ -46,7 +49,7 @@ def adds_rows(preload: DataFrame, current: DataFrame) -> bool:
     """
     cur = current.select(*[current[c].alias(f"_c_{c}") for c in preload.columns])
     cond = [preload[c].eqNullSafe(cur[f"_c_{c}"]) for c in preload.columns]
-    return preload.join(cur, cond, "left_anti").limit(1).count() > 0
+    return not preload.join(cur, cond, "left_anti").isEmpty()
 
 
 def replaced_rows(current: DataFrame, preload: DataFrame, key_col: str) -> DataFrame:
@@ -67,103 +70,191 @@ def write_guarded(df: DataFrame, path: str, name: str = "extract", mode: str = "
     return rows
 
 
+FACT = "fact_orders"
+_MANIFEST = "table string, version int, first_key int, last_key int"
+
+
 class Mart:
     """A folder of versioned dimension snapshots plus a date-partitioned fact.
 
     Layout::
 
-        <root>/<table>/v=<n>/part-*.parquet     one folder per published version
-        <root>/_manifest/                       (table, version) rows, appended on publish
-        <root>/fact_orders/DateKey=<yyyymmdd>/   fact partitions
+        <root>/<table>/v=<n>/part-*.parquet               one folder per published version
+        <root>/fact_orders/run=<n>/DateKey=<yyyymmdd>/    one folder per fact load
+        <root>/_manifest/                                 (table, version, dates covered), appended on publish
+
+    One writer at a time: a second one that picks the same number fails, as no
+    folder is ever written twice.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         """Open the mart at ``root``, or start a new one in a fresh folder."""
         self.spark = spark
         self.root = (root or work_path(spark, "mart")).rstrip("/")
-        self._versions: dict[str, int] = {}
+        self._rows: list = []
         if root is not None:
             self._load_manifest()
 
-    def _exists(self, path: str) -> bool:
-        """Whether ``path`` exists, asked of the Hadoop file system behind it."""
-        jvm = self.spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        return hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
-
     def _load_manifest(self) -> None:
-        if not self._exists(f"{self.root}/_manifest"):
-            return
-        try:
-            rows = (
-                self.spark.read.parquet(f"{self.root}/_manifest")
-                .groupBy("table")
-                .agg(F.max("version").alias("version"))
-                .collect()  # one row per table name: bounded by the mart's table count
-            )
-        except Exception:  # noqa: BLE001 - no manifest yet
-            rows = []
-        self._versions = {r["table"]: int(r["version"]) for r in rows}
+        """Read the manifest if there is one; a damaged one is an error, never an empty mart."""
+        if path_exists(self.spark, f"{self.root}/_manifest"):
+            # One row per published table and run: metadata, not data.
+            self._rows = self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/_manifest").collect()
+
+    @property
+    def _versions(self) -> dict[str, int]:
+        out: dict[str, int] = {}
+        for r in self._rows:
+            out[r["table"]] = max(out.get(r["table"], 0), int(r["version"]))
+        return out
 
     def has(self, table: str) -> bool:
         return table in self._versions
 
     def read(self, table: str) -> DataFrame:
-        v = self._versions[table]
-        return self.spark.read.parquet(f"{self.root}/{table}/v={v}")
+        return self.spark.read.parquet(self._path(table, self._versions[table]))
 
-    def publish(self, table: str, df: DataFrame) -> DataFrame:
-        """Write the complete next version of ``table``, then make it current."""
-        return self.publish_many({table: df})[table]
+    def _path(self, table: str, version: int) -> str:
+        return f"{self.root}/{table}/{'run' if table == FACT else 'v'}={version}"
 
-    def publish_many(self, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-        """Write the next version of several tables, then make them current
-        together with one manifest append (nothing is current until all are written)."""
-        versions = {t: self._versions.get(t, 0) + 1 for t in tables}
+    def _next(self, table: str) -> int:
+        """The next number whose folder does not exist (a failed run may have left some)."""
+        n = self._versions.get(table, 0) + 1
+        while path_exists(self.spark, self._path(table, n)):
+            n += 1
+        return n
+
+    # -- writing: folders first, then one manifest append -----------------------
+    def write_versions(self, tables: dict[str, DataFrame]) -> list[tuple]:
+        """Write the complete next version of each table; returns the manifest rows that would list them."""
+        versions = {t: self._next(t) for t in tables}
 
         def write(t: str) -> None:
-            tables[t].write.mode("overwrite").parquet(f"{self.root}/{t}/v={versions[t]}")
+            tables[t].write.mode("error").parquet(self._path(t, versions[t]))
 
         # Independent writes, submitted from parallel threads.
         with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
             list(pool.map(write, tables))
-        self.spark.createDataFrame(list(versions.items()), "table string, version int").write.mode(
-            "append"
-        ).parquet(f"{self.root}/_manifest")
-        self._versions.update(versions)
-        return {t: self.read(t) for t in tables}
+        return [(t, v, None, None) for t, v in versions.items()]
+
+    def read_written(self, rows: list[tuple]) -> dict[str, DataFrame]:
+        """The versions of ``write_versions``, listed or not."""
+        return {t: self.spark.read.parquet(self._path(t, v)) for t, v, _, _ in rows}
+
+    def write_run(self, fact: DataFrame, dates: list[tuple[int, int]]) -> tuple[list[tuple], int]:
+        """Write a fact load covering the date-key ranges ``dates``; returns its manifest rows and its row count."""
+        run = self._next(FACT)
+        obs = Observation(f"fact_{run}")
+        # Rebalance by date: rows of a date go to the same task (one file per
+        # small date), AQE merges small partitions and splits any date larger
+        # than its advisory size over several tasks, so a hot date does not
+        # land in one task.  Unlike a range partitioning it needs no sampling pass.
+        (
+            fact.hint("rebalance", "DateKey").observe(obs, F.count(F.lit(1)).alias("rows"))
+            .write.mode("error").partitionBy("DateKey").parquet(self._path(FACT, run))
+        )
+        return [(FACT, run, a, b) for a, b in dates], int(obs.get["rows"])
+
+    def commit(self, rows: list[tuple]) -> None:
+        """List the written folders, all at once: one file, appended to the manifest."""
+        if rows:
+            listed = self.spark.createDataFrame(rows, _MANIFEST)
+            listed.coalesce(1).write.mode("append").parquet(f"{self.root}/_manifest")
+            self._rows = [*self._rows, *listed.collect()]  # the rows just made here
+
+    def publish(self, table: str, df: DataFrame) -> DataFrame:
+        """Write the complete next version of ``table``, then make it current."""
+        return self.publish_many({table: df})[table]
+
+    def publish_many(self, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Write the next version of several tables, then make them current together."""
+        self._load_manifest()
+        rows = self.write_versions(tables)
+        self.commit(rows)
+        return self.read_written(rows)
 
     def upsert(self, table: str, preload: DataFrame, key_col: str) -> DataFrame:
         """Publish ``current`` upserted with ``preload``; no new version when
         the preload adds nothing (e.g. re-running dates already loaded)."""
+        after = self.upserted(table, preload, key_col)
+        return self.read(table) if after is None else self.publish(table, after)
+
+    def upserted(self, table: str, preload: DataFrame, key_col: str) -> DataFrame | None:
+        """The table after the upsert, or None if that would change nothing."""
         if not self.has(table):
-            return self.publish(table, preload)
+            return preload
         current = self.read(table)
         if not adds_rows(preload.select(*current.columns), current):
-            return current
-        return self.publish(table, upsert_by_key(current, preload, key_col))
+            return None
+        return upsert_by_key(current, preload, key_col)
+
+    def prune(self, keep: int = 2) -> int:
+        """Delete all but the newest ``keep`` versions of each table, and fact loads that no date uses any more.
+        Returns the number of folders deleted."""
+        current = set(self._current_runs().values())
+        gone = []
+        for r in self._rows:
+            t, v = r["table"], int(r["version"])
+            old = v not in current if t == FACT else v <= self._versions[t] - keep
+            path = self._path(t, v)
+            if old and path not in gone and path_exists(self.spark, path):
+                gone.append(path)
+        for path in gone:
+            delete_path(self.spark, path)
+        return len(gone)
 
     # -- fact --------------------------------------------------------------
     @property
     def fact_path(self) -> str:
-        return f"{self.root}/fact_orders"
-
-    def write_fact(self, fact: DataFrame) -> None:
-        """Replace the ``DateKey`` partitions present in ``fact`` (idempotent per date)."""
-        # Rebalance by date: rows of a date go to the same task (one file per
-        # small date), AQE merges small partitions and splits any date larger
-        # than its advisory size over several tasks, so a hot date does not
-        # land in one task.  Unlike a range partitioning it needs no sampling pass.
-        (
-            fact.hint("rebalance", "DateKey")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("DateKey")
-            .parquet(self.fact_path)
-        )
-
-    def read_fact(self) -> DataFrame:
-        return self.spark.read.parquet(self.fact_path)
+        return f"{self.root}/{FACT}"
+
+    def write_fact(self, fact: DataFrame) -> int:
+        """Load ``fact``, replacing the dates it holds (idempotent per date); returns the rows written."""
+        self._load_manifest()
+        days = sorted(r["DateKey"] for r in fact.select("DateKey").distinct().collect())  # one row per date
+        rows, written = self.write_run(fact, [(d, d) for d in days])
+        self.commit(rows)
+        return written
+
+    def _current_runs(self) -> dict[int, int]:
+        """Date key -> the newest load that covers it (one entry per loaded date)."""
+        current: dict[int, int] = {}
+        for r in self._rows:
+            if r["table"] == FACT:
+                for d in date_keys(r["first_key"], r["last_key"]):
+                    current[d] = max(current.get(d, 0), int(r["version"]))
+        return current
+
+    def read_fact(self, first_key: int | None = None, last_key: int | None = None) -> DataFrame:
+        """The current rows of the fact, optionally of a range of date keys.
+
+        A filter on the two partition columns, so folders that no date uses are not read.
+        """
+        current = self._current_runs()
+        by_run: dict[int, list[int]] = {}
+        for d, run in sorted(current.items()):
+            if (first_key is None or d >= first_key) and (last_key is None or d <= last_key):
+                by_run.setdefault(run, []).append(d)
+        all_days = sorted(current)
+        place = {d: i for i, d in enumerate(all_days)}
+        parts: list[Column] = []
+        for run, days in by_run.items():
+            spans: list[list[int]] = []
+            for d in days:  # neighbours in the list of loaded dates join into one range
+                if spans and place[d] == place[spans[-1][1]] + 1:
+                    spans[-1][1] = d
+                else:
+                    spans.append([d, d])
+            of_run = reduce(lambda a, b: a | b, [F.col("DateKey").between(a, b) for a, b in spans])
+            parts.append((F.col("run") == run) & of_run)
+        rows = self.spark.read.parquet(self.fact_path)
+        return rows.filter(reduce(lambda a, b: a | b, parts) if parts else F.lit(False)).drop("run")
+
+
+def date_keys(first: int, last: int) -> list[int]:
+    """The date keys (yyyymmdd) from ``first`` to ``last``."""
+    a, b = (dt.datetime.strptime(str(k), "%Y%m%d").date() for k in (first, last))
+    return [int(f"{d:%Y%m%d}") for d in date_range(a, b)]
 
 
 def date_range(start: dt.date, end: dt.date) -> list[dt.date]:

@@ -3,6 +3,8 @@ duplicate-key counts, min/avg/max summaries."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,24 +24,27 @@ def sql_type_name(dtype: T.DataType) -> str:
     for cls, name in simple.items():
         if isinstance(dtype, cls):
             return name
+    if isinstance(dtype, T.ArrayType):
+        return f"{sql_type_name(dtype.elementType)}[]"
     if isinstance(dtype, T.DecimalType):
         return f"DECIMAL({dtype.precision},{dtype.scale})"
     return dtype.simpleString().upper()
 
 
 def profile_columns(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
-    """(TABLE_NAME, COLUMN_NAME, ORDINAL_POSITION, DATA_TYPE) from the schemas.
+    """(TABLE_NAME, COLUMN_NAME, ORDINAL_POSITION, DATA_TYPE, TABLE_ROWS): one row per column, with the row count of its table.
 
-    Built from metadata only: the rows are the schema's fields, not table data.
+    Names and types come from the schema, the count from the table.
     """
-    rows = [
-        (name, f.name, i + 1, sql_type_name(f.dataType))
-        for name, df in tables.items()
-        for i, f in enumerate(df.schema.fields)
-    ]
-    return spark.createDataFrame(
-        rows, "TABLE_NAME string, COLUMN_NAME string, ORDINAL_POSITION int, DATA_TYPE string"
-    )
+    parts = []
+    for name, df in tables.items():
+        fields = [F.struct(F.lit(f.name).alias("c"), F.lit(i).alias("p"), F.lit(sql_type_name(f.dataType)).alias("t"))
+                  for i, f in enumerate(df.schema.fields, 1)]
+        counted = df.agg(F.count(F.lit(1)).alias("TABLE_ROWS"))
+        parts.append(counted.select("TABLE_ROWS", F.explode(F.array(*fields)).alias("f")).select(
+            F.lit(name).alias("TABLE_NAME"), F.col("f.c").alias("COLUMN_NAME"),
+            F.col("f.p").alias("ORDINAL_POSITION"), F.col("f.t").alias("DATA_TYPE"), "TABLE_ROWS"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def value_counts(df: DataFrame, column: str, alias: str = "N") -> DataFrame:

@@ -23,25 +23,21 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def orphan_keys(fact: DataFrame, references: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Fact foreign-key values without a dimension row.
+    """Fact foreign-key values without a dimension row, from one scan of the fact.
 
     ``references`` maps fact column -> (dimension, dimension key column).
     Result: (KEY_NAME, KEY_VALUE, N) - one row per missing value per key.
     """
-    parts = []
-    for fk, (dim, dim_key) in references.items():
-        keys = dim.select(F.col(dim_key).alias(fk)).distinct()
-        # Count per key first (map-side partial aggregation): only one row per
-        # key value and task is shuffled, so a hot key - such as the unknown
-        # member -1 - cannot pile its raw rows into one task of the anti join.
-        per_key = fact.groupBy(fk).agg(F.count(F.lit(1)).alias("N"))
-        missing = per_key.join(keys, fk, "left_anti")
-        parts.append(
-            missing.select(
-                F.lit(fk).alias("KEY_NAME"), F.col(fk).cast("long").alias("KEY_VALUE"), F.col("N")
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    pairs = ", ".join(f"'{fk}', cast(`{fk}` as bigint)" for fk in references)
+    values = fact.selectExpr(f"stack({len(references)}, {pairs}) as (KEY_NAME, KEY_VALUE)")
+    # Counted before the anti join (map-side partial aggregation): a hot value,
+    # such as the unknown member -1, is one row per task when it shuffles.
+    counted = values.groupBy("KEY_NAME", "KEY_VALUE").agg(F.count(F.lit(1)).alias("N"))
+    known = reduce(DataFrame.unionByName, [
+        dim.select(F.lit(fk).alias("KEY_NAME"), F.col(dim_key).cast("long").alias("KEY_VALUE"))
+        for fk, (dim, dim_key) in references.items()
+    ])
+    return counted.join(known, ["KEY_NAME", "KEY_VALUE"], "left_anti")
 
 
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -50,3 +46,11 @@ def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     wide = df.agg(*[F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(c) for c in cols])
     pairs = ", ".join(f"'{c}', `{c}`" for c in cols)
     return wide.selectExpr(f"stack({len(cols)}, {pairs}) as (COLUMN_NAME, NULL_COUNT)")
+
+
+def required_nulls(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
+    """(TABLE_NAME, COLUMN_NAME, NULL_COUNT) of the columns that must not be null, one aggregate per table."""
+    return reduce(DataFrame.unionByName, [
+        null_counts(df, columns).select(F.lit(name).alias("TABLE_NAME"), "COLUMN_NAME", "NULL_COUNT")
+        for name, (df, columns) in tables.items()
+    ])

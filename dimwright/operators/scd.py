@@ -13,8 +13,18 @@ business key in a single shuffle:
     dimension only             -> missing      : open row closed at end_date
     closed (historic) rows     -> passed through untouched
 
-New and changed rows are numbered together, ordered by business key, after the
-highest key in use.  Applying the same stage twice changes nothing.
+A run may repeat its own date.  An open row that began on ``start_date`` has no
+earlier day to be closed on, so it is settled in place:
+
+    both, tracked cols differ  -> corrected    : new values under the same key and dates
+    dimension only             -> withdrawn    : the version is dropped
+
+A run older than the newest version is refused (``BackdatedRunError``): closing
+or opening versions there would contradict later ones.
+
+Business keys and tracked text compare without regard to case and trailing
+blanks; stage rows with a null business key are left out.  New and changed rows
+are numbered together, ordered by business key, after the highest key in use.
 """
 
 from __future__ import annotations
@@ -24,20 +34,41 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from dimwright.functions.semantics import any_changed
-from dimwright.operators.keys import materialize, max_key, with_dense_keys
+from dimwright.functions.semantics import any_changed, key_form
+from dimwright.operators.keys import max_key, with_dense_keys
 
 NEW, CHANGED, UNCHANGED, MISSING = "new", "changed", "unchanged", "missing"
+CORRECTED, WITHDRAWN = "corrected", "withdrawn"
+
+
+class BackdatedRunError(ValueError):
+    """Raised when a type-2 run is older than the newest version of its dimension."""
+
+
+def _form(df: DataFrame, name: str) -> Column:
+    return key_form(df[name], isinstance(df.schema[name].dataType, T.StringType))
+
+
+def _match_names(keys: list[str]) -> list[str]:
+    return [f"_m{i}" for i in range(len(keys))]
+
+
+def with_match_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with the compared form of each business key column in ``_m0``, ``_m1``, ..."""
+    return df.withColumns({m: _form(df, k) for m, k in zip(_match_names(keys), keys)})
 
 
 def dedupe_by_key(stage: DataFrame, keys: list[str], attrs: list[str]) -> DataFrame:
-    """One row per business key; among duplicates the smallest attribute tuple
-    wins (deterministic, and row-consistent because the struct is taken whole)."""
-    if not attrs:
-        return stage.select(*keys).distinct()
-    pick = F.min(F.struct(*[F.col(a) for a in attrs])).alias("_row")
-    return stage.groupBy(*keys).agg(pick).select(*keys, *[F.col(f"_row.{a}").alias(a) for a in attrs])
+    """One row per business key, plus its compared form; among duplicates the
+    smallest (attributes, key spelling) wins (deterministic, and row-consistent
+    because the struct is taken whole).  Rows with a null key are left out."""
+    named = stage.select(*keys, *attrs).dropna(subset=keys)
+    matched = with_match_keys(named, keys)
+    names = _match_names(keys)
+    pick = F.min(F.struct(*[F.col(c) for c in (*attrs, *keys)])).alias("_row")
+    return matched.groupBy(*names).agg(pick).select(*names, *[F.col(f"_row.{c}").alias(c) for c in (*keys, *attrs)])
 
 
 # -- type 1 --------------------------------------------------------------------
@@ -58,9 +89,10 @@ def scd1(
     if stage_to_dim:
         stage = stage.select(*[F.col(s).alias(d) for s, d in stage_to_dim.items()])
     staged = dedupe_by_key(stage, keys, attrs)
-    known = dim.select(key_col, *keys)
-    matched = staged.join(known, keys, "inner")
-    fresh = staged.join(known, keys, "left_anti")
+    names = _match_names(keys)
+    known = with_match_keys(dim.select(key_col, *keys), keys).select(key_col, *names)
+    matched = staged.join(known, names, "inner")
+    fresh = staged.join(known, names, "left_anti")
     numbered = with_dense_keys(fresh, keys, key_col, base=max_key(dim, key_col))
     cols = [key_col, *keys, *attrs]
     return matched.select(*cols).unionByName(numbered.select(*cols))
@@ -73,37 +105,46 @@ def _lit_date(d: dt.date | str | Column) -> Column:
     return F.lit(str(d)).cast("date")
 
 
+def is_backdated(dim: DataFrame, start) -> bool:
+    """Whether some version begins after ``start`` or was valid on it and has ended."""
+    day = _lit_date(start)
+    later = dim.agg(F.max((F.col("StartDate") > day) | (F.col("EndDate") >= day)).alias("later"))
+    return bool(later.first()["later"])
+
+
 def scd2_classify(
     stage: DataFrame,
     dim: DataFrame,
     key: str,
     tracked: list[str],
+    start_date,
     stage_to_dim: dict[str, str] | None = None,
     null_safe: bool = True,
 ) -> DataFrame:
     """Full outer join of stage and open rows with a ``_status`` column.
 
-    Output columns: key, ``s_<col>`` (stage values), ``d_<col>`` (open dimension
-    row incl. key/StartDate/EndDate, via ``d_`` prefix), ``_status``.
+    Output columns: key (the stage's spelling, else the dimension's), ``s_<col>``
+    (stage values), ``d_<col>`` (open dimension row), ``_status``.
     """
     if stage_to_dim:
         stage = stage.select(*[F.col(s).alias(d) for s, d in stage_to_dim.items()])
     staged = dedupe_by_key(stage, [key], tracked).select(
-        F.col(key), F.lit(True).alias("_in_stage"), *[F.col(c).alias(f"s_{c}") for c in tracked]
+        "_m0", F.lit(True).alias("_in_stage"), F.col(key).alias(f"s_{key}"),
+        *[F.col(c).alias(f"s_{c}") for c in tracked]
     )
-    dim_cols = [c for c in dim.columns if c != key]
-    open_rows = dim.filter(F.col("EndDate").isNull()).select(
-        F.col(key), F.lit(True).alias("_in_dim"), *[F.col(c).alias(f"d_{c}") for c in dim_cols]
+    open_rows = with_match_keys(dim.filter(F.col("EndDate").isNull()), [key]).select(
+        "_m0", F.lit(True).alias("_in_dim"), *[F.col(c).alias(f"d_{c}") for c in dim.columns]
     )
-    j = staged.join(open_rows, [key], "full_outer")
-    changed = any_changed([(F.col(f"s_{c}"), F.col(f"d_{c}")) for c in tracked], null_safe)
+    j = staged.join(open_rows, ["_m0"], "full_outer")
+    changed = any_changed([(_form(j, f"s_{c}"), _form(j, f"d_{c}")) for c in tracked], null_safe)
+    same_day = F.col("d_StartDate") == _lit_date(start_date)
     status = (
         F.when(F.col("_in_dim").isNull(), F.lit(NEW))
-        .when(F.col("_in_stage").isNull(), F.lit(MISSING))
-        .when(changed, F.lit(CHANGED))
+        .when(F.col("_in_stage").isNull(), F.when(same_day, F.lit(WITHDRAWN)).otherwise(F.lit(MISSING)))
+        .when(changed, F.when(same_day, F.lit(CORRECTED)).otherwise(F.lit(CHANGED)))
         .otherwise(F.lit(UNCHANGED))
     )
-    return j.withColumn("_status", status)
+    return j.withColumn("_status", status).withColumn(key, F.coalesce(f"s_{key}", f"d_{key}"))
 
 
 def scd2_branches(
@@ -118,50 +159,50 @@ def scd2_branches(
     null_safe: bool = True,
     report: dict | None = None,
 ) -> dict[str, DataFrame]:
-    """The four disjoint preload branches plus the untouched history.
+    """The disjoint preload branches plus the untouched history.
 
     If ``report`` is given, ``report["changed"]`` tells whether the version
-    differs from ``dim`` at all (new versions or closings), read from the
-    already materialised classification - no extra join.
+    differs from ``dim`` at all, read from the already written classification.
 
     ``changed``  new versions of changed rows          (new keys)
-    ``closed``   open rows: superseded ones closed, unchanged ones carried
+    ``closed``   open rows: superseded ones closed, unchanged ones carried, same-day ones corrected
     ``new``      first versions of new business keys   (new keys)
     ``expired``  open rows missing from the stage, closed
     ``history``  closed rows, untouched
     """
-    # The classification (the one shuffle join) feeds both the numbered new
-    # versions and the carried / closed rows: write it once instead of
-    # running the join twice.
-    cls = materialize(scd2_classify(stage, dim, key, tracked, stage_to_dim, null_safe))
+    if is_backdated(dim, start_date):
+        raise BackdatedRunError(f"{key_col}: a version is newer than {start_date}")
     out_cols = [key_col, key, *tracked, "StartDate", "EndDate"]
     start, end = _lit_date(start_date), _lit_date(end_date)
-
-    versions = cls.filter(F.col("_status").isin(NEW, CHANGED)).select(
-        F.col(key), F.col("_status"), *[F.col(f"s_{c}").alias(c) for c in tracked]
-    )
-    numbered = with_dense_keys(versions, [key], key_col, base=max_key(dim, key_col))
-    numbered = numbered.withColumn("StartDate", start).withColumn("EndDate", F.lit(None).cast("date"))
+    # The classification (the one shuffle join) is written once, by the key
+    # numbering: new versions sort first, so their positions are dense.
+    old = ~F.col("_status").isin(NEW, CHANGED)
+    cls = with_dense_keys(
+        scd2_classify(stage, dim, key, tracked, start_date, stage_to_dim, null_safe).withColumn("_old", old),
+        ["_old", key], "_new_key", base=max_key(dim, key_col))
     if report is not None:
-        report["changed"] = (numbered.limit(1).count() > 0
-                             or cls.filter(F.col("_status") == MISSING).limit(1).count() > 0)
+        report["changed"] = not cls.filter(F.col("_status") != UNCHANGED).isEmpty()
 
-    def old_rows(statuses: list[str], closing: bool) -> DataFrame:
-        rows = cls.filter(F.col("_status").isin(*statuses))
-        end_col = F.when(F.col("_status").isin(CHANGED, MISSING), end) if closing else F.lit(None).cast("date")
-        return rows.select(
+    def versions(status: str) -> DataFrame:
+        return cls.filter(F.col("_status") == status).select(
+            F.col("_new_key").alias(key_col), key, *[F.col(f"s_{c}").alias(c) for c in tracked],
+            start.alias("StartDate"), F.lit(None).cast("date").alias("EndDate"))
+
+    def old_rows(statuses: list[str]) -> DataFrame:
+        corrected = F.col("_status") == CORRECTED
+        return cls.filter(F.col("_status").isin(*statuses)).select(
             F.col(f"d_{key_col}").alias(key_col),
-            F.col(key),
-            *[F.col(f"d_{c}").alias(c) for c in tracked],
+            F.when(corrected, F.col(f"s_{key}")).otherwise(F.col(f"d_{key}")).alias(key),
+            *[F.when(corrected, F.col(f"s_{c}")).otherwise(F.col(f"d_{c}")).alias(c) for c in tracked],
             F.col("d_StartDate").alias("StartDate"),
-            end_col.cast("date").alias("EndDate"),
+            F.when(F.col("_status").isin(CHANGED, MISSING), end).cast("date").alias("EndDate"),
         )
 
     return {
-        "changed": numbered.filter(F.col("_status") == CHANGED).select(*out_cols),
-        "closed": old_rows([CHANGED, UNCHANGED], closing=True),
-        "new": numbered.filter(F.col("_status") == NEW).select(*out_cols),
-        "expired": old_rows([MISSING], closing=True),
+        "changed": versions(CHANGED).select(*out_cols),
+        "closed": old_rows([CHANGED, UNCHANGED, CORRECTED]),
+        "new": versions(NEW).select(*out_cols),
+        "expired": old_rows([MISSING]),
         "history": dim.filter(F.col("EndDate").isNotNull()).select(*out_cols),
     }
 
@@ -181,4 +222,3 @@ def scd2(
     """The whole next version of a type-2 dimension (every row, old and new)."""
     parts = scd2_branches(stage, dim, key, tracked, key_col, start_date, end_date, stage_to_dim, null_safe, report)
     return reduce(DataFrame.unionByName, parts.values())
-

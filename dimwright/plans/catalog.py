@@ -9,6 +9,7 @@ expression over the real rows, written identically in its SQL oracle.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,18 +18,20 @@ from pyspark.sql import functions as F
 from dimwright.functions import dates as fd
 from dimwright.functions.measures import total_after_tax, total_before_tax
 from dimwright.functions.semantics import (
-    avg_rounded, eq_ci, is_null_or_blank, like_ci, percentage, to_whole_decimal,
+    any_changed, avg_rounded, eq_ci, is_null_or_blank, like_ci, percentage, to_whole_decimal,
 )
 from dimwright.operators import grouped, profile, quality
-from dimwright.operators.joins import bounded_broadcast, lateral_split, single_row_broadcast
-from dimwright.operators.keys import with_dense_keys
+from dimwright.operators.joins import asof_lookup, lateral_split, left_join_spread, single_row_broadcast
+from dimwright.operators.keys import materialize, with_dense_keys
+from dimwright.operators.scd import with_match_keys
 from dimwright.operators.load import Mart, replaced_rows, upsert_by_key, write_guarded
+from dimwright.plans import changing
 from dimwright.plans import extract as ex
 from dimwright.plans import listings as L
 from dimwright.plans import mart as M
 from dimwright.sources.listing import country_lookup, listings_raw
 from dimwright.sources.oltp import Oltp
-from dimwright.sources.tables import read_table
+from dimwright.sources.tables import TABLES, read_table
 from dimwright.session import work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,24 +112,24 @@ def upsert_by_key_q(spark, d):
 def view_total_count(spark, d):
     lst = clean(spark, d)
     total = lst.agg(F.count(to_whole_decimal("RestaurantID")).alias("TOTAL_REST"))
-    lst.select("COUNTRY_NAME").distinct().crossJoin(single_row_broadcast(total)).createOrReplaceTempView("TOTAL_COUNT")
-    return spark.table("TOTAL_COUNT")
+    name = f"total_count_{uuid.uuid4().hex}"  # no other view of the session is replaced
+    lst.select("COUNTRY_NAME").distinct().crossJoin(single_row_broadcast(total)).createOrReplaceTempView(name)
+    return spark.table(name)
 
 
 @query("cte_chain")
 def cte_chain(spark, d):
+    """Two chained CTEs: localities of the home country by size, then those of the first rank."""
     # The listing is bound as a query argument ({listing}), not a shared temp view.
     return spark.sql(f"""
-        WITH ct1 AS (
-            SELECT COUNTRY_NAME, City, Locality, COUNT(RestaurantID) AS REST_COUNT
-            FROM {{listing}} WHERE lower(COUNTRY_NAME) = '{L.HOME_COUNTRY.lower()}'
-            GROUP BY COUNTRY_NAME, City, Locality),
-        ct2 AS (
-            SELECT c.COUNTRY_NAME, c.City, c.Locality, c.REST_COUNT
-            FROM ct1 c JOIN (SELECT MAX(REST_COUNT) AS m FROM ct1) x ON c.REST_COUNT = x.m)
-        SELECT ct2.Locality, ct2.REST_COUNT, l.Cuisines
-        FROM ct2 JOIN {{listing}} l
-          ON l.COUNTRY_NAME = ct2.COUNTRY_NAME AND l.City = ct2.City AND l.Locality = ct2.Locality
+        WITH sizes AS (
+            SELECT COUNTRY_NAME, City, Locality, count(RestaurantID) AS REST_COUNT
+            FROM {{listing}}
+            WHERE lower(COUNTRY_NAME) = '{L.HOME_COUNTRY.lower()}'
+            GROUP BY ALL),
+        largest AS (SELECT * FROM sizes WHERE REST_COUNT >= (SELECT max(REST_COUNT) FROM sizes))
+        SELECT Locality, REST_COUNT, Cuisines
+        FROM largest JOIN {{listing}} USING (COUNTRY_NAME, City, Locality)
     """, listing=clean(spark, d))
 
 
@@ -135,12 +138,9 @@ def profile_columns_q(spark, d):
     return profile.profile_columns(spark, {"part": read_table(spark, d, "part")})
 
 
-MART_SOURCE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
-
-
 @query("profile_tables")
 def profile_tables_q(spark, d):
-    return profile.profile_columns(spark, {t: read_table(spark, d, t) for t in MART_SOURCE_TABLES})
+    return profile.profile_columns(spark, {t: read_table(spark, d, t) for t in TABLES})
 
 
 @query("extract_date_slice")
@@ -269,7 +269,7 @@ def update_from_lookup(spark, d):
 @query("join_inner")
 def join_inner(spark, d):
     lst = raw(spark, d)
-    c = bounded_broadcast(country_lookup(spark, d).withColumnRenamed("COUNTRYCODE", "_code"))
+    c = country_lookup(spark, d).withColumnRenamed("COUNTRYCODE", "_code")
     return lst.join(c, lst.CountryCode == c._code, "inner").select("RestaurantID", "CountryCode", "COUNTRY")
 
 
@@ -396,7 +396,7 @@ def grand_total_window(spark, d):
 
 @query("sort_desc")
 def sort_desc(spark, d):
-    return profile.value_counts(clean(spark, d), "Currency").orderBy(F.desc("N"))
+    return profile.value_counts(clean(spark, d), "Currency").orderBy(F.desc("N"), "Currency")
 
 
 @query("sort_mixed")
@@ -556,9 +556,8 @@ def src_of(spark, d) -> Oltp:
 @query("join_left")
 def join_left(spark, d):
     src = src_of(spark, d)
-    pickers = bounded_broadcast(src.people.select(F.col("PersonID").alias("PickedByPersonID"),
-                                                  F.col("LogonName").alias("PickerLogon")))
-    return src.orders().join(pickers, "PickedByPersonID", "left").select("OrderID", "PickerLogon")
+    pickers = src.people.select(F.col("PersonID").alias("PickedByPersonID"), F.col("LogonName").alias("PickerLogon"))
+    return left_join_spread(src.orders(), pickers, "PickedByPersonID", by="OrderID").select("OrderID", "PickerLogon")
 
 
 @query("join_snowflake")
@@ -617,13 +616,15 @@ def rowcount_guard(spark, d):
 # =====================================================================
 # Type-1 dimensions: the dimension before is derived from the sources
 # (even city ids / every fourth salesperson already known, names of the
-# known salespeople changed so the type-1 overwrite shows).
+# known salespeople changed so the type-1 overwrite shows; some business keys
+# are spelled in other case or with a trailing blank, which must not matter).
 # =====================================================================
 def cities_before(src: Oltp) -> DataFrame:
     det = ex.city_details(src).filter(F.col("CityID") % 2 == 0)
     return det.select(
         (F.col("CityID") + 1).cast("long").alias("CityKey"),
-        "CityName",
+        F.when(F.col("CityID") % 4 == 0, F.concat(F.lower("CityName"), F.lit(" "))).otherwise(F.col("CityName"))
+        .alias("CityName"),
         F.col("StateProvinceName").alias("StateProvName"),
         "CountryName",
         F.col("StateProvinceCode").alias("StateProvCode"),
@@ -634,7 +635,8 @@ def cities_before(src: Oltp) -> DataFrame:
 def salespeople_before(src: Oltp) -> DataFrame:
     sp = src.people.filter((F.col("IsSalesperson") == 1) & (F.col("PersonID") % 4 == 0))
     return sp.select(
-        (F.col("PersonID") + 1).cast("long").alias("SalespersonKey"), "LogonName",
+        (F.col("PersonID") + 1).cast("long").alias("SalespersonKey"),
+        F.when(F.col("PersonID") % 8 == 0, F.upper("LogonName")).otherwise(F.col("LogonName")).alias("LogonName"),
         F.concat(F.lit("OLD "), F.col("FullName")).alias("FullName"),
         "PreferredName", "PhoneNumber", "FaxNumber", "EmailAddress",
     )
@@ -647,20 +649,26 @@ def delivery_cities_stage(src: Oltp) -> DataFrame:
     )
 
 
+CITY_KEYS = ["CityName", "StateProvName", "CountryName"]
+
+
+def _city_match(src: Oltp) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Delivery cities and known cities with the compared form of their three-part key."""
+    names = [f"_m{i}" for i in range(len(CITY_KEYS))]
+    known = with_match_keys(cities_before(src), CITY_KEYS).select("CityKey", *names)
+    return with_match_keys(delivery_cities_stage(src), CITY_KEYS), known, names
+
+
 @query("join_composite")
 def join_composite(spark, d):
-    src = src_of(spark, d)
-    return delivery_cities_stage(src).join(
-        cities_before(src), ["CityName", "StateProvName", "CountryName"], "inner"
-    ).select("CustomerName", "CityKey")
+    stage, known, names = _city_match(src_of(spark, d))
+    return stage.join(known, names, "inner").select("CustomerName", "CityKey")
 
 
 @query("anti_join_composite")
 def anti_join_composite(spark, d):
-    src = src_of(spark, d)
-    return delivery_cities_stage(src).join(
-        cities_before(src), ["CityName", "StateProvName", "CountryName"], "left_anti"
-    ).select("CustomerName", "CityName", "StateProvName", "CountryName")
+    stage, known, names = _city_match(src_of(spark, d))
+    return stage.join(known, names, "left_anti").select("CustomerName", *CITY_KEYS)
 
 
 @query("scd1_cities")
@@ -745,12 +753,12 @@ def filter_open_rows(spark, d):
 
 def _stage_vs_open(spark, d):
     dim, stage, spec, d0 = M.scd2_inputs(src_of(spark, d), "customers")
+    dim, stage = with_match_keys(dim, ["CustomerName"]), with_match_keys(stage, ["CustomerName"])
     open_rows = dim.filter(F.col("EndDate").isNull()).select(
-        "CustomerKey", "CustomerName", *[F.col(a).alias(f"OLD_{a}") for a in spec.attrs]
+        "CustomerKey", "_m0", *[F.col(a).alias(f"OLD_{a}") for a in spec.attrs]
     )
-    from dimwright.functions.semantics import any_changed
     changed = any_changed([(stage[a], open_rows[f"OLD_{a}"]) for a in spec.attrs])
-    return stage.join(open_rows, "CustomerName", "inner").filter(changed), dim, stage, spec, d0
+    return stage.join(open_rows, "_m0", "inner").filter(changed), dim, stage, spec, d0
 
 
 @query("changed_rows")
@@ -768,8 +776,8 @@ def join_residual(spark, d):
 
 def _left_on_open(spark, d):
     j, dim, _, _, d0 = _stage_vs_open(spark, d)
-    pl = j.select(F.col("CustomerName").alias("PL_NAME"))
-    joined = dim.join(pl, (dim.CustomerName == pl.PL_NAME) & dim.EndDate.isNull(), "left")
+    pl = j.select(F.col("CustomerName").alias("PL_NAME"), F.col("_m0").alias("_pl"))
+    joined = dim.join(pl, (dim["_m0"] == pl["_pl"]) & dim.EndDate.isNull(), "left")
     return joined, d0
 
 
@@ -789,7 +797,8 @@ def fn_case_null(spark, d):
 @query("anti_join")
 def anti_join(spark, d):
     dim, stage, _, _ = M.scd2_inputs(src_of(spark, d), "customers")
-    return stage.join(dim.select("CustomerName"), "CustomerName", "left_anti").select("CustomerName")
+    known = with_match_keys(dim, ["CustomerName"]).select("_m0")
+    return with_match_keys(stage, ["CustomerName"]).join(known, "_m0", "left_anti").select("CustomerName")
 
 
 @query("replaced_rows")
@@ -799,18 +808,64 @@ def replaced_rows_q(spark, d):
     return replaced_rows(dim.select(*spec.columns), pre, spec.key_col)
 
 
-@query("load_dimension")
-def load_dimension(spark, d):
-    dim, stage, spec, d0 = M.scd2_inputs(src_of(spark, d), "customers")
+def _load_type2(spark, d, which: str) -> DataFrame:
+    dim, stage, spec, d0 = M.scd2_inputs(src_of(spark, d), which)
     mart = Mart(spark)
     mart.publish(spec.name, dim.select(*spec.columns))
     pre = M.apply_scd2(spec, stage, mart.read(spec.name), d0 + dt.timedelta(days=1), d0)
     return mart.upsert(spec.name, pre.select(*spec.columns), spec.key_col)
 
 
+def _load_type1(spark, spec: M.DimSpec, stage: DataFrame, before: DataFrame) -> DataFrame:
+    mart = Mart(spark)
+    mart.publish(spec.name, before.select(*spec.columns))
+    pre = M.apply_scd1(spec, stage, mart.read(spec.name))
+    return mart.upsert(spec.name, pre.select(*spec.columns), spec.key_col)
+
+
+@query("load_dimension")
+def load_dimension(spark, d):
+    return _load_type2(spark, d, "customers")
+
+
+@query("load_products")
+def load_products(spark, d):
+    return _load_type2(spark, d, "products")
+
+
+@query("load_picking_staff")
+def load_picking_staff(spark, d):
+    return _load_type2(spark, d, "picking_staff")
+
+
+@query("load_cities")
+def load_cities(spark, d):
+    src = src_of(spark, d)
+    return _load_type1(spark, M.CITIES, ex.extract_customers(src), cities_before(src))
+
+
+@query("load_salespeople")
+def load_salespeople(spark, d):
+    src = src_of(spark, d)
+    return _load_type1(spark, M.SALESPEOPLE, ex.extract_salespeople(src), salespeople_before(src))
+
+
+@query("scd2_same_date_correction")
+def scd2_same_date_correction(spark, d):
+    """The run of the day is repeated with a corrected stage: of the members opened that day, names ending in 7
+    or 9 get another category (same key), names ending in 5 are gone (withdrawn)."""
+    dim, stage, spec, d0 = M.scd2_inputs(src_of(spark, d), "customers")
+    day = d0 + dt.timedelta(days=1)
+    first = materialize(M.apply_scd2(spec, stage, dim, day, d0))
+    last = F.right(F.rtrim("CustomerName"), F.lit(1))
+    corrected = stage.filter(last != "5").withColumn("CustomerCategoryName", F.when(
+        last.isin("7", "9"), F.concat(F.lit("FIX "), F.col("CustomerCategoryName"))).otherwise(
+        F.col("CustomerCategoryName")))
+    return M.apply_scd2(spec, corrected, first, day, d0)
+
+
 @query("join_asof_dimension")
 def join_asof_dimension(spark, d):
-    from dimwright.operators.joins import asof_lookup
     src = src_of(spark, d)
     versions = M.scd2_run(src, "customers")
     orders = src.orders().join(src.customers.select("CustomerID", "CustomerName"), "CustomerID", "left")
@@ -913,6 +968,13 @@ def daily_run(spark, d):
     return M.daily_run(src_of(spark, d))
 
 
+@query("daily_run_changing_source")
+def daily_run_changing_source(spark, d):
+    """Three runs over a source whose members change in between; sales by the values valid at the time."""
+    mart = changing.run_periods(spark, d)
+    return changing.sales(mart)
+
+
 @query("dq_duplicate_keys")
 def dq_duplicate_keys(spark, d):
     return quality.duplicate_keys(src_of(spark, d).order_lines, ["OrderID", "LineNumber"])
@@ -939,7 +1001,11 @@ def dq_orphan_keys(spark, d):
 
 @query("dq_null_counts")
 def dq_null_counts(spark, d):
-    return quality.null_counts(ex.extract_orders(src_of(spark, d)))
+    """Nulls per column of the orders stage, and in the NOT NULL columns of the mart."""
+    src, dims, fact = _initial_mart(spark, d)
+    stage = quality.null_counts(ex.extract_orders(src)).select(
+        F.lit("orders_stage").alias("TABLE_NAME"), "COLUMN_NAME", "NULL_COUNT")
+    return stage.unionByName(M.mart_nulls(dims, M.dim_date_for_orders(src), fact))
 
 
 @query("mart_summary")

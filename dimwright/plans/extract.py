@@ -1,8 +1,9 @@
 """Extracts from the order database into stage-shaped DataFrames.
 
-Stages stay lazy; the small lookups (cities, categories, colours) are joined
-through ``bounded_broadcast`` and the large ones (customers, order lines,
-stock items) are left to the planner, which shuffles on the join key.
+Stages stay lazy and joins carry no hints: the planner broadcasts the small
+lookups (cities, categories, colours) by their size in bytes and shuffles the
+large ones (customers, order lines, stock items) on the join key.  Keys that are
+null in many rows (pickers, items of orders without lines) are spread.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimwright.operators.joins import left_join_small_preserved
+from dimwright.operators.joins import left_join_small_preserved, left_join_spread
 from dimwright.sources.oltp import Oltp
 
 CITY_DETAIL_COLUMNS = ("CityName", "StateProvinceCode", "StateProvinceName", "CountryName", "FormalName")
@@ -113,9 +114,8 @@ def order_lines_wide(src: Oltp, start: dt.date | None = None, end: dt.date | Non
         with_customer = orders.join(cust_cols(src), "CustomerID", "left")
         with_lines = with_customer.join(src.order_lines, "OrderID", "left")
     else:
-        # A date range: the day's orders are usually small.  After the size
-        # check they are broadcast and customers / order lines stream past them
-        # without a shuffle (left joins written as right joins).
+        # A date range: usually few orders, so customers and order lines are
+        # reduced to the range's keys first instead of being shuffled whole.
         with_customer = left_join_small_preserved(orders, cust_cols(src), "CustomerID")
         with_lines = left_join_small_preserved(with_customer, src.order_lines, "OrderID")
     details = src.lookup("city_details", city_details)
@@ -123,19 +123,11 @@ def order_lines_wide(src: Oltp, start: dt.date | None = None, end: dt.date | Non
     sales = people.select(F.col("PersonID").alias("SalespersonPersonID"), F.col("LogonName"))
     pickers = people.select(F.col("PersonID").alias("PickedByPersonID"), F.col("LogonName").alias("PickingStaffName"))
     items = src.stock_items.select("StockItemID", "StockItemName")
-    return (
-        with_lines
-        .join(sales, "SalespersonPersonID", "left")
-        .join(
-            details.select(
-                F.col("CityID").alias("DeliveryCityID"), "CityName", "StateProvinceName", "CountryName"
-            ),
-            "DeliveryCityID",
-            "left",
-        )
-        .join(items, "StockItemID", "left")
-        .join(pickers, "PickedByPersonID", "left")
-    )
+    places = details.select(
+        F.col("CityID").alias("DeliveryCityID"), "CityName", "StateProvinceName", "CountryName")
+    with_place = with_lines.join(sales, "SalespersonPersonID", "left").join(places, "DeliveryCityID", "left")
+    with_item = left_join_spread(with_place, items, "StockItemID", by="OrderID")
+    return left_join_spread(with_item, pickers, "PickedByPersonID", by="OrderID")
 
 
 def extract_orders(src: Oltp, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:

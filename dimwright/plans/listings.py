@@ -21,7 +21,7 @@ from dimwright.functions.semantics import (
     to_whole_decimal,
 )
 from dimwright.operators import grouped
-from dimwright.operators.joins import bounded_broadcast, lateral_split
+from dimwright.operators.joins import lateral_split
 
 # Fixed values from the reference's cleaning script (they must match exactly):
 # country codes that are fragments of misparsed rows, and one bad listing id.
@@ -63,7 +63,6 @@ def update_from_lookup(df: DataFrame, lookup: DataFrame, df_key: str, lookup_key
         lookup.select(F.col(lookup_key).alias("_lookup_key"), F.col(lookup_value).alias("_lookup_value")),
         "_lookup_key", "_lookup_value",
     )
-    small = bounded_broadcast(small, 1_000_000)
     joined = df.join(small, df[df_key] == small["_lookup_key"], "left")
     current = F.col(target) if target in df.columns else F.lit(None).cast("string")
     return joined.withColumn(target, F.coalesce(F.col("_lookup_value"), current)).drop("_lookup_key", "_lookup_value")
@@ -155,12 +154,13 @@ def _id_numeric():
 
 
 def country_share(listing: DataFrame) -> DataFrame:
-    return grouped.share_of_total(listing, "COUNTRY_NAME", _id_numeric(), "REST_COUNT", "PCT").orderBy(F.desc("PCT"))
+    return grouped.share_of_total(listing, "COUNTRY_NAME", _id_numeric(), "REST_COUNT", "PCT").orderBy(
+        F.desc("PCT"), "COUNTRY_NAME")
 
 
 def listings_per_country(listing: DataFrame) -> DataFrame:
     return listing.groupBy("COUNTRY_NAME").agg(F.count(_id_numeric()).alias("REST_COUNT")).orderBy(
-        F.desc("REST_COUNT")
+        F.desc("REST_COUNT"), "COUNTRY_NAME"
     )
 
 
@@ -168,7 +168,7 @@ def online_share(listing: DataFrame) -> DataFrame:
     return grouped.share_within_group(
         listing, "COUNTRY_NAME", eq_ci("Has_Online_delivery", "yes"), F.col("RestaurantID"),
         "TOTAL_REST", "PCT",
-    ).orderBy(F.desc("TOTAL_REST"))
+    ).orderBy(F.desc("TOTAL_REST"), "COUNTRY_NAME")
 
 
 def locality_counts(listing: DataFrame, country: str = HOME_COUNTRY) -> DataFrame:
@@ -187,7 +187,7 @@ def busiest_locality(listing: DataFrame, country: str = HOME_COUNTRY) -> DataFra
 def quietest_localities(listing: DataFrame, country: str = HOME_COUNTRY) -> DataFrame:
     return grouped.argmin_groups(locality_counts(listing, country), "REST_COUNT").select(
         "City", "Locality", "REST_COUNT"
-    ).orderBy("City")
+    ).orderBy("City", "Locality")
 
 
 def winner_rows(listing: DataFrame, country: str = HOME_COUNTRY) -> DataFrame:
@@ -195,12 +195,12 @@ def winner_rows(listing: DataFrame, country: str = HOME_COUNTRY) -> DataFrame:
 
     Joined on (country, city, locality), so a homonymous locality elsewhere
     does not leak in.  The winners are usually a handful of rows, but ties are
-    data-dependent (uniform counts make every group a winner), so the
-    broadcast goes through the size check.
+    data-dependent (uniform counts make every group a winner), so how they are
+    joined is left to AQE.
     """
     keys = ["COUNTRY_NAME", "City", "Locality"]
     winners = grouped.argmax_groups(locality_counts(listing, country), "REST_COUNT").select(*keys)
-    return listing.join(bounded_broadcast(winners), keys, "left_semi")
+    return listing.join(winners, keys, "left_semi")
 
 
 def busiest_locality_menus(listing: DataFrame, country: str = HOME_COUNTRY) -> DataFrame:
@@ -213,7 +213,7 @@ def busiest_locality_cuisines(listing: DataFrame, country: str = HOME_COUNTRY) -
         items.groupBy("Locality", "Cuisines")
         .agg(F.count(F.col("Cuisines")).alias("N"))
         .select("Cuisines", "N")
-        .orderBy(F.desc("N"))
+        .orderBy(F.desc("N"), "Cuisines")
     )
 
 
@@ -225,7 +225,7 @@ def busiest_locality_booking(listing: DataFrame, country: str = HOME_COUNTRY) ->
 def booking_vs_rating(listing: DataFrame, locality: str = FOCUS_LOCALITY) -> DataFrame:
     """Count and average rating with and without table booking in one locality
     (two branches, UNION: an empty branch still yields its row)."""
-    here = listing.filter(F.col("Locality") == F.lit(locality))
+    here = listing.filter(eq_ci("Locality", locality))
 
     def branch(label: str, answer: str) -> DataFrame:
         return here.filter(eq_ci("Has_Table_booking", answer)).agg(
@@ -244,15 +244,12 @@ def location_ratings(listing: DataFrame) -> DataFrame:
             F.count(F.col("RestaurantID")).alias("TOTAL_REST"),
             avg_rounded(to_whole_decimal("Rating"), 2).alias("AVG_RATING"),
         )
-        .orderBy(F.desc("TOTAL_REST"))
+        .orderBy(F.desc("TOTAL_REST"), "COUNTRY_NAME", "City", "Locality")
     )
 
 
-# Q15 thresholds on the driver's tables (the reference: votes > 1000, cost < 1000,
-# cuisines like '%INDIA%').
-BEST_MODERATE = dict(max_price=3, min_votes=20, max_cost=990.0, min_rating=4.0, cuisine="%e%")
-
-
+# Defaults are the Q15 thresholds on the driver's tables (the reference: votes > 1000,
+# cost < 1000, cuisines like '%INDIA%').
 def best_moderate_cost(listing: DataFrame, country: str = HOME_COUNTRY, max_price: int = 3,
                        min_votes: int = 20, max_cost: float = 990.0, min_rating: float = 4.0,
                        cuisine: str = "%e%") -> DataFrame:

@@ -11,6 +11,7 @@ import datetime as dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,11 +19,13 @@ from pyspark.sql import types as T
 
 from dimwright.functions.dates import calendar_columns, date_key
 from dimwright.functions.measures import total_after_tax, total_before_tax
-from dimwright.operators import scd
-from dimwright.operators.joins import asof_lookup, bounded_broadcast, key_lookup, single_row_broadcast
+from dimwright.operators import quality, scd
+from dimwright.operators.joins import asof_lookup, key_lookup, single_row_broadcast
 from dimwright.operators.keys import materialize, with_dense_keys
-from dimwright.operators.load import Mart, adds_rows, upsert_by_key, write_guarded
+from dimwright.operators.load import Mart, write_guarded
 from dimwright.plans import extract as ex
+from dimwright.plans.schemas import SCHEMAS, conform
+from dimwright.session import scratch
 from dimwright.sources.oltp import Oltp
 
 UNKNOWN_KEY = -1
@@ -151,7 +154,8 @@ def scd2_fixture(stage_with_id: DataFrame, id_col: str, spec: DimSpec, d0: dt.da
     By ``id % 10``: 9 only in the stage (new); 8 only in the dimension
     (missing); 7 first tracked column changed; 6 unchanged plus an older closed
     version; 5 only a closed version, back in the stage; 4 first tracked column
-    null in the dimension (a null-to-value change); others unchanged.
+    null in the dimension (a null-to-value change); 3 unchanged, but the stage
+    spells the business key in capitals with a trailing blank; others unchanged.
     The dimension's open rows start on ``d0`` and use key ``id + 1``; older
     versions use key ``id + 2 + max(id)``.
     """
@@ -183,7 +187,8 @@ def scd2_fixture(stage_with_id: DataFrame, id_col: str, spec: DimSpec, d0: dt.da
         day(-1).alias("EndDate"),
     )
     dim = current.unionByName(older)
-    stage = staged.filter(m != 8).select(bk, *spec.attrs)
+    spelled = F.when(m == 3, F.concat(F.upper(F.col(bk)), F.lit(" "))).otherwise(F.col(bk)).alias(bk)
+    stage = staged.filter(m != 8).select(spelled, *spec.attrs)
     return dim, stage
 
 
@@ -208,25 +213,26 @@ def scd2_run(src: Oltp, which: str, null_safe: bool = True) -> DataFrame:
 
 # -- fact ------------------------------------------------------------------------
 def fact_orders(stage: DataFrame, dims: dict[str, DataFrame], strict: bool = False,
-                broadcast_rows: int | None = None) -> DataFrame:
+                first_covers_earlier: bool = False) -> DataFrame:
     """Key lookups and measures for staged order lines.
 
     Type-2 dimensions are joined as of the order date (the version valid on
-    that day); type-1 ones on the business key.  Lines whose member is unknown
+    that day; with ``first_covers_earlier`` a member's first version also covers
+    all earlier days); type-1 ones on the business key.  Lines whose member is unknown
     get key -1 (``strict=True`` drops them instead).  Staged orders without
     lines (null quantity) produce no fact row.
     """
     how = "inner" if strict else "left"
     f = stage.filter(F.col("Quantity").isNotNull())
     f = asof_lookup(f, dims["customers"], ["CustomerName"], ["CustomerName"], "OrderDate",
-                    {"CustomerKey": "CustomerKey"}, how, broadcast_rows)
+                    {"CustomerKey": "CustomerKey"}, how, first_covers_earlier)
     f = key_lookup(f, dims["cities"], ["CityName", "StateProvinceName", "CountryName"],
-                   ["CityName", "StateProvName", "CountryName"], {"CityKey": "CityKey"}, how, broadcast_rows)
+                   ["CityName", "StateProvName", "CountryName"], {"CityKey": "CityKey"}, how)
     f = asof_lookup(f, dims["products"], ["StockItemName"], ["ProductName"], "OrderDate",
-                    {"ProductKey": "ProductKey"}, how, broadcast_rows)
-    f = key_lookup(f, dims["salespeople"], ["LogonName"], ["LogonName"], {"SalespersonKey": "SalespersonKey"}, how, broadcast_rows)
+                    {"ProductKey": "ProductKey"}, how, first_covers_earlier)
+    f = key_lookup(f, dims["salespeople"], ["LogonName"], ["LogonName"], {"SalespersonKey": "SalespersonKey"}, how)
     f = asof_lookup(f, dims["picking_staff"], ["PickingStaffName"], ["LogonName"], "OrderDate",
-                    {"PickingStaffKey": "PickingStaffKey"}, how, broadcast_rows)
+                    {"PickingStaffKey": "PickingStaffKey"}, how, first_covers_earlier)
     keys = ["CustomerKey", "CityKey", "ProductKey", "SalespersonKey", "PickingStaffKey"]
     return f.select(
         *[F.coalesce(F.col(k), F.lit(UNKNOWN_KEY)).cast("long").alias(k) for k in keys],
@@ -267,9 +273,9 @@ def build_dimensions(src: Oltp, start: dt.date, current: dict[str, DataFrame] |
     st = stages or extract_stages(src)
 
     if not cur:
-        # First load: every business key is new.  De-duplicate and number;
-        # the numbering already reads from its own materialised copy, so the
-        # result needs no second write.  The five are independent: their
+        # First load: every business key is new.  De-duplicate and number: the
+        # numbered frame is a projection of the copy that the numbering wrote,
+        # so it needs no second write.  The five are independent: their
         # (small, many) jobs are submitted from parallel threads.
         return in_parallel({k: (lambda k=k: first_load(SPEC_BY_DIM[k], st[STAGE_OF[k]], start))
                             for k in SPEC_BY_DIM})
@@ -291,8 +297,8 @@ def build_dimensions(src: Oltp, start: dt.date, current: dict[str, DataFrame] |
     }
     if changes is not None:
         changes.update({k: r["changed"] for k, r in reports.items()})
-    # Each version is read by the fact lookups (and its size check): write it
-    # once instead of recomputing extract + SCD joins per consumer.
+    # Each version is read by several consumers: write it once instead of
+    # recomputing extract + SCD joins for each.
     shaped = {k: v.select(*SPEC_BY_DIM[k].columns) for k, v in built.items()}
     if not materialized:
         return shaped
@@ -307,8 +313,9 @@ STAGE_OF = {"cities": "customers", "salespeople": "salespeople", "customers": "c
 
 def first_load(spec: DimSpec, stage: DataFrame, start) -> DataFrame:
     """Version 1 of a dimension: one row per business key, keys 1..n in key order."""
-    staged = scd.dedupe_by_key(_stage_for(spec, stage), list(spec.business_key), list(spec.attrs))
-    numbered = with_dense_keys(staged, list(spec.business_key), spec.key_col, key_type="long")
+    keys = list(spec.business_key)
+    staged = scd.dedupe_by_key(_stage_for(spec, stage), keys, list(spec.attrs)).select(*keys, *spec.attrs)
+    numbered = with_dense_keys(staged, keys, spec.key_col, key_type="long")
     if spec.type2:
         numbered = numbered.withColumn("StartDate", F.lit(str(start)).cast("date")).withColumn(
             "EndDate", F.lit(None).cast("date"))
@@ -322,56 +329,68 @@ def initial_fact(src: Oltp, strict: bool = False) -> DataFrame:
 
 
 # -- daily run -----------------------------------------------------------------------
-def run_dates(src: Oltp, mart: Mart, start: dt.date, end: dt.date) -> DataFrame:
-    """One incremental run for the dates [start, end].
-
-    Order (per run): calendar rows, extracts, dimension transforms, dimension
-    loads (upserts; a new version only where something changed), order extract (guarded), fact build with
-    as-of lookups, fact partitions overwritten.  Re-running the same dates
-    changes nothing.  Returns the fact rows of those dates.
+def run_dates(src: Oltp, mart: Mart, start: dt.date, end: dt.date) -> int:
+    """One incremental run for the dates [start, end]; returns the fact rows loaded.
+
+    Order: order extract (guarded: nothing is published if it is empty),
+    dimension extracts, dimension transforms, calendar rows, fact build with
+    as-of lookups.  Dimensions and fact are written to new folders and made
+    current together; every date of the range is replaced, empty ones included.
+    Re-running the same dates with an unchanged source changes nothing.
+
+    A run older than the newest dimension version loads facts only: the source
+    tells how members are today, not how they were then, so history stays as
+    it is.  A member's first version also covers the dates before it.
     """
     spark = src.spark
-    mart.upsert("dim_date", dim_date_between(spark, start, end), "DateKey")
-    current = {k: mart.read(spec.name) for k, spec in SPEC_BY_DIM.items() if mart.has(spec.name)}
-    # Stage tables: emptied and refilled per run, each guarded against an empty extract.
-    def stage(name: str, df: DataFrame) -> DataFrame:
-        path = f"{mart.root}/_stage/{name}"
-        write_guarded(df, path, name=name)
-        return spark.read.parquet(path)
-
+    with scratch(spark):
+        def stage(name: str, df: DataFrame) -> DataFrame:
+            path = f"{mart.root}/_stage/{name}"
+            df = conform(df, SCHEMAS[f"{name}_stage"])
+            write_guarded(df, path, name=name)
+            return spark.read.schema(df.schema).parquet(path)
+
+        orders = stage("orders", ex.extract_orders(src, start, end))
+        mart._load_manifest()
+        current = {k: mart.read(spec.name) for k, spec in SPEC_BY_DIM.items() if mart.has(spec.name)}
+        after: dict[str, DataFrame] = {}
+        late = any(scd.is_backdated(current[k], start) for k, spec in SPEC_BY_DIM.items()
+                   if spec.type2 and k in current)
+        if not late:
+            after = _changed_dimensions(src, mart, start, current, stage)
+        calendar = mart.upserted("dim_date", dim_date_between(spark, start, end), "DateKey")
+        if calendar is not None:
+            after["dim_date"] = calendar
+        rows = mart.write_versions({t: conform(df, SCHEMAS[t]) for t, df in after.items()})
+        written = mart.read_written(rows)
+        dims = {k: written.get(spec.name, current.get(k)) for k, spec in SPEC_BY_DIM.items()}
+        fact = conform(fact_orders(orders, dims, first_covers_earlier=True), SCHEMAS["fact_orders"])
+        fact_rows, n = mart.write_run(fact, [(int(f"{start:%Y%m%d}"), int(f"{end:%Y%m%d}"))])
+        mart.commit(rows + fact_rows)
+    return n
+
+
+def _changed_dimensions(src: Oltp, mart: Mart, start: dt.date, current: dict[str, DataFrame],
+                        stage: Callable[[str, DataFrame], DataFrame]) -> dict[str, DataFrame]:
+    """Table name -> complete next version, for the dimensions that change on ``start``.
+
+    Load = upsert by surrogate key (a type-1 member missing from today's stage
+    is kept).  A type-2 preload is already the complete next version.
+    """
     stages = in_parallel({n: (lambda n=n, df=df: stage(n, df)) for n, df in extract_stages(src).items()})
     changes: dict[str, bool] = {}
     preloads = build_dimensions(src, start, current, materialized=False, stages=stages, changes=changes)
-    # Load = upsert by surrogate key (rows of the current version that the
-    # preload does not replace stay - a type-1 member missing from today's
-    # stage is kept).  A type-2 preload is already the complete next version.
-    # A dimension that did not change keeps its current version: nothing is
-    # rewritten (type 2: read from the SCD classification; type 1: one anti join).
-    dims: dict[str, DataFrame] = {}
-    to_publish: dict[str, DataFrame] = {}
+    after: dict[str, DataFrame] = {}
     for k, spec in SPEC_BY_DIM.items():
         pre = preloads[k].select(*spec.columns)
         if k not in current:
-            to_publish[spec.name] = pre
+            after[spec.name] = pre
         elif spec.type2:
             if changes.get(k, True):
-                to_publish[spec.name] = pre
-            else:
-                dims[k] = current[k]
-        elif adds_rows(pre, current[k]):
-            to_publish[spec.name] = upsert_by_key(current[k], pre, spec.key_col)
-        else:
-            dims[k] = current[k]
-    published = mart.publish_many(to_publish) if to_publish else {}
-    dims.update({k: published[spec.name] for k, spec in SPEC_BY_DIM.items() if spec.name in published})
-    stage_path = f"{mart.root}/_stage/orders/{start:%Y%m%d}-{end:%Y%m%d}"
-    write_guarded(ex.extract_orders(src, start, end), stage_path, name="orders")
-    stage = spark.read.parquet(stage_path)
-    fact = fact_orders(stage, dims)
-    mart.write_fact(fact)
-    # The rows just loaded, rebuilt from the written stage and published
-    # dimensions - cheaper than listing every date partition of the fact.
-    return fact
+                after[spec.name] = pre
+        elif (version := mart.upserted(spec.name, pre, spec.key_col)) is not None:
+            after[spec.name] = version
+    return after
 
 
 def daily_run(src: Oltp, mart: Mart | None = None) -> DataFrame:
@@ -386,44 +405,75 @@ def daily_run(src: Oltp, mart: Mart | None = None) -> DataFrame:
 
 
 def mart_summary(fact: DataFrame, customers: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Order lines, quantity and taxed revenue per year and customer category."""
-    cust = customers.select("CustomerKey", "CustomerCategoryName")
-    cal = calendar.select("DateKey", "Year")
+    """Order lines, quantity and taxed revenue per year and customer category.
+
+    The fact is summed per date and customer before it meets the dimensions.
+    """
+    measures = {"ORDER_LINES": F.count(F.lit(1)), "QUANTITY": F.sum("Quantity"), "REVENUE": F.sum("TotalAfterTax")}
+    per_key = fact.groupBy("DateKey", "CustomerKey").agg(*[m.alias(a) for a, m in measures.items()])
     return (
-        fact.join(bounded_broadcast(cal), "DateKey", "left")
-        .join(cust, "CustomerKey", "left")
+        per_key.join(calendar.select("DateKey", "Year"), "DateKey", "left")
+        .join(customers.select("CustomerKey", "CustomerCategoryName"), "CustomerKey", "left")
         .groupBy("Year", "CustomerCategoryName")
         .agg(
-            F.count(F.lit(1)).alias("ORDER_LINES"),
-            F.sum("Quantity").cast("long").alias("QUANTITY"),
-            F.sum("TotalAfterTax").cast("decimal(18,2)").alias("REVENUE"),
+            F.sum("ORDER_LINES").alias("ORDER_LINES"),
+            F.sum("QUANTITY").cast("long").alias("QUANTITY"),
+            F.sum("REVENUE").cast("decimal(18,2)").alias("REVENUE"),
         )
     )
 
 
+def sales_by_member(fact: DataFrame, customers: DataFrame, products: DataFrame, cities: DataFrame) -> DataFrame:
+    """Order lines and taxed revenue per year and the values of the member versions that the fact points to."""
+    year = F.floor(F.col("DateKey") / 10000).cast("int").alias("YEAR")
+    per_key = fact.groupBy(year, "CustomerKey", "ProductKey", "CityKey").agg(
+        F.count(F.lit(1)).alias("N"), F.sum("TotalAfterTax").alias("R"))
+    return (
+        per_key.join(customers.select("CustomerKey", "CustomerCategoryName"), "CustomerKey", "left")
+        .join(products.select("ProductKey", "ProductBrand"), "ProductKey", "left")
+        .join(cities.select("CityKey", "CountryFormalName"), "CityKey", "left")
+        .groupBy("YEAR", "CustomerCategoryName", "ProductBrand", "CountryFormalName")
+        .agg(F.sum("N").alias("ORDER_LINES"), F.sum("R").cast("decimal(18,2)").alias("REVENUE"))
+    )
+
+
+def required_columns(spec: DimSpec) -> list[str]:
+    """Columns that must not be null: the surrogate key and, for type 2, the first day."""
+    return [spec.key_col, *(["StartDate"] if spec.type2 else [])]
+
+
+def mart_nulls(dims: dict[str, DataFrame], calendar: DataFrame, fact: DataFrame) -> DataFrame:
+    """(TABLE_NAME, COLUMN_NAME, NULL_COUNT) of the mart's NOT NULL columns."""
+    tables = {spec.name: (dims[k], required_columns(spec)) for k, spec in SPEC_BY_DIM.items()}
+    tables["dim_date"] = (calendar, list(calendar.columns))
+    tables["fact_orders"] = (fact, [c for c in FACT_COLUMNS if c.endswith("Key")])
+    return quality.required_nulls(tables)
+
+
 def check_mart(mart: Mart) -> DataFrame:
     """Quality report over a built mart: (CHECK, TABLE_NAME, KEY_NAME, KEY_VALUE, N).
 
-    Duplicate surrogate keys per dimension, orphan foreign keys of the fact
-    (the unknown member -1 shows up here by design), all in distributed jobs.
+    Duplicate surrogate keys per dimension, nulls where none may be, and orphan
+    foreign keys of the fact (the unknown member -1 shows up here by design), all
+    in distributed jobs.
     """
-    from functools import reduce
-
-    from dimwright.operators import quality
-
     parts = []
     refs = {}
+    dims = {k: mart.read(spec.name) for k, spec in SPEC_BY_DIM.items()}
     for k, spec in SPEC_BY_DIM.items():
-        dim = mart.read(spec.name)
-        dups = quality.duplicate_keys(dim, [spec.key_col])
+        dups = quality.duplicate_keys(dims[k], [spec.key_col])
         parts.append(dups.select(
             F.lit("duplicate_key").alias("CHECK"), F.lit(spec.name).alias("TABLE_NAME"),
             F.lit(spec.key_col).alias("KEY_NAME"), F.col(spec.key_col).cast("long").alias("KEY_VALUE"), F.col("N"),
         ))
-        refs[spec.key_col] = (dim, spec.key_col)
-    refs["DateKey"] = (mart.read("dim_date"), "DateKey")
-    orphans = quality.orphan_keys(mart.read_fact(), refs)
-    parts.append(orphans.select(
+        refs[spec.key_col] = (dims[k], spec.key_col)
+    calendar, fact = mart.read("dim_date"), mart.read_fact()
+    refs["DateKey"] = (calendar, "DateKey")
+    parts.append(quality.orphan_keys(fact, refs).select(
         F.lit("orphan_key").alias("CHECK"), F.lit("fact_orders").alias("TABLE_NAME"), "KEY_NAME", "KEY_VALUE", "N",
     ))
+    parts.append(mart_nulls(dims, calendar, fact).filter("NULL_COUNT > 0").select(
+        F.lit("null_value").alias("CHECK"), "TABLE_NAME", F.col("COLUMN_NAME").alias("KEY_NAME"),
+        F.lit(None).cast("long").alias("KEY_VALUE"), F.col("NULL_COUNT").alias("N"),
+    ))
     return reduce(DataFrame.unionByName, parts)

@@ -17,12 +17,16 @@ def sql(key: str, text: str) -> None:
 
 
 def ratio(num: str, den: str, digits: int, precision: int = 18) -> str:
-    """num / den rounded half away from zero to ``digits`` decimals (integers in)."""
-    scale = 10 ** digits
-    q = (f"(CASE WHEN ({num}) < 0 THEN -1 ELSE 1 END) * "
-         f"((2 * abs(CAST({num} AS BIGINT)) * {scale} + ({den})) // (2 * ({den})))")
+    """num / den rounded half away from zero to ``digits`` decimals (integers in).
+
+    Whole part by integer division, then one more unit when the remainder is at
+    least half of the divisor.
+    """
+    n = f"(abs(CAST({num} AS HUGEINT)) * {10 ** digits})"
+    whole = f"({n} // ({den}) + CASE WHEN 2 * ({n} % ({den})) >= ({den}) THEN 1 ELSE 0 END)"
+    signed = f"(CASE WHEN ({num}) < 0 THEN -1 ELSE 1 END) * {whole}"
     unit = "1" if digits == 0 else "0." + "0" * (digits - 1) + "1"
-    return (f"CASE WHEN ({den}) > 0 THEN CAST(CAST({q} AS DECIMAL(18,0)) * {unit} "
+    return (f"CASE WHEN ({den}) > 0 THEN CAST(CAST({signed} AS DECIMAL(18,0)) * {unit} "
             f"AS DECIMAL({precision},{digits})) END")
 
 
@@ -32,6 +36,7 @@ def pct(part: str, whole: str, digits: int = 2) -> str:
 
 HOME = "asia"
 FOCUS = "Brand#2"
+# The junk country codes of the cleaning step.
 JUNK = "(' Bar', ' Grill', ' Bakers & More\"', ' Chowringhee Lane\"', ' Grill & Bar\"', ' Chinese')"
 
 RAW = """raw AS (
@@ -55,6 +60,7 @@ RAW = """raw AS (
   LEFT JOIN (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY l_partkey) v ON p.p_partkey = v.l_partkey
 )"""
 
+# The limits and names of the rating bands.
 BAND = """CASE WHEN {r} >= 1 AND {r} < 2.5 THEN 'POOR'
             WHEN {r} >= 2.5 AND {r} < 3.5 THEN 'GOOD'
             WHEN {r} >= 3.5 AND {r} < 4.5 THEN 'GREAT'
@@ -88,32 +94,35 @@ QMARK = """qm AS (SELECT * REPLACE (replace(City, 'I', '?') AS City) FROM raw)""
 W_RAW = "WITH " + RAW
 W_CLEAN = "WITH " + CLEAN
 
-LOCALITY_COUNTS = f"""ct1 AS (
-  SELECT COUNTRY_NAME, City, Locality, count(RestaurantID) AS REST_COUNT
+LOCALITY_COUNTS = f"""sized AS (
+  SELECT COUNTRY_NAME, City, Locality, count(RestaurantID) AS REST_COUNT,
+         rank() OVER (ORDER BY count(RestaurantID) DESC) AS from_top,
+         rank() OVER (ORDER BY count(RestaurantID)) AS from_bottom
   FROM clean WHERE lower(COUNTRY_NAME) = '{HOME}'
-  GROUP BY COUNTRY_NAME, City, Locality),
-winners AS (SELECT * FROM ct1 WHERE REST_COUNT = (SELECT max(REST_COUNT) FROM ct1)),
-winner_rows AS (
-  SELECT l.* FROM clean l
-  WHERE EXISTS (SELECT 1 FROM winners w WHERE w.COUNTRY_NAME = l.COUNTRY_NAME AND w.City = l.City
-                AND w.Locality = l.Locality))"""
+  GROUP BY ALL),
+winners AS (SELECT COUNTRY_NAME, City, Locality, REST_COUNT FROM sized WHERE from_top = 1),
+winner_rows AS (SELECT clean.* FROM clean SEMI JOIN winners USING (COUNTRY_NAME, City, Locality))"""
 
 # -- scans / catalog ----------------------------------------------------------
 sql("scan_full", W_CLEAN + " SELECT * FROM clean")
 sql("view_total_count", W_CLEAN + """
 SELECT DISTINCT COUNTRY_NAME, count(CAST(RestaurantID AS DECIMAL(18,0))) OVER () AS TOTAL_REST FROM clean""")
 sql("cte_chain", W_CLEAN + ", " + LOCALITY_COUNTS + """
-SELECT w.Locality, w.REST_COUNT, l.Cuisines
-FROM winners w JOIN clean l ON l.COUNTRY_NAME = w.COUNTRY_NAME AND l.City = w.City AND l.Locality = w.Locality""")
-sql("profile_columns", """
-SELECT table_name AS TABLE_NAME, column_name AS COLUMN_NAME, CAST(ordinal_position AS INTEGER) AS ORDINAL_POSITION,
-       data_type AS DATA_TYPE
-FROM information_schema.columns WHERE table_name = 'part'""")
-sql("profile_tables", """
+SELECT Locality, REST_COUNT, Cuisines FROM winner_rows JOIN winners USING (COUNTRY_NAME, City, Locality)""")
+TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+               "embeddings", "pages", "benchmark", "labels", "conversations")
+
+
+def profile(tables: tuple[str, ...]) -> str:
+    counts = " UNION ALL ".join(f"SELECT '{t}' AS t, count(*) AS n FROM {t}" for t in tables)
+    return f"""
 SELECT table_name AS TABLE_NAME, column_name AS COLUMN_NAME, CAST(ordinal_position AS INTEGER) AS ORDINAL_POSITION,
-       data_type AS DATA_TYPE
-FROM information_schema.columns
-WHERE table_name IN ('region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem')""")
+       data_type AS DATA_TYPE, n AS TABLE_ROWS
+FROM information_schema.columns JOIN ({counts}) c ON c.t = table_name"""
+
+
+sql("profile_columns", profile(("part",)))
+sql("profile_tables", profile(TABLE_NAMES))
 
 # -- projection / filters / column maintenance ----------------------------------
 sql("project_rename", W_CLEAN + """
@@ -132,8 +141,7 @@ SELECT RestaurantID, Has_Table_booking, Has_Online_delivery FROM clean
 WHERE lower(Has_Table_booking) = 'yes' OR lower(Has_Online_delivery) = 'yes'""")
 sql("remove_in_list", W_RAW + """
 SELECT RestaurantID, nullif(CountryCode, '4') AS CountryCode FROM raw
-WHERE NOT coalesce(nullif(CountryCode, '4') IN (' Bar', ' Grill', ' Bakers & More"', ' Chowringhee Lane"',
-                                                ' Grill & Bar"', ' Chinese', '1', '2'), false)""")
+WHERE NOT coalesce(nullif(CountryCode, '4') IN """ + JUNK + """ OR nullif(CountryCode, '4') IN ('1', '2'), false)""")
 sql("remove_by_key", W_RAW + " SELECT RestaurantID, City FROM raw WHERE NOT coalesce(RestaurantID = '7', false)")
 sql("filter_null_or_blank", W_RAW + ", " + GAPS + """
 SELECT RestaurantID, Cuisines FROM gaps WHERE Cuisines IS NULL OR rtrim(Cuisines) = ''""")
@@ -211,7 +219,7 @@ GROUP BY a.COUNTRY_NAME, g.n"""
 sql("share_within_group", ONLINE)
 sql("argmax_groups", W_CLEAN + ", " + LOCALITY_COUNTS + " SELECT City, Locality, REST_COUNT FROM winners")
 QUIET = W_CLEAN + ", " + LOCALITY_COUNTS + """
-SELECT City, Locality, REST_COUNT FROM ct1 WHERE REST_COUNT = (SELECT min(REST_COUNT) FROM ct1)"""
+SELECT City, Locality, REST_COUNT FROM sized WHERE from_bottom = 1"""
 sql("argmin_groups", QUIET)
 CUISINES = W_CLEAN + ", " + LOCALITY_COUNTS + """
 , vf AS (SELECT Locality, unnest(string_split(Cuisines, '|')) AS Cuisines FROM winner_rows)
@@ -396,6 +404,11 @@ dim_picking AS (
          CAST(NULL AS DATE) AS EndDate FROM picking_stage)"""
 
 
+def same(a: str, b: str) -> str:
+    """Business keys are equal without regard to case and trailing blanks."""
+    return f"lower(rtrim({a})) = lower(rtrim({b}))"
+
+
 def valid(alias: str, on: str) -> str:
     return f"{alias}.StartDate <= {on} AND {on} <= coalesce({alias}.EndDate, DATE '9999-12-31')"
 
@@ -443,7 +456,9 @@ sql("extract_orders", W_OLTP + " SELECT * FROM orders_stage")
 # -- type 1 -----------------------------------------------------------------
 CITIES_BEFORE = """,
 cities_before AS (
-  SELECT CAST(CityID + 1 AS BIGINT) AS CityKey, CityName, StateProvinceName AS StateProvName, CountryName,
+  SELECT CAST(CityID + 1 AS BIGINT) AS CityKey,
+         CASE WHEN CityID % 4 = 0 THEN lower(CityName) || ' ' ELSE CityName END AS CityName,
+         StateProvinceName AS StateProvName, CountryName,
          StateProvinceCode AS StateProvCode, FormalName AS CountryFormalName
   FROM city_details WHERE CityID % 2 = 0),
 delivery AS (
@@ -453,36 +468,49 @@ delivery AS (
   FROM customers_stage)"""
 sql("join_composite", W_OLTP + CITIES_BEFORE + """
 SELECT d.CustomerName, c.CityKey FROM delivery d JOIN cities_before c
-  ON d.CityName = c.CityName AND d.StateProvName = c.StateProvName AND d.CountryName = c.CountryName""")
+  ON lower(rtrim(d.CityName)) = lower(rtrim(c.CityName)) AND d.StateProvName = c.StateProvName AND d.CountryName = c.CountryName""")
 sql("anti_join_composite", W_OLTP + CITIES_BEFORE + """
 SELECT d.CustomerName, d.CityName, d.StateProvName, d.CountryName FROM delivery d
-WHERE NOT EXISTS (SELECT 1 FROM cities_before c WHERE d.CityName = c.CityName AND d.StateProvName = c.StateProvName
+WHERE NOT EXISTS (SELECT 1 FROM cities_before c WHERE lower(rtrim(d.CityName)) = lower(rtrim(c.CityName)) AND d.StateProvName = c.StateProvName
                   AND d.CountryName = c.CountryName)""")
-sql("scd1_cities", W_OLTP + CITIES_BEFORE + """,
+W_CITIES = W_OLTP + CITIES_BEFORE + """,
 staged AS (
   SELECT CityName, StateProvName, CountryName,
          min({'StateProvCode': StateProvCode, 'CountryFormalName': CountryFormalName}) AS m
-  FROM delivery GROUP BY 1, 2, 3)
+  FROM delivery GROUP BY 1, 2, 3),
+after AS (
 SELECT c.CityKey, s.CityName, s.StateProvName, s.CountryName, s.m.StateProvCode, s.m.CountryFormalName
 FROM staged s JOIN cities_before c
-  ON s.CityName = c.CityName AND s.StateProvName = c.StateProvName AND s.CountryName = c.CountryName
+  ON lower(rtrim(s.CityName)) = lower(rtrim(c.CityName)) AND s.StateProvName = c.StateProvName AND s.CountryName = c.CountryName
 UNION ALL
 SELECT (SELECT coalesce(max(CityKey), 0) FROM cities_before)
          + row_number() OVER (ORDER BY s.CityName, s.StateProvName, s.CountryName),
        s.CityName, s.StateProvName, s.CountryName, s.m.StateProvCode, s.m.CountryFormalName
 FROM staged s
-WHERE NOT EXISTS (SELECT 1 FROM cities_before c WHERE s.CityName = c.CityName AND s.StateProvName = c.StateProvName
-                  AND s.CountryName = c.CountryName)""")
-sql("scd1_salespeople", W_OLTP + """,
+WHERE NOT EXISTS (SELECT 1 FROM cities_before c WHERE lower(rtrim(s.CityName)) = lower(rtrim(c.CityName)) AND s.StateProvName = c.StateProvName
+                  AND s.CountryName = c.CountryName))"""
+sql("scd1_cities", W_CITIES + " SELECT * FROM after")
+sql("load_cities", W_CITIES + """
+SELECT * FROM cities_before WHERE CityKey NOT IN (SELECT CityKey FROM after) UNION ALL SELECT * FROM after""")
+W_SALES = W_OLTP + """,
 before AS (
-  SELECT CAST(PersonID + 1 AS BIGINT) AS SalespersonKey, LogonName FROM people
-  WHERE IsSalesperson = 1 AND PersonID % 4 = 0)
+  SELECT CAST(PersonID + 1 AS BIGINT) AS SalespersonKey,
+         CASE WHEN PersonID % 8 = 0 THEN upper(LogonName) ELSE LogonName END AS LogonName,
+         'OLD ' || FullName AS FullName, PreferredName, PhoneNumber, FaxNumber, EmailAddress
+  FROM people
+  WHERE IsSalesperson = 1 AND PersonID % 4 = 0),
+after AS (
 SELECT b.SalespersonKey, s.LogonName, s.FullName, s.PreferredName, s.PhoneNumber, s.FaxNumber, s.EmailAddress
-FROM salespeople_stage s JOIN before b ON s.LogonName = b.LogonName
+FROM salespeople_stage s JOIN before b ON lower(rtrim(s.LogonName)) = lower(rtrim(b.LogonName))
 UNION ALL
 SELECT (SELECT coalesce(max(SalespersonKey), 0) FROM before) + row_number() OVER (ORDER BY s.LogonName),
        s.LogonName, s.FullName, s.PreferredName, s.PhoneNumber, s.FaxNumber, s.EmailAddress
-FROM salespeople_stage s WHERE NOT EXISTS (SELECT 1 FROM before b WHERE b.LogonName = s.LogonName)""")
+FROM salespeople_stage s WHERE NOT EXISTS (SELECT 1 FROM before b
+                                          WHERE lower(rtrim(b.LogonName)) = lower(rtrim(s.LogonName))))"""
+
+sql("scd1_salespeople", W_SALES + " SELECT * FROM after")
+sql("load_salespeople", W_SALES + """
+SELECT * FROM before WHERE SalespersonKey NOT IN (SELECT SalespersonKey FROM after) UNION ALL SELECT * FROM after""")
 sql("surrogate_keys", """
 SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity,
                                    l_extendedprice, l_returnflag, l_linestatus, l_tax, l_discount) AS LineKey,
@@ -497,7 +525,8 @@ def scd2_ctes(stage_id: str, id_col: str, bk: str, tracked: list[str], key: str,
 
     Inputs by id % 10: 9 new, 8 missing, 7 first tracked column changed, 6 unchanged
     plus an older version, 5 closed only and back in the stage, 4 first tracked column
-    null in the dimension.
+    null in the dimension, 3 unchanged but spelled in capitals with a trailing blank
+    in the stage.
     """
     rename = rename or {}
     src_cols = ", ".join(f"{s} AS {d}" for s, d in rename.items()) or ", ".join([bk, *tracked])
@@ -506,7 +535,8 @@ def scd2_ctes(stage_id: str, id_col: str, bk: str, tracked: list[str], key: str,
                       if c == first else c for c in tracked)
     t_old = ", ".join(f"'PREV ' || {c} AS {c}" if c == first else c for c in tracked)
     cols = ", ".join([bk, *tracked])
-    diff = " OR ".join(f"s.{c} IS DISTINCT FROM o.{c}" for c in tracked)
+    diff = " OR ".join(f"lower(rtrim(s.{c})) IS DISTINCT FROM lower(rtrim(o.{c}))" for c in tracked)
+    match = same(f"s.{bk}", f"o.{bk}")
     s_cols = ", ".join(f"s.{c}" for c in [bk, *tracked])
     o_cols = ", ".join(f"o.{c}" for c in [key, bk, *tracked])
     return f""",
@@ -520,14 +550,16 @@ dim_before AS (
   SELECT CAST(_id + 2 + (SELECT m FROM mx) AS BIGINT), {bk}, {t_old}, (SELECT d FROM d0) - 365,
          (SELECT d FROM d0) - 1
   FROM st WHERE _id % 10 IN (5, 6)),
-stage AS (SELECT {cols} FROM st WHERE _id % 10 <> 8),
+stage AS (
+  SELECT CASE WHEN _id % 10 = 3 THEN upper({bk}) || ' ' ELSE {bk} END AS {bk}, {", ".join(tracked)}
+  FROM st WHERE _id % 10 <> 8),
 open_rows AS (SELECT * FROM dim_before WHERE EndDate IS NULL),
-changed_keys AS (SELECT s.{bk} FROM stage s JOIN open_rows o ON s.{bk} = o.{bk} WHERE {diff}),
+changed_keys AS (SELECT s.{bk} FROM stage s JOIN open_rows o ON {match} WHERE {diff}),
 versions AS (
   SELECT s.*, CASE WHEN s.{bk} IN (SELECT {bk} FROM changed_keys) THEN 'changed' ELSE 'new' END AS kind
   FROM stage s
   WHERE s.{bk} IN (SELECT {bk} FROM changed_keys)
-     OR NOT EXISTS (SELECT 1 FROM open_rows o WHERE o.{bk} = s.{bk})),
+     OR NOT EXISTS (SELECT 1 FROM open_rows o WHERE {match})),
 numbered AS (
   SELECT (SELECT max({key}) FROM dim_before) + row_number() OVER (ORDER BY {bk}) AS {key}, {cols},
          (SELECT d FROM d0) + 1 AS StartDate, CAST(NULL AS DATE) AS EndDate, kind
@@ -537,10 +569,10 @@ b_new AS (SELECT * EXCLUDE (kind) FROM numbered WHERE kind = 'new'),
 b_closed AS (
   SELECT {o_cols}, o.StartDate,
          CASE WHEN o.{bk} IN (SELECT {bk} FROM changed_keys) THEN (SELECT d FROM d0) END AS EndDate
-  FROM open_rows o WHERE o.{bk} IN (SELECT {bk} FROM stage)),
+  FROM open_rows o WHERE EXISTS (SELECT 1 FROM stage s WHERE {match})),
 b_expired AS (
   SELECT {o_cols}, o.StartDate, (SELECT d FROM d0) AS EndDate
-  FROM open_rows o WHERE o.{bk} NOT IN (SELECT {bk} FROM stage)),
+  FROM open_rows o WHERE NOT EXISTS (SELECT 1 FROM stage s WHERE {match})),
 b_history AS (SELECT * FROM dim_before WHERE EndDate IS NOT NULL),
 result AS (
   SELECT * FROM b_changed UNION ALL SELECT * FROM b_closed UNION ALL SELECT * FROM b_new
@@ -571,28 +603,37 @@ sql("upsert_by_key", W_CUST + """
 SELECT * FROM dim_before WHERE CustomerKey NOT IN (SELECT CustomerKey FROM result)
 UNION ALL SELECT * FROM result""")
 sql("load_dimension", W_CUST + " SELECT * FROM result")
+sql("load_products", W_PROD + " SELECT * FROM result")
+sql("load_picking_staff", W_PICK + " SELECT * FROM result")
+sql("scd2_same_date_correction", W_CUST + """
+, opened AS (SELECT *, StartDate = (SELECT d FROM d0) + 1 AS today, right(rtrim(CustomerName), 1) AS digit FROM result)
+SELECT * EXCLUDE (today, digit) REPLACE (
+  CASE WHEN today AND digit IN ('7', '9') THEN 'FIX ' || CustomerCategoryName ELSE CustomerCategoryName END
+    AS CustomerCategoryName)
+FROM opened WHERE NOT (today AND digit = '5')""")
 sql("replaced_rows", W_CUST + " SELECT * FROM dim_before WHERE CustomerKey IN (SELECT CustomerKey FROM result)")
 sql("scd2_products", W_PROD + " SELECT * FROM result")
 sql("scd2_picking_staff", W_PICK + " SELECT * FROM result")
 sql("filter_open_rows", W_CUST + " SELECT * FROM dim_before WHERE EndDate IS NULL")
 CHANGED = " OR ".join(f"s.{c} IS DISTINCT FROM o.{c}" for c in CUST_TRACKED)
 sql("changed_rows", W_CUST + f"""
-SELECT s.* FROM stage s JOIN open_rows o ON s.CustomerName = o.CustomerName WHERE {CHANGED}""")
+SELECT s.* FROM stage s JOIN open_rows o ON {same("s.CustomerName", "o.CustomerName")} WHERE {CHANGED}""")
 sql("join_residual", W_CUST + f"""
 SELECT s.CustomerName, o.CustomerKey, s.CustomerCategoryName AS NEW_CATEGORY, o.CustomerCategoryName AS OLD_CATEGORY
-FROM stage s JOIN open_rows o ON s.CustomerName = o.CustomerName WHERE {CHANGED}""")
+FROM stage s JOIN open_rows o ON {same("s.CustomerName", "o.CustomerName")} WHERE {CHANGED}""")
 sql("join_left_on_predicate", W_CUST + """
 SELECT cu.CustomerKey, cu.CustomerName, cu.StartDate, pl.CustomerName AS PL_NAME
 FROM dim_before cu LEFT JOIN changed_keys pl ON pl.CustomerName = cu.CustomerName AND cu.EndDate IS NULL""")
 sql("fn_case_null", W_CUST + """
 SELECT cu.CustomerKey, CASE WHEN pl.CustomerName IS NULL THEN NULL ELSE (SELECT d FROM d0) END AS NEW_END_DATE
 FROM dim_before cu LEFT JOIN changed_keys pl ON pl.CustomerName = cu.CustomerName AND cu.EndDate IS NULL""")
-sql("anti_join", W_CUST + """
-SELECT s.CustomerName FROM stage s WHERE NOT EXISTS (SELECT 1 FROM dim_before d WHERE d.CustomerName = s.CustomerName)""")
+sql("anti_join", W_CUST + f"""
+SELECT s.CustomerName FROM stage s
+WHERE NOT EXISTS (SELECT 1 FROM dim_before d WHERE {same("d.CustomerName", "s.CustomerName")})""")
 sql("join_asof_dimension", W_CUST + f"""
 SELECT o.OrderID, o.OrderDate, r.CustomerKey
 FROM orders_v o LEFT JOIN customers c ON c.CustomerID = o.CustomerID
-LEFT JOIN result r ON r.CustomerName = c.CustomerName AND {valid('r', 'o.OrderDate')}""")
+LEFT JOIN result r ON {same("r.CustomerName", "c.CustomerName")} AND {valid('r', 'o.OrderDate')}""")
 
 # -- calendar and measures ------------------------------------------------------
 DATES = W_OLTP + ", od AS (SELECT DISTINCT OrderDate FROM orders_v)"
@@ -649,19 +690,45 @@ UNION ALL SELECT 'DateKey', DateKey, count(*) FROM fact
 WHERE DateKey NOT IN (SELECT DateKey FROM dim_date) GROUP BY DateKey
 UNION ALL SELECT 'PickingStaffKey', PickingStaffKey, count(*) FROM fact
 WHERE PickingStaffKey NOT IN (SELECT PickingStaffKey FROM dim_picking) GROUP BY PickingStaffKey""")
-sql("dq_null_counts", W_OLTP + """
-SELECT COLUMN_NAME, NULL_COUNT FROM (
-  SELECT count(*) FILTER (WHERE OrderDate IS NULL) AS OrderDate, count(*) FILTER (WHERE Quantity IS NULL) AS Quantity,
-         count(*) FILTER (WHERE UnitPrice IS NULL) AS UnitPrice, count(*) FILTER (WHERE TaxRate IS NULL) AS TaxRate,
-         count(*) FILTER (WHERE CustomerName IS NULL) AS CustomerName,
-         count(*) FILTER (WHERE CityName IS NULL) AS CityName,
-         count(*) FILTER (WHERE StateProvinceName IS NULL) AS StateProvinceName,
-         count(*) FILTER (WHERE CountryName IS NULL) AS CountryName,
-         count(*) FILTER (WHERE StockItemName IS NULL) AS StockItemName,
-         count(*) FILTER (WHERE LogonName IS NULL) AS LogonName,
-         count(*) FILTER (WHERE PickingStaffName IS NULL) AS PickingStaffName
-  FROM orders_stage) UNPIVOT (NULL_COUNT FOR COLUMN_NAME IN (OrderDate, Quantity, UnitPrice, TaxRate, CustomerName,
-      CityName, StateProvinceName, CountryName, StockItemName, LogonName, PickingStaffName))""")
+def null_rows(table: str, source: str, columns: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS TABLE_NAME, '{c}' AS COLUMN_NAME, count(*) FILTER (WHERE {c} IS NULL) AS NULL_COUNT "
+        f"FROM {source}" for c in columns.split())
+
+
+sql("dq_null_counts", W_FACT + CALENDAR + " " + " UNION ALL ".join([
+    null_rows("orders_stage", "orders_stage", "OrderDate Quantity UnitPrice TaxRate CustomerName CityName "
+              "StateProvinceName CountryName StockItemName LogonName PickingStaffName"),
+    null_rows("dim_cities", "dim_cities", "CityKey"),
+    null_rows("dim_salespeople", "dim_salespeople", "SalespersonKey"),
+    null_rows("dim_customers", "dim_customers", "CustomerKey StartDate"),
+    null_rows("dim_products", "dim_products", "ProductKey StartDate"),
+    null_rows("dim_picking_staff", "dim_picking", "PickingStaffKey StartDate"),
+    null_rows("dim_date", "dim_date", "DateKey DateValue Year Month Day Quarter StartOfMonth EndOfMonth MonthName "
+              "DayOfWeekName"),
+    null_rows("fact_orders", "fact", "CustomerKey CityKey ProductKey SalespersonKey DateKey PickingStaffKey"),
+]))
+sql("daily_run_changing_source", W_OLTP + """,
+bounds AS (SELECT min(OrderDate) AS lo, max(OrderDate) AS hi, (max(OrderDate) - min(OrderDate)) // 3 AS third
+           FROM orders_v),
+served AS (SELECT DISTINCT DeliveryCityID AS CityID FROM customers WHERE CustomerID % 7 <> 3),
+sold AS (
+  SELECT o.*, l.*, CASE WHEN o.OrderDate < lo + CAST(third AS INTEGER) THEN 0
+                        WHEN o.OrderDate < lo + CAST(2 * third AS INTEGER) THEN 1 ELSE 2 END AS period
+  FROM orders_v o JOIN lines l ON l.OrderID = o.OrderID, bounds),
+known AS (
+  SELECT s.*, c.DeliveryCityID, c.CustomerCategoryID || CASE WHEN s.CustomerID % 5 = 1 AND period >= 1 THEN ' v1'
+                                           WHEN s.CustomerID % 5 = 2 AND period >= 2 THEN ' v2' ELSE '' END AS category,
+         i.Brand || CASE WHEN s.StockItemID % 4 = 1 AND period >= 1 THEN ' v1' ELSE '' END AS brand
+  FROM sold s
+  LEFT JOIN customers c ON c.CustomerID = s.CustomerID AND NOT (period = 2 AND c.CustomerID % 7 = 3)
+  LEFT JOIN stock_items i ON i.StockItemID = s.StockItemID)
+SELECT CAST(year(OrderDate) AS INTEGER) AS YEAR, category AS CustomerCategoryName, brand AS ProductBrand,
+       cd.FormalName || CASE WHEN sv.CityID IS NOT NULL THEN ' r2' ELSE '' END AS CountryFormalName,
+       count(*) AS ORDER_LINES,
+       CAST(sum(CAST(Quantity * UnitPrice * (1 + TaxRate * 0.01) AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS REVENUE
+FROM known k LEFT JOIN city_details cd ON cd.CityID = k.DeliveryCityID LEFT JOIN served sv ON sv.CityID = cd.CityID
+GROUP BY ALL""")
 sql("mart_summary", W_FACT + CALENDAR + """
 SELECT dd.Year, cu.CustomerCategoryName, count(*) AS ORDER_LINES, CAST(sum(f.Quantity) AS BIGINT) AS QUANTITY,
        CAST(sum(f.TotalAfterTax) AS DECIMAL(18,2)) AS REVENUE

@@ -36,12 +36,32 @@ DIM_DATE = _schema(
     ("DateKey", I), ("DateValue", D), ("Year", T.ShortType()), ("Month", T.ShortType()), ("Day", T.ShortType()),
     ("Quarter", T.ShortType()), ("StartOfMonth", D), ("EndOfMonth", D), ("MonthName", S), ("DayOfWeekName", S),
 )
+_VALIDITY = (("StartDate", D), ("EndDate", D))
+DIM_CITIES = _schema(("CityKey", L), *[(c, S) for c in (
+    "CityName", "StateProvName", "CountryName", "StateProvCode", "CountryFormalName")])
+DIM_SALESPEOPLE = _schema(("SalespersonKey", L), *[(c, S) for c in (
+    "LogonName", "FullName", "PreferredName", "PhoneNumber", "FaxNumber", "EmailAddress")])
+DIM_CUSTOMERS = _schema(("CustomerKey", L), *[(c, S) for c in (
+    "CustomerName", "CustomerCategoryName", "DeliveryCityName", "DeliveryStateProvCode", "DeliveryCountryName",
+    "PostalCityName", "PostalStateProvCode", "PostalCountryName")], *_VALIDITY)
+DIM_PRODUCTS = _schema(("ProductKey", L), *[(c, S) for c in (
+    "ProductName", "ProductColour", "ProductBrand", "ProductSize")], *_VALIDITY)
+DIM_PICKING_STAFF = _schema(("PickingStaffKey", L), *[(c, S) for c in (
+    "LogonName", "FullName", "PreferredName", "CustomFields", "PhoneNumber", "FaxNumber", "EmailAddress")], *_VALIDITY)
 FACT_ORDERS = _schema(
     ("CustomerKey", L), ("CityKey", L), ("ProductKey", L), ("SalespersonKey", L), ("DateKey", I),
     ("PickingStaffKey", L), ("Quantity", I), ("UnitPrice", T.DecimalType(18, 2)),
     ("TaxRate", T.DecimalType(18, 3)), ("TotalBeforeTax", T.DecimalType(18, 2)),
     ("TotalAfterTax", T.DecimalType(18, 2)),
 )
+#: Every table that a mart run writes; a preload has the schema of its dimension.
+SCHEMAS = {
+    "customers_stage": CUSTOMERS_STAGE, "products_stage": PRODUCTS_STAGE, "salespeople_stage": SALESPEOPLE_STAGE,
+    "picking_staff_stage": PICKING_STAFF_STAGE, "orders_stage": ORDERS_STAGE,
+    "dim_date": DIM_DATE, "dim_cities": DIM_CITIES, "dim_salespeople": DIM_SALESPEOPLE,
+    "dim_customers": DIM_CUSTOMERS, "dim_products": DIM_PRODUCTS, "dim_picking_staff": DIM_PICKING_STAFF,
+    "fact_orders": FACT_ORDERS,
+}
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -65,8 +66,42 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+#: Open scratch blocks; each lists the work folders made since it began.
+_scratch: list[list[str]] = []
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder for written tables, under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/dimwright/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/dimwright/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    for block in _scratch:
+        block.append(path)
+    return path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, asked of the Hadoop file system behind it."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote, with everything below it."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Work folders made inside the block are removed at its end.
+
+    For steps whose result is a published table: nothing lazy may outlive the block.
+    """
+    made: list[str] = []
+    _scratch.append(made)
+    try:
+        yield
+    finally:
+        _scratch.remove(made)
+        for path in made:
+            delete_path(spark, path)

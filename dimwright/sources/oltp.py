@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimwright.functions.semantics import half_up_quotient
-from dimwright.operators.joins import bounded_broadcast, single_row_broadcast
+from dimwright.operators.joins import single_row_broadcast
 from dimwright.sources.tables import read_table
 
 
@@ -41,10 +41,9 @@ class Oltp:
         self._lookups: dict[str, DataFrame] = {}
 
     def lookup(self, name: str, build=None) -> DataFrame:
-        """A small view, broadcast after a size check; the check runs once per source."""
+        """A view that several extracts join to, built once per source."""
         if name not in self._lookups:
-            df = build(self) if build is not None else getattr(self, name)
-            self._lookups[name] = bounded_broadcast(df)
+            self._lookups[name] = build(self) if build is not None else getattr(self, name)
         return self._lookups[name]
 
     def _t(self, name: str) -> DataFrame:

@@ -14,6 +14,7 @@ from dimwright.plans import mart as M
 from dimwright.session import work_path
 
 d, D = dt.date, decimal.Decimal
+SF = "/root/testdata/sf0.001"
 
 
 def test_calendar_rows(spark):
@@ -154,14 +155,37 @@ def test_d4_picking_staff_distinct_and_no_null_logons(spark):
     assert len(ids) == len(set(ids)) and all(r.LogonName for r in staff)
 
 
-def test_fact_lookups_without_broadcast_match(stage, dims):
-    """The shuffled path (dimension over the broadcast bound) gives the same
-    rows, with null business keys split off instead of shuffled to one task."""
-    expected = sorted(tuple(r) for r in M.fact_orders(stage, dims).collect())
-    shuffled = M.fact_orders(stage, dims, broadcast_rows=0)
-    plan = shuffled._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" not in plan
-    assert sorted(tuple(r) for r in shuffled.collect()) == expected
+def executed_plan(df) -> str:
+    """The final adaptive plan of ``df`` itself, after running it."""
+    qe = df._jdf.queryExecution()
+    qe.toRdd().count()
+    return qe.executedPlan().toString()
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_fact_lookups_without_broadcast_match(stage, dims, no_broadcast):
+    """Shuffled lookups give the same rows and read the stage once."""
+    shuffled = M.fact_orders(stage, dims)
+    assert "BroadcastHashJoin" not in executed_plan(shuffled)
+    got = sorted((r.DateKey, r.CustomerKey, r.PickingStaffKey, r.TotalAfterTax) for r in shuffled.collect())
+    assert got == [(20130101, 2, 4, D("8.11")), (20130102, 8, -1, D("1.00")), (20130102, 8, 4, D("1.00"))]
+
+
+def test_fact_reads_each_source_once_without_broadcast(spark, no_broadcast):
+    from dimwright.plans import extract as ex
+    from dimwright.sources.oltp import Oltp
+
+    src = Oltp(spark, SF)
+    fact = M.fact_orders(ex.extract_orders(src), M.build_dimensions(src, M.first_order_date(src)))
+    plan = executed_plan(fact).split("== Initial Plan ==")[0]
+    assert plan.count("lineitem.parquet") == 1 and plan.count("/orders.parquet") == 1
 
 
 def test_daily_runs_persist_and_rerun_changes_nothing(spark):
@@ -276,3 +300,156 @@ def test_members_missing_from_stage_are_kept(spark):
     assert len(after) == custs_before
     closed = [r for r in after if r.EndDate is not None]
     assert closed and all(r.EndDate == d0 for r in closed)
+
+
+# -- safety of the mart -----------------------------------------------------------
+def small_source(spark, without: set | None = None, fix: dict | None = None):
+    """sf0.001, optionally without the orders of some dates and with other customer categories."""
+    from functools import cached_property
+
+    from dimwright.sources.oltp import Oltp
+
+    class Source(Oltp):
+        def orders(self, start=None, end=None):
+            rows = super().orders(start, end)
+            return rows.filter(~F.col("OrderDate").isin(list(without))) if without else rows
+
+        @cached_property
+        def customers(self):
+            c = super().customers
+            for key, category in (fix or {}).items():
+                c = c.withColumn("CustomerCategoryID", F.when(F.col("CustomerID") == key, F.lit(category))
+                                 .otherwise(F.col("CustomerCategoryID")))
+            return c
+
+        @cached_property
+        def customer_categories(self):
+            return self.customers.select("CustomerCategoryID").distinct().withColumn(
+                "CustomerCategoryName", F.col("CustomerCategoryID"))
+
+    return Source(spark, SF)
+
+
+def first_dates(src, n):
+    rows = src.orders().select("OrderDate").distinct().orderBy("OrderDate").limit(n).collect()
+    return [r.OrderDate for r in rows]
+
+
+def test_damaged_manifest_is_an_error(spark, tmp_path):
+    import glob
+
+    mart = Mart(spark, f"file://{tmp_path}/mart")
+    mart.publish("t", spark.createDataFrame([(1,)], "k long"))
+    mart.publish("t", spark.createDataFrame([(2,)], "k long"))
+    for f in glob.glob(f"{tmp_path}/mart/_manifest/part-*"):
+        with open(f, "wb") as out:
+            out.write(b"damaged")
+    with pytest.raises(Exception):
+        Mart(spark, f"file://{tmp_path}/mart")
+    versions = sorted(p.name for p in (tmp_path / "mart" / "t").iterdir())
+    assert versions == ["v=1", "v=2"]
+
+
+def test_a_folder_is_never_written_twice(spark):
+    mart = Mart(spark)
+    rows = mart.write_versions({"t": spark.createDataFrame([(1,)], "k long")})  # written, never listed
+    assert not mart.has("t")
+    mart.publish("t", spark.createDataFrame([(2,)], "k long"))
+    assert [r.k for r in mart.read("t").collect()] == [2]
+    assert [r.k for r in mart.read_written(rows)["t"].collect()] == [1]
+
+
+def test_empty_orders_publish_nothing(spark):
+    mart = Mart(spark)
+    src = small_source(spark)
+    days = first_dates(src, 1)
+    empty = small_source(spark, without=set(days))
+    with pytest.raises(EmptyExtractError):
+        M.run_dates(empty, mart, days[0], days[0])
+    assert mart._versions == {}
+
+
+def test_date_emptied_at_source_loses_its_rows(spark):
+    mart = Mart(spark)
+    src = small_source(spark)
+    a, b = first_dates(src, 2)
+    M.run_dates(src, mart, a, b)
+    key = int(f"{b:%Y%m%d}")
+    assert mart.read_fact(key, key).count() > 0
+    kept = mart.read_fact(int(f"{a:%Y%m%d}"), int(f"{a:%Y%m%d}")).count()
+    M.run_dates(small_source(spark, without={b}), mart, a, b)
+    assert mart.read_fact(key, key).count() == 0
+    assert mart.read_fact().count() == kept
+    assert mart.prune(keep=1) >= 1  # the first fact load is in no use any more
+    assert mart.read_fact().count() == kept
+
+
+def test_correction_on_the_same_date_is_settled_in_place(spark):
+    mart = Mart(spark)
+    src = small_source(spark)
+    a, b = first_dates(src, 2)
+    M.run_dates(src, mart, a, b)
+    M.run_dates(small_source(spark, fix={1: "FIXED", 2: "FIXED"}), mart, a, b)
+    rows = mart.read(M.CUSTOMERS.name).collect()
+    assert all(r.EndDate is None for r in rows)
+    assert sum(r.CustomerCategoryName == "FIXED" for r in rows) == 2
+
+
+def test_backfilled_dates_find_their_members(spark):
+    """Later dates first: the earlier ones load against the history as it stands, first versions covering them."""
+    mart = Mart(spark)
+    src = small_source(spark)
+    days = first_dates(src, 12)
+    M.run_dates(src, mart, days[6], days[11])
+    before = {s.name: sorted(map(tuple, mart.read(s.name).collect())) for s in M.SPEC_BY_DIM.values()}
+    M.run_dates(src, mart, days[0], days[5])
+    assert mart.read_fact().filter("CustomerKey = -1 or ProductKey = -1").count() == 0
+    for s in M.SPEC_BY_DIM.values():
+        assert sorted(map(tuple, mart.read(s.name).collect())) == before[s.name]
+
+
+def test_a_run_leaves_no_scratch_folders(spark):
+    import os
+
+    from dimwright.session import ensure_checkpoint_dir
+
+    mart = Mart(spark)
+    src = small_source(spark)
+    day = first_dates(src, 1)[0]
+    root = ensure_checkpoint_dir(spark).removeprefix("file:")
+    work = f"{root}/dimwright/{spark.sparkContext.applicationId}"
+
+    def scratch():
+        return {n for n in os.listdir(work) if n.startswith("materialized")}
+
+    before = scratch()
+    M.run_dates(src, mart, day, day)
+    assert scratch() == before
+
+
+def test_written_tables_have_the_declared_schema(spark):
+    from dimwright.plans.schemas import SCHEMAS
+
+    mart = Mart(spark)
+    src = small_source(spark)
+    day = first_dates(src, 1)[0]
+    M.run_dates(src, mart, day, day)
+    for table in [s.name for s in M.SPEC_BY_DIM.values()] + ["dim_date"]:
+        got = [(f.name, f.dataType) for f in mart.read(table).schema.fields]
+        assert got == [(f.name, f.dataType) for f in SCHEMAS[table].fields], table
+    fact = {f.name: f.dataType for f in mart.read_fact().schema.fields}
+    assert fact == {f.name: f.dataType for f in SCHEMAS["fact_orders"].fields}
+
+
+def test_changing_source_run_and_late_rerun(spark):
+    """Re-running the first period after the third (an older run) leaves every version and every sale as it was."""
+    from dimwright.plans import changing
+
+    mart = changing.run_periods(spark, SF)
+    sales = sorted(map(tuple, changing.sales(mart).collect()), key=str)
+    bounds = M.order_date_bounds(changing.ChangingOltp(spark, SF, 0))
+    start, end = changing.periods(*bounds)[0]
+    M.run_dates(changing.ChangingOltp(spark, SF, 0), mart, start, end)
+    assert sorted(map(tuple, changing.sales(mart).collect()), key=str) == sales
+    for row in mart.read(M.CUSTOMERS.name).collect():
+        assert row.EndDate is None or row.StartDate <= row.EndDate

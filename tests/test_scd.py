@@ -119,3 +119,50 @@ def test_scd2_change_report(spark):
     scd2(stg, spark.createDataFrame([tuple(r) for r in after.collect()], DIM_SCHEMA), "name", ["cat"], "k",
          START, END, report=again)
     assert again == {"changed": False}
+
+
+def test_key_spelling_and_null_keys(spark):
+    """Other case and trailing blanks are the same member; a null key is no member; neither churns."""
+    dim = spark.createDataFrame([(1, "Acme", "x", d(2013, 1, 1), None)], DIM_SCHEMA)
+    stg = spark.createDataFrame([("ACME ", "X "), (None, "y"), (None, "z")], "name string, cat string")
+    report = {}
+    after = scd2(stg, dim, "name", ["cat"], "k", START, END, report=report)
+    assert rows(after) == {(1, "Acme", "x", d(2013, 1, 1), None)} and report == {"changed": False}
+    cities = spark.createDataFrame([(1, "Rome", "IT")], "k long, city string, cc string")
+    stage = spark.createDataFrame([("ROME", "IT"), ("rome ", "IT"), (None, "??")], "city string, cc string")
+    got = scd1(stage, cities, ["city"], ["cc"], "k").collect()
+    assert [(r.k, r.cc) for r in got] == [(1, "IT")]
+
+
+def test_backdated_run_is_refused(spark):
+    import pytest
+
+    from dimwright.operators.scd import BackdatedRunError
+
+    with pytest.raises(BackdatedRunError):
+        scd2(spark.createDataFrame(STAGE, "name string, cat string"), spark.createDataFrame(BEFORE, DIM_SCHEMA),
+             "name", ["cat"], "k", d(2012, 6, 1), d(2012, 5, 31))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(0, 3), st.dictionaries(names, cats, max_size=6)), min_size=1, max_size=4))
+def test_scd2_any_sequence_of_dates(spark, runs):
+    """Runs on random dates, repeats included: valid intervals, no overlap, at most one open row, older runs refused."""
+    from dimwright.operators.scd import BackdatedRunError
+
+    dim, newest = [], -1
+    for offset, members in runs:
+        day = d(2013, 1, 1) + dt.timedelta(days=offset)
+        stg = spark.createDataFrame(sorted(members.items()), "name string, cat string")
+        try:
+            after = scd2(stg, spark.createDataFrame(dim, DIM_SCHEMA), "name", ["cat"], "k", day,
+                         day - dt.timedelta(days=1)).collect()
+        except BackdatedRunError:
+            assert offset < newest
+            continue
+        dim, newest = [tuple(r) for r in after], max(newest, offset)
+        assert {r[1] for r in dim if r[4] is None} == set(members)
+        assert all(r[4] is None or r[3] <= r[4] for r in dim)
+        for n in {r[1] for r in dim}:
+            spans = sorted((r[3], r[4] or d(9999, 12, 31)) for r in dim if r[1] == n)
+            assert all(x[1] < y[0] for x, y in zip(spans, spans[1:]))
