@@ -24,7 +24,7 @@ from pandas.util import hash_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimwright.session import work_path
+from dimwright.session import delete_path, work_path
 
 #: Stands for a null doc_id in orderings: after every other id.
 LAST_ID = (1 << 63) - 1
@@ -90,7 +90,14 @@ def stored(df: DataFrame, name: str, small: bool = False) -> DataFrame:
     path = work_path(spark, f"llm-{name}")
     with shuffle_cleanup(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._stored_at = path
+    return back
+
+
+def forget(table: DataFrame) -> None:
+    """Delete a table of ``stored`` once all that was derived from it is stored itself."""
+    delete_path(table.sparkSession, table._stored_at)
 
 
 # ----------------------------------------------------------------------------

@@ -12,14 +12,14 @@ document) is removed; windows are judged on the input.
 2. *Recurring passages* are the phrases left.  Each document gets the list of its own.
 3. *Automata.*  The documents are cut into shards (slices of Arrow batches).
    The recurring phrases of a shard's documents are compiled into one Aho-Corasick
-   automaton over word numbers, and all documents of the shard are streamed
+   automaton over word codes, and all documents of the shard are streamed
    through it to locate every occurrence.  A phrase reaches only shards
    that hold it, so each document is streamed once however many phrases there are.
 4. *Exact check.*  Only windows around located phrases are compared over the corpus,
    by 96-bit hashes of all their words: an aggregate finds the first document of
    each, and that document gets the window in its list of first occurrences.
-5. Every document is streamed once more: a located window that is not in the
-   document's list, or that the document had before, is removed.
+5. Every document is streamed once more: a window around one of its phrases that is
+   not in its list of first occurrences, or that it had before, is removed.
 
 Phrase counts and first documents are sums and minima, combined map-side, so a
 passage that a third of all documents share is no hot key.
@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain, compress
 
 import ahocorasick
 import numpy as np
@@ -43,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimwright.llm.common import (
-    LAST_ID, gram_hashes, id_and_text, mix, pieces_of, split_words, stored, word_hashes,
+    LAST_ID, forget, gram_hashes, id_and_text, mix, pieces_of, split_words, stored, word_hashes,
 )
 
 WINDOW, PHRASE = 20, 8
@@ -93,52 +94,67 @@ def phrase_rows(ranked: DataFrame) -> DataFrame:
     return ranked.select(*_DOC, "text").mapInArrow(run, "phrase long, rank_id long, text_key long, n int")
 
 
+#: Characters of word codes; few of them keep every automaton node small.
+_DIGITS = "".join(chr(c) for c in range(48, 112))
+
+
+def word_codes(words: list[bytes]) -> tuple[dict[bytes, str], str]:
+    """Codes of equal width for the distinct ``words``, and the code for any other word."""
+    width = 3 if len(words) < len(_DIGITS) ** 3 else 5
+    base = len(_DIGITS)
+    powers = [base**k for k in reversed(range(width))]
+    codes = {w: "".join(_DIGITS[n // p % base] for p in powers) for n, w in enumerate(words)}
+    return codes, "\x7f" * width
+
+
 class Shard:
     """The automaton of a slice of documents, and the windows that it locates in each."""
 
     def __init__(self, texts: list[str], lists: list[np.ndarray | None]):
         self.words = [split_words(t) for t in texts]
-        self.hashes: list[np.ndarray | None] = []
-        self.lists = lists
-        numbers: dict[bytes, int] = {}
-        phrase_at: dict[int, int] = {}
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        for words, own in zip(self.words, lists):
-            if own is None or not len(own):
-                self.hashes.append(None)
+        self.lists = [own if own is not None and len(own) else None for own in lists]
+        self.hashes = [None if own is None else word_hashes(w) for w, own in zip(self.words, self.lists)]
+        phrases: dict[int, list[bytes]] = {}
+        for words, hashes, own in zip(self.words, self.hashes, self.lists):
+            if own is None:
                 continue
-            hashes = word_hashes(words)
-            self.hashes.append(hashes)
             starts, chosen = chosen_phrases(hashes)
             listed = np.isin(chosen, own)
             for start, phrase in zip(starts[listed].tolist(), chosen[listed].tolist()):
-                if phrase not in phrase_at:
-                    phrase_at[phrase] = len(phrase_at)
-                    automaton.add_word(
-                        tuple(numbers.setdefault(w, len(numbers) + 1) for w in words[start : start + PHRASE]),
-                        phrase_at[phrase])
-        self.numbers, self.automaton = numbers, automaton
-        if phrase_at:
-            automaton.make_automaton()
-        self.phrase_of = np.fromiter(phrase_at, dtype=np.uint64, count=len(phrase_at))
+                if phrase not in phrases:
+                    phrases[phrase] = words[start : start + PHRASE]
+        self.codes, self.other = word_codes(list(dict.fromkeys(chain.from_iterable(phrases.values()))))
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for n, words in enumerate(phrases.values()):
+            self.automaton.add_word("".join([self.codes[w] for w in words]), n)
+        if phrases:
+            self.automaton.make_automaton()
+        self.phrase_of = np.fromiter(phrases, dtype=np.uint64, count=len(phrases))
 
     def located(self, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start, first hash, second hash) of every window of document ``i`` that holds one of its phrases."""
-        hashes = self.hashes[i]
-        n = len(self.words[i]) - WINDOW + 1
-        if hashes is None or n < 1:
-            return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
-        number = self.numbers.get
-        hits = list(self.automaton.iter(tuple([number(w, 0) for w in self.words[i]])))
-        ends, which = np.array(hits, dtype=np.int64).reshape(-1, 2).T
-        own = np.isin(self.phrase_of[which], self.lists[i])
-        starts = ends[own] - (PHRASE - 1)
-        edge = np.zeros(n + 1, dtype=np.int64)
-        np.add.at(edge, np.clip(starts - (WINDOW - PHRASE), 0, n), 1)
-        np.add.at(edge, np.clip(starts + 1, 0, n), -1)
-        at = np.flatnonzero(np.cumsum(edge)[:n])
-        second = gram_hashes(hashes, WINDOW, _SECOND) >> np.uint64(32)
-        return at, gram_hashes(hashes, WINDOW)[at], second[at]
+        """``windows_around`` every occurrence of the document's phrases, located by the automaton."""
+        if self.lists[i] is None:
+            return windows_around(len(self.words[i]), None, np.empty(0, np.int64))
+        code, other, width = self.codes.get, self.other, len(self.other)
+        coded = "".join([code(w, other) for w in self.words[i]])
+        hits = np.array(list(self.automaton.iter(coded)), dtype=np.int64).reshape(-1, 2)
+        hits = hits[(hits[:, 0] + 1) % width == 0]  # matches of whole words
+        own = np.isin(self.phrase_of[hits[:, 1]], self.lists[i])
+        starts = (hits[own, 0] + 1) // width - PHRASE
+        return windows_around(len(self.words[i]), self.hashes[i], starts)
+
+
+def windows_around(n_words: int, hashes: np.ndarray | None, phrase_starts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(start, first hash, second hash) of every window that holds a phrase beginning at one of ``phrase_starts``."""
+    n = n_words - WINDOW + 1
+    if hashes is None or n < 1 or not len(phrase_starts):
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
+    edge = np.zeros(n + 1, dtype=np.int64)
+    np.add.at(edge, np.clip(phrase_starts - (WINDOW - PHRASE), 0, n), 1)
+    np.add.at(edge, np.clip(phrase_starts + 1, 0, n), -1)
+    at = np.flatnonzero(np.cumsum(edge)[:n])
+    second = gram_hashes(hashes, WINDOW, _SECOND) >> np.uint64(32)
+    return at, gram_hashes(hashes, WINDOW)[at], second[at]
 
 
 def _lists(column: pa.Array) -> list[np.ndarray | None]:
@@ -197,18 +213,23 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     lists = stored(
         rows.join(recurring, "phrase", "left_semi").groupBy(*_DOC).agg(F.collect_list("phrase").alias("phrases")),
         "phrase-lists")
+    forget(rows)
     windows = window_rows(ranked.join(lists.hint("shuffle_hash"), _DOC))
-    firsts = first_windows(windows)
-    notes = stored(lists.join(firsts, _DOC, "left"), "passages")
+    notes = stored(lists.join(first_windows(windows), _DOC, "left"), "passages")
+    forget(lists)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
-            shard = Shard(batch.column("text").to_pylist(), _lists(batch.column("phrases")))
             n_words, n_removed, shas, texts = [], [], [], []
+            lists_ = _lists(batch.column("phrases"))
             first1, first2 = batch.column("first1"), batch.column("first2")
-            for i, words in enumerate(shard.words):
-                at, w1, w2 = shard.located(i)
-                if len(at):
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                words = kept = split_words(text)
+                if lists_[i] is not None:
+                    hashes = word_hashes(words)
+                    # The phrases that the automaton has located, found again by their hashes.
+                    starts = np.flatnonzero(np.isin(gram_hashes(hashes, PHRASE), lists_[i]))
+                    at, w1, w2 = windows_around(len(words), hashes, starts)
                     here = _joint(w1, w2)
                     stays = np.zeros(len(at), dtype=bool)
                     stays[np.unique(here, return_index=True)[1]] = True
@@ -219,9 +240,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
                     else:
                         stays[:] = False
                     gone = covered(len(words), at[~stays])
-                    kept = [w for w, g in zip(words, gone.tolist()) if not g]
-                else:
-                    kept = words
+                    kept = list(compress(words, (~gone).tolist()))
                 n_words.append(len(words))
                 n_removed.append(len(words) - len(kept))
                 text = b" ".join(kept)
