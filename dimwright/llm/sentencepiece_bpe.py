@@ -26,7 +26,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 from operator import add
 
 import pyarrow as pa
@@ -37,8 +37,8 @@ from dimwright.llm.common import id_and_text, pieces_of
 
 #: The library's mark for a space.
 SPACE = "▁"
-#: Parts remembered per Python worker (about 250 bytes each), and as many cut parts.
-REMEMBERED = 500_000
+#: Parts remembered per Python worker (about 250 bytes each).
+REMEMBERED = 700_000
 
 
 _NO_PAIR = 1 << 62
@@ -96,8 +96,8 @@ class Merger:
             raise ValueError("a piece has a space after another character")
         self.newline_apart = not any("\n" in p for p in pieces)
         self.known = _Known(self)
-        self.small: dict[str, list[int]] = {}
         self.fresh: list[str] = []
+        self.fresh_ids: list[tuple[int, ...]] = []
 
     def normalized(self, text: str) -> str:
         return self.library.normalize(text)
@@ -122,19 +122,21 @@ class Merger:
 
     def _merge_short(self, symbols: list[int]) -> list[int]:
         """The agenda as a list beside the symbols: entry i is the place of the pair (i, i + 1)."""
-        place, joined = self.place.get, self.joined
-        agenda = [place(pair, _NO_PAIR) for pair in zip(symbols, symbols[1:])]
+        place, joined = self.place, self.joined
+        agenda = [place[pair] if pair in place else _NO_PAIR for pair in zip(symbols, symbols[1:])]
         while agenda:
             best = min(agenda)
             if best == _NO_PAIR:
                 break
             i = agenda.index(best)  # the leftmost of equals
-            symbols[i] = joined[symbols[i], symbols[i + 1]]
-            del symbols[i + 1], agenda[i]
+            new = symbols[i] = joined[symbols[i], symbols.pop(i + 1)]
+            del agenda[i]
             if i:
-                agenda[i - 1] = place((symbols[i - 1], symbols[i]), _NO_PAIR)
+                pair = symbols[i - 1], new
+                agenda[i - 1] = place[pair] if pair in place else _NO_PAIR
             if i < len(agenda):
-                agenda[i] = place((symbols[i], symbols[i + 1]), _NO_PAIR)
+                pair = new, symbols[i + 1]
+                agenda[i] = place[pair] if pair in place else _NO_PAIR
         return symbols
 
     def _merge_long(self, symbols: list[int]) -> list[int]:
@@ -161,24 +163,25 @@ class Merger:
 
     def first_met(self, part: str) -> tuple[int, ...]:
         """Encode an unknown part: cut it where no piece can reach across, merge what is left."""
+        if len(self.known) >= REMEMBERED:
+            self.known.clear()
         pairs = list(map(add, part, part[1:]))
         if self.inner.issuperset(pairs):
-            ids = self._cut_part(part)
+            found = tuple(self.merge(part))
         else:
             cuts = [i for i, pair in enumerate(pairs, 1) if pair not in self.inner]
-            ids = [i for a, b in zip([0, *cuts], [*cuts, len(part)]) for i in self._cut_part(part[a:b])]
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        self.known[part] = found = tuple(ids)
+            found = tuple(chain.from_iterable(
+                self._cut_part(part[a:b]) for a, b in zip([0, *cuts], [*cuts, len(part)])))
+        self.known[part] = found
         self.fresh.append(part)
+        self.fresh_ids.append(found)
         return found
 
-    def _cut_part(self, piece: str) -> list[int]:
-        ids = self.small.get(piece)
+    def _cut_part(self, piece: str) -> tuple[int, ...]:
+        """Remembered like any part; the library checks it inside the part that it was cut from."""
+        ids = self.known.get(piece)
         if ids is None:
-            if len(self.small) >= REMEMBERED:
-                self.small.clear()
-            ids = self.small[piece] = self.merge(piece)
+            ids = self.known[piece] = tuple(self.merge(piece))
         return ids
 
     def parts(self, norm: str) -> list[str]:
@@ -195,18 +198,14 @@ class Merger:
     def agrees(self) -> bool:
         """Whether the library encodes the parts met since the last call in the same way."""
         fresh, self.fresh = self.fresh, []
-        known, checked = dict.get, self.known
+        ids, self.fresh_ids = self.fresh_ids, []
         if not fresh:
             return True
         # Marks become the spaces they stand for; a newline, which no piece holds, keeps parts apart.
         if self.newline_apart:
-            told = self.library.encode("".join("\n" + p for p in fresh).replace(SPACE, " "))
-            gap = self.merge("\n")
-            expected = list(self.merge(SPACE))
-            for p in fresh:
-                expected += gap
-                expected += known(checked, p) or self.merge(p)
-            return told == expected
+            told = self.library.encode("\n" + "\n".join(fresh).replace(SPACE, " "))
+            each = chain.from_iterable(zip(repeat(self.merge("\n")), ids))
+            return told == self.merge(SPACE) + list(chain.from_iterable(each))
         texts = [p.replace(SPACE, " ") for p in fresh]
         return all(self.library.encode(t) == self.merge(self.normalized(t)) for t in texts)
 
@@ -234,7 +233,6 @@ def encode_decode(docs: DataFrame, model_path: str, with_ids: bool = False) -> D
             ok = m.agrees()
             if not ok:
                 m.known.clear()
-                m.small.clear()
                 all_ids = [m.library.encode(t, add_eos=True) for t in texts]
             decoded = [decode(ids) for ids in all_ids]
             shas = [hashlib.sha256(" ".join([decimals[i] for i in ids]).encode()).hexdigest() for ids in all_ids]
