@@ -29,8 +29,12 @@ from pyspark.sql import functions as F
 from dimwright.llm.common import shuffle_cleanup, stored, text_of
 from dimwright.session import work_path
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Disk-backed state; without preallocation a state partition's files take what they hold, not 4 MB each.
+_STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def sha256_of(text: Column) -> Column:
@@ -51,8 +55,9 @@ def update_state(spark: SparkSession, log_path: str, state_path: str) -> DataFra
 
     Output goes nowhere: the state itself is the result, read back as a table.
     """
-    before = spark.conf.get(_PROVIDER)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in _STATE}
+    for k, v in _STATE.items():
+        spark.conf.set(k, v)
     try:
         seen = (
             spark.readStream.schema("digest string, doc_id long, locator string").parquet(log_path)
@@ -66,7 +71,8 @@ def update_state(spark: SparkSession, log_path: str, state_path: str) -> DataFra
         )
         query.awaitTermination()
     finally:
-        spark.conf.set(_PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.format("statestore").load(state_path)
 
 
