@@ -35,8 +35,10 @@ from dimwright.llm.common import gram_hashes, id_and_text, pieces_of, stored, wo
 _SYMBOLS = re.compile(r"[#*$%&|<>]")
 REPEAT_WINDOW = 8
 _SPACE = " \t\n\x0b\x0c\r"
+#: Words that are one mark of a table or a menu.
+_BARE = frozenset(c.encode() for c in "#*$%&|<>/\\-–—•·=+~_")
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_distinct", "n_lines", "n_letter_bytes",
-            "n_word_bytes")
+            "n_word_bytes", "n_bare")
 
 
 def measures_of(text: str) -> tuple[int, ...]:
@@ -63,7 +65,9 @@ def measures_of(text: str) -> tuple[int, ...]:
             repeat = int((np.cumsum(edge)[:n] > 0).sum())
     codes = np.frombuffer(raw, dtype=np.uint8)
     letters = int(((codes | 32) - 97 < 26).sum() + (codes > 127).sum())
-    return n, len(text) - space, len(_SYMBOLS.findall(text)), dup, repeat, len(set(words)), lines, letters, len(raw) - space
+    bare = sum(map(_BARE.__contains__, words))
+    symbols = len(_SYMBOLS.findall(text))
+    return n, len(text) - space, symbols, dup, repeat, len(set(words)), lines, letters, len(raw) - space, bare
 
 
 def measures(docs: DataFrame) -> DataFrame:
@@ -78,22 +82,30 @@ def measures(docs: DataFrame) -> DataFrame:
     return id_and_text(docs).mapInArrow(run, "doc_id long, " + ", ".join(f"{m} long" for m in MEASURES))
 
 
-def _vote(good: Column, bad: Column) -> Column:
-    return F.when(bad, F.lit(-1)).when(good, F.lit(1)).otherwise(F.lit(0))
+def _vote(bad: Column, good: Column | None = None) -> Column:
+    vote = F.when(bad, F.lit(-1))
+    return vote.when(good, F.lit(1)).otherwise(F.lit(0)) if good is not None else vote.otherwise(F.lit(0))
 
 
 def votes() -> dict[str, Column]:
-    """Each rule as a vote over the measures; the gap between the two limits abstains."""
+    """Each rule as a vote over the measures.
+
+    Most rules look for one kind of damage and have nothing to say about texts
+    without it; if they praised those, every kind of damage would be outvoted by
+    the rules for the other kinds.  Only plain prose is a reason to vote good.
+    """
     c = F.col
     words = F.greatest(c("n_words"), F.lit(1))
     return {
-        "length": _vote(c("n_words").between(50, 100_000), c("n_words") < 20),
-        "word_length": _vote((c("word_chars") / words).between(3, 10), ~(c("word_chars") / words).between(2, 15)),
-        "symbols": _vote(c("n_symbols") * 50 < words, c("n_symbols") * 5 > words),
-        "dup_lines": _vote(c("n_dup_lines") * 10 <= c("n_lines"), c("n_dup_lines") * 10 > c("n_lines") * 3),
-        "repeats": _vote(c("n_repeat_words") * 20 <= words, c("n_repeat_words") * 10 > words * 3),
-        "variety": _vote(c("n_distinct") * 4 >= words, (c("n_distinct") * 20 < words) & (c("n_words") < 20_000)),
-        "letters": _vote(c("n_letter_bytes") * 10 >= c("n_word_bytes") * 8, c("n_letter_bytes") * 2 < c("n_word_bytes")),
+        "short": _vote(c("n_words") < 20),
+        "word_length": _vote(~(c("word_chars") / words).between(3, 10)),
+        "symbols": _vote(c("n_symbols") * 10 > words),
+        "bare_marks": _vote(c("n_bare") * 10 > words),
+        "dup_lines": _vote(c("n_dup_lines") * 10 > c("n_lines") * 3),
+        "repeats": _vote(c("n_repeat_words") * 10 > words * 2),
+        "variety": _vote((c("n_distinct") * 20 < words) & (c("n_words") < 20_000)),
+        "letters": _vote(c("n_letter_bytes") * 10 < c("n_word_bytes") * 8,
+                         c("n_letter_bytes") * 100 >= c("n_word_bytes") * 93),
     }
 
 

@@ -275,7 +275,7 @@ def test_near_in_large_and_small_buckets(spark):
 
 
 def test_components_of_a_long_chain(spark):
-    n = 300
+    n = 80
     order = list(range(n))
     random.Random(3).shuffle(order)
     links = [(order[i], order[i + 1]) for i in range(n - 1)] + [(1000, 1001), (5000, 5000)]
