@@ -101,10 +101,12 @@ SQL: dict[str, str] = {
     "op5_substring_dedup": r"""
         WITH texts AS (
             SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
-        starts AS (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS at FROM texts),
-        windows AS (SELECT doc_id, at, array_to_string(words[at : at + 19], ' ') AS win FROM starts),
-        ranked AS (SELECT doc_id, at, row_number() OVER (PARTITION BY win ORDER BY doc_id, at) AS place FROM windows),
-        gone AS (SELECT DISTINCT doc_id, unnest(range(at, at + 20)) AS pos FROM ranked WHERE place > 1),
+        starts AS (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS pos FROM texts),
+        windows AS (
+            SELECT doc_id, pos, array_to_string(list_slice(words, pos, pos + 19), ' ') AS win FROM starts),
+        ranked AS (
+            SELECT doc_id, pos, row_number() OVER (PARTITION BY win ORDER BY doc_id, pos) AS place FROM windows),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 20)) AS pos FROM ranked WHERE place > 1),
         single AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM texts),
         judged AS (
             SELECT s.doc_id, s.word, s.pos, g.pos IS NOT NULL AS lost
