@@ -5,7 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
-from conftest import PASSAGE, make, sha
+from llm_cases import PASSAGE, make, sha
 from pyspark.sql import functions as F
 
 from dimwright.llm import exact_dedup, line_dedup, minhash_dedup, sharding, substring_dedup

@@ -6,7 +6,7 @@ from collections import defaultdict
 from pathlib import Path
 
 import pytest
-from conftest import SF, make
+from llm_cases import SF, make
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2] / "tools"))
 

@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 import tokenizers
-from conftest import PASSAGE, make, sha
+from llm_cases import PASSAGE, make, sha
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
