@@ -22,8 +22,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         .where("a <> b").distinct(),
         "links", small=True,
     )
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component")),
-                    "labels", small=True)
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select(
+        "node", F.least("node", "low").alias("component"))
     while True:
         near = (
             both.join(labels.withColumnRenamed("node", "b"), "b")

@@ -51,8 +51,8 @@ _WORD = re.compile(r"[^\W\d_]+")
 class Params:
     docs_per_language: int = 4_000
     max_languages: int = 500
-    max_words: int = 100_000
-    max_grams: int = 40_000
+    max_words: int = 50_000
+    max_grams: int = 20_000
     smoothing: float = 0.5
 
 
@@ -123,11 +123,11 @@ def fit(docs: DataFrame, p: Params = Params()) -> Model:
         top = sums.where((F.col("kind") == kind) & ((F.col("all") > 1) if kind == 0 else F.lit(True)))
         top = top.orderBy(F.desc("all"), "key").limit(limit).select("kind", "key")
         chosen = top if chosen is None else chosen.unionByName(top)
-    kept = counts.join(chosen, ["kind", "key"], "left_semi").toPandas()  # bounded by the limits
+    kept = counts.join(chosen, ["kind", "key"], "left_semi").toArrow()  # bounded by the limits
     return _model(sorted(r["lang"] for r in sizes), totals, kept, p)
 
 
-def _model(languages: list[str], totals: list, kept, p: Params) -> Model:
+def _model(languages: list[str], totals: list, kept: pa.Table, p: Params) -> Model:
     column = {lang: i for i, lang in enumerate(languages)}
     total = {(r["kind"], r["lang"]): r["total"] for r in totals}
     kinds = Counter()
@@ -135,12 +135,15 @@ def _model(languages: list[str], totals: list, kept, p: Params) -> Model:
         kinds[r["kind"]] = max(kinds[r["kind"]], r["kinds"])
     words: dict[str, int] = {}
     grams: dict[int, dict[str, int]] = {o: {} for o in ORDERS}
-    index: list[tuple[int, int, float]] = []
-    for lang, kind, key, n in kept[["lang", "kind", "key", "n"]].itertuples(index=False):
+    index: list[tuple[int, int, int, int]] = []
+    size = 0
+    for lang, kind, key, n in zip(*(kept.column(c).to_pylist() for c in ("lang", "kind", "key", "n"))):
         table = words if kind == 0 else grams[kind]
-        row = table.setdefault(key, len(words) + sum(map(len, grams.values())))
+        row = table.get(key)
+        if row is None:
+            row = table[key] = size
+            size += 1
         index.append((row, column[lang], n, kind))
-    size = len(words) + sum(map(len, grams.values()))
     rows = np.zeros((size, len(languages)))
     kind_of = np.zeros(size, dtype=int)
     for row, col, n, kind in index:
@@ -205,9 +208,6 @@ class _Index(dict):
         return self.scorer.place(word)
 
 
-_SCORERS: dict[int, Scorer] = {}
-
-
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of every document."""
     spark = docs.sparkSession
@@ -228,12 +228,10 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def _scorer(shared) -> Scorer:
-    """One per Python worker and model, kept between tasks."""
-    model = shared.value
-    if id(model) not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[id(model)] = Scorer(model)
-    return _SCORERS[id(model)]
+    """One per Python worker and model; it goes when the worker drops the broadcast model."""
+    if not hasattr(shared, "scorer"):
+        shared.scorer = Scorer(shared.value)
+    return shared.scorer
 
 
 def identify_languages(docs: DataFrame, p: Params = Params()) -> DataFrame:
