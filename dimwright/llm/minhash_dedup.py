@@ -17,10 +17,12 @@ at least 0.75; a document's component is everything reachable over links.
    components of the confirmed links.
 5. *Remaining buckets.*  A bucket whose members now lie in one component can add
    nothing.  In the others, all pairs between different components are verified if
-   the bucket has at most ``small_bucket`` members (a constant number per member);
-   in larger ones all members of other components are verified against a
-   pseudo-random member, a new one each round, until two rounds in a row bring no
-   link.  Rounds never drop a member or a bucket.
+   the bucket has at most ``small_bucket`` members (a constant number per member).
+   The members of larger ones are joined exactly: shingles rare among them come
+   first in one global order, two sets at the threshold share a shingle of their
+   prefixes in that order, and where they first meet bounds how much more they can
+   share.  Shingles held by one component only come before all others, so they never
+   make a pair.  No member, bucket or pair that can be linked is left out.
 
 Defined cases: a null or blank text has no shingle and links with nothing; fewer
 than five words form one shingle; rows with equal word sequences are always
@@ -36,7 +38,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimwright.llm.common import (
@@ -56,7 +58,7 @@ class Params:
     width: int = 2
     #: Buckets up to this size are searched completely when they still hold several components.
     small_bucket: int = 64
-    #: Centres per round in larger ones; rounds go on until ``quiet_rounds`` in a row bring no link.
+    #: Without effect since larger ones are searched exactly, in one step; kept for callers that set them.
     centres: int = 1
     quiet_rounds: int = 2
     seed: int = 20260
@@ -187,26 +189,60 @@ def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(named.join(several, "key", "left_semi"), "open", small=True)
 
 
-def _further_pairs(open_: DataFrame, step: int, p: Params) -> DataFrame:
-    """Pairs between different components of one bucket: all of them in small buckets (once), members against
-    ``centres`` pseudo-random members in larger ones."""
-    cols = [F.col("rep").alias("y"), F.col("n_shingles").alias("ny"), F.col("component").alias("cy")]
-    large = open_.where(F.col("members") > p.small_bucket)
-    order = [F.xxhash64("rep", F.lit(step), F.lit(k)) for k in range(p.centres)]
-    picked = (
-        large.groupBy("key").agg(*[F.min_by("rep", o).alias(f"c{k}") for k, o in enumerate(order)])
-        .select("key", F.explode(F.array_distinct(F.array(*[f"c{k}" for k in range(p.centres)]))).alias("rep"))
-    )
-    centres = picked.join(large, ["key", "rep"]).select("key", *cols)
-    pairs = large.join(centres, "key").where("component <> cy")
-    if step == 0:
-        small = open_.where(F.col("members") <= p.small_bucket)
-        within = small.join(small.select("key", *cols), "key").where("component <> cy and rep < y")
-        pairs = pairs.unionByName(within)
-    pairs = pairs.select(F.col("rep").alias("x"), F.col("n_shingles").alias("nx"), "y", "ny")
+def _pairs_in_small(open_: DataFrame, p: Params) -> DataFrame:
+    """All pairs between different components of one bucket of at most ``small_bucket`` members."""
+    small = open_.where(F.col("members") <= p.small_bucket)
+    other = small.select("key", F.col("rep").alias("y"), F.col("n_shingles").alias("ny"), F.col("component").alias("cy"))
+    pairs = small.join(other, "key").where("component <> cy and rep < y").select(
+        F.col("rep").alias("x"), F.col("n_shingles").alias("nx"), "y", "ny")
     return _ordered(_may_link(pairs, p)).distinct()
 
 
+def _prefixes(open_: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+    """(shingle, rep, n, component, pos, main): the shingles of members of larger buckets at which a link can begin.
+
+    Order: shingles of one component only, then the others by number of holders.  Of two linked sets the first common
+    shingle stands, in each set of size n, at a ``pos`` with n - pos >= percent * n / 100.  ``main``: the row is of the
+    component with most rows of this shingle.
+    """
+    members = open_.where(F.col("members") > p.small_bucket).select("rep", F.col("n_shingles").alias("n"), "component")
+    held = sets.join(members.distinct(), "rep").select("rep", "n", "component", F.explode("set").alias("shingle"))
+    shared = stored(
+        held.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"), F.min("component").alias("low"),
+                                    F.max("component").alias("high")).where("low <> high").select("shingle", "holders"),
+        "shared-shingles")
+    own = Window.partitionBy("rep")
+    placed = held.join(shared, "shingle").select(
+        "shingle", "rep", "n", "component",
+        (F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("holders", "shingle")) - 1).alias("pos"))
+    prefixes = stored(placed.where((F.col("n") - F.col("pos")) * 100 >= F.col("n") * p.percent), "prefixes")
+    most = (
+        prefixes.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("rows"))
+        .groupBy("shingle").agg(F.max_by("component", F.struct("rows", "component")).alias("most"),
+                                F.count(F.lit(1)).alias("components")).where("components > 1").select("shingle", "most")
+    )
+    return stored(prefixes.join(most, "shingle").withColumn("main", F.col("component") == F.col("most")).drop("most"),
+                  "prefixes")
+
+
+def _pairs_in_large(open_: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+    """All pairs between different components of members of larger buckets whose prefixes allow a link."""
+    rows = _prefixes(open_, sets, p)
+    # the smaller set of a linked pair has to share 2 * percent / (100 + percent) of its shingles
+    small = rows.where((F.col("n") - F.col("pos")) * (100 + p.percent) >= F.col("n") * 2 * p.percent).select(
+        "shingle", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"),
+        F.col("component").alias("cx"), F.col("main").alias("main_x"))
+    large = rows.select("shingle", F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("py"),
+                        F.col("component").alias("cy"), F.col("main").alias("main_y"))
+    more = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py"))  # the most they can share from here on
+    fits = ((F.col("cx") != F.col("cy")) & ((F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y"))))
+            & (more * (100 + p.percent) >= (F.col("nx") + F.col("ny")) * p.percent))
+    # two rows of the main component make no pair, so its rows meet only those of others
+    pairs = small.where("not main_x").join(large, "shingle").where(fits).select("x", "y").unionByName(
+        small.where("main_x").join(large.where("not main_y"), "shingle").where(fits).select("x", "y"))
+    return _ordered(pairs).distinct()
+
+
 def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document; kept: it is its component's smallest id."""
     signed = stored(signatures(docs, p), "signatures").withColumn("rank_id", F.coalesce("doc_id", F.lit(LAST_ID)))
@@ -223,20 +259,11 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
 
     tested = stored(_verified(_star_pairs(members, p), sets, p), "tested")
     labels = connected_components(tested.where("linked"))
-    step = quiet = 0
-    while quiet < p.quiet_rounds:
-        open_ = _open_buckets(members, labels)
-        new = _further_pairs(open_, step, p).join(tested, ["a", "b"], "left_anti")
-        found = stored(_verified(new, sets, p), "tested")
-        if found.isEmpty():
-            break
-        if found.where("linked").isEmpty():
-            quiet += 1
-        else:
-            quiet = 0
-            labels = connected_components(tested.unionByName(found).where("linked"))
-        tested = tested.unionByName(found)
-        step += 1
+    open_ = _open_buckets(members, labels)
+    further = _pairs_in_small(open_, p).unionByName(_pairs_in_large(open_, sets, p)).distinct()
+    found = stored(_verified(further.join(tested, ["a", "b"], "left_anti"), sets, p), "tested")
+    if not found.where("linked").isEmpty():
+        labels = connected_components(tested.unionByName(found).where("linked"))
     names = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "c1", "c2", F.coalesce("component", "rep").alias("component"))
     blank = F.col("n_shingles") == 0

@@ -274,6 +274,25 @@ def test_near_in_large_and_small_buckets(spark):
     assert near_results(make(spark, rows), p=few) == want
 
 
+def half_sharing_family(rng, n=300):
+    """Documents that share most of their text but are no copies (0.69), and in pairs a little more of it (0.77)."""
+    own = lambda k: [f"x{rng.randrange(10**9)}" for _ in range(k)]
+    common, rows = own(168), []
+    for _ in range(n // 2):
+        pair = own(10)
+        rows += [(len(rows) + k, " ".join(common + pair + own(26))) for k in range(2)]
+    rng.shuffle(rows)
+    return rows
+
+
+def test_near_pairs_inside_a_large_family(spark):
+    """Every bucket of the family is large; the production settings find all pairs in it."""
+    rows = half_sharing_family(random.Random(21))
+    want = brute_near(rows)
+    assert sum(r.endswith("False)") for r in want) == len(rows) // 2
+    assert near_results(make(spark, rows)) == want
+
+
 def test_components_of_a_long_chain(spark):
     n = 80
     order = list(range(n))
