@@ -6,13 +6,14 @@ at least 0.75; a document's component is everything reachable over links.
 1. *Signatures.*  One pass over the texts gives each document its shingle count,
    a 128-bit digest of its word sequence, and two small collections of ``m``
    minhash values each.  Documents with one digest have one shingle set, so only
-   one representative of each digest (the smallest id) takes part in the search.
+   one representative of each digest, a node with a number of its own, takes part in
+   the search; so texts without an id stay apart.
 2. *Tensored banding.*  Every pair (a value of the first collection, a value of
    the second) is a table key: ``m * m`` tables from only ``2 m`` minhashes.  A
    pair of similarity s shares a key with probability ``(1 - (1-s)^m)^2``; with
    m = 11 keys of two minhashes each that is 0.9998 at the threshold and more above it.
 3. *Star candidates.*  In each bucket every member is paired with the bucket's
-   smallest id only - never all pairs of a bucket.
+   smallest node only - never all pairs of a bucket.
 4. *Verification* on the full shingle sets (64-bit shingle hashes), and connected
    components of the confirmed links.
 5. *Remaining buckets.*  A bucket whose members now lie in one component can add
@@ -27,7 +28,7 @@ at least 0.75; a document's component is everything reachable over links.
 Defined cases: a null or blank text has no shingle and links with nothing; fewer
 than five words form one shingle; rows with equal word sequences are always
 linked; rows with a null ``doc_id`` rank after every other id and are reported
-with it; an empty table gives an empty result.
+with it, each text decided by itself; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,13 +39,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimwright.llm.common import (
-    LAST_ID, gram_hashes, id_and_text, mix, pieces_of, stored, word_hashes,
+    LAST_ID, gram_hashes, id_and_text, mix, pieces_of, stored, text_of, word_hashes,
 )
 from dimwright.llm.components import connected_components
+from dimwright.llm.exact_dedup import sha256_of
 
 
 @dataclass(frozen=True)
@@ -94,40 +96,51 @@ def _collections(shingles: np.ndarray, mult: np.ndarray, flip: np.ndarray, p: Pa
     return mix(key)
 
 
+def _text_key() -> Column:
+    """Tells rows without an id apart; the id alone names the others."""
+    return F.when(F.col("doc_id").isNull(), sha256_of(text_of())).otherwise(F.lit(""))
+
+
+def _digests(texts: list[list[bytes]]) -> dict[str, pa.Array]:
+    """c1, c2: the halves of a 128-bit digest of each word sequence."""
+    raw = b"".join(hashlib.blake2b(b" ".join(words), digest_size=16).digest() for words in texts)
+    halves = np.frombuffer(raw, dtype="<i8").reshape(-1, 2)
+    return {"c1": pa.array(halves[:, 0].copy()), "c2": pa.array(halves[:, 1].copy())}
+
+
 def signatures(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """(doc_id, n_shingles, c1, c2, keys) of every document; c1, c2: digest of its word sequence."""
+    """(doc_id, text_key, n_shingles, c1, c2, keys) of every document; c1, c2: digest of its word sequence."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mult, flip = _coefficients(p)
         for batch in pieces_of(batches):
-            sizes, digests, keys = [], [], []
-            for text in batch.column("text").to_pylist():
-                words = _words(text)
+            sizes, keys = [], []
+            texts = [_words(t) for t in batch.column("text").to_pylist()]
+            for words in texts:
                 shingles = shingle_set(words, p.shingle)
                 sizes.append(len(shingles))
-                digests.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest())
                 keys.append(_collections(shingles, mult, flip, p).view(np.int64) if words else None)
-            halves = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
             yield pa.record_batch({
-                "doc_id": batch.column("doc_id"),
-                "n_shingles": pa.array(sizes, pa.int64()),
-                "c1": pa.array(halves[:, 0].copy()), "c2": pa.array(halves[:, 1].copy()),
+                "doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"),
+                "n_shingles": pa.array(sizes, pa.int64()), **_digests(texts),
                 "keys": pa.array(keys, pa.list_(pa.int64())),
             })
 
-    return id_and_text(docs).mapInArrow(
-        run, "doc_id long, n_shingles long, c1 long, c2 long, keys array<long>")
+    return id_and_text(docs).withColumn("text_key", _text_key()).mapInArrow(
+        run, "doc_id long, text_key string, n_shingles long, c1 long, c2 long, keys array<long>")
 
 
 def shingle_sets(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """(doc_id, set): the whole shingle set of every document, as an array of 64-bit hashes."""
+    """(doc_id, c1, c2, set): the whole shingle set of every document, as an array of 64-bit hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
-            sets = [shingle_set(_words(t), p.shingle).view(np.int64) for t in batch.column("text").to_pylist()]
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "set": pa.array(sets, pa.list_(pa.int64()))})
+            texts = [_words(t) for t in batch.column("text").to_pylist()]
+            sets = [shingle_set(words, p.shingle).view(np.int64) for words in texts]
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), **_digests(texts),
+                                   "set": pa.array(sets, pa.list_(pa.int64()))})
 
-    return id_and_text(docs).mapInArrow(run, "doc_id long, set array<long>")
+    return id_and_text(docs).mapInArrow(run, "doc_id long, c1 long, c2 long, set array<long>")
 
 
 def buckets(reps: DataFrame) -> DataFrame:
@@ -173,7 +186,7 @@ def _may_link(pairs: DataFrame, p: Params) -> DataFrame:
 
 
 def _star_pairs(members: DataFrame, p: Params) -> DataFrame:
-    """Every bucket member with the bucket's smallest id."""
+    """Every bucket member with the bucket's smallest node."""
     centres = members.groupBy("key").agg(F.min("rep").alias("y"), F.min_by("n_shingles", "rep").alias("ny"))
     pairs = members.join(centres, "key").where("rep <> y").select(
         F.col("rep").alias("x"), F.col("n_shingles").alias("nx"), "y", "ny")
@@ -243,19 +256,25 @@ def _pairs_in_large(open_: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
     return _ordered(pairs).distinct()
 
 
-def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every document; kept: it is its component's smallest id."""
+def _sets_of(docs: DataFrame, wanted: DataFrame, p: Params) -> DataFrame:
+    """(rep, set) of the ``wanted`` (rep, c1, c2, rank_id): named ones are picked by id, the others by their digest."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    picked = rows.join(wanted.select(F.col("rank_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    sets = shingle_sets(picked.unionByName(rows.where("doc_id is null")), p)
+    return sets.dropDuplicates(["c1", "c2"]).join(wanted, ["c1", "c2"]).select("rep", "set")
+
+
+def _decided(docs: DataFrame, p: Params) -> DataFrame:
+    """``near_duplicates`` with the ``text_key`` of each row."""
     signed = stored(signatures(docs, p), "signatures").withColumn("rank_id", F.coalesce("doc_id", F.lit(LAST_ID)))
-    classes = signed.groupBy("c1", "c2").agg(F.min("rank_id").alias("rep"))
-    searched = signed.where("n_shingles > 0").select("c1", "c2", F.col("rank_id").alias("rep"), "n_shingles", "keys")
-    reps = searched.join(classes, ["c1", "c2", "rep"], "left_semi").dropDuplicates(["rep", "c1", "c2"])
+    # rows of one digest have one size and one list of keys
+    reps = stored(
+        signed.where("n_shingles > 0").groupBy("c1", "c2").agg(
+            F.min("rank_id").alias("rank_id"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"))
+        .withColumn("rep", F.monotonically_increasing_id()), "representatives")
     members = buckets(reps.select("rep", "n_shingles", "keys"))
-
-    wanted = members.select("rep").distinct()
-    ranked = docs.withColumn("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)))
-    sets = stored(
-        shingle_sets(ranked.join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi"), p)
-        .withColumnRenamed("doc_id", "rep").dropDuplicates(["rep"]), "sets")
+    wanted = reps.select("rep", "c1", "c2", "rank_id").join(members.select("rep").distinct(), "rep")
+    sets = stored(_sets_of(docs, wanted, p), "sets")
 
     tested = stored(_verified(_star_pairs(members, p), sets, p), "tested")
     labels = connected_components(tested.where("linked"))
@@ -264,22 +283,30 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     found = stored(_verified(further.join(tested, ["a", "b"], "left_anti"), sets, p), "tested")
     if not found.where("linked").isEmpty():
         labels = connected_components(tested.unionByName(found).where("linked"))
-    names = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "c1", "c2", F.coalesce("component", "rep").alias("component"))
-    blank = F.col("n_shingles") == 0
-    out = signed.join(names, ["c1", "c2"], "left").select(
-        "doc_id", "n_shingles",
-        F.when(blank, F.col("rank_id")).otherwise(F.col("component")).alias("component"), "rank_id")
+    ranks = labels.withColumnRenamed("node", "rep").join(reps.select("rep", "rank_id"), "rep")
+    lowest = ranks.groupBy("component").agg(F.min("rank_id").alias("low"))
+    linked = ranks.join(lowest, "component").select("rep", "low")
+    names = reps.select("c1", "c2", "rep", "rank_id").join(linked, "rep", "left").select(
+        "c1", "c2", F.coalesce("low", "rank_id").alias("component"))
+    out = signed.join(names, ["c1", "c2"], "left").select(  # rows without words have no representative
+        "doc_id", "text_key", "n_shingles", F.coalesce("component", "rank_id").alias("component"), "rank_id")
     return out.select(
-        "doc_id", "n_shingles",
+        "doc_id", "text_key", "n_shingles",
         F.when(F.col("component") == LAST_ID, F.lit(None)).otherwise(F.col("component")).cast("long").alias("component_id"),
         (F.col("component") == F.col("rank_id")).alias("kept"))
 
 
+def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every document; kept: it is its component's smallest id."""
+    return _decided(docs, p).drop("text_key")
+
+
 def drop_near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """The rows of ``docs`` that are the smallest id of their component, with their columns.
 
     Rows without words have no near duplicate and stay; of rows with a null id that share a component all stay.
     """
-    gone = near_duplicates(docs, p).where(~F.col("kept")).select(F.col("doc_id").alias("_gone_id"))
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone_id")), "left_anti")
+    gone = _decided(docs, p).where(~F.col("kept")).select(
+        F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_key"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_gone_id")) & (_text_key() == F.col("_gone_key"))
+    return docs.join(gone, same, "left_anti")

@@ -293,6 +293,17 @@ def test_near_pairs_inside_a_large_family(spark):
     assert near_results(make(spark, rows)) == want
 
 
+def test_near_texts_without_id_are_told_apart(spark):
+    """Two unlike texts without an id, each near a document of its own or of none; only the near ones go."""
+    text = lambda w: " ".join(f"{w}{i}" for i in range(80))
+    rows = [(3, text("a")), (None, text("a") + " end"), (None, text("b")), (9, text("c")), (None, text("c") + " end"),
+            (None, text("c") + " end"), (None, None), (None, text("d"))]
+    docs = make(spark, rows)
+    assert near_results(docs) == brute_near(rows)
+    left = Counter((r.doc_id, r.text) for r in minhash_dedup.drop_near_duplicates(docs).collect())
+    assert left == Counter([rows[k] for k in (0, 2, 3, 6, 7)])
+
+
 def test_components_of_a_long_chain(spark):
     n = 80
     order = list(range(n))
