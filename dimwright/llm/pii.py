@@ -5,7 +5,7 @@ Kinds and their rules (fixed by the contract for the first four):
 * ``email``, ``ip`` (parts up to 255), ``card`` (12-19 digits, Luhn), ``phone``
   (``+`` and 9-15 digits) are the base kinds.  They are confirmed by their
   validator, so their score never falls below the threshold.
-* ``iban`` (mod-97), ``ssn`` and ``local_phone`` are added by this method.  A shape
+* ``iban`` (mod-97; words that follow a number are left off until it holds), ``ssn`` and ``local_phone`` are added by this method.  A shape
   alone scores below the threshold; a checksum or a context word nearby lifts it.
 
 A span's score is its kind's prior, plus ``CHECKED`` if a checksum confirms it,
@@ -124,14 +124,26 @@ def base_spans(text: str) -> Iterator[tuple[str, int, int]]:
                 yield "phone", m.start(), m.end()
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Confirmed matches, each the longest that ends at a word border; at most 31 ends are tried from one start."""
+    m = _IBAN.search(text)
+    while m:
+        a, b = m.span()
+        while b > a and not mod97(text[a:b].replace(" ", "")):
+            b = text.rfind(" ", a, b)  # the words up to here
+            if len(text[a : max(a, b)].replace(" ", "")) < 15:
+                b = a
+        if b > a:
+            yield a, b
+        m = _IBAN.search(text, b if b > a else a + 1)
+
+
 def _added(text: str) -> Iterator[tuple[str, int, int, bool]]:
     """Proposals of the added kinds, with whether a checksum confirms them."""
     if not _DIGIT.search(text):
         return
-    for m in _IBAN.finditer(text):
-        code = m.group().replace(" ", "")
-        if mod97(code):
-            yield "iban", m.start(), m.end(), True
+    for a, b in _ibans(text):
+        yield "iban", a, b, True
     if "-" in text:
         for m in _SSN.finditer(text):
             yield "ssn", m.start(), m.end(), False

@@ -182,6 +182,13 @@ def test_added_kinds_need_a_checksum_or_context():
     assert pii.THRESHOLD <= low < high <= 1
 
 
+def test_iban_before_words_in_capitals_or_numbers():
+    for iban in ("DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "NO9386011117947"):
+        for before, after in (("IBAN ", " BIC COBADEFFXXX"), ("IBAN ", " 2024 EUR"), ("", ""), ("REF 1 AB12 ", " OK")):
+            spans = [s for s in pii.find_spans(before + iban + after) if s.kind == "iban"]
+            assert [(s.start, s.end) for s in spans] == [(len(before), len(before + iban))]
+
+
 def test_scans_are_linear():
     start = time.time()
     for unit in ("7", "7.", "7 ", "+7", "a", "a@", "a.", "A9", "7-", "@a.", "+7("):
