@@ -14,7 +14,8 @@ posterior of every pattern goes back as a small lookup.
 
 Measures (word: ``[^\\x20\\x09-\\x0D]+``): number of words, code points in words,
 symbols ``[#*$%&|<>]``, lines that repeat an earlier line of the text (lines with
-a word), and words inside 8-word windows that occur twice or more.
+a word), words inside 8-word windows that occur twice or more, and distinct words,
+counted in each block of 20,000 words.
 
 Defined cases: null and empty texts have no words and fail the base rule; an
 empty table gives an empty result; repeated rows vote like any other row.
@@ -34,6 +35,8 @@ from dimwright.llm.common import gram_hashes, id_and_text, pieces_of, stored, wo
 
 _SYMBOLS = re.compile(r"[#*$%&|<>]")
 REPEAT_WINDOW = 8
+#: Distinct words are counted anew in each block of so many words, as their share falls with the length of any text.
+VARIETY_BLOCK = 20_000
 _SPACE = " \t\n\x0b\x0c\r"
 #: Words that are one mark of a table or a menu.
 _BARE = frozenset(c.encode() for c in "#*$%&|<>/\\-–—•·=+~_")
@@ -66,8 +69,9 @@ def measures_of(text: str) -> tuple[int, ...]:
     codes = np.frombuffer(raw, dtype=np.uint8)
     letters = int(((codes | 32) - 97 < 26).sum() + (codes > 127).sum())
     bare = sum(map(_BARE.__contains__, words))
+    distinct = sum(len(set(words[at : at + VARIETY_BLOCK])) for at in range(0, n, VARIETY_BLOCK))
     symbols = len(_SYMBOLS.findall(text))
-    return n, len(text) - space, symbols, dup, repeat, len(set(words)), lines, letters, len(raw) - space, bare
+    return n, len(text) - space, symbols, dup, repeat, distinct, lines, letters, len(raw) - space, bare
 
 
 def measures(docs: DataFrame) -> DataFrame:
@@ -103,7 +107,7 @@ def votes() -> dict[str, Column]:
         "bare_marks": _vote(c("n_bare") * 10 > words),
         "dup_lines": _vote(c("n_dup_lines") * 10 > c("n_lines") * 3),
         "repeats": _vote(c("n_repeat_words") * 10 > words * 2),
-        "variety": _vote((c("n_distinct") * 20 < words) & (c("n_words") < 20_000)),
+        "variety": _vote(c("n_distinct") * 20 < words),
         "letters": _vote(c("n_letter_bytes") * 10 < c("n_word_bytes") * 8,
                          c("n_letter_bytes") * 100 >= c("n_word_bytes") * 93),
     }

@@ -297,3 +297,13 @@ def test_quality_keeps_clean_and_drops_junk(spark):
     assert not any(got[i].kept for i, _ in junk)
     clean = [r for r in got.values() if r.doc_id < 10_000 and not r.base_failed and r.n_symbols < 5 and r.n_words > 50]
     assert sum(r.kept for r in clean) >= 0.99 * len(clean)
+
+
+def test_long_texts_of_few_words_are_voted_bad(spark):
+    """Drawn at random from 50 words: the vote does not depend on the length; long prose of many words is not bad."""
+    rng = random.Random(4)
+    few, many = ([f"word{chr(97 + i % 26)}{i}" for i in range(n)] for n in (50, 9000))
+    rows = [(n, " ".join(rng.choices(few, k=n))) for n in (19_999, 20_000, 20_001, 90_000)]
+    rows.append((1, " ".join(rng.choices(many, k=90_000))))
+    votes = quality_rules.measures(make(spark, rows)).select("doc_id", quality_rules.votes()["variety"].alias("v"))
+    assert {r.doc_id: r.v for r in votes.collect()} == {n: -1 for n, _ in rows[:-1]} | {1: 0}
