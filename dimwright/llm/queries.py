@@ -14,10 +14,13 @@ from dimwright.llm.line_dedup import dedup_lines
 from dimwright.llm.minhash_dedup import near_duplicates
 from dimwright.llm.packing import pack_documents
 from dimwright.llm.pii import personal_data
+from dimwright.llm.quality_classifier import classify_quality
 from dimwright.llm.quality_rules import quality
 from dimwright.llm.sentencepiece_bpe import encode_decode
 from dimwright.llm.sharding import shard_rows
+from dimwright.llm.spelling_variants import spelling_variants
 from dimwright.llm.substring_dedup import remove_repeats
+from dimwright.llm.token_alignment import align_tokenizers
 
 #: Vocabulary files of the byte-pair tokenizer: definition, ranks, and the pattern that splits texts.
 BYTE_BPE = (
@@ -68,11 +71,24 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(documents(spark, sf_dir))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(documents(spark, sf_dir), BYTE_BPE[0], PIECE_BPE)
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sentencepiece_bpe, op2_line_dedup, op3_exact_dedup, op4_language_id, op5_substring_dedup,
         op6_best_fit_packing, op7_pii, op8_feistel_sharding, op9_minhash_dedup, op10_quality_rules,
+        op11_token_alignment, op12_quality_classifier, op13_spelling_variants,
     )
 }
 

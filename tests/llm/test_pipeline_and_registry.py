@@ -20,7 +20,7 @@ def test_one_query_per_operator():
 
     names = set(__spark_entry__.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
     assert set(SQL) <= set(QUERIES) and set(SQL) <= set(__spark_entry__.oracle_sql())
 
 
@@ -38,7 +38,7 @@ def test_queries_equal_their_sql(spark, name):
 def test_results_have_one_row_per_document(spark):
     ids = sorted(r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect())
     for name in ("op1_sentencepiece_bpe", "op4_language_id", "op7_pii", "op8_feistel_sharding", "op9_minhash_dedup",
-                 "op10_quality_rules"):
+                 "op10_quality_rules", "op11_token_alignment", "op12_quality_classifier"):
         assert sorted(r.doc_id for r in QUERIES[name](spark, SF).select("doc_id").collect()) == ids
 
 
