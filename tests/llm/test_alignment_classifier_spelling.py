@@ -3,6 +3,7 @@
 import random
 import re
 import zlib
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from functools import lru_cache
 
@@ -67,11 +68,11 @@ def brute_alignment(rows):
             continue
         ids_a, at_a, ids_b, at_b = found
         cuts = sorted({e for _, e in at_a} & {e for _, e in at_b})
-        said, lo = [], 0
-        for hi in cuts:
-            said.append(",".join(str(i) for i, (s, e) in zip(ids_a, at_a) if lo < e <= hi) + "|"
-                        + ",".join(str(i) for i, (s, e) in zip(ids_b, at_b) if lo < e <= hi))
-            lo = hi
+        groups = [([], []) for _ in cuts]
+        for side, (ids, at) in enumerate(((ids_a, at_a), (ids_b, at_b))):
+            for i, (_, e) in zip(ids, at):
+                groups[bisect_left(cuts, e)][side].append(str(i))
+        said = [",".join(a) + "|" + ",".join(b) for a, b in groups]
         links, first = Counter(), 0
         for i, (s, e) in zip(ids_a, at_a):
             while at_b[first][1] <= s:
