@@ -7,11 +7,14 @@ into a single task.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimwright.functions.semantics import percentage
 from dimwright.operators.joins import single_row_broadcast
+from dimwright.operators.keys import materialize
 
 
 def group_count(df: DataFrame, keys: list[str], counted: str | Column, alias: str) -> DataFrame:
@@ -29,6 +32,44 @@ def running_total(
     return counts.withColumn(alias, F.sum(value).over(w).cast("long"))
 
 
+def running_total_blocks(
+    df: DataFrame, partition_by: list[str], order_by: list[tuple[str, bool]], value: str, alias: str,
+    blocks: int | None = None,
+) -> DataFrame:
+    """``running_total`` as a distributed prefix sum: no task holds more than one block of a partition.
+
+    ``order_by`` lists (column, ascending).  Peers are summed first (map-side), so they share
+    one place and cannot cross a block border.  Their sums are cut into range
+    blocks by partition and order; totals run inside each block, and a block's part of
+    a partition that began in earlier blocks adds their sum.  At most one partition
+    crosses each border, so the offsets have fewer rows than there are blocks and
+    are broadcast.  Rows then take the total of their peers.  Null partition and order
+    values are values like any other; null amounts do not count.
+    """
+    keys = [*partition_by, *[c for c, _ in order_by]]
+    order = [F.col(c).asc() if up else F.col(c).desc() for c, up in order_by]
+    places = df.groupBy(*keys).agg(F.sum(value).alias("_sum"))
+    by = [F.col(c).asc() for c in partition_by] + order
+    ranged = places.repartitionByRange(blocks, *by) if blocks else places.repartitionByRange(*by)
+    # Range borders are sampled, so both reads below must see the same copy.
+    ranged = materialize(ranged.withColumn("_block", F.spark_partition_id()))
+    parts = ranged.groupBy(*partition_by, "_block").agg(F.sum("_sum").alias("_part"))
+    earlier = Window.partitionBy(*partition_by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.withColumn("_offset", F.sum("_part").over(earlier)).where("_offset is not null").select(
+        *[F.col(c).alias(f"_o_{c}") for c in partition_by], F.col("_block").alias("_o_block"), "_offset")
+    within = Window.partitionBy(*partition_by, "_block").orderBy(*order)
+    inside = ranged.withColumn("_inside", F.sum("_sum").over(within))
+    same = [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in partition_by]
+    on = reduce(lambda a, b: a & b, same, F.col("_block") == F.col("_o_block"))
+    zero = F.lit(0).cast("long")
+    totals = inside.join(F.broadcast(offsets), on, "left").select(
+        *[F.col(c).alias(f"_k_{c}") for c in keys],
+        (F.coalesce("_inside", F.when(F.col("_offset").isNotNull(), zero)) + F.coalesce("_offset", zero))
+        .cast("long").alias(alias))
+    peers = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys])
+    return df.join(totals, peers).drop(*[f"_k_{c}" for c in keys])
+
+
 def _extreme_groups(counts: DataFrame, value: str, fn) -> DataFrame:
     best = counts.agg(fn(value).alias("_best"))
     return counts.join(single_row_broadcast(best), F.col(value) == F.col("_best")).drop("_best")

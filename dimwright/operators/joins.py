@@ -42,12 +42,18 @@ def _text(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, T.StringType)
 
 
+def _scattering(facts: DataFrame, but: list[str]) -> list[Column]:
+    """Columns whose hash scatters rows: a few that are no text, which is costly to hash; else all but the keys."""
+    plain = [f.name for f in facts.schema.fields if f.name not in but and not isinstance(f.dataType, T.StringType)]
+    return [facts[c] for c in plain[:4] or [c for c in facts.columns if c not in but] or facts.columns]
+
+
 def _lookup_join(facts: DataFrame, d: DataFrame, fact_keys: list[str], n_keys: int, extra: list[Column],
                  how: str) -> DataFrame:
     """Join ``facts`` to the prepared lookup ``d`` (key columns ``_dk0``...) in one pass over ``facts``."""
     fact_side = [key_form(F.col(k), _text(facts, k)) for k in fact_keys]
     dim_side = [key_form(F.col(f"_dk{i}"), _text(d, f"_dk{i}")) for i in range(n_keys)]
-    f = facts.withColumn("_spread", _spread(fact_side, [facts[c] for c in facts.columns]))
+    f = facts.withColumn("_spread", _spread(fact_side, _scattering(facts, fact_keys)))
     d = d.withColumn("_dspread", _fingerprint(dim_side))
     cond = [a == b for a, b in zip(fact_side, dim_side)] + [F.col("_spread") == F.col("_dspread")] + extra
     return f.join(d, cond, how).drop("_spread", "_dspread", *[f"_dk{i}" for i in range(n_keys)])
@@ -111,6 +117,69 @@ def asof_lookup(
     return _lookup_join(facts, d, fact_keys, len(dim_keys), [valid], how).drop("_ds", "_de")
 
 
+def asof_carry(
+    facts: DataFrame,
+    dim: DataFrame,
+    fact_keys: list[str],
+    dim_keys: list[str],
+    date_col: str,
+    take: dict[str, str],
+    block_days: int = 32,
+) -> DataFrame:
+    """``asof_lookup`` (left) for members with very many versions: carry-forward instead of a join.
+
+    A join meets every fact with all versions of its member before the dates are
+    compared.  Here versions and facts of a member are put in date order together
+    and each fact takes the version before it, if that is still valid.  A
+    member's time is cut into blocks of ``block_days``; a block also gets the version
+    with which it is entered, the last one of the earlier blocks, found among one
+    row per member and block.  So a hot member spreads over as many tasks as it has
+    blocks, and no row is multiplied.  Facts without a key scatter and get nulls.
+
+    Versions of a member must not overlap, as ``scd2`` writes them.
+    """
+    n = len(fact_keys)
+    keys = [f"_k{i}" for i in range(n)]
+    block = lambda day: F.floor(F.datediff(day, F.lit("1970-01-01").cast("date")) / block_days)
+    versions = dim.select(
+        *[key_form(F.col(k), _text(dim, k)).alias(m) for k, m in zip(dim_keys, keys)],
+        F.col("StartDate").alias("_day"),
+        F.struct(F.col("EndDate").alias("end"), *[F.col(c).alias(o) for c, o in take.items()]).alias("_version"),
+    ).dropna(subset=[*keys, "_day"]).withColumn("_block", block(F.col("_day")))
+    rows = facts.select(
+        *[key_form(F.col(k), _text(facts, k)).alias(m) for k, m in zip(fact_keys, keys)],
+        F.col(date_col).alias("_day"), F.struct(*facts.columns).alias("_fact"),
+        *[facts[c].alias(f"_s{i}") for i, c in enumerate(facts.columns)])
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in (*keys, "_day")])
+    scatter = F.pmod(F.xxhash64(*[f"_s{i}" for i in range(len(facts.columns))]), F.lit(1 << 16))
+    rows = rows.withColumn("_block", block(F.col("_day"))).withColumn("_salt", F.when(no_key, scatter).otherwise(0))
+    rows = rows.select(*keys, "_day", "_block", "_salt", "_fact")
+    # The version with which a block is entered: carried over the blocks of a member.
+    last = versions.groupBy(*keys, "_block").agg(F.max_by("_version", "_day").alias("_version"))
+    wanted = rows.where(F.col("_salt") == 0).select(*keys, "_block").distinct()
+    by_block = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    entered = last.join(wanted.withColumn("_wanted", F.lit(True)), [*keys, "_block"], "full_outer")
+    entered = entered.withColumn("_entry", F.last("_version", ignorenulls=True).over(by_block))
+    entered = entered.where("_wanted and _entry is not null").select(
+        *keys, F.lit(None).cast("date").alias("_day"), "_block", F.col("_entry").alias("_version"))
+    blank = facts.schema
+    no_fact = F.lit(None).cast(T.StructType([T.StructField(f.name, f.dataType) for f in blank.fields]))
+    zero = F.lit(0).cast("long")
+    # Nulls sort first: the entry, then by date, versions before the facts of their day.
+    events = (
+        versions.unionByName(entered).select(*keys, "_day", "_block", zero.alias("_salt"), zero.alias("_kind"),
+                                             "_version", no_fact.alias("_fact"))
+        .unionByName(rows.select(
+            *keys, "_day", "_block", F.col("_salt").cast("long").alias("_salt"), F.lit(1).cast("long").alias("_kind"),
+            F.lit(None).cast(versions.schema["_version"].dataType).alias("_version"), "_fact"))
+    )
+    in_order = Window.partitionBy(*keys, "_block", "_salt").orderBy("_day", "_kind").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    carried = events.withColumn("_at", F.last("_version", ignorenulls=True).over(in_order)).where("_kind = 1")
+    valid = ~no_key & (F.col("_day") <= F.coalesce(F.col("_at.end"), F.lit("9999-12-31").cast("date")))
+    return carried.select("_fact.*", *[F.when(valid, F.col(f"_at.{o}")).alias(o) for o in take.values()])
+
+
 def key_lookup(
     facts: DataFrame,
     dim: DataFrame,

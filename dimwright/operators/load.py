@@ -15,11 +15,11 @@ from __future__ import annotations
 
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from dimwright.functions.dates import date_key
 from dimwright.session import delete_path, path_exists, work_path
 
 
@@ -71,6 +71,8 @@ def write_guarded(df: DataFrame, path: str, name: str = "extract", mode: str = "
 
 
 FACT = "fact_orders"
+#: Manifest rows that tell on which day the members were observed (no table of their own).
+MEMBER_DAYS = "member_days"
 _MANIFEST = "table string, version int, first_key int, last_key int"
 
 
@@ -191,7 +193,7 @@ class Mart:
     def prune(self, keep: int = 2) -> int:
         """Delete all but the newest ``keep`` versions of each table, and fact loads that no date uses any more.
         Returns the number of folders deleted."""
-        current = set(self._current_runs().values())
+        current = {r["run"] for r in self.fact_index().select("run").distinct().collect()} if self.has(FACT) else set()
         gone = []
         for r in self._rows:
             t, v = r["table"], int(r["version"])
@@ -203,6 +205,16 @@ class Mart:
             delete_path(self.spark, path)
         return len(gone)
 
+    # -- days on which members were observed ---------------------------------
+    def observed_on(self, day: dt.date) -> list[tuple]:
+        """The manifest row that tells so."""
+        return [(MEMBER_DAYS, self._versions.get(MEMBER_DAYS, 0) + 1, as_key(day), as_key(day))]
+
+    def next_observed(self, day: dt.date) -> dt.date | None:
+        """The next day after ``day`` on which members were observed (a load's first day, where none is told)."""
+        told = [r for r in self._rows if r["table"] == MEMBER_DAYS] or [r for r in self._rows if r["table"] == FACT]
+        return min((as_date(r["first_key"]) for r in told if r["first_key"] > as_key(day)), default=None)
+
     # -- fact --------------------------------------------------------------
     @property
     def fact_path(self) -> str:
@@ -212,49 +224,59 @@ class Mart:
         """Load ``fact``, replacing the dates it holds (idempotent per date); returns the rows written."""
         self._load_manifest()
         days = sorted(r["DateKey"] for r in fact.select("DateKey").distinct().collect())  # one row per date
-        rows, written = self.write_run(fact, [(d, d) for d in days])
+        rows, written = self.write_run(fact, date_ranges(days))
         self.commit(rows)
         return written
 
-    def _current_runs(self) -> dict[int, int]:
-        """Date key -> the newest load that covers it (one entry per loaded date)."""
-        current: dict[int, int] = {}
-        for r in self._rows:
-            if r["table"] == FACT:
-                for d in date_keys(r["first_key"], r["last_key"]):
-                    current[d] = max(current.get(d, 0), int(r["version"]))
-        return current
+    def fact_index(self, first_key: int | None = None, last_key: int | None = None) -> DataFrame:
+        """(run, DateKey): the newest listed load of each loaded date, optionally of a range of date keys.
+
+        One row per calendar day, by one aggregation over the manifest as far as this object has read it.
+        """
+        listed = self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/_manifest").where(
+            (F.col("table") == FACT) & (F.col("version") <= self._versions.get(FACT, 0))
+            & (F.col("last_key") >= (0 if first_key is None else first_key))
+            & (F.col("first_key") <= (99991231 if last_key is None else last_key)))
+        day = lambda key: F.to_date(F.col(key).cast("string"), "yyyyMMdd")
+        days = listed.select("version", F.explode(F.sequence(day("first_key"), day("last_key"))).alias("day"))
+        newest = days.groupBy(date_key(F.col("day")).alias("DateKey")).agg(F.max("version").alias("run"))
+        return _within(newest, first_key, last_key).select("run", "DateKey")
 
     def read_fact(self, first_key: int | None = None, last_key: int | None = None) -> DataFrame:
         """The current rows of the fact, optionally of a range of date keys.
 
-        A filter on the two partition columns, so folders that no date uses are not read.
+        A join with the index on the two partition columns: Spark prunes the folders by it at run time, so those
+        that no date uses are not read, however many loads there are.  The index is broadcast; it has at most one
+        row per calendar day.
         """
-        current = self._current_runs()
-        by_run: dict[int, list[int]] = {}
-        for d, run in sorted(current.items()):
-            if (first_key is None or d >= first_key) and (last_key is None or d <= last_key):
-                by_run.setdefault(run, []).append(d)
-        all_days = sorted(current)
-        place = {d: i for i, d in enumerate(all_days)}
-        parts: list[Column] = []
-        for run, days in by_run.items():
-            spans: list[list[int]] = []
-            for d in days:  # neighbours in the list of loaded dates join into one range
-                if spans and place[d] == place[spans[-1][1]] + 1:
-                    spans[-1][1] = d
-                else:
-                    spans.append([d, d])
-            of_run = reduce(lambda a, b: a | b, [F.col("DateKey").between(a, b) for a, b in spans])
-            parts.append((F.col("run") == run) & of_run)
-        rows = self.spark.read.parquet(self.fact_path)
-        return rows.filter(reduce(lambda a, b: a | b, parts) if parts else F.lit(False)).drop("run")
-
-
-def date_keys(first: int, last: int) -> list[int]:
-    """The date keys (yyyymmdd) from ``first`` to ``last``."""
-    a, b = (dt.datetime.strptime(str(k), "%Y%m%d").date() for k in (first, last))
-    return [int(f"{d:%Y%m%d}") for d in date_range(a, b)]
+        rows = _within(self.spark.read.parquet(self.fact_path), first_key, last_key)
+        current = rows.join(F.broadcast(self.fact_index(first_key, last_key)), ["run", "DateKey"])
+        return current.select(*[c for c in rows.columns if c != "run"])
+
+
+def _within(rows: DataFrame, first_key: int | None, last_key: int | None) -> DataFrame:
+    if first_key is not None:
+        rows = rows.where(F.col("DateKey") >= first_key)
+    return rows if last_key is None else rows.where(F.col("DateKey") <= last_key)
+
+
+def date_ranges(keys: list[int]) -> list[tuple[int, int]]:
+    """Ranges of neighbouring days among sorted date keys."""
+    ranges: list[tuple[int, int]] = []
+    for k in keys:
+        if ranges and as_date(k) - as_date(ranges[-1][1]) == dt.timedelta(days=1):
+            ranges[-1] = (ranges[-1][0], k)
+        else:
+            ranges.append((k, k))
+    return ranges
+
+
+def as_date(key: int) -> dt.date:
+    return dt.datetime.strptime(str(key), "%Y%m%d").date()
+
+
+def as_key(day: dt.date) -> int:
+    return int(f"{day:%Y%m%d}")
 
 
 def date_range(start: dt.date, end: dt.date) -> list[dt.date]:

@@ -47,6 +47,14 @@ def profile_columns(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFr
     return reduce(DataFrame.unionByName, parts)
 
 
+def profile_catalog(spark: SparkSession) -> DataFrame:
+    """``profile_columns`` of every table and view that the session's catalog lists, in its current database."""
+    names = sorted(t.name for t in spark.catalog.listTables())
+    if not names:
+        raise ValueError("the session's catalog lists no table")
+    return profile_columns(spark, {name: spark.table(f"`{name}`") for name in names})
+
+
 def value_counts(df: DataFrame, column: str, alias: str = "N") -> DataFrame:
     """``SELECT c, COUNT(c) GROUP BY c`` - the null group reports 0."""
     return df.groupBy(column).agg(F.count(F.col(column)).alias(alias))

@@ -21,12 +21,15 @@ from dimwright.functions.semantics import (
     any_changed, avg_rounded, eq_ci, is_null_or_blank, like_ci, percentage, to_whole_decimal,
 )
 from dimwright.operators import grouped, profile, quality
-from dimwright.operators.joins import asof_lookup, lateral_split, left_join_spread, single_row_broadcast
+from dimwright.operators.joins import (
+    asof_carry, asof_lookup, lateral_split, left_join_spread, single_row_broadcast,
+)
 from dimwright.operators.keys import materialize, with_dense_keys
 from dimwright.operators.scd import with_match_keys
 from dimwright.operators.load import Mart, replaced_rows, upsert_by_key, write_guarded
 from dimwright.plans import changing
 from dimwright.plans import extract as ex
+from dimwright.plans import history
 from dimwright.plans import listings as L
 from dimwright.plans import mart as M
 from dimwright.sources.listing import country_lookup, listings_raw
@@ -140,7 +143,11 @@ def profile_columns_q(spark, d):
 
 @query("profile_tables")
 def profile_tables_q(spark, d):
-    return profile.profile_columns(spark, {t: read_table(spark, d, t) for t in TABLES})
+    """All columns of all tables of a session's catalog, which here holds the given tables as views."""
+    session = spark.newSession()  # its temporary views are its own
+    for t in TABLES:
+        read_table(session, d, t).createOrReplaceTempView(t)
+    return profile.profile_catalog(session)
 
 
 @query("extract_date_slice")
@@ -486,6 +493,23 @@ def running_listings(spark, d):
     return L.running_listings(clean(spark, d))
 
 
+@query("running_listings_blocks")
+def running_listings_blocks(spark, d):
+    """running_listings by a distributed prefix sum."""
+    counts = L.listings_per_locality(clean(spark, d))
+    return grouped.running_total_blocks(
+        counts, ["COUNTRY_NAME", "City"], [("Locality", False)], "TOTAL_REST", "ROLL_COUNT")
+
+
+@query("running_lines_blocks")
+def running_lines_blocks(spark, d):
+    """Running quantity over all lines of each return flag by ship date: a few hot partitions, every date with peers."""
+    lines = read_table(spark, d, "lineitem").select(
+        "l_returnflag", F.col("l_shipdate").cast("date").alias("SHIPPED"), "l_orderkey", "l_linenumber",
+        F.col("l_quantity").cast("long").alias("QUANTITY"))
+    return grouped.running_total_blocks(lines, ["l_returnflag"], [("SHIPPED", True)], "QUANTITY", "ROLL_QUANTITY")
+
+
 @query("country_share")
 def country_share(spark, d):
     return L.country_share(clean(spark, d))
@@ -864,16 +888,45 @@ def scd2_same_date_correction(spark, d):
     return M.apply_scd2(spec, corrected, first, day, d0)
 
 
-@query("join_asof_dimension")
-def join_asof_dimension(spark, d):
+def _orders_and_versions(spark, d):
     src = src_of(spark, d)
     versions = M.scd2_run(src, "customers")
-    orders = src.orders().join(src.customers.select("CustomerID", "CustomerName"), "CustomerID", "left")
+    return src.orders().join(src.customers.select("CustomerID", "CustomerName"), "CustomerID", "left"), versions
+
+
+@query("join_asof_dimension")
+def join_asof_dimension(spark, d):
+    orders, versions = _orders_and_versions(spark, d)
     out = asof_lookup(orders, versions, ["CustomerName"], ["CustomerName"], "OrderDate",
                       {"CustomerKey": "CustomerKey"})
     return out.select("OrderID", "OrderDate", "CustomerKey")
 
 
+@query("join_asof_carry")
+def join_asof_carry(spark, d):
+    orders, versions = _orders_and_versions(spark, d)
+    out = asof_carry(orders, versions, ["CustomerName"], ["CustomerName"], "OrderDate", {"CustomerKey": "CustomerKey"})
+    return out.select("OrderID", "OrderDate", "CustomerKey")
+
+
+@query("scd2_change_log")
+def scd2_change_log(spark, d):
+    return history.change_log_history(src_of(spark, d))
+
+
+@query("scd2_late_day")
+def scd2_late_day(spark, d):
+    """Without the surrogate keys and the spelling of names, which depend on the order of arrival."""
+    late = history.late_customers(src_of(spark, d)).drop("CustomerKey")
+    return late.withColumn("CustomerName", F.upper(F.rtrim("CustomerName")))
+
+
+@query("periods_out_of_order")
+def periods_out_of_order(spark, d):
+    """As daily_run_changing_source, with the second period loaded last."""
+    return changing.sales(history.periods_out_of_order(spark, d))
+
+
 # =====================================================================
 # Calendar and measures
 # =====================================================================
@@ -983,7 +1036,7 @@ def dq_duplicate_keys(spark, d):
 def _initial_mart(spark, d):
     src = src_of(spark, d)
     dims = M.build_dimensions(src, M.first_order_date(src))
-    fact = M.fact_orders(ex.extract_orders(src), dims)
+    fact = M.fact_of_orders(ex.order_headers(src), ex.order_items(src), dims)
     return src, dims, fact
 
 

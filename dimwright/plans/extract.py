@@ -102,32 +102,47 @@ def cust_cols(src: Oltp) -> DataFrame:
     return src.customers.select("CustomerID", "CustomerName", "DeliveryCityID")
 
 
-def order_lines_wide(src: Oltp, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
-    """Orders left-joined to customer, lines, salesperson, city, province,
-    country, stock item and picker (nine inputs), optionally one date range.
-
-    Orders without lines are kept with null line columns.
-    """
+def order_headers(src: Oltp, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+    """Orders with the natural keys of their members - customer, delivery city, salesperson, picker."""
     orders = src.orders(start, end)
     if start is None and end is None:
-        # Backfill: orders are as large as anything else here; shuffled joins.
+        # Backfill: orders are as large as anything else here; a shuffled join.
         with_customer = orders.join(cust_cols(src), "CustomerID", "left")
-        with_lines = with_customer.join(src.order_lines, "OrderID", "left")
     else:
-        # A date range: usually few orders, so customers and order lines are
-        # reduced to the range's keys first instead of being shuffled whole.
+        # A date range: usually few orders, so customers are reduced to its keys first.
         with_customer = left_join_small_preserved(orders, cust_cols(src), "CustomerID")
-        with_lines = left_join_small_preserved(with_customer, src.order_lines, "OrderID")
     details = src.lookup("city_details", city_details)
     people = src.lookup("people_logons", lambda s: s.people.select("PersonID", "LogonName"))
     sales = people.select(F.col("PersonID").alias("SalespersonPersonID"), F.col("LogonName"))
     pickers = people.select(F.col("PersonID").alias("PickedByPersonID"), F.col("LogonName").alias("PickingStaffName"))
-    items = src.stock_items.select("StockItemID", "StockItemName")
     places = details.select(
         F.col("CityID").alias("DeliveryCityID"), "CityName", "StateProvinceName", "CountryName")
-    with_place = with_lines.join(sales, "SalespersonPersonID", "left").join(places, "DeliveryCityID", "left")
-    with_item = left_join_spread(with_place, items, "StockItemID", by="OrderID")
-    return left_join_spread(with_item, pickers, "PickedByPersonID", by="OrderID")
+    placed = with_customer.join(sales, "SalespersonPersonID", "left").join(places, "DeliveryCityID", "left")
+    return left_join_spread(placed, pickers, "PickedByPersonID", by="OrderID")
+
+
+def item_names(src: Oltp) -> DataFrame:
+    return src.stock_items.select("StockItemID", "StockItemName")
+
+
+def order_items(src: Oltp) -> DataFrame:
+    """All order lines with the natural key of their product."""
+    return left_join_spread(src.order_lines, item_names(src), "StockItemID", by="OrderID")
+
+
+def order_lines_wide(src: Oltp, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+    """Orders left-joined to customer, lines, salesperson, city, province,
+    country, stock item and picker (nine inputs), optionally one date range.
+
+    What belongs to an order is joined before its lines multiply it.  Orders
+    without lines are kept with null line columns.
+    """
+    headers = order_headers(src, start, end)
+    if start is None and end is None:
+        with_lines = headers.join(src.order_lines, "OrderID", "left")
+    else:  # lines are reduced to the range's orders instead of being shuffled whole
+        with_lines = left_join_small_preserved(headers, src.order_lines, "OrderID")
+    return left_join_spread(with_lines, item_names(src), "StockItemID", by="OrderID")
 
 
 def extract_orders(src: Oltp, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:

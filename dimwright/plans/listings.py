@@ -130,14 +130,18 @@ def listings_per_city(listing: DataFrame) -> DataFrame:
     )
 
 
+def listings_per_locality(listing: DataFrame, country: str = HOME_COUNTRY) -> DataFrame:
+    """Listings per locality in one country."""
+    return grouped.group_count(
+        in_country(listing, country), ["COUNTRY_NAME", "City", "Locality"], "Locality", "TOTAL_REST"
+    )
+
+
 def running_listings(listing: DataFrame, country: str = HOME_COUNTRY) -> DataFrame:
     """Listings per locality in one country, with a running total per
     (country, city) in descending locality order."""
-    counts = grouped.group_count(
-        in_country(listing, country), ["COUNTRY_NAME", "City", "Locality"], "Locality", "TOTAL_REST"
-    )
     return grouped.running_total(
-        counts, ["COUNTRY_NAME", "City"], [F.desc("Locality")], "TOTAL_REST", "ROLL_COUNT"
+        listings_per_locality(listing, country), ["COUNTRY_NAME", "City"], [F.desc("Locality")], "TOTAL_REST", "ROLL_COUNT"
     )
 
 

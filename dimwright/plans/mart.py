@@ -19,10 +19,10 @@ from pyspark.sql import types as T
 
 from dimwright.functions.dates import calendar_columns, date_key
 from dimwright.functions.measures import total_after_tax, total_before_tax
-from dimwright.operators import quality, scd
+from dimwright.operators import quality, scd, scd_history
 from dimwright.operators.joins import asof_lookup, key_lookup, single_row_broadcast
 from dimwright.operators.keys import materialize, with_dense_keys
-from dimwright.operators.load import Mart, write_guarded
+from dimwright.operators.load import Mart, as_date, as_key, date_ranges, write_guarded
 from dimwright.plans import extract as ex
 from dimwright.plans.schemas import SCHEMAS, conform
 from dimwright.session import scratch
@@ -223,19 +223,32 @@ def fact_orders(stage: DataFrame, dims: dict[str, DataFrame], strict: bool = Fal
     lines (null quantity) produce no fact row.
     """
     how = "inner" if strict else "left"
-    f = stage.filter(F.col("Quantity").isNotNull())
+    f = _order_members(stage.filter(F.col("Quantity").isNotNull()), dims, how, first_covers_earlier)
+    return _fact_columns(_products(f, dims, how, first_covers_earlier))
+
+
+ORDER_KEYS = ("CustomerKey", "CityKey", "SalespersonKey", "PickingStaffKey")
+
+
+def _order_members(f: DataFrame, dims: dict[str, DataFrame], how: str, first_covers_earlier: bool) -> DataFrame:
+    """Keys of the members that belong to an order as a whole."""
     f = asof_lookup(f, dims["customers"], ["CustomerName"], ["CustomerName"], "OrderDate",
                     {"CustomerKey": "CustomerKey"}, how, first_covers_earlier)
     f = key_lookup(f, dims["cities"], ["CityName", "StateProvinceName", "CountryName"],
                    ["CityName", "StateProvName", "CountryName"], {"CityKey": "CityKey"}, how)
-    f = asof_lookup(f, dims["products"], ["StockItemName"], ["ProductName"], "OrderDate",
-                    {"ProductKey": "ProductKey"}, how, first_covers_earlier)
     f = key_lookup(f, dims["salespeople"], ["LogonName"], ["LogonName"], {"SalespersonKey": "SalespersonKey"}, how)
-    f = asof_lookup(f, dims["picking_staff"], ["PickingStaffName"], ["LogonName"], "OrderDate",
-                    {"PickingStaffKey": "PickingStaffKey"}, how, first_covers_earlier)
-    keys = ["CustomerKey", "CityKey", "ProductKey", "SalespersonKey", "PickingStaffKey"]
+    return asof_lookup(f, dims["picking_staff"], ["PickingStaffName"], ["LogonName"], "OrderDate",
+                       {"PickingStaffKey": "PickingStaffKey"}, how, first_covers_earlier)
+
+
+def _products(f: DataFrame, dims: dict[str, DataFrame], how: str, first_covers_earlier: bool) -> DataFrame:
+    return asof_lookup(f, dims["products"], ["StockItemName"], ["ProductName"], "OrderDate",
+                       {"ProductKey": "ProductKey"}, how, first_covers_earlier)
+
+
+def _fact_columns(f: DataFrame) -> DataFrame:
     return f.select(
-        *[F.coalesce(F.col(k), F.lit(UNKNOWN_KEY)).cast("long").alias(k) for k in keys],
+        *[F.coalesce(F.col(k), F.lit(UNKNOWN_KEY)).cast("long").alias(k) for k in (*ORDER_KEYS, "ProductKey")],
         date_key(F.col("OrderDate")).alias("DateKey"),
         F.col("Quantity"),
         F.col("UnitPrice"),
@@ -245,6 +258,18 @@ def fact_orders(stage: DataFrame, dims: dict[str, DataFrame], strict: bool = Fal
     ).select(*FACT_COLUMNS)
 
 
+def fact_of_orders(headers: DataFrame, lines: DataFrame, dims: dict[str, DataFrame], strict: bool = False,
+                   first_covers_earlier: bool = False) -> DataFrame:
+    """``fact_orders`` from orders and their lines apart: members of an order are looked up once per order.
+
+    Only the product is looked up for each line; lines meet their order's keys in one join.
+    """
+    how = "inner" if strict else "left"
+    h = _order_members(headers, dims, how, first_covers_earlier).select("OrderID", "OrderDate", *ORDER_KEYS)
+    f = lines.filter(F.col("Quantity").isNotNull()).join(h, "OrderID")
+    return _fact_columns(_products(f, dims, how, first_covers_earlier))
+
+
 def extract_stages(src: Oltp) -> dict[str, DataFrame]:
     """The four dimension extracts (lazy)."""
     return {
@@ -325,11 +350,11 @@ def first_load(spec: DimSpec, stage: DataFrame, start) -> DataFrame:
 def initial_fact(src: Oltp, strict: bool = False) -> DataFrame:
     """Fact over every order date, against dimensions first loaded on the first order date."""
     dims = build_dimensions(src, first_order_date(src))
-    return fact_orders(ex.extract_orders(src), dims, strict)
+    return fact_of_orders(ex.order_headers(src), ex.order_items(src), dims, strict)
 
 
 # -- daily run -----------------------------------------------------------------------
-def run_dates(src: Oltp, mart: Mart, start: dt.date, end: dt.date) -> int:
+def run_dates(src: Oltp, mart: Mart, start: dt.date, end: dt.date, members_as_of_start: bool = False) -> int:
     """One incremental run for the dates [start, end]; returns the fact rows loaded.
 
     Order: order extract (guarded: nothing is published if it is empty),
@@ -340,7 +365,11 @@ def run_dates(src: Oltp, mart: Mart, start: dt.date, end: dt.date) -> int:
 
     A run older than the newest dimension version loads facts only: the source
     tells how members are today, not how they were then, so history stays as
-    it is.  A member's first version also covers the dates before it.
+    it is.  A member's first version also covers the dates before it.  With
+    ``members_as_of_start`` the source tells how they were on ``start``: that state is
+    inserted into the history, to hold until the next observed day; loaded facts of that
+    span are built anew from the source, and facts of other dates whose
+    version got another key are re-keyed, date by date.
     """
     spark = src.spark
     with scratch(spark):
@@ -353,10 +382,14 @@ def run_dates(src: Oltp, mart: Mart, start: dt.date, end: dt.date) -> int:
         orders = stage("orders", ex.extract_orders(src, start, end))
         mart._load_manifest()
         current = {k: mart.read(spec.name) for k, spec in SPEC_BY_DIM.items() if mart.has(spec.name)}
+        until = mart.next_observed(start) if members_as_of_start and current else None
+        late = until is not None or any(
+            scd.is_backdated(current[k], start) for k, spec in SPEC_BY_DIM.items() if spec.type2 and k in current)
         after: dict[str, DataFrame] = {}
-        late = any(scd.is_backdated(current[k], start) for k, spec in SPEC_BY_DIM.items()
-                   if spec.type2 and k in current)
-        if not late:
+        moved: dict[str, DataFrame] = {}
+        if until is not None:
+            after, moved = _inserted_dimensions(src, start, until, current, stage)
+        elif not late:
             after = _changed_dimensions(src, mart, start, current, stage)
         calendar = mart.upserted("dim_date", dim_date_between(spark, start, end), "DateKey")
         if calendar is not None:
@@ -364,12 +397,70 @@ def run_dates(src: Oltp, mart: Mart, start: dt.date, end: dt.date) -> int:
         rows = mart.write_versions({t: conform(df, SCHEMAS[t]) for t, df in after.items()})
         written = mart.read_written(rows)
         dims = {k: written.get(spec.name, current.get(k)) for k, spec in SPEC_BY_DIM.items()}
-        fact = conform(fact_orders(orders, dims, first_covers_earlier=True), SCHEMAS["fact_orders"])
-        fact_rows, n = mart.write_run(fact, [(int(f"{start:%Y%m%d}"), int(f"{end:%Y%m%d}"))])
-        mart.commit(rows + fact_rows)
+        fact = fact_orders(orders, dims, first_covers_earlier=True)
+        ranges = [(as_key(start), as_key(end))]
+        if until is not None:
+            again, others = _dates_concerned(mart, start, end, until, moved)
+            if again:
+                dates = ex.extract_orders(src, as_date(again[0]), as_date(again[-1]))
+                dates = dates.where(date_key(F.col("OrderDate")).isin(again))
+                fact = fact.unionByName(fact_orders(dates, dims, first_covers_earlier=True))
+            if others:
+                loaded = mart.read_fact(others[0], others[-1]).where(F.col("DateKey").isin(others))
+                for key_col, spans in moved.items():
+                    loaded = scd_history.rekey(loaded, spans, key_col)
+                fact = fact.unionByName(loaded.select(*FACT_COLUMNS))
+            ranges += date_ranges(again) + date_ranges(others)
+        fact_rows, n = mart.write_run(conform(fact, SCHEMAS["fact_orders"]), ranges)
+        observed = [] if late and until is None else mart.observed_on(start)
+        mart.commit(rows + fact_rows + observed)
     return n
 
 
+def _inserted_dimensions(
+    src: Oltp, start: dt.date, until: dt.date, current: dict[str, DataFrame],
+    stage: Callable[[str, DataFrame], DataFrame],
+) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """(table -> next version, key column -> moved spans) with the members of ``start`` inserted until ``until``.
+
+    Type 1 holds the newest values, so older ones only add members that are not known yet.
+    """
+    stages = in_parallel({n: (lambda n=n, df=df: stage(n, df)) for n, df in extract_stages(src).items()})
+    after: dict[str, DataFrame] = {}
+    moved: dict[str, DataFrame] = {}
+    for k, spec in SPEC_BY_DIM.items():
+        members = _stage_for(spec, stages[STAGE_OF[k]])
+        if spec.type2:
+            (key,) = spec.business_key
+            after[spec.name], spans = scd_history.scd2_insert(
+                members, current[k], key, list(spec.attrs), spec.key_col, start, until)
+            moved[spec.key_col] = materialize(spans)
+        else:
+            known = apply_scd1(spec, members, current[k])
+            fresh = known.join(current[k].select(spec.key_col), spec.key_col, "left_anti")
+            after[spec.name] = current[k].unionByName(fresh.select(*current[k].columns))
+    return after, moved
+
+
+def _dates_concerned(mart: Mart, start: dt.date, end: dt.date, until: dt.date,
+                     moved: dict[str, DataFrame]) -> tuple[list[int], list[int]]:
+    """Loaded date keys beyond [start, end]: those before ``until``, and others on which a key moved.
+
+    One row per calendar day comes to the driver.
+    """
+    loaded = mart.fact_index().select("DateKey")
+    days = [r["DateKey"] for r in loaded.collect()]
+    own = range(as_key(start), as_key(end) + 1)
+    again = sorted(k for k in days if as_key(start) < k < as_key(until) and k not in own)
+    last = F.lit(str(as_date(max(days, default=as_key(end))))).cast("date")
+    spans = reduce(DataFrame.unionByName, [m.select("FirstDay", "LastDay") for m in moved.values()]).distinct()
+    spans = spans.select("FirstDay", F.least(F.coalesce("LastDay", last), last).alias("to")).where("FirstDay <= to")
+    on = spans.select(F.explode(F.sequence("FirstDay", "to")).alias("day")).select(
+        date_key(F.col("day")).alias("DateKey")).distinct()
+    others = sorted(r["DateKey"] for r in on.join(loaded, "DateKey").collect())
+    return again, [k for k in others if k not in own and k not in set(again)]
+
+
 def _changed_dimensions(src: Oltp, mart: Mart, start: dt.date, current: dict[str, DataFrame],
                         stage: Callable[[str, DataFrame], DataFrame]) -> dict[str, DataFrame]:
     """Table name -> complete next version, for the dimensions that change on ``start``.

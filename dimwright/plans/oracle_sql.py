@@ -279,6 +279,12 @@ sql("misspelled_cities", W_RAW + ", " + QMARK + """
 SELECT DISTINCT City, replace(City, '?', 'i') AS CORRECTED FROM qm WHERE City LIKE '%?%'""")
 sql("listings_per_city", PER_CITY)
 sql("running_listings", RUNNING)
+sql("running_listings_blocks", RUNNING)
+sql("running_lines_blocks", """
+SELECT l_returnflag, CAST(l_shipdate AS DATE) AS SHIPPED, l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS QUANTITY,
+       CAST(sum(CAST(l_quantity AS BIGINT)) OVER (PARTITION BY l_returnflag ORDER BY CAST(l_shipdate AS DATE)) AS BIGINT)
+         AS ROLL_QUANTITY
+FROM lineitem""")
 sql("country_share", SHARE)
 sql("listings_per_country", W_CLEAN + """
 SELECT COUNTRY_NAME, count(CAST(RestaurantID AS DECIMAL(18,0))) AS REST_COUNT FROM clean GROUP BY COUNTRY_NAME""")
@@ -630,10 +636,67 @@ FROM dim_before cu LEFT JOIN changed_keys pl ON pl.CustomerName = cu.CustomerNam
 sql("anti_join", W_CUST + f"""
 SELECT s.CustomerName FROM stage s
 WHERE NOT EXISTS (SELECT 1 FROM dim_before d WHERE {same("d.CustomerName", "s.CustomerName")})""")
-sql("join_asof_dimension", W_CUST + f"""
+ASOF = W_CUST + f"""
 SELECT o.OrderID, o.OrderDate, r.CustomerKey
 FROM orders_v o LEFT JOIN customers c ON c.CustomerID = o.CustomerID
-LEFT JOIN result r ON {same("r.CustomerName", "c.CustomerName")} AND {valid('r', 'o.OrderDate')}""")
+LEFT JOIN result r ON {same("r.CustomerName", "c.CustomerName")} AND {valid('r', 'o.OrderDate')}"""
+sql("join_asof_dimension", ASOF)
+sql("join_asof_carry", ASOF)
+sql("scd2_change_log", W_OLTP + """,
+told AS (
+  SELECT c.CustomerName, o.OrderDate AS day,
+         min({'gone': o.OrderID % 7 = 0, 'Category': 'C' || CAST(o.OrderID % 3 AS VARCHAR),
+              'Tier': 'T' || CAST(o.OrderID // 8 % 2 AS VARCHAR)}) AS m
+  FROM orders_v o JOIN customers c ON c.CustomerID = o.CustomerID GROUP BY 1, 2),
+before AS (
+  SELECT CAST(CustomerID AS BIGINT) AS CustomerKey, CustomerName, 'C0' AS Category, 'T0' AS Tier,
+         (SELECT d FROM d0) - 10 AS StartDate, CAST(NULL AS DATE) AS EndDate FROM customers WHERE CustomerID % 3 <> 0
+  UNION ALL
+  SELECT CustomerID + 1000000000, CustomerName, 'C1', 'T0', (SELECT d FROM d0) - 20, (SELECT d FROM d0) - 11
+  FROM customers WHERE CustomerID % 5 = 1),
+states AS (
+  SELECT CustomerName, StartDate AS day, CustomerKey AS old, Category || '/' || Tier AS state FROM before
+  WHERE EndDate IS NULL
+  UNION ALL
+  SELECT CustomerName, day, NULL, CASE WHEN m.gone THEN NULL ELSE m.Category || '/' || m.Tier END FROM told),
+turns AS (
+  SELECT *, row_number() OVER w AS n, lag(state) OVER w AS was FROM states
+  WINDOW w AS (PARTITION BY CustomerName ORDER BY day)),
+spans AS (
+  SELECT *, lead(day) OVER (PARTITION BY CustomerName ORDER BY day) - 1 AS EndDate
+  FROM turns WHERE state IS DISTINCT FROM was),
+versions AS (SELECT * FROM spans WHERE state IS NOT NULL)
+SELECT coalesce(old, (SELECT max(CustomerKey) FROM before)
+                     + row_number() OVER (PARTITION BY old IS NULL ORDER BY day, CustomerName)) AS CustomerKey,
+       CustomerName, split_part(state, '/', 1) AS Category, split_part(state, '/', 2) AS Tier,
+       day AS StartDate, EndDate FROM versions
+UNION ALL SELECT * FROM before WHERE EndDate IS NOT NULL""")
+SEEN_COLS = ", ".join(CUST_TRACKED)
+sql("scd2_late_day", W_CUST + f""",
+middle AS (
+  SELECT * REPLACE (CASE WHEN right(rtrim(CustomerName), 1) = '4' THEN 'MID ' || CustomerCategoryName
+                         ELSE CustomerCategoryName END AS CustomerCategoryName)
+  FROM stage WHERE right(rtrim(CustomerName), 1) <> '3'),
+seen AS (
+  SELECT 1 AS turn, CustomerName, {SEEN_COLS} FROM open_rows
+  UNION ALL SELECT 2, CustomerName, {SEEN_COLS} FROM middle
+  UNION ALL SELECT 3, CustomerName, {SEEN_COLS} FROM stage),
+marked AS (
+  SELECT *, lower(rtrim(CustomerName)) AS k, concat_ws('/', {", ".join(f"coalesce({c}, '~')" for c in CUST_TRACKED)}) AS state
+  FROM seen),
+begun AS (
+  SELECT *, CASE WHEN lag(turn) OVER w = turn - 1 AND lag(state) OVER w = state THEN 0 ELSE 1 END AS begins
+  FROM marked WINDOW w AS (PARTITION BY k ORDER BY turn)),
+islands AS (SELECT *, sum(begins) OVER (PARTITION BY k ORDER BY turn) AS island FROM begun),
+days AS (SELECT [d, d + 5, d + 10] AS first, [d + 4, d + 9, NULL] AS last FROM d0),
+merged AS (
+  SELECT arg_min(CustomerName, turn) AS CustomerName,
+         {", ".join(f"arg_min(coalesce({c}, '~'), turn) AS {c}" for c in CUST_TRACKED)},
+         any_value(first)[min(turn)] AS StartDate, any_value(last)[max(turn)] AS EndDate
+  FROM islands, days GROUP BY k, island)
+SELECT upper(rtrim(CustomerName)) AS CustomerName, {", ".join(f"nullif({c}, '~') AS {c}" for c in CUST_TRACKED)},
+       StartDate, EndDate FROM merged
+UNION ALL SELECT upper(rtrim(CustomerName)), {SEEN_COLS}, StartDate, EndDate FROM b_history""")
 
 # -- calendar and measures ------------------------------------------------------
 DATES = W_OLTP + ", od AS (SELECT DISTINCT OrderDate FROM orders_v)"
@@ -729,6 +792,7 @@ SELECT CAST(year(OrderDate) AS INTEGER) AS YEAR, category AS CustomerCategoryNam
        CAST(sum(CAST(Quantity * UnitPrice * (1 + TaxRate * 0.01) AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS REVENUE
 FROM known k LEFT JOIN city_details cd ON cd.CityID = k.DeliveryCityID LEFT JOIN served sv ON sv.CityID = cd.CityID
 GROUP BY ALL""")
+sql("periods_out_of_order", SQL["daily_run_changing_source"])
 sql("mart_summary", W_FACT + CALENDAR + """
 SELECT dd.Year, cu.CustomerCategoryName, count(*) AS ORDER_LINES, CAST(sum(f.Quantity) AS BIGINT) AS QUANTITY,
        CAST(sum(f.TotalAfterTax) AS DECIMAL(18,2)) AS REVENUE
