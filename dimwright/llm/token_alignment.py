@@ -2,15 +2,17 @@
 
 A byte offset where a token of A and a token of B both end is a shared cut.  An
 interval of a text is divided at the shared cut nearest to its middle, found by
-bisecting B's ends for A's ends from the middle outwards, and both halves are
-treated alike; an interval without a cut is a leaf, one group of tokens.
+bisecting, and both halves are treated alike; an interval without a cut is a
+leaf, one group of tokens.  The intervals of all new parts of an Arrow slice are
+divided together, level by level.
 
 The first cuts of a text are known beforehand: before a single space, and around a
 single newline, between characters that are no white space, both tokenizers end
 a token, and the parts between them are encoded independently (tests hold that
 against whole texts).  So each part, mostly a word, is encoded, divided and linked
-once, and remembered in a table per Python worker that is bounded by bytes; texts
-with other white space are cut at fewer places, or not at all.
+once, and remembered in a table per Python worker that is bounded by bytes (when it is
+full, parts that came up rarely go); texts with other white space are cut at fewer
+places, or not at all.
 
 Links are all pairs of an A token and a B token whose byte ranges overlap.  How many
 documents hold an id pair linked, and how its count ranks among those of its A id,
@@ -34,8 +36,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -67,44 +68,36 @@ def byte_level_alphabet() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-def shared_cut(ends_a: list[int], a: range, ends_b: list[int], b: range) -> tuple[int, int] | None:
-    """Positions (in ``a`` and ``b``) of the common end nearest to the middle of the interval, its own end left out."""
-    middle = (a.start + a.stop - 1) // 2
-    last_a, last_b = a.stop - 1, b.stop - 1
-    for away in range(max(middle - a.start, last_a - 1 - middle) + 1):
-        for i in (middle - away, middle + away) if away else (middle,):
-            if a.start <= i < last_a:
-                j = bisect_left(ends_b, ends_a[i], b.start, last_b)
-                if j < last_b and ends_b[j] == ends_a[i]:
-                    return i, j
-    return None
-
-
-def divide(ends_a: list[int], a: range, ends_b: list[int], b: range) -> list[tuple[range, range]]:
-    """The groups of the token intervals ``a`` and ``b``, which end at the same byte, in order."""
-    groups, todo = [], [(a, b)]
-    while todo:
-        a, b = todo.pop()
-        cut = None if len(a) == 1 or len(b) == 1 else shared_cut(ends_a, a, ends_b, b)
-        if cut is None:
-            groups.append((a, b))
-        else:
-            i, j = cut
-            todo.append((range(i + 1, a.stop), range(j + 1, b.stop)))
-            todo.append((range(a.start, i + 1), range(b.start, j + 1)))
-    return groups
-
-
-def overlaps(ends_a: list[int], a: range, ends_b: list[int], b: range) -> list[tuple[int, int]]:
-    """Positions of the overlapping tokens of one group, whose intervals begin and end together."""
-    if len(a) == 1 or len(b) == 1:
-        return [(i, j) for i in a for j in b]
-    found, i, j = [], a.start, b.start
-    while i < a.stop and j < b.stop:
-        found.append((i, j))
-        x, y = ends_a[i], ends_b[j]
-        i, j = i + (x <= y), j + (y <= x)
-    return found
+def divide(ends_a: np.ndarray, ends_b: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """The groups of token intervals, in order: rows (first of A, end of A, first of B, end of B).
+
+    ``whole`` has such rows for intervals that end at the same byte.  All intervals of a level are divided together:
+    each at the common end nearest to its middle, found by bisecting; those without one are leaves.
+    """
+    at_b = np.searchsorted(ends_b, ends_a)
+    shared = np.flatnonzero(ends_b[np.minimum(at_b, len(ends_b) - 1)] == ends_a)
+    leaves, level = [], whole
+    while len(level):
+        a0, a1, b0, b1 = level.T
+        middle = (a0 + a1 - 1) // 2
+        k = np.searchsorted(shared, middle)
+        right, left = shared[np.minimum(k, len(shared) - 1)], shared[np.maximum(k - 1, 0)]
+        on_right = (right >= middle) & (right < a1 - 1)
+        on_left = (left >= a0) & (left < np.minimum(middle, a1 - 1))
+        cut = np.where(on_left & (~on_right | (middle - left <= right - middle)), left, right)
+        has = on_left | on_right
+        leaves.append(level[~has])
+        a0, a1, b0, b1, i = a0[has], a1[has], b0[has], b1[has], cut[has]
+        j = at_b[i]
+        level = np.concatenate([np.stack([a0, i + 1, b0, j + 1], 1), np.stack([i + 1, a1, j + 1, b1], 1)])
+    groups = np.concatenate([np.zeros((0, 4), dtype=np.int64), *leaves])
+    return groups[np.argsort(groups[:, 0])]
+
+
+def overlaps(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of all overlapping tokens: two overlap in one stretch, which ends where the first of them does."""
+    ends = np.union1d(ends_a, ends_b)
+    return np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
 
 
 class Aligner:
@@ -123,8 +116,10 @@ class Aligner:
             self.bytes_b.append(bytes([int(byte[1], 16)]) if byte else piece.replace(SPACE, " ").encode())
         self.size_a = np.array([len(x) for x in self.bytes_a], dtype=np.int64)
         self.size_b = np.array([len(x) for x in self.bytes_b], dtype=np.int64)
-        self.names_a = [str(i) for i in range(len(self.bytes_a))]
-        self.names_b = [str(i) for i in range(len(self.bytes_b))]
+        # An id as text, with the mark after it: inside its side of a group, and at the side's end.
+        self.names_a, self.names_b = (
+            np.array([[f"{i}," for i in range(n)], [f"{i}{end}" for i in range(n)]], dtype=object)
+            for n, end in ((len(self.bytes_a), "|"), (len(self.bytes_b), ";")))
         pieces = [self.b.id_to_piece(i) for i in range(len(self.bytes_b))]
         #: B's parts are independent if no piece has a newline, or a space after another character.
         self.cuttable = not any("\n" in p or SPACE in p.lstrip(SPACE) for p in pieces)
@@ -141,12 +136,30 @@ class Aligner:
         """Start the table anew: per part its counts, its groups as text, and its links in one pool."""
         self.place: dict[str, int] = {}
         self.text: list[str] = []
-        self.counts = np.zeros((1 << 12, 4), dtype=np.int64)  # tokens of A and of B, groups, links
-        self.first = np.zeros(1 << 12, dtype=np.int64)
-        self.pool = np.zeros(1 << 14, dtype=np.int64)
-        self.used = 0
+        self.counts = np.zeros((0, 4), dtype=np.int64)  # tokens of A and of B, groups, links
+        self.first = np.zeros(0, dtype=np.int64)
+        self.seen = np.zeros(0, dtype=np.int64)
+        self.pool = np.zeros(0, dtype=np.int64)
         self.bytes = 0
 
+    def _thin_out(self) -> None:
+        """Keep the parts that were met several times since the last call, if they are less than half of the table."""
+        keep = np.flatnonzero(self.seen >= 3)
+        if 2 * len(keep) > len(self.text):
+            return self._forget()
+        names = list(self.place)  # in the order of their places
+        place = {names[k]: n for n, k in enumerate(keep.tolist())}
+        text, counts = [self.text[k] for k in keep.tolist()], self.counts[keep]
+        starts = np.cumsum(counts[:, 3]) - counts[:, 3]
+        pool = self.pool[np.arange(int(counts[:, 3].sum())) + np.repeat(self.first[keep] - starts, counts[:, 3])]
+        self.place, self.text, self.counts, self.first, self.pool = place, text, counts, starts, pool
+        self.seen = np.zeros(len(keep), dtype=np.int64)
+        self.bytes = self._size(place, text, len(pool))
+
+    @staticmethod
+    def _size(parts: Iterable[str], text: list[str], links: int) -> int:
+        return sum(map(len, text)) + sum(300 + 2 * len(p) for p in parts) + 8 * links
+
     # -- encoding -------------------------------------------------------------------
     def encode_b(self, part: str) -> list[int]:
         """B's ids of a part that begins with a space or newline; the library adds a space of its own."""
@@ -166,63 +179,60 @@ class Aligner:
         return [text[x:y] for x, y in zip(cuts, cuts[1:])]
 
     def learn(self, parts: list[str]) -> bool:
-        """Align parts of evenly spaced texts, all encoded in one call; False if their tokens don't spell them."""
+        """Align parts that may follow each other, encoded in one call; False if their tokens don't spell them."""
         whole = "".join(parts)
         ids_a = self.a.encode(whole, add_special_tokens=False).ids
         ids_b = self.encode_b(whole)
         raw = whole.encode()
         if b"".join([self.bytes_a[i] for i in ids_a]) != raw or b"".join([self.bytes_b[i] for i in ids_b]) != raw:
             return False
+        ids_a, ids_b = np.array(ids_a), np.array(ids_b)
         ends_a, ends_b = np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b])
         ends = np.cumsum([len(p.encode()) for p in parts])
         stop_a, stop_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
         if not (np.array_equal(ends_a[stop_a], ends) and np.array_equal(ends_b[stop_b], ends)):
             return False
-        ends_a, ends_b = ends_a.tolist(), ends_b.tolist()
-        at_a = at_b = 0
-        for part, to_a, to_b in zip(parts, (stop_a + 1).tolist(), (stop_b + 1).tolist()):
-            self._add(part, ids_a, ends_a, range(at_a, to_a), ids_b, ends_b, range(at_b, to_b))
-            at_a, at_b = to_a, to_b
+        stop_a, stop_b = stop_a + 1, stop_b + 1
+        start_a, start_b = np.concatenate([[0], stop_a[:-1]]), np.concatenate([[0], stop_b[:-1]])
+        groups = divide(ends_a, ends_b, np.stack([start_a, stop_a, start_b, stop_b], 1))
+        # A's ids of a group stand before B's.
+        sizes_a, sizes_b = groups[:, 1] - groups[:, 0], groups[:, 3] - groups[:, 2]
+        last_a, last_b = np.zeros(len(ids_a), dtype=np.int64), np.zeros(len(ids_b), dtype=np.int64)
+        last_a[groups[:, 1] - 1] = last_b[groups[:, 3] - 1] = 1
+        said = np.empty(len(ids_a) + len(ids_b), dtype=object)
+        said[np.arange(len(ids_a)) + np.repeat(groups[:, 2], sizes_a)] = self.names_a[last_a, ids_a]
+        said[np.arange(len(ids_b)) + np.repeat(groups[:, 1], sizes_b)] = self.names_b[last_b, ids_b]
+        said = said.tolist()
+        i, j = overlaps(ends_a, ends_b)
+        links = ids_a[i] * len(self.bytes_b) + ids_b[j]
+        stop_links = np.searchsorted(i, stop_a)
+        n_links = np.diff(stop_links, prepend=0)
+        n_groups = np.diff(np.searchsorted(groups[:, 0], stop_a), prepend=0)
+        at = 0
+        text = []
+        for to in (stop_a + stop_b).tolist():
+            text.append("".join(said[at:to])[:-1])
+            at = to
+        self.place.update(zip(parts, range(len(self.text), len(self.text) + len(parts))))
+        self.text += text
+        self.first = np.concatenate([self.first, len(self.pool) + stop_links - n_links])
+        self.counts = np.concatenate([self.counts, np.stack([stop_a - start_a, stop_b - start_b, n_groups, n_links], 1)])
+        self.seen = np.concatenate([self.seen, np.zeros(len(parts), dtype=np.int64)])
+        self.pool = np.concatenate([self.pool, links])
+        self.bytes += self._size(parts, text, len(links))
         return True
 
     def align_alone(self, part: str) -> int | None:
         """Place of one part, encoded by itself, or None if its tokens don't spell it."""
-        if part in self.place:
+        if part in self.place or self.learn([part]):
             return self.place[part]
-        ids_a, ids_b, raw = self.a.encode(part, add_special_tokens=False).ids, self.encode_b(part), part.encode()
-        if b"".join([self.bytes_a[i] for i in ids_a]) != raw or b"".join([self.bytes_b[i] for i in ids_b]) != raw:
-            return None
-        ends_a, ends_b = np.cumsum(self.size_a[ids_a]).tolist(), np.cumsum(self.size_b[ids_b]).tolist()
-        return self._add(part, ids_a, ends_a, range(len(ids_a)), ids_b, ends_b, range(len(ids_b)))
-
-    def _add(self, part: str, ids_a: list[int], ends_a: list[int], a: range, ids_b: list[int], ends_b: list[int],
-             b: range) -> int:
-        n_b = len(self.bytes_b)
-        groups = divide(ends_a, a, ends_b, b)
-        said, links = [], []
-        for x, y in groups:
-            said.append(",".join([self.names_a[ids_a[i]] for i in x]) + "|" + ",".join([self.names_b[ids_b[j]] for j in y]))
-            links += [ids_a[i] * n_b + ids_b[j] for i, j in overlaps(ends_a, x, ends_b, y)]
-        k = len(self.text)
-        self.place[part] = k
-        self.text.append(";".join(said))
-        if k == len(self.first):
-            self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
-            self.first = np.concatenate([self.first, np.zeros_like(self.first)])
-        while self.used + len(links) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        self.counts[k] = len(a), len(b), len(groups), len(links)
-        self.first[k] = self.used
-        self.pool[self.used : self.used + len(links)] = links
-        self.used += len(links)
-        self.bytes += 300 + 2 * len(part) + len(self.text[k]) + 8 * len(links)
-        return k
+        return None
 
     # -- documents --------------------------------------------------------------------
     def places(self, texts: list[str]) -> list[list[int]]:
         """Per text the places of its parts; none for a text without tokens."""
         if self.bytes > REMEMBERED:
-            self._forget()
+            self._thin_out()
         cut = [self.parts(t) if t else [] for t in texts]
         fresh = list(dict.fromkeys(p for parts in cut if parts for p in parts if p not in self.place))
         if fresh and not self.learn(fresh):  # some part isn't spelled by its tokens
@@ -248,6 +258,7 @@ class Aligner:
         counts = np.zeros((len(texts), 4), dtype=np.int64)
         for c in range(4):
             counts[:, c] = np.bincount(doc, weights=self.counts[at, c], minlength=len(texts))  # exact below 2^53
+        self.seen += np.bincount(at, minlength=len(self.text))
         # Parts of a document once, with their numbers; then their links.
         seen, times = np.unique(doc * max(1, len(self.text)) + at, return_counts=True)
         doc, at = np.divmod(seen, max(1, len(self.text)))

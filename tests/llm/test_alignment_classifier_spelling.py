@@ -118,20 +118,21 @@ def test_dividing_finds_every_shared_cut(sizes, rng):
     total = sum(sizes)
     ends_a = np.cumsum(sizes).tolist()
     ends_b = sorted({e for e in range(1, total) if rng.random() < 0.4} | {total})
-    groups = ta.divide(ends_a, range(len(ends_a)), ends_b, range(len(ends_b)))
-    assert [ends_a[a.stop - 1] for a, _ in groups] == sorted(set(ends_a) & set(ends_b))
-    assert [i for a, _ in groups for i in a] == list(range(len(ends_a)))
-    assert [j for _, b in groups for j in b] == list(range(len(ends_b)))
+    groups = ta.divide(np.array(ends_a), np.array(ends_b), np.array([[0, len(ends_a), 0, len(ends_b)]]))
+    assert [ends_a[a1 - 1] for _, a1, _, _ in groups] == sorted(set(ends_a) & set(ends_b))
+    assert [ends_b[b1 - 1] for _, _, _, b1 in groups] == sorted(set(ends_a) & set(ends_b))
+    assert [i for a0, a1, _, _ in groups for i in range(a0, a1)] == list(range(len(ends_a)))
+    assert [j for _, _, b0, b1 in groups for j in range(b0, b1)] == list(range(len(ends_b)))
     starts_a, starts_b = [0, *ends_a], [0, *ends_b]
-    links = {x for a, b in groups for x in ta.overlaps(ends_a, a, ends_b, b)}
-    assert links == {(i, j) for i in range(len(ends_a)) for j in range(len(ends_b))
-                     if starts_a[i] < ends_b[j] and starts_b[j] < ends_a[i]}
+    links = list(zip(*(x.tolist() for x in ta.overlaps(np.array(ends_a), np.array(ends_b)))))
+    assert links == [(i, j) for i in range(len(ends_a)) for j in range(len(ends_b))
+                     if starts_a[i] < ends_b[j] and starts_b[j] < ends_a[i]]
 
 
 def test_a_long_interval_without_cuts_is_one_group():
     n = 20_000
-    ends_a, ends_b = [*range(2, 2 * n, 2), 2 * n], [*range(1, 2 * n, 2), 2 * n]
-    assert len(ta.divide(ends_a, range(n), ends_b, range(n + 1))) == 1
+    ends_a, ends_b = np.array([*range(2, 2 * n, 2), 2 * n]), np.array([*range(1, 2 * n, 2), 2 * n])
+    assert ta.divide(ends_a, ends_b, np.array([[0, n, 0, n + 1]])).tolist() == [[0, n, 0, n + 1]]
 
 
 def test_alignment(spark, odd, odd_rows, corpus, corpus_rows, none):
@@ -149,9 +150,17 @@ def test_alignment_of_repeated_rows(spark):
 
 
 def test_the_table_of_parts_is_bounded():
+    """Frequent parts stay, the others are learnt anew; results are the same."""
     own = ta.Aligner(BYTE_BPE[0], PIECE_BPE)
+    some = ["some words often words words words often often", "rare parts\nsome unusual ones"]
+    first = own.documents(some)
+    size = own.bytes
     own.bytes = ta.REMEMBERED + 1
-    assert own.documents(["some words"])["n_a"][0].as_py() == 2 and own.bytes < 10_000
+    assert {k: v.to_pylist() for k, v in own.documents(some).items()} == {k: v.to_pylist() for k, v in first.items()}
+    assert own.bytes == size
+    own.bytes = ta.REMEMBERED + 1
+    own.places(["words"])
+    assert set(own.place) == {" words", " often"}
 
 
 # -- quality classifier -----------------------------------------------------------------
