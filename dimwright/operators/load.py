@@ -14,6 +14,7 @@ the dimensions and the fact of a run current together.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -254,6 +255,25 @@ class Mart:
         return current.select(*[c for c in rows.columns if c != "run"])
 
 
+    # -- what a load of the fact leaves beside it ------------------------------
+    def write_parts(self, name: str, loads: list[tuple], part: Callable[[DataFrame], DataFrame]) -> list[tuple]:
+        """Write ``part`` of the rows of the load just written, under the load's number; returns the manifest row."""
+        run = loads[0][1]
+        rows = self.spark.read.parquet(self._path(FACT, run))
+        part(rows).write.mode("error").parquet(f"{self.root}/{name}/run={run}")
+        return [(name, run, None, None)]
+
+    def read_parts(self, name: str) -> DataFrame:
+        """The parts of current rows: of each date those of its newest load."""
+        index = self.fact_index()
+        kept = {r["version"] for r in self._rows if r["table"] == name}
+        missing = [r["run"] for r in index.select("run").distinct().collect() if r["run"] not in kept]
+        if missing:
+            raise ValueError(f"loads without {name}: {sorted(missing)[:10]}")
+        parts = self.spark.read.parquet(f"{self.root}/{name}")
+        return parts.join(F.broadcast(index), ["run", "DateKey"]).drop("run")  # one row per day
+
+
 def _within(rows: DataFrame, first_key: int | None, last_key: int | None) -> DataFrame:
     if first_key is not None:
         rows = rows.where(F.col("DateKey") >= first_key)

@@ -107,9 +107,11 @@ def _lit_date(d: dt.date | str | Column) -> Column:
 
 def is_backdated(dim: DataFrame, start) -> bool:
     """Whether some version begins after ``start`` or was valid on it and has ended."""
-    day = _lit_date(start)
-    later = dim.agg(F.max((F.col("StartDate") > day) | (F.col("EndDate") >= day)).alias("later"))
-    return bool(later.first()["later"])
+    return bool(dim.agg(F.max(_newer_than(_lit_date(start))).alias("later")).first()["later"])
+
+
+def _newer_than(day: Column) -> Column:
+    return (F.col("StartDate") > day) | (F.col("EndDate") >= day)
 
 
 def scd2_classify(
@@ -158,9 +160,11 @@ def scd2_branches(
     stage_to_dim: dict[str, str] | None = None,
     null_safe: bool = True,
     report: dict | None = None,
+    highest: int = 0,
 ) -> dict[str, DataFrame]:
     """The disjoint preload branches plus the untouched history.
 
+    New keys follow the highest one in ``dim``, or ``highest`` if that is higher.
     If ``report`` is given, ``report["changed"]`` tells whether the version
     differs from ``dim`` at all, read from the already written classification.
 
@@ -170,7 +174,9 @@ def scd2_branches(
     ``expired``  open rows missing from the stage, closed
     ``history``  closed rows, untouched
     """
-    if is_backdated(dim, start_date):
+    # What must be known of the dimension beforehand, in one job.
+    known = dim.agg(F.max(_newer_than(_lit_date(start_date))).alias("later"), F.max(key_col).alias("key")).first()
+    if known["later"]:
         raise BackdatedRunError(f"{key_col}: a version is newer than {start_date}")
     out_cols = [key_col, key, *tracked, "StartDate", "EndDate"]
     start, end = _lit_date(start_date), _lit_date(end_date)
@@ -179,7 +185,7 @@ def scd2_branches(
     old = ~F.col("_status").isin(NEW, CHANGED)
     cls = with_dense_keys(
         scd2_classify(stage, dim, key, tracked, start_date, stage_to_dim, null_safe).withColumn("_old", old),
-        ["_old", key], "_new_key", base=max_key(dim, key_col))
+        ["_old", key], "_new_key", base=max(known["key"] or 0, highest))
     if report is not None:
         report["changed"] = not cls.filter(F.col("_status") != UNCHANGED).isEmpty()
 
@@ -218,7 +224,9 @@ def scd2(
     stage_to_dim: dict[str, str] | None = None,
     null_safe: bool = True,
     report: dict | None = None,
+    highest: int = 0,
 ) -> DataFrame:
     """The whole next version of a type-2 dimension (every row, old and new)."""
-    parts = scd2_branches(stage, dim, key, tracked, key_col, start_date, end_date, stage_to_dim, null_safe, report)
+    parts = scd2_branches(
+        stage, dim, key, tracked, key_col, start_date, end_date, stage_to_dim, null_safe, report, highest)
     return reduce(DataFrame.unionByName, parts.values())

@@ -20,7 +20,7 @@ from dimwright.functions.measures import total_after_tax, total_before_tax
 from dimwright.functions.semantics import (
     any_changed, avg_rounded, eq_ci, is_null_or_blank, like_ci, percentage, to_whole_decimal,
 )
-from dimwright.operators import grouped, profile, quality
+from dimwright.operators import grouped, heavy, profile, quality, spelling
 from dimwright.operators.joins import (
     asof_carry, asof_lookup, lateral_split, left_join_spread, single_row_broadcast,
 )
@@ -483,6 +483,24 @@ def misspelled_cities(spark, d):
     return L.misspelled_cities(with_question_marks(raw(spark, d)))
 
 
+@query("misspelt_places")
+def misspelt_places(spark, d):
+    return spelling.misspellings(L.with_misspelt_places(raw(spark, d)), "Place", ratio=3)
+
+
+@query("busiest_locality_sketch")
+def busiest_locality_sketch(spark, d):
+    """busiest_locality by a sketch of the counts, proven and counted exactly."""
+    rows = L.in_country(clean(spark, d)).where(F.col("RestaurantID").isNotNull())
+    return heavy.busiest_groups(rows, ["COUNTRY_NAME", "City", "Locality"], "REST_COUNT").select("Locality", "REST_COUNT")
+
+
+@query("busiest_parts")
+def busiest_parts(spark, d):
+    """The parts on most order lines: far more groups than the sketch holds."""
+    return heavy.busiest_groups(read_table(spark, d, "lineitem").select("l_partkey"), ["l_partkey"], "N", counters=512)
+
+
 @query("listings_per_city")
 def listings_per_city(spark, d):
     return L.listings_per_city(clean(spark, d))
@@ -1028,6 +1046,17 @@ def daily_run_changing_source(spark, d):
     return changing.sales(mart)
 
 
+@query("changed_members")
+def changed_members(spark, d):
+    return history.changed_customers(spark, d)
+
+
+@query("kept_summary")
+def kept_summary(spark, d):
+    """mart_summary kept up to date by three loads."""
+    return history.kept_summary(spark, d)
+
+
 @query("dq_duplicate_keys")
 def dq_duplicate_keys(spark, d):
     return quality.duplicate_keys(src_of(spark, d).order_lines, ["OrderID", "LineNumber"])

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimwright.operators import scd_history
+from dimwright.operators import digests, scd_history
 from dimwright.operators.keys import materialize
 from dimwright.operators.load import Mart
 from dimwright.plans import changing
@@ -72,3 +72,25 @@ def periods_out_of_order(spark: SparkSession, sf_dir: str) -> Mart:
     for period in (0, 2, 1):
         M.run_dates(changing.ChangingOltp(spark, sf_dir, period), mart, *bounds[period], members_as_of_start=True)
     return mart
+
+
+def changed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(CustomerName, CHANGE) of the changing source's customers between its second and third period, by digests."""
+    spec = M.CUSTOMERS
+    keys, attrs = list(spec.business_key), list(spec.attrs)
+    before, now = (M._stage_for(spec, M.ex.extract_customers(changing.ChangingOltp(spark, sf_dir, p))) for p in (1, 2))
+    diff = materialize(digests.digest_diff(
+        digests.member_digests(before, keys, attrs), digests.member_digests(now, keys, attrs)))
+    told = lambda df, which: digests.with_key_digest(df, keys).join(
+        diff.where(which), digests.KEY_DIGEST).select(*keys, "CHANGE").distinct()
+    return told(now, "CHANGE <> 'gone'").unionByName(told(before, "CHANGE = 'gone'"))
+
+
+def kept_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary from the parts of three loads, the third of which loads some dates of the second again."""
+    src, mart = Oltp(spark, sf_dir), Mart(spark)
+    first, last = M.order_date_bounds(src)
+    middle = first + (last - first) / 2
+    for start, end in ((first, first), (first + dt.timedelta(days=1), last), (middle, last)):
+        M.run_dates(src, mart, start, end, keep_summary=True)
+    return M.kept_summary(mart)

@@ -109,6 +109,19 @@ def clean_listings(raw: DataFrame, country: DataFrame, legacy_rounding: bool = F
     return df.withColumn("RATE_CATEGORY", rating_band("Rating"))
 
 
+def with_misspelt_places(listing: DataFrame) -> DataFrame:
+    """Place = city and first cuisine, misspelt in some rows: a character gone, two swapped, one unreadable, one too many."""
+    place = F.concat_ws(" ", "City", F.substring_index("Cuisines", "|", 1))
+    kind = F.col("RestaurantID").cast("long") % 40
+    wrong = (
+        F.when(kind == 1, F.expr("concat(left(Place, 2), substring(Place, 4))"))
+        .when(kind == 2, F.expr("concat(left(Place, 3), substring(Place, 5, 1), substring(Place, 4, 1), substring(Place, 6))"))
+        .when(kind == 3, F.expr("concat(left(Place, 1), '?', substring(Place, 3))"))
+        .when(kind == 4, F.concat("Place", F.lit("x")))
+    )
+    return listing.withColumn("Place", place).withColumn("Place", F.coalesce(wrong, "Place"))
+
+
 # -- questions ----------------------------------------------------------------
 def in_country(df: DataFrame, country: str = HOME_COUNTRY) -> DataFrame:
     return df.filter(eq_ci("COUNTRY_NAME", country))

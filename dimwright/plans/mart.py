@@ -19,10 +19,10 @@ from pyspark.sql import types as T
 
 from dimwright.functions.dates import calendar_columns, date_key
 from dimwright.functions.measures import total_after_tax, total_before_tax
-from dimwright.operators import quality, scd, scd_history
+from dimwright.operators import digests, quality, scd, scd_history
 from dimwright.operators.joins import asof_lookup, key_lookup, single_row_broadcast
-from dimwright.operators.keys import materialize, with_dense_keys
-from dimwright.operators.load import Mart, as_date, as_key, date_ranges, write_guarded
+from dimwright.operators.keys import materialize, max_key, with_dense_keys
+from dimwright.operators.load import Mart, as_date, as_key, date_ranges, upsert_by_key, write_guarded
 from dimwright.plans import extract as ex
 from dimwright.plans.schemas import SCHEMAS, conform
 from dimwright.session import scratch
@@ -354,7 +354,8 @@ def initial_fact(src: Oltp, strict: bool = False) -> DataFrame:
 
 
 # -- daily run -----------------------------------------------------------------------
-def run_dates(src: Oltp, mart: Mart, start: dt.date, end: dt.date, members_as_of_start: bool = False) -> int:
+def run_dates(src: Oltp, mart: Mart, start: dt.date, end: dt.date, members_as_of_start: bool = False,
+              keep_summary: bool = False) -> int:
     """One incremental run for the dates [start, end]; returns the fact rows loaded.
 
     Order: order extract (guarded: nothing is published if it is empty),
@@ -370,6 +371,8 @@ def run_dates(src: Oltp, mart: Mart, start: dt.date, end: dt.date, members_as_of
     inserted into the history, to hold until the next observed day; loaded facts of that
     span are built anew from the source, and facts of other dates whose
     version got another key are re-keyed, date by date.
+
+    ``keep_summary`` also writes the run's part of ``kept_summary``.
     """
     spark = src.spark
     with scratch(spark):
@@ -394,7 +397,7 @@ def run_dates(src: Oltp, mart: Mart, start: dt.date, end: dt.date, members_as_of
         calendar = mart.upserted("dim_date", dim_date_between(spark, start, end), "DateKey")
         if calendar is not None:
             after["dim_date"] = calendar
-        rows = mart.write_versions({t: conform(df, SCHEMAS[t]) for t, df in after.items()})
+        rows = mart.write_versions({t: conform(df, SCHEMAS[t]) if t in SCHEMAS else df for t, df in after.items()})
         written = mart.read_written(rows)
         dims = {k: written.get(spec.name, current.get(k)) for k, spec in SPEC_BY_DIM.items()}
         fact = fact_orders(orders, dims, first_covers_earlier=True)
@@ -413,7 +416,8 @@ def run_dates(src: Oltp, mart: Mart, start: dt.date, end: dt.date, members_as_of
             ranges += date_ranges(again) + date_ranges(others)
         fact_rows, n = mart.write_run(conform(fact, SCHEMAS["fact_orders"]), ranges)
         observed = [] if late and until is None else mart.observed_on(start)
-        mart.commit(rows + fact_rows + observed)
+        parts = mart.write_parts(SALES, fact_rows, _sales_parts) if keep_summary else []
+        mart.commit(rows + fact_rows + observed + parts)
     return n
 
 
@@ -461,14 +465,56 @@ def _dates_concerned(mart: Mart, start: dt.date, end: dt.date, until: dt.date,
     return again, [k for k in others if k not in own and k not in set(again)]
 
 
+def _digest_table(spec: DimSpec) -> str:
+    return f"digest_{spec.name}"
+
+
+def _member_digests(spec: DimSpec, stage: DataFrame) -> DataFrame:
+    return digests.member_digests(_stage_for(spec, stage), list(spec.business_key), list(spec.attrs), spec.type2)
+
+
 def _changed_dimensions(src: Oltp, mart: Mart, start: dt.date, current: dict[str, DataFrame],
                         stage: Callable[[str, DataFrame], DataFrame]) -> dict[str, DataFrame]:
-    """Table name -> complete next version, for the dimensions that change on ``start``.
+    """Table name -> complete next version, for the dimensions (and digests) that change on ``start``.
+
+    The digests of the staged members are compared with those of the last run; only members that
+    differ meet the dimension, and nothing does if none differs.
+    """
+    stages = in_parallel({n: (lambda n=n, df=df: stage(n, df)) for n, df in extract_stages(src).items()})
+    after: dict[str, DataFrame] = {}
+    if not all(k in current and mart.has(_digest_table(spec)) for k, spec in SPEC_BY_DIM.items()):
+        after = _whole_dimensions(src, mart, start, current, stages)
+        changed = list(SPEC_BY_DIM)
+    else:
+        members = in_parallel({k: (lambda k=k, spec=spec: materialize(digests.digest_diff(
+            mart.read(_digest_table(spec)), _member_digests(spec, stages[STAGE_OF[k]])))) for k, spec in SPEC_BY_DIM.items()})
+        changed = [k for k, diff in members.items() if not diff.isEmpty()]
+        for k in changed:
+            after[SPEC_BY_DIM[k].name] = _with_members(SPEC_BY_DIM[k], stages[STAGE_OF[k]], current[k], members[k], start)
+    return after | {_digest_table(SPEC_BY_DIM[k]): _member_digests(SPEC_BY_DIM[k], stages[STAGE_OF[k]]) for k in changed}
+
+
+def _with_members(spec: DimSpec, stage: DataFrame, dim: DataFrame, members: DataFrame, start: dt.date) -> DataFrame:
+    """The next version of ``dim``: the ``members`` that differ meet their stage rows, all others stay as they are."""
+    keys = list(spec.business_key)
+    staged, _ = digests.split_by_members(_stage_for(spec, stage), keys, members)
+    if not spec.type2:  # a member missing from the stage is kept
+        return upsert_by_key(dim, apply_scd1(spec, staged, dim).select(*dim.columns), spec.key_col)
+    concerned, others = digests.split_by_members(dim, keys, members)
+    (key,) = keys
+    highest = max_key(dim, spec.key_col).first()[0]
+    met = scd.scd2(staged, concerned, key, list(spec.attrs), spec.key_col, start, start - dt.timedelta(days=1),
+                   highest=highest)
+    return met.select(*dim.columns).unionByName(others)
+
+
+def _whole_dimensions(src: Oltp, mart: Mart, start: dt.date, current: dict[str, DataFrame],
+                      stages: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """As ``_changed_dimensions`` for a first load, or a mart that has no digests yet: all members meet their dimension.
 
     Load = upsert by surrogate key (a type-1 member missing from today's stage
     is kept).  A type-2 preload is already the complete next version.
     """
-    stages = in_parallel({n: (lambda n=n, df=df: stage(n, df)) for n, df in extract_stages(src).items()})
     changes: dict[str, bool] = {}
     preloads = build_dimensions(src, start, current, materialized=False, stages=stages, changes=changes)
     after: dict[str, DataFrame] = {}
@@ -500,8 +546,28 @@ def mart_summary(fact: DataFrame, customers: DataFrame, calendar: DataFrame) ->
 
     The fact is summed per date and customer before it meets the dimensions.
     """
+    return _summed_sales(_sales_parts(fact), customers, calendar)
+
+
+#: Parts of the summary, one per load of the fact.
+SALES = "sales_parts"
+
+
+def _sales_parts(fact: DataFrame) -> DataFrame:
     measures = {"ORDER_LINES": F.count(F.lit(1)), "QUANTITY": F.sum("Quantity"), "REVENUE": F.sum("TotalAfterTax")}
-    per_key = fact.groupBy("DateKey", "CustomerKey").agg(*[m.alias(a) for a, m in measures.items()])
+    return fact.groupBy("DateKey", "CustomerKey").agg(*[m.alias(a) for a, m in measures.items()])
+
+
+def kept_summary(mart: Mart) -> DataFrame:
+    """``mart_summary`` of the whole mart from the parts that its runs wrote (``run_dates`` with ``keep_summary``).
+
+    A run sums its own fact rows only.  A date that is loaded again is retracted by the fact's
+    index: the parts of its older loads do not count any more.
+    """
+    return _summed_sales(mart.read_parts(SALES), mart.read(CUSTOMERS.name), mart.read("dim_date"))
+
+
+def _summed_sales(per_key: DataFrame, customers: DataFrame, calendar: DataFrame) -> DataFrame:
     return (
         per_key.join(calendar.select("DateKey", "Year"), "DateKey", "left")
         .join(customers.select("CustomerKey", "CustomerCategoryName"), "CustomerKey", "left")

@@ -277,6 +277,20 @@ SELECT City, WITH_BOOKING, TOTAL_REST, {pct("WITH_BOOKING", "TOTAL_REST")} AS PC
 sql("clean_listings", W_CLEAN + " SELECT * FROM clean")
 sql("misspelled_cities", W_RAW + ", " + QMARK + """
 SELECT DISTINCT City, replace(City, '?', 'i') AS CORRECTED FROM qm WHERE City LIKE '%?%'""")
+sql("misspelt_places", W_RAW + """,
+named AS (SELECT CAST(RestaurantID AS BIGINT) % 40 AS kind, City || ' ' || split_part(Cuisines, '|', 1) AS p FROM raw),
+placed AS (
+  SELECT CASE kind WHEN 1 THEN p[1:2] || p[4:] WHEN 2 THEN p[1:3] || p[5] || p[4] || p[6:] WHEN 3 THEN p[1] || '?' || p[3:]
+              WHEN 4 THEN p || 'x' ELSE p END AS s FROM named),
+counted AS (SELECT s, count(*) AS n FROM placed WHERE length(s) >= 5 GROUP BY s),
+near AS (
+  SELECT a.s, a.n, b.s AS t, b.n AS m, levenshtein(a.s, b.s) AS e FROM counted a JOIN counted b
+  ON a.s <> b.s AND b.n >= 3 * a.n AND levenshtein(a.s, b.s) <= 2),
+best AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY m DESC, e, t) AS place FROM near)
+SELECT s AS SPELLING, n AS N, t AS CORRECTED, m AS CORRECTED_N, CAST(e AS INTEGER) AS EDITS FROM best WHERE place = 1""")
+sql("busiest_parts", """
+SELECT l_partkey, count(*) AS N FROM lineitem GROUP BY l_partkey
+QUALIFY count(*) = max(count(*)) OVER ()""")
 sql("listings_per_city", PER_CITY)
 sql("running_listings", RUNNING)
 sql("running_listings_blocks", RUNNING)
@@ -290,6 +304,7 @@ sql("listings_per_country", W_CLEAN + """
 SELECT COUNTRY_NAME, count(CAST(RestaurantID AS DECIMAL(18,0))) AS REST_COUNT FROM clean GROUP BY COUNTRY_NAME""")
 sql("online_share", ONLINE)
 sql("busiest_locality", W_CLEAN + ", " + LOCALITY_COUNTS + " SELECT Locality, REST_COUNT FROM winners")
+sql("busiest_locality_sketch", SQL["busiest_locality"])
 sql("busiest_locality_menus", W_CLEAN + ", " + LOCALITY_COUNTS + " SELECT Locality, Cuisines FROM winner_rows")
 sql("busiest_locality_cuisines", CUISINES)
 sql("quietest_localities", QUIET)
@@ -792,6 +807,12 @@ SELECT CAST(year(OrderDate) AS INTEGER) AS YEAR, category AS CustomerCategoryNam
        CAST(sum(CAST(Quantity * UnitPrice * (1 + TaxRate * 0.01) AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS REVENUE
 FROM known k LEFT JOIN city_details cd ON cd.CityID = k.DeliveryCityID LEFT JOIN served sv ON sv.CityID = cd.CityID
 GROUP BY ALL""")
+sql("changed_members", W_OLTP + """,
+told AS (
+  SELECT CustomerID, CASE WHEN CustomerID % 5 = 0 THEN upper(CustomerName) || ' ' ELSE CustomerName END AS CustomerName
+  FROM customers)
+SELECT CustomerName, CASE WHEN CustomerID % 7 = 3 THEN 'gone' ELSE 'changed' END AS CHANGE FROM told
+WHERE CustomerID % 7 = 3 OR CustomerID % 5 = 2""")
 sql("periods_out_of_order", SQL["daily_run_changing_source"])
 sql("mart_summary", W_FACT + CALENDAR + """
 SELECT dd.Year, cu.CustomerCategoryName, count(*) AS ORDER_LINES, CAST(sum(f.Quantity) AS BIGINT) AS QUANTITY,
@@ -799,3 +820,4 @@ SELECT dd.Year, cu.CustomerCategoryName, count(*) AS ORDER_LINES, CAST(sum(f.Qua
 FROM fact f LEFT JOIN dim_date dd ON f.DateKey = dd.DateKey
 LEFT JOIN dim_customers cu ON f.CustomerKey = cu.CustomerKey
 GROUP BY dd.Year, cu.CustomerCategoryName""")
+sql("kept_summary", SQL["mart_summary"])
