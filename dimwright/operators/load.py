@@ -256,11 +256,14 @@ class Mart:
 
 
     # -- what a load of the fact leaves beside it ------------------------------
-    def write_parts(self, name: str, loads: list[tuple], part: Callable[[DataFrame], DataFrame]) -> list[tuple]:
-        """Write ``part`` of the rows of the load just written, under the load's number; returns the manifest row."""
+    def written_load(self, loads: list[tuple]) -> DataFrame:
+        """The rows of the load just written."""
+        return self.spark.read.parquet(self._path(FACT, loads[0][1]))
+
+    def write_parts(self, name: str, loads: list[tuple], part: DataFrame) -> list[tuple]:
+        """Write ``part`` (with its DateKey) under the number of the load just written; returns the manifest row."""
         run = loads[0][1]
-        rows = self.spark.read.parquet(self._path(FACT, run))
-        part(rows).write.mode("error").parquet(f"{self.root}/{name}/run={run}")
+        part.write.mode("error").parquet(f"{self.root}/{name}/run={run}")
         return [(name, run, None, None)]
 
     def read_parts(self, name: str) -> DataFrame:

@@ -1057,6 +1057,11 @@ def kept_summary(spark, d):
     return history.kept_summary(spark, d)
 
 
+@query("late_members")
+def late_members(spark, d):
+    return history.late_members(spark, d)
+
+
 @query("dq_duplicate_keys")
 def dq_duplicate_keys(spark, d):
     return quality.duplicate_keys(src_of(spark, d).order_lines, ["OrderID", "LineNumber"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,3 +95,24 @@ def kept_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     for start, end in ((first, first), (first + dt.timedelta(days=1), last), (middle, last)):
         M.run_dates(src, mart, start, end, keep_summary=True)
     return M.kept_summary(mart)
+
+
+class LateMembers(Oltp):
+    """The order database before some members are entered: customers 1 mod 40, and products 2 mod 50."""
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return super().customers.where("CustomerID % 40 <> 1")
+
+    @cached_property
+    def stock_items(self) -> DataFrame:
+        return super().stock_items.where("StockItemID % 50 <> 2")
+
+
+def late_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales by member: all dates but the last are loaded before some members are entered, the last one after."""
+    src, early, mart = Oltp(spark, sf_dir), LateMembers(spark, sf_dir), Mart(spark)
+    first, last = M.order_date_bounds(src)
+    M.run_dates(early, mart, first, last - dt.timedelta(days=1), late_members=True)
+    M.run_dates(src, mart, last, last, late_members=True)
+    return changing.sales(mart)

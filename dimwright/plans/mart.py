@@ -355,7 +355,7 @@ def initial_fact(src: Oltp, strict: bool = False) -> DataFrame:
 
 # -- daily run -----------------------------------------------------------------------
 def run_dates(src: Oltp, mart: Mart, start: dt.date, end: dt.date, members_as_of_start: bool = False,
-              keep_summary: bool = False) -> int:
+              keep_summary: bool = False, late_members: bool = False) -> int:
     """One incremental run for the dates [start, end]; returns the fact rows loaded.
 
     Order: order extract (guarded: nothing is published if it is empty),
@@ -372,7 +372,9 @@ def run_dates(src: Oltp, mart: Mart, start: dt.date, end: dt.date, members_as_of
     span are built anew from the source, and facts of other dates whose
     version got another key are re-keyed, date by date.
 
-    ``keep_summary`` also writes the run's part of ``kept_summary``.
+    ``keep_summary`` also writes the run's part of ``kept_summary``.  With ``late_members`` a run
+    remembers, per date, the ids of customers and products that its orders name and the source does
+    not have (their lines get key -1); a later run builds the dates anew whose ids have turned up, and no others.
     """
     spark = src.spark
     with scratch(spark):
@@ -402,12 +404,17 @@ def run_dates(src: Oltp, mart: Mart, start: dt.date, end: dt.date, members_as_of
         dims = {k: written.get(spec.name, current.get(k)) for k, spec in SPEC_BY_DIM.items()}
         fact = fact_orders(orders, dims, first_covers_earlier=True)
         ranges = [(as_key(start), as_key(end))]
+        due: list[int] = []
+        if late_members:
+            due = _dates_due(src, mart, start, end)
+            if due:
+                fact = fact.unionByName(fact_orders(_orders_on(src, due), dims, first_covers_earlier=True))
+                ranges += date_ranges(due)
         if until is not None:
-            again, others = _dates_concerned(mart, start, end, until, moved)
+            again, others = ([k for k in keys if k not in due]
+                             for keys in _dates_concerned(mart, start, end, until, moved))
             if again:
-                dates = ex.extract_orders(src, as_date(again[0]), as_date(again[-1]))
-                dates = dates.where(date_key(F.col("OrderDate")).isin(again))
-                fact = fact.unionByName(fact_orders(dates, dims, first_covers_earlier=True))
+                fact = fact.unionByName(fact_orders(_orders_on(src, again), dims, first_covers_earlier=True))
             if others:
                 loaded = mart.read_fact(others[0], others[-1]).where(F.col("DateKey").isin(others))
                 for key_col, spans in moved.items():
@@ -416,11 +423,50 @@ def run_dates(src: Oltp, mart: Mart, start: dt.date, end: dt.date, members_as_of
             ranges += date_ranges(again) + date_ranges(others)
         fact_rows, n = mart.write_run(conform(fact, SCHEMAS["fact_orders"]), ranges)
         observed = [] if late and until is None else mart.observed_on(start)
-        parts = mart.write_parts(SALES, fact_rows, _sales_parts) if keep_summary else []
+        parts = mart.write_parts(SALES, fact_rows, _sales_parts(mart.written_load(fact_rows))) if keep_summary else []
+        if late_members:
+            parts += mart.write_parts(UNRESOLVED, fact_rows, _unresolved(src, start, end, due))
         mart.commit(rows + fact_rows + observed + parts)
     return n
 
 
+def _orders_on(src: Oltp, keys: list[int]) -> DataFrame:
+    """The orders stage of some date keys (sorted)."""
+    rows = ex.extract_orders(src, as_date(keys[0]), as_date(keys[-1]))
+    return rows.where(date_key(F.col("OrderDate")).isin(keys))
+
+
+#: Ids that a load's orders name without a member, per date.
+UNRESOLVED = "unresolved_members"
+
+
+def _unresolved(src: Oltp, start: dt.date, end: dt.date, due: list[int]) -> DataFrame:
+    """(MEMBER, SourceID, DateKey) of customers and products that orders of [start, end] and of ``due`` name in vain."""
+    first = min([start, *map(as_date, due[:1])])
+    last = max([end, *map(as_date, due[-1:])])
+    key = date_key(F.col("OrderDate"))
+    wide = ex.order_lines_wide(src, first, last).where(key.between(as_key(start), as_key(end)) | key.isin(due))
+    named = F.array(
+        F.struct(F.lit("customers").alias("MEMBER"), F.col("CustomerID").alias("SourceID"),
+                 F.col("CustomerName").isNull().alias("missing")),
+        F.struct(F.lit("products").alias("MEMBER"), F.col("StockItemID").alias("SourceID"),
+                 F.col("StockItemName").isNull().alias("missing")))
+    rows = wide.select(key.alias("DateKey"), F.explode(named).alias("m"))
+    return rows.where("m.missing and m.SourceID is not null").select("m.MEMBER", "m.SourceID", "DateKey").distinct()
+
+
+def _dates_due(src: Oltp, mart: Mart, start: dt.date, end: dt.date) -> list[int]:
+    """Loaded dates outside [start, end] whose missing members the source has by now (one row per day comes back)."""
+    if not mart.has(UNRESOLVED):
+        return []
+    waiting = mart.read_parts(UNRESOLVED)
+    waiting = waiting.where(~F.col("DateKey").between(as_key(start), as_key(end)))
+    there = src.customers.select(F.lit("customers").alias("MEMBER"), F.col("CustomerID").alias("SourceID")).unionByName(
+        src.stock_items.select(F.lit("products").alias("MEMBER"), F.col("StockItemID").alias("SourceID")))
+    found = waiting.join(there, ["MEMBER", "SourceID"], "left_semi").select("DateKey").distinct()
+    return sorted(r["DateKey"] for r in found.collect())
+
+
 def _inserted_dimensions(
     src: Oltp, start: dt.date, until: dt.date, current: dict[str, DataFrame],
     stage: Callable[[str, DataFrame], DataFrame],

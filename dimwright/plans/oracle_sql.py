@@ -821,3 +821,11 @@ FROM fact f LEFT JOIN dim_date dd ON f.DateKey = dd.DateKey
 LEFT JOIN dim_customers cu ON f.CustomerKey = cu.CustomerKey
 GROUP BY dd.Year, cu.CustomerCategoryName""")
 sql("kept_summary", SQL["mart_summary"])
+sql("late_members", W_OLTP + """
+SELECT CAST(year(OrderDate) AS INTEGER) AS YEAR, c.CustomerCategoryID AS CustomerCategoryName, i.Brand AS ProductBrand,
+       cd.FormalName AS CountryFormalName, count(*) AS ORDER_LINES,
+       CAST(sum(CAST(Quantity * UnitPrice * (1 + TaxRate * 0.01) AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS REVENUE
+FROM orders_v o JOIN lines l ON l.OrderID = o.OrderID
+LEFT JOIN customers c ON c.CustomerID = o.CustomerID LEFT JOIN stock_items i ON i.StockItemID = l.StockItemID
+LEFT JOIN city_details cd ON cd.CityID = c.DeliveryCityID
+GROUP BY ALL""")

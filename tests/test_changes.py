@@ -185,3 +185,29 @@ def test_winners_do_not_shuffle_every_group(spark):
     got = heavy.busiest_groups(df, ["g"], "n", counters=64)
     assert [tuple(r) for r in got.collect()] == [("hot", 20_000)]
     assert "LeftSemi" in executed_plan(got)
+
+
+# -- members that arrive late --------------------------------------------------------------------
+def test_only_dates_of_late_members_are_built_anew(spark):
+    """Three days with orders of customers that are entered later: only days that name them are loaded again."""
+    src = small_source(spark)
+    days = first_dates(src, 4)
+    orders = src.orders(days[0], days[2]).select("OrderDate", "CustomerID").collect()
+    missing = [r.CustomerID for r in orders if r.OrderDate == days[1]][:2]
+
+    class Early(type(src)):
+        @property
+        def customers(self):
+            return src.customers.where(~F.col("CustomerID").isin(missing))
+
+    mart = Mart(spark)
+    for day in days[:3]:
+        M.run_dates(Early(spark, src.sf_dir), mart, day, day, late_members=True)
+    named = {as_key(r.OrderDate) for r in orders if r.CustomerID in missing}
+    unknown = {r.DateKey for r in mart.read_fact().where("CustomerKey = -1").select("DateKey").distinct().collect()}
+    assert unknown and unknown <= named
+    M.run_dates(src, mart, days[3], days[3], late_members=True)
+    assert mart.read_fact().where("CustomerKey = -1").count() == 0
+    runs = {r.DateKey: r.run for r in mart.fact_index().collect()}
+    assert {k for k, run in runs.items() if run == 4} == named | {as_key(days[3])}
+    assert mart.read_parts(M.UNRESOLVED).count() == 0
