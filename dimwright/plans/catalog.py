@@ -32,6 +32,7 @@ from dimwright.plans import extract as ex
 from dimwright.plans import history
 from dimwright.plans import listings as L
 from dimwright.plans import mart as M
+from dimwright.sources.landing import land
 from dimwright.sources.listing import country_lookup, listings_raw
 from dimwright.sources.oltp import Oltp
 from dimwright.sources.tables import TABLES, read_table
@@ -648,6 +649,20 @@ def extract_orders(spark, d):
     return ex.extract_orders(src_of(spark, d))
 
 
+@query("extract_orders_landed")
+def extract_orders_landed(spark, d):
+    """extract_orders from a landing zone bucketed by order key."""
+    return ex.extract_orders(land(src_of(spark, d)))
+
+
+@query("extract_slice_landed")
+def extract_slice_landed(spark, d):
+    """extract_date_slice from the landing zone."""
+    src = land(src_of(spark, d))
+    d0 = M.first_order_date(src)
+    return ex.extract_orders(src, d0, d0)
+
+
 @query("rowcount_guard")
 def rowcount_guard(spark, d):
     path = work_path(spark, "customers_stage")

@@ -141,7 +141,7 @@ def order_lines_wide(src: Oltp, start: dt.date | None = None, end: dt.date | Non
     if start is None and end is None:
         with_lines = headers.join(src.order_lines, "OrderID", "left")
     else:  # lines are reduced to the range's orders instead of being shuffled whole
-        with_lines = left_join_small_preserved(headers, src.order_lines, "OrderID")
+        with_lines = left_join_small_preserved(headers, src.lines(start, end), "OrderID")
     return left_join_spread(with_lines, item_names(src), "StockItemID", by="OrderID")
 
 

@@ -829,3 +829,5 @@ FROM orders_v o JOIN lines l ON l.OrderID = o.OrderID
 LEFT JOIN customers c ON c.CustomerID = o.CustomerID LEFT JOIN stock_items i ON i.StockItemID = l.StockItemID
 LEFT JOIN city_details cd ON cd.CityID = c.DeliveryCityID
 GROUP BY ALL""")
+sql("extract_orders_landed", SQL["extract_orders"])
+sql("extract_slice_landed", SQL["extract_date_slice"])

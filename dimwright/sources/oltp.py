@@ -178,6 +178,10 @@ class Oltp:
             .drop("_cents")
         )
 
+    def lines(self, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+        """Order lines, at least those of the orders of a date range (here all: lines carry no date)."""
+        return self.order_lines
+
 
 def unit_price(cents: Column, qty: Column) -> Column:
     """cents / qty rounded half-up to whole cents, as decimal(18,2) (exact, no float step)."""
