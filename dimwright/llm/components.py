@@ -1,41 +1,55 @@
-"""Connected components of a link table, as a distributed fixpoint."""
+"""Connected components of a link table, by hooking and contraction on the executors."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimwright.llm.common import stored
+from dimwright.llm.common import forget, stored
 
 
-def connected_components(links: DataFrame) -> DataFrame:
-    """(node, component) for every node of ``links (a, b)``; the component is its smallest node.
+def _edges(links: DataFrame) -> DataFrame:
+    return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
 
-    Each round gives a node the smallest label among itself and its neighbours
-    and then follows that label once (pointer jumping), so the number of rounds
-    grows with the logarithm of the longest path.  Labels are written once per
-    round; links and labels never leave the executors.  A hub's rows are reduced
-    map-side by ``min`` before they shuffle.
-    """
-    both = stored(
-        links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        .where("a <> b").distinct(),
-        "links", small=True,
-    )
-    labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select(
-        "node", F.least("node", "low").alias("component"))
+
+def _roots(parents: DataFrame) -> DataFrame:
+    """``parents (node, parent)``, a forest, with every parent replaced by its root: pointer jumping."""
     while True:
-        near = (
-            both.join(labels.withColumnRenamed("node", "b"), "b")
-            .groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
-        )
-        lower = labels.join(near, "node").select("node", F.least("component", "near").alias("step"), "component")
-        target = labels.select(F.col("node").alias("step"), F.col("component").alias("jump"))
+        up = parents.select(F.col("node").alias("parent"), F.col("parent").alias("higher"))
         after = stored(
-            lower.join(target, "step").select("node", F.least("step", "jump").alias("component"),
-                                              (F.least("step", "jump") < F.col("component")).alias("moved")),
-            "labels", small=True,
-        )
-        labels = after.select("node", "component")
+            parents.join(up, "parent").select("node", F.col("higher").alias("parent"),
+                                              (F.col("higher") < F.col("parent")).alias("moved")), "parents", small=True)
+        forget(parents)
         if after.where("moved").isEmpty():
-            return labels
+            return after
+        parents = after
+
+
+def connected_components(links: DataFrame) -> DataFrame:
+    """(node, component) for every node of ``links (a, b)``; the component is its smallest node.
+
+    Each round hooks every node to the smallest of itself and its neighbours, follows
+    the hooks to their roots, and contracts the links to links between roots; so
+    rounds work on ever fewer nodes and links.  Rounds and jumps grow
+    with logarithms.  A hub's rows are reduced map-side by ``min`` before they
+    shuffle; nothing leaves the executors.
+    """
+    edges = stored(_edges(links), "links", small=True)
+    labels = None
+    while not edges.isEmpty():
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        hooks = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select(
+            "node", F.least("node", "low").alias("parent"))
+        roots = _roots(stored(hooks, "parents", small=True)).select("node", "parent")
+        of_a, of_b = (roots.select(F.col("node").alias(c), F.col("parent").alias(f"root_{c}")) for c in ("a", "b"))
+        contracted = edges.join(of_a, "a").join(of_b, "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+        after = stored(_edges(contracted), "links", small=True)
+        forget(edges)
+        edges = after
+        if labels is None:
+            labels = roots.withColumnRenamed("parent", "component")
+        else:
+            further = roots.select(F.col("node").alias("component"), F.col("parent").alias("root"))
+            labels = stored(labels.join(further, "component", "left").select(
+                "node", F.coalesce("root", "component").alias("component")), "labels", small=True)
+    return edges.select(F.col("a").alias("node"), F.col("a").alias("component")) if labels is None else labels

@@ -21,8 +21,8 @@ at least 0.75; a document's component is everything reachable over links.
    the bucket has at most ``small_bucket`` members (a constant number per member).
    The members of larger ones are joined exactly: shingles rare among them come
    first in one global order, two sets at the threshold share a shingle of their
-   prefixes in that order, and where they first meet bounds how much more they can
-   share.  Shingles held by one component only come before all others, so they never
+   prefixes in that order, and where they meet, and how many of their first shared
+   shingles they have in common, bounds how much they can share.  Shingles held by one component only come before all others, so they never
    make a pair.  No member, bucket or pair that can be linked is left out.
 
 Defined cases: a null or blank text has no shingle and links with nothing; fewer
@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimwright.llm.common import (
-    LAST_ID, gram_hashes, id_and_text, mix, pieces_of, stored, text_of, word_hashes,
+    LAST_ID, forget, gram_hashes, id_and_text, mix, pieces_of, stored, text_of, word_hashes,
 )
 from dimwright.llm.components import connected_components
 from dimwright.llm.exact_dedup import sha256_of
@@ -59,10 +59,11 @@ class Params:
     #: Minhash values joined into one collection key.
     width: int = 2
     #: Buckets up to this size are searched completely when they still hold several components.
-    small_bucket: int = 64
-    #: Without effect since larger ones are searched exactly, in one step; kept for callers that set them.
-    centres: int = 1
-    quiet_rounds: int = 2
+    small_bucket: int = 8
+    #: Shingles of a member that are compared before its whole set is (its first shared ones).
+    firsts: int = 96
+    #: A shingle with at least this share of all rows is told to every task (so there are at most ``1 / share``).
+    hot_share: float = 1 / 4096
     seed: int = 20260
 
 
@@ -146,8 +147,10 @@ def shingle_sets(docs: DataFrame, p: Params = Params()) -> DataFrame:
 def buckets(reps: DataFrame) -> DataFrame:
     """(key, rep, n): every table key that two or more representatives share, with its members."""
     half = F.size("keys") / 2
+    # Each row becomes a row per table: dealt out evenly first, as the files that it comes from are few.
+    tasks = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = (
-        reps.select("rep", "n_shingles", F.slice("keys", 1, half.cast("int")).alias("first"),
+        reps.repartition(tasks, "rep").select("rep", "n_shingles", F.slice("keys", 1, half.cast("int")).alias("first"),
                     F.slice("keys", half.cast("int") + 1, half.cast("int")).alias("second"))
         .select("rep", "n_shingles", "second", F.posexplode("first").alias("i", "u"))
         .select("rep", "n_shingles", "i", "u", F.posexplode("second").alias("j", "v"))
@@ -212,44 +215,67 @@ def _pairs_in_small(open_: DataFrame, p: Params) -> DataFrame:
 
 
 def _prefixes(open_: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
-    """(shingle, rep, n, component, pos, main): the shingles of members of larger buckets at which a link can begin.
+    """(shingle, rep, n, component, pos, main, firsts, reach): the shingles of members of larger buckets at which a link can begin.
 
-    Order: shingles of one component only, then the others by number of holders.  Of two linked sets the first common
+    Order: shingles of one component only, then the others by number of holders, the most common ones last.  Of two linked sets the first common
     shingle stands, in each set of size n, at a ``pos`` with n - pos >= percent * n / 100.  ``main``: the row is of the
-    component with most rows of this shingle.
+    component with most rows of this shingle.  ``firsts``: the member's first shared shingles in that order, a
+    bounded number, which with its own ones are its first ``reach`` places.
     """
     members = open_.where(F.col("members") > p.small_bucket).select("rep", F.col("n_shingles").alias("n"), "component")
     held = sets.join(members.distinct(), "rep").select("rep", "n", "component", F.explode("set").alias("shingle"))
-    shared = stored(
-        held.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"), F.min("component").alias("low"),
-                                    F.max("component").alias("high")).where("low <> high").select("shingle", "holders"),
-        "shared-shingles")
+    counts = stored(
+        held.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"),
+                                    (F.min("component") != F.max("component")).alias("shared")), "shingle-counts")
+    total = counts.agg(F.sum("holders").alias("n")).first()["n"] or 0
+    hot = counts.where(F.col("holders") >= total * p.hot_share).select("shingle", "shared").collect()  # 1 / hot_share rows
+    known = F.col("shingle").isin([r["shingle"] for r in hot])
+    # No other shingle has more than that share of the rows, so its holders may meet in one task.
+    holders = Window.partitionBy("shingle")
+    rare = held.where(~known).select(
+        "*", F.count(F.lit(1)).over(holders).alias("holders"), F.min("component").over(holders).alias("low"),
+        F.max("component").over(holders).alias("high")).where("low <> high").drop("low", "high")
+    common = held.where(F.col("shingle").isin([r["shingle"] for r in hot if r["shared"]])).withColumn(
+        "holders", F.lit(LAST_ID))
     own = Window.partitionBy("rep")
-    placed = held.join(shared, "shingle").select(
-        "shingle", "rep", "n", "component",
-        (F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("holders", "shingle")) - 1).alias("pos"))
-    prefixes = stored(placed.where((F.col("n") - F.col("pos")) * 100 >= F.col("n") * p.percent), "prefixes")
-    most = (
-        prefixes.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("rows"))
-        .groupBy("shingle").agg(F.max_by("component", F.struct("rows", "component")).alias("most"),
-                                F.count(F.lit(1)).alias("components")).where("components > 1").select("shingle", "most")
-    )
-    return stored(prefixes.join(most, "shingle").withColumn("main", F.col("component") == F.col("most")).drop("most"),
-                  "prefixes")
+    placed = stored(rare.unionByName(common).select(
+        "shingle", "rep", "n", "component", F.row_number().over(own.orderBy("holders", "shingle")).alias("turn"),
+        (F.col("n") - F.count(F.lit(1)).over(own)).alias("alone")).withColumn(
+        "pos", F.col("alone") + F.col("turn") - 1), "placed")
+    prefixes = placed.where((F.col("n") - F.col("pos")) * 100 >= F.col("n") * p.percent).drop("turn", "alone")
+    firsts = placed.where(F.col("turn") <= p.firsts).groupBy("rep").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("turn", "shingle"))), lambda t: t["shingle"]).alias("firsts"),
+        (F.max("pos") + 1).alias("reach"))
+    rows = F.count(F.lit(1)).over(Window.partitionBy("shingle", "component"))
+    ranked = prefixes.withColumn("rank", F.struct(rows.alias("rows"), F.col("component")))
+    ranked = ranked.select(
+        "*", F.max("rank").over(holders)["component"].alias("most"), F.min("component").over(holders).alias("low"),
+        F.max("component").over(holders).alias("high")).where("low <> high")
+    marked = ranked.withColumn("main", F.col("component") == F.col("most")).drop("rank", "most", "low", "high")
+    out = stored(marked.join(firsts, "rep"), "prefixes")
+    forget(counts)
+    forget(placed)
+    return out
 
 
 def _pairs_in_large(open_: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
     """All pairs between different components of members of larger buckets whose prefixes allow a link."""
     rows = _prefixes(open_, sets, p)
     # the smaller set of a linked pair has to share 2 * percent / (100 + percent) of its shingles
+    role = lambda r: [F.col(c).alias(f"{k}{r}") for c, k in (
+        ("n", "n"), ("pos", "p"), ("component", "c"), ("main", "main_"), ("firsts", "f"), ("reach", "e"))]
     small = rows.where((F.col("n") - F.col("pos")) * (100 + p.percent) >= F.col("n") * 2 * p.percent).select(
-        "shingle", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("px"),
-        F.col("component").alias("cx"), F.col("main").alias("main_x"))
-    large = rows.select("shingle", F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("py"),
-                        F.col("component").alias("cy"), F.col("main").alias("main_y"))
+        "shingle", F.col("rep").alias("x"), *role("x"))
+    large = rows.select("shingle", F.col("rep").alias("y"), *role("y"))
     more = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py"))  # the most they can share from here on
+    # Common shingles up to the earlier end of both firsts are in both; the others stand beyond that end in its set.
+    both = F.array_intersect("fx", "fy")  # in their order
+    most = F.size(both) + F.greatest(F.col("nx") - F.col("ex"), F.col("ny") - F.col("ey"))
+    enough = lambda shared: shared * (100 + p.percent) >= (F.col("nx") + F.col("ny")) * p.percent
     fits = ((F.col("cx") != F.col("cy")) & ((F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y"))))
-            & (more * (100 + p.percent) >= (F.col("nx") + F.col("ny")) * p.percent))
+            & enough(more) & enough(most)
+            # A linked pair meets at its first common shingle; other rows of it are not needed.
+            & ((F.size(both) == 0) | (F.get(both, F.lit(0)) == F.col("shingle"))))
     # two rows of the main component make no pair, so its rows meet only those of others
     pairs = small.where("not main_x").join(large, "shingle").where(fits).select("x", "y").unionByName(
         small.where("main_x").join(large.where("not main_y"), "shingle").where(fits).select("x", "y"))
