@@ -24,7 +24,7 @@ def test_every_key_has_an_oracle():
 
     assert set(core_queries()) <= set(queries())
     assert set(core_queries()) <= set(oracle_sql())
-    assert len(core_queries()) == 133
+    assert len(core_queries()) == 147
 
 
 def test_entry_smoke(spark):
