@@ -6,7 +6,7 @@ last return the columns of ``docs``, whatever they are; the last returns one row
 packed piece.
 
 Defined cases: null and blank texts (and texts without a letter) go in the first
-stage; rows that repeat a document (id and text) share every decision; a null
+stage; of rows with equal texts one stays, whatever their ids; a null
 ``doc_id`` is an id like any other, ordered last; extra columns are carried
 through; an empty table gives an empty result.
 """

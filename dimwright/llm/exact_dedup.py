@@ -140,8 +140,21 @@ def exact_duplicates(docs: DataFrame, digest=sha256_of) -> DataFrame:
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns."""
-    kept = exact_duplicates(docs).where("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id")) & (sha256_of(text_of()) == F.col("_kept_sha"))
-    return docs.join(kept, same, "left_semi")
+    """One row of ``docs`` for each text, with its columns: of those with the largest id, any one.
+
+    Rows that repeat id and text, or have no id, are told apart by nothing but their place; only
+    the texts of such groups are shuffled.
+    """
+    kept = stored(exact_duplicates(docs).where("kept").select(
+        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha")), "exact-kept")
+    sha = sha256_of(text_of())
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id")) & (sha == F.col("_kept_sha"))
+    stay = docs.join(kept, same, "left_semi")
+    several = stored(
+        kept.groupBy("_kept_sha").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("_kept_sha"),
+        "exact-repeated", small=True)
+    if several.isEmpty():
+        return stay
+    once = stay.join(several, sha == F.col("_kept_sha"), "left_anti")
+    repeated = stay.join(several, sha == F.col("_kept_sha"), "left_semi").withColumn("_kept_sha", sha)
+    return once.unionByName(repeated.dropDuplicates(["_kept_sha"]).drop("_kept_sha"))

@@ -146,7 +146,15 @@ def test_drop_exact_keeps_columns(odd, odd_rows):
     out = exact_dedup.drop_exact_duplicates(odd)
     assert out.columns == odd.columns
     ids = Counter(r.doc_id for r in out.collect())
-    assert ids[6] == 2 and ids[5] == 0 and ids[3] == 1  # a repeated row stays repeated; copies go
+    assert ids[6] == 1 and ids[5] == 0 and ids[3] == 1  # copies go, and rows that repeat id and text
+
+
+def test_drop_exact_keeps_one_row_of_each_text(spark):
+    rows = [(None, "same"), (None, "same"), (None, "same"), (5, "five"), (5, "five"), (4, "five"), (7, "seven"), (7, "own"),
+            (None, None), (None, ""), (8, "eight")]
+    left = exact_dedup.drop_exact_duplicates(make(spark, rows)).collect()
+    assert Counter((r.doc_id, r.text or "") for r in left) == Counter(
+        [(None, "same"), (5, "five"), (7, "seven"), (7, "own"), (None, ""), (8, "eight")])
 
 
 # -- substrings ----------------------------------------------------------------------------
@@ -270,7 +278,7 @@ def test_near_in_large_and_small_buckets(spark):
     want = brute_near(rows)
     assert near_results(make(spark, rows)) == want
     # tiny limits: everything goes through the rounds for large buckets
-    few = minhash_dedup.Params(small_bucket=2, quiet_rounds=4)
+    few = minhash_dedup.Params(small_bucket=2, hot_share=0.05)
     assert near_results(make(spark, rows), p=few) == want
 
 
