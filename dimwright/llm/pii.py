@@ -24,7 +24,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -162,9 +164,11 @@ def find_spans(text: str) -> list[Span]:
     for kind, a, b in base_spans(text):
         score = PRIOR[kind] + (CHECKED if kind == "card" else 0) + (CONTEXT if _near(text, kind, a, b) else 0)
         out.append(Span(kind, a, b, min(1.0, max(THRESHOLD, score))))
-    taken = [(s.start, s.end) for s in out]
+    taken = sorted((s.start, s.end) for s in out)
+    starts, reach = [x for x, _ in taken], list(accumulate((y for _, y in taken), max))
     for kind, a, b, checked in _added(text):
-        if any(a < y and x < b for x, y in taken):
+        before = bisect_left(starts, b)  # base spans that begin before this one ends
+        if before and reach[before - 1] > a:
             continue  # a base span already covers it
         score = PRIOR[kind] + CHECKED * checked + (CONTEXT if _near(text, kind, a, b) else 0)
         if score >= THRESHOLD:
