@@ -211,7 +211,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     rows = stored(phrase_rows(ranked), "phrases")
     recurring = rows.groupBy("phrase").agg(F.sum("n").alias("times")).where("times > 1").select("phrase")
     lists = stored(
-        rows.join(recurring, "phrase", "left_semi").groupBy(*_DOC).agg(F.collect_list("phrase").alias("phrases")),
+        rows.join(recurring, "phrase", "left_semi").groupBy(*_DOC).agg(F.collect_set("phrase").alias("phrases")),
         "phrase-lists")
     forget(rows)
     windows = window_rows(ranked.join(lists.hint("shuffle_hash"), _DOC))

@@ -177,6 +177,15 @@ def substring_results(df):
     return sorted(str(tuple(r)) for r in substring_dedup.remove_repeats(df).collect())
 
 
+def test_substrings_of_many_repeated_rows(spark):
+    """Phrases are listed once for a document, however often its row is repeated."""
+    rng = random.Random(17)
+    text = " ".join(f"w{rng.randrange(500)}" for _ in range(400))
+    rows = [(1, text)] * 400 + [(2, "before it " + text)] * 3 + [(3, "nothing of it")]
+    docs = make(spark, rows)
+    assert substring_results(docs) == brute_substrings(rows)
+
+
 def test_substrings(spark, odd_rows, corpus, corpus_rows, none):
     rows = null_ids_apart(odd_rows)
     assert substring_results(make(spark, rows)) == brute_substrings(rows)
