@@ -9,13 +9,15 @@ probability is the score.
 
 The model is fitted on a bounded sample and has a bounded size, both parameters:
 about ``docs_per_language`` labelled documents of each language, chosen by a
-hash of the id; the ``max_words`` most frequent words that occur at least twice
-and the ``max_grams`` most frequent n-grams of each order.  It is counted on the executors; only the bounded tables
-reach the driver and go back to every Python worker as one broadcast.  Prediction
-reads every whole text.
+hash of the id; of ``max_words`` words and ``max_grams`` n-grams of each order every
+language names an equal share, its own most frequent ones (words that it has at least
+twice).  So a language with few documents keeps its words beside one with many, and
+every language of the labels can be predicted.  It is counted on the executors; only
+the bounded tables reach the driver and go back to every Python worker as one
+broadcast.  Prediction reads every whole text.
 
-Words are runs of letters in lower case; labels, sources and ids are never inputs
-of a prediction.
+Words are runs of letters, with the marks that combine with them, in lower case;
+labels, sources and ids are never inputs of a prediction.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; so
 is every text if there is no labelled document to learn from; ties go to the
@@ -26,6 +28,8 @@ an empty result.
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,7 +37,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimwright.llm.common import pieces_of, ship_package, stored
@@ -44,13 +48,22 @@ FOLDS, HELD_OUT = 4, 2
 ORDERS = (5, 4, 3, 2, 1)
 #: Unknown words remembered per Python worker.
 REMEMBERED = 200_000
-_WORD = re.compile(r"[^\W\d_]+")
+
+
+def _marks() -> str:
+    """Ranges of the characters that combine with letters (Unicode classes Mn and Mc), for a pattern."""
+    codes = [c for c in range(0x300, sys.maxunicode + 1) if unicodedata.category(chr(c)) in ("Mn", "Mc")]
+    starts = [c for c, before in zip(codes, [-1, *codes]) if c != before + 1]
+    ends = [c for c, after in zip(codes, [*codes[1:], -1]) if c != after - 1]
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends))
+
+
+_WORD = re.compile(rf"[^\W\d_]+(?:[{_marks()}]+[^\W\d_]*)*")
 
 
 @dataclass(frozen=True)
 class Params:
     docs_per_language: int = 4_000
-    max_languages: int = 500
     max_words: int = 50_000
     max_grams: int = 20_000
     smoothing: float = 0.5
@@ -105,7 +118,7 @@ def fit(docs: DataFrame, p: Params = Params()) -> Model:
     ship_package(docs.sparkSession)
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).select(
         F.col("doc_id").cast("string").alias("id"), F.col("lang").cast("string").alias("lang"), "text")
-    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(p.max_languages).collect()
+    sizes = labelled.groupBy("lang").count().collect()  # one row per language
     if not sizes:
         return Model([], {}, {}, np.zeros((0, 0)))
     # A share per language, so the sample stays near docs_per_language however large the table is.
@@ -116,13 +129,10 @@ def fit(docs: DataFrame, p: Params = Params()) -> Model:
         sample.mapInArrow(_counts, "lang string, kind int, key string, n long")
         .groupBy("kind", "key", "lang").agg(F.sum("n").alias("n")), "language-counts")
     totals = counts.groupBy("kind", "lang").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")).collect()
-    sums = counts.groupBy("kind", "key").agg(F.sum("n").alias("all"))
-    limits = {0: p.max_words} | {o: p.max_grams for o in ORDERS}
-    chosen = None
-    for kind, limit in limits.items():
-        top = sums.where((F.col("kind") == kind) & ((F.col("all") > 1) if kind == 0 else F.lit(True)))
-        top = top.orderBy(F.desc("all"), "key").limit(limit).select("kind", "key")
-        chosen = top if chosen is None else chosen.unionByName(top)
+    own = Window.partitionBy("kind", "lang").orderBy(F.desc("n"), "key")
+    share = F.when(F.col("kind") == 0, max(1, p.max_words // len(sizes))).otherwise(max(1, p.max_grams // len(sizes)))
+    named = counts.where("kind > 0 or n > 1").withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= share)
+    chosen = named.select("kind", "key").distinct()
     kept = counts.join(chosen, ["kind", "key"], "left_semi").toArrow()  # bounded by the limits
     return _model(sorted(r["lang"] for r in sizes), totals, kept, p)
 

@@ -68,18 +68,39 @@ def test_encode_decode(odd, odd_rows, corpus, corpus_rows, none):
 TOKENS = packing.Tokens(*BYTE_BPE)
 
 
+PLAIN = tokenizers.Tokenizer.from_file(BYTE_BPE[0])  # with its defaults
+
+
+def plain_ids(text):
+    return PLAIN.encode(text, add_special_tokens=False).ids
+
+
 @settings(max_examples=300, deadline=None)
-@given(st.lists(texts, max_size=4))
-def test_rank_file_equals_tokenizers(batch):
-    assert [TOKENS.fast.encode_ordinary(t) for t in batch] == TOKENS.reference_ids(batch)
+@given(st.lists(st.lists(st.one_of(texts, st.just("<|endoftext|>"), st.just(" <|endoftext"))).map("".join), max_size=4))
+def test_ids_are_those_of_tokenizers(batch):
+    assert TOKENS.ids(batch) == [plain_ids(t) for t in batch]
+
+
+def test_both_libraries_split_the_alike_characters_alike():
+    """Each character beside every class of its neighbours; the rank file then decides within a split."""
+    alike = [chr(c) for c in range(0x2060) if re.match(f"[{packing.ALIKE}]", chr(c))]
+    assert len(alike) > 600
+    for c in alike:
+        sides = ["a", "é", "1", "²", " ", "\n", "\t", "\xa0", "\x85", "'", "!", "\x00", c]
+        text = "".join(f"{x}{c}{y} {c}{x}" for x in sides for y in sides) + f" {c}{c}\n{c} '{c}s"
+        assert TOKENS.fast.encode_ordinary(text) == plain_ids(text), hex(ord(c))
+
+
+def test_an_added_token_in_a_text(spark):
+    text = "a <|endoftext|> b"
+    assert TOKENS.ids([text]) == [[64, 220, 50256, 275]]
+    check_packing([(1, text)], packing.pack_documents(make(spark, [(1, text)]), BYTE_BPE).collect())
 
 
 def check_packing(rows, got):
-    library = tokenizers.Tokenizer.from_file(BYTE_BPE[0])
-    library.encode_special_tokens = True
     want = Counter()
     for doc_id, text, *_ in rows:
-        ids = library.encode(text or "", add_special_tokens=False).ids + [2]
+        ids = plain_ids(text or "") + [2]
         first = len(ids) % 1024 or min(len(ids), 1024)
         cuts = [0, *range(first, len(ids) + 1, 1024)]
         for piece, (a, b) in enumerate(zip(cuts, cuts[1:])):
@@ -196,6 +217,28 @@ def test_scans_are_linear():
     assert time.time() - start < 30
 
 
+def test_many_spans_are_linear():
+    start = time.time()
+    for unit in ("1.2.3.4 ssn 123-45-6789 ", "call 030 123 4567 or a@b.c ", "ssn 123-45-6789 "):
+        text = unit * 20_000
+        spans = pii.find_spans(text)
+        assert len(spans) >= 20_000
+    assert time.time() - start < 60
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["1.2.3.4", "ssn 123-45-6789", "a@b.c", " ", "+49 30 123456-78-9012", "030 123 4567", "-", "phone "]),
+                max_size=12).map("".join))
+def test_added_spans_do_not_touch_base_spans(text):
+    spans = pii.find_spans(text)
+    base = [s for s in spans if s.kind in pii.BASE_KINDS]
+    for s in spans:
+        if s.kind not in pii.BASE_KINDS:
+            assert not any(s.start < b.end and b.start < s.end for b in base)
+    added = [a for a in pii._added(text) if not any(a[1] < b.end and b.start < a[2] for b in base)]
+    assert {(s.kind, s.start, s.end) for s in spans if s.kind not in pii.BASE_KINDS} <= {a[:3] for a in added}
+
+
 def test_mask(odd, none):
     out = {r.doc_id: r for r in pii.mask(odd).collect()}
     assert out[16].text == "mail [EMAIL] from [IP], card [CARD], call [PHONE]"
@@ -214,6 +257,69 @@ def test_language_on_held_out_documents(spark):
     assert all(0 <= r.score <= 1 for r in told)
 
 
+def brute_languages(rows, p):
+    """Word and n-gram frequencies by plain dictionaries; a prediction per row."""
+    learn = [(t, lang) for i, t, lang in rows if lang is not None and t is not None
+             and zlib.crc32(("" if i is None else str(i)).encode()) % 4 != 2]
+    langs = sorted({lang for _, lang in learn})
+    n = defaultdict(Counter)  # (kind, lang) -> counts
+    for text, lang in learn:
+        for word in language_id.words_of(text):
+            n[0, lang][word] += 1
+            for order in language_id.ORDERS:
+                marked = f"<{word}>" if order > 1 else word
+                n[order, lang].update(marked[i : i + order] for i in range(len(marked) - order + 1))
+    known = {}
+    for kind in (0, *language_id.ORDERS):
+        share = (p.max_grams if kind else p.max_words) // len(langs)
+        keys = set()
+        for lang in langs:
+            ranked = sorted(((-m, k) for k, m in n[kind, lang].items() if kind or m > 1), key=lambda r: (r[0], r[1].encode()))
+            keys |= {k for _, k in ranked[:share]}
+        size = max(len(n[kind, lang]) for lang in langs)
+        known[kind] = {k: np.array([np.log((n[kind, lang][k] + p.smoothing) / (n[kind, lang].total() + p.smoothing * (size + 1)))
+                                    for lang in langs]) for k in keys}
+    out = []
+    for _, text, _ in rows:
+        total, words = np.zeros(len(langs)), language_id.words_of(text or "")
+        for word in words:
+            if word in known[0]:
+                total += known[0][word]
+                continue
+            for order in language_id.ORDERS:
+                marked = f"<{word}>" if order > 1 else word
+                hits = [known[order][g] for g in (marked[i : i + order] for i in range(len(marked) - order + 1)) if g in known[order]]
+                if hits:
+                    total += np.mean(hits, axis=0)
+                    break
+        best = int(total.argmax())
+        out.append((langs[best], 1 / np.exp(total - total[best]).sum()) if words else ("und", 0.0))
+    return out
+
+
+def test_language_against_brute_force(spark, corpus, corpus_rows):
+    p = language_id.Params(docs_per_language=10**9, max_words=400, max_grams=200)
+    got = {r.doc_id: r for r in language_id.identify_languages(corpus, p).collect()}
+    for (doc_id, *_), (lang, score) in zip(corpus_rows, brute_languages(corpus_rows, p)):
+        assert got[doc_id].lang_pred == lang and got[doc_id].score == pytest.approx(score, abs=1e-9)
+
+
+def test_rare_languages_keep_their_words(spark):
+    """One language with most documents, and very many others with a few: all can be predicted."""
+    rng = random.Random(12)
+    text = lambda k: " ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26)}{rng.choice('xyzuvw')}{rng.choice('aeiou')}" for _ in range(12))
+    rows = [(i, " ".join(rng.choice(["the", "of", "and"]) + rng.choice("abcdefgh") for _ in range(30)), "hot") for i in range(300)]
+    rows += [(1000 + 10 * k + j, text(k), f"l{k:03}") for k in range(520) for j in range(4)]
+    got = {r.doc_id: r.lang_pred for r in language_id.identify_languages(
+        make(spark, rows), language_id.Params(max_words=6_000, max_grams=6_000)).collect()}
+    right = [got[i] == lang for i, _, lang in rows if i >= 1000]
+    assert sum(right) > 0.95 * len(right) and len({got[i] for i, *_ in rows}) > 510
+
+
+def test_words_keep_their_marks():
+    assert language_id.words_of("हिन्दी में é́a x1y") == ["हिन्दी", "में", "é́a", "x", "y"]
+
+
 def test_language_does_not_learn_from_the_held_out_fold(spark):
     rows = [(i, "seulement ici", "xx") if zlib.crc32(str(i).encode()) % 4 == 2 else (i, "only there", "en")
             for i in range(40)]
