@@ -109,14 +109,40 @@ def asof_lookup(
         *[F.col(c).alias(o) for c, o in take.items()],
     )
     if first_covers_earlier:
-        # One key's versions: bounded by how often that member changed.
-        per_key = Window.partitionBy(*[key_form(F.col(f"_dk{i}"), _text(d, f"_dk{i}")) for i in range(len(dim_keys))])
-        d = d.withColumn("_ds", F.when(F.col("_ds") == F.min("_ds").over(per_key), F.lit("0001-01-01").cast("date"))
-                         .otherwise(F.col("_ds")))
+        d = _covering_earlier(d, len(dim_keys))
     valid = valid_on(F.col("_ds"), F.col("_de"), F.col(date_col))
     return _lookup_join(facts, d, fact_keys, len(dim_keys), [valid], how).drop("_ds", "_de")
 
 
+def _covering_earlier(d: DataFrame, n_keys: int) -> DataFrame:
+    """The prepared lookup ``d`` with the first version of each key valid from the first day of all."""
+    # One key's versions: bounded by how often that member changed.
+    per_key = Window.partitionBy(*[key_form(F.col(f"_dk{i}"), _text(d, f"_dk{i}")) for i in range(n_keys)])
+    first = F.col("_ds") == F.min("_ds").over(per_key)
+    return d.withColumn("_ds", F.when(first, F.lit("0001-01-01").cast("date")).otherwise(F.col("_ds")))
+
+
+def versions_by_id(
+    names: DataFrame,
+    id_col: str,
+    name_col: str,
+    dim: DataFrame,
+    dim_key: str,
+    take: list[str],
+    first_covers_earlier: bool = False,
+) -> DataFrame:
+    """All versions of the members of ``names (id_col, name_col)``: id_col, StartDate, EndDate and ``take``.
+
+    For ``asof_lookup`` of many facts that carry an id: each name meets its versions once, instead of
+    once per fact.  Members without a version are left out.
+    """
+    d = dim.select(F.col(dim_key).alias("_dk0"), F.col("StartDate").alias("_ds"), F.col("EndDate").alias("_de"), *take)
+    if first_covers_earlier:
+        d = _covering_earlier(d, 1)
+    met = _lookup_join(names, d, [name_col], 1, [], "inner")
+    return met.select(id_col, F.col("_ds").alias("StartDate"), F.col("_de").alias("EndDate"), *take)
+
+
 def asof_carry(
     facts: DataFrame,
     dim: DataFrame,

@@ -125,6 +125,15 @@ def item_names(src: Oltp) -> DataFrame:
     return src.stock_items.select("StockItemID", "StockItemName")
 
 
+def lines_of(src: Oltp, orders: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+    """The lines of some staged ``orders`` of a date range, with the id of their product.
+
+    The staged copy's size is known in bytes: few order keys are broadcast and the lines stream past them,
+    many are shuffled.
+    """
+    return src.lines(start, end).join(orders.select("OrderID"), "OrderID", "left_semi")
+
+
 def order_items(src: Oltp) -> DataFrame:
     """All order lines with the natural key of their product."""
     return left_join_spread(src.order_lines, item_names(src), "StockItemID", by="OrderID")

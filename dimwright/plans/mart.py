@@ -12,6 +12,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 from dimwright.functions.dates import calendar_columns, date_key
 from dimwright.functions.measures import total_after_tax, total_before_tax
 from dimwright.operators import digests, quality, scd, scd_history
-from dimwright.operators.joins import asof_lookup, key_lookup, single_row_broadcast
+from dimwright.operators.joins import asof_lookup, key_lookup, single_row_broadcast, versions_by_id
 from dimwright.operators.keys import materialize, max_key, with_dense_keys
 from dimwright.operators.load import Mart, as_date, as_key, date_ranges, upsert_by_key, write_guarded
 from dimwright.plans import extract as ex
@@ -259,15 +260,22 @@ def _fact_columns(f: DataFrame) -> DataFrame:
 
 
 def fact_of_orders(headers: DataFrame, lines: DataFrame, dims: dict[str, DataFrame], strict: bool = False,
-                   first_covers_earlier: bool = False) -> DataFrame:
+                   first_covers_earlier: bool = False, items: DataFrame | None = None) -> DataFrame:
     """``fact_orders`` from orders and their lines apart: members of an order are looked up once per order.
 
-    Only the product is looked up for each line; lines meet their order's keys in one join.
+    Only the product is looked up for each line; lines meet their order's keys in one join.  With
+    ``items (StockItemID, StockItemName)`` lines carry the id only: each item meets the versions of its
+    product by name once, and lines meet those by id and day.
     """
     how = "inner" if strict else "left"
     h = _order_members(headers, dims, how, first_covers_earlier).select("OrderID", "OrderDate", *ORDER_KEYS)
     f = lines.filter(F.col("Quantity").isNotNull()).join(h, "OrderID")
-    return _fact_columns(_products(f, dims, how, first_covers_earlier))
+    if items is None:
+        return _fact_columns(_products(f, dims, how, first_covers_earlier))
+    versions = versions_by_id(items, "StockItemID", "StockItemName", dims["products"], "ProductName", ["ProductKey"],
+                              first_covers_earlier)
+    return _fact_columns(asof_lookup(f, versions, ["StockItemID"], ["StockItemID"], "OrderDate",
+                                     {"ProductKey": "ProductKey"}, how))
 
 
 def extract_stages(src: Oltp) -> dict[str, DataFrame]:
@@ -378,13 +386,16 @@ def run_dates(src: Oltp, mart: Mart, start: dt.date, end: dt.date, members_as_of
     """
     spark = src.spark
     with scratch(spark):
-        def stage(name: str, df: DataFrame) -> DataFrame:
-            path = f"{mart.root}/_stage/{name}"
+        def stage(name: str, df: DataFrame, guarded: bool = True, folder: str | None = None) -> DataFrame:
+            path = f"{mart.root}/_stage/{folder or name}"
             df = conform(df, SCHEMAS[f"{name}_stage"])
-            write_guarded(df, path, name=name)
+            if guarded:
+                write_guarded(df, path, name=name)
+            else:
+                df.write.mode("overwrite").parquet(path)
             return spark.read.schema(df.schema).parquet(path)
 
-        orders = stage("orders", ex.extract_orders(src, start, end))
+        orders = _staged_orders(src, start, end, stage)
         mart._load_manifest()
         current = {k: mart.read(spec.name) for k, spec in SPEC_BY_DIM.items() if mart.has(spec.name)}
         until = mart.next_observed(start) if members_as_of_start and current else None
@@ -402,57 +413,90 @@ def run_dates(src: Oltp, mart: Mart, start: dt.date, end: dt.date, members_as_of
         rows = mart.write_versions({t: conform(df, SCHEMAS[t]) if t in SCHEMAS else df for t, df in after.items()})
         written = mart.read_written(rows)
         dims = {k: written.get(spec.name, current.get(k)) for k, spec in SPEC_BY_DIM.items()}
-        fact = fact_orders(orders, dims, first_covers_earlier=True)
+        fact = orders.fact(dims)
         ranges = [(as_key(start), as_key(end))]
         due: list[int] = []
+        others: list[int] = []
         if late_members:
             due = _dates_due(src, mart, start, end)
-            if due:
-                fact = fact.unionByName(fact_orders(_orders_on(src, due), dims, first_covers_earlier=True))
-                ranges += date_ranges(due)
+        anew = set(due)
+        if until is not None:
+            again, others = _dates_concerned(mart, start, end, until, moved)
+            anew |= set(again)
+            others = [k for k in others if k not in anew]
+        extracts = [orders]
+        if anew:
+            extracts.append(_orders_again(src, sorted(anew), orders, stage))
+            fact = fact.unionByName(extracts[-1].fact(dims))
+            ranges += date_ranges(sorted(anew))
         if until is not None:
-            again, others = ([k for k in keys if k not in due]
-                             for keys in _dates_concerned(mart, start, end, until, moved))
-            if again:
-                fact = fact.unionByName(fact_orders(_orders_on(src, again), dims, first_covers_earlier=True))
             if others:
                 loaded = mart.read_fact(others[0], others[-1]).where(F.col("DateKey").isin(others))
                 for key_col, spans in moved.items():
                     loaded = scd_history.rekey(loaded, spans, key_col)
                 fact = fact.unionByName(loaded.select(*FACT_COLUMNS))
-            ranges += date_ranges(again) + date_ranges(others)
+            ranges += date_ranges(others)
         fact_rows, n = mart.write_run(conform(fact, SCHEMAS["fact_orders"]), ranges)
         observed = [] if late and until is None else mart.observed_on(start)
         parts = mart.write_parts(SALES, fact_rows, _sales_parts(mart.written_load(fact_rows))) if keep_summary else []
         if late_members:
-            parts += mart.write_parts(UNRESOLVED, fact_rows, _unresolved(src, start, end, due))
+            parts += mart.write_parts(UNRESOLVED, fact_rows, _unresolved(extracts, start, end, due))
         mart.commit(rows + fact_rows + observed + parts)
     return n
 
 
-def _orders_on(src: Oltp, keys: list[int]) -> DataFrame:
-    """The orders stage of some date keys (sorted)."""
-    rows = ex.extract_orders(src, as_date(keys[0]), as_date(keys[-1]))
-    return rows.where(date_key(F.col("OrderDate")).isin(keys))
+class StagedOrders(NamedTuple):
+    """The orders extract as a run stages it: what belongs to an order once per order, its lines apart."""
+
+    headers: DataFrame
+    lines: DataFrame
+    items: DataFrame
+
+    def fact(self, dims: dict[str, DataFrame]) -> DataFrame:
+        return fact_of_orders(self.headers, self.lines, dims, first_covers_earlier=True, items=self.items)
+
+
+def _staged_orders(src: Oltp, start: dt.date, end: dt.date, stage: Callable[..., DataFrame]) -> StagedOrders:
+    """Orders (guarded), their lines and the items of [start, end], each written once."""
+    headers = stage("order_headers", ex.order_headers(src, start, end))
+    rest = in_parallel({
+        "lines": lambda: stage("order_lines", ex.lines_of(src, headers, start, end), guarded=False),
+        "items": lambda: stage("stock_items", ex.item_names(src), guarded=False)})
+    return StagedOrders(headers, **rest)
+
+
+def _orders_again(src: Oltp, keys: list[int], own: StagedOrders, stage: Callable[..., DataFrame]) -> StagedOrders:
+    """The orders of some other date keys (sorted), staged beside the run's ``own``; they may be gone by now."""
+    first, last = as_date(keys[0]), as_date(keys[-1])
+    wanted = ex.order_headers(src, first, last).where(date_key(F.col("OrderDate")).isin(keys))
+    headers = stage("order_headers", wanted, guarded=False, folder="order_headers_again")
+    lines = stage("order_lines", ex.lines_of(src, headers, first, last), guarded=False, folder="order_lines_again")
+    return StagedOrders(headers, lines, own.items)
 
 
 #: Ids that a load's orders name without a member, per date.
 UNRESOLVED = "unresolved_members"
 
 
-def _unresolved(src: Oltp, start: dt.date, end: dt.date, due: list[int]) -> DataFrame:
-    """(MEMBER, SourceID, DateKey) of customers and products that orders of [start, end] and of ``due`` name in vain."""
-    first = min([start, *map(as_date, due[:1])])
-    last = max([end, *map(as_date, due[-1:])])
+def _unresolved(extracts: list[StagedOrders], start: dt.date, end: dt.date, due: list[int]) -> DataFrame:
+    """(MEMBER, SourceID, DateKey) of customers and products that orders of [start, end] and of ``due`` name in vain.
+
+    Read from the staged ``extracts``: the missing items are found among the distinct ids, so only lines that
+    name one of them meet their order.
+    """
     key = date_key(F.col("OrderDate"))
-    wide = ex.order_lines_wide(src, first, last).where(key.between(as_key(start), as_key(end)) | key.isin(due))
-    named = F.array(
-        F.struct(F.lit("customers").alias("MEMBER"), F.col("CustomerID").alias("SourceID"),
-                 F.col("CustomerName").isNull().alias("missing")),
-        F.struct(F.lit("products").alias("MEMBER"), F.col("StockItemID").alias("SourceID"),
-                 F.col("StockItemName").isNull().alias("missing")))
-    rows = wide.select(key.alias("DateKey"), F.explode(named).alias("m"))
-    return rows.where("m.missing and m.SourceID is not null").select("m.MEMBER", "m.SourceID", "DateKey").distinct()
+    parts = []
+    for e in extracts:
+        h = e.headers.select("OrderID", "CustomerID", "CustomerName", key.alias("DateKey"))
+        h = h.where(F.col("DateKey").between(as_key(start), as_key(end)) | F.col("DateKey").isin(due))
+        parts.append(h.where("CustomerName is null and CustomerID is not null").select(
+            F.lit("customers").alias("MEMBER"), F.col("CustomerID").alias("SourceID"), "DateKey"))
+        ids = e.lines.select("StockItemID").dropna().distinct()
+        missing = materialize(ids.join(e.items.where("StockItemName is not null"), "StockItemID", "left_anti"))
+        lines = e.lines.select("OrderID", "StockItemID").join(missing, "StockItemID", "left_semi")
+        parts.append(lines.join(h, "OrderID").select(
+            F.lit("products").alias("MEMBER"), F.col("StockItemID").alias("SourceID"), "DateKey"))
+    return reduce(DataFrame.unionByName, parts).distinct()
 
 
 def _dates_due(src: Oltp, mart: Mart, start: dt.date, end: dt.date) -> list[int]:

@@ -32,6 +32,16 @@ ORDERS_STAGE = _schema(
     ("CustomerName", S), ("CityName", S), ("StateProvinceName", S), ("CountryName", S),
     ("StockItemName", S), ("LogonName", S), ("PickingStaffName", S),
 )
+#: What a mart run stages: orders with the natural keys of their members, their lines, and the names of the items.
+ORDER_HEADERS_STAGE = _schema(
+    ("OrderID", L), ("OrderDate", D), ("CustomerID", L), ("CustomerName", S), ("CityName", S),
+    ("StateProvinceName", S), ("CountryName", S), ("LogonName", S), ("PickingStaffName", S),
+)
+ORDER_LINES_STAGE = _schema(
+    ("OrderID", L), ("StockItemID", L), ("Quantity", I), ("UnitPrice", T.DecimalType(18, 2)),
+    ("TaxRate", T.DecimalType(18, 3)),
+)
+STOCK_ITEMS_STAGE = _schema(("StockItemID", L), ("StockItemName", S))
 DIM_DATE = _schema(
     ("DateKey", I), ("DateValue", D), ("Year", T.ShortType()), ("Month", T.ShortType()), ("Day", T.ShortType()),
     ("Quarter", T.ShortType()), ("StartOfMonth", D), ("EndOfMonth", D), ("MonthName", S), ("DayOfWeekName", S),
@@ -58,6 +68,8 @@ FACT_ORDERS = _schema(
 SCHEMAS = {
     "customers_stage": CUSTOMERS_STAGE, "products_stage": PRODUCTS_STAGE, "salespeople_stage": SALESPEOPLE_STAGE,
     "picking_staff_stage": PICKING_STAFF_STAGE, "orders_stage": ORDERS_STAGE,
+    "order_headers_stage": ORDER_HEADERS_STAGE, "order_lines_stage": ORDER_LINES_STAGE,
+    "stock_items_stage": STOCK_ITEMS_STAGE,
     "dim_date": DIM_DATE, "dim_cities": DIM_CITIES, "dim_salespeople": DIM_SALESPEOPLE,
     "dim_customers": DIM_CUSTOMERS, "dim_products": DIM_PRODUCTS, "dim_picking_staff": DIM_PICKING_STAFF,
     "fact_orders": FACT_ORDERS,
