@@ -13,4 +13,4 @@ def total_before_tax(qty: Column, price: Column) -> Column:
 
 def total_after_tax(qty: Column, price: Column, tax_rate: Column) -> Column:
     """Quantity * UnitPrice * (1 + TaxRate / 100), half-up to decimal(18,2)."""
-    return (qty * price * (F.lit(1) + tax_rate / F.lit(100))).cast("decimal(18,2)")
+    return (qty * price * (F.lit(1) + tax_rate * F.lit("0.01").cast("decimal(2,2)"))).cast("decimal(18,2)")

@@ -66,14 +66,23 @@ def any_changed(pairs: list[tuple[Column, Column]], null_safe: bool = True) -> C
 def half_up_quotient(num: Column, den: Column) -> Column:
     """round-half-away-from-zero(num / den) for integer columns, den > 0, exactly.
 
-    Integer division is (n - pmod(n, d)) / d over decimal(38,0), which divides
-    exactly, so no double rounding is involved.
+    ``div`` divides integers exactly, so no double rounding is involved.
     """
     sign = F.when(num < 0, F.lit(-1)).otherwise(F.lit(1))
     twice = F.abs(num) * 2 + den
     d2 = den * 2
-    q = (twice - F.pmod(twice, d2)).cast("decimal(38,0)") / d2.cast("decimal(38,0)")
-    return q.cast("long") * sign
+    return F.call_function("div", twice, d2).cast("long") * sign
+
+
+def cents_of(amount: Column) -> Column:
+    """``amount.cast("decimal(18,2)")`` in whole cents as BIGINT.
+
+    Nearly all amounts are the double next to some whole number of cents, which a product and a quotient
+    tell; only the others go through decimal text.
+    """
+    nearest = F.rint(amount * 100)
+    exact = (nearest / 100 == amount) & (F.abs(amount) < F.lit(1e12))
+    return F.when(exact, nearest.cast("long")).otherwise((amount.cast("decimal(18,2)") * 100).cast("long"))
 
 
 def round_ratio(num: Column, den: Column, digits: int, precision: int = 18) -> Column:

@@ -144,18 +144,27 @@ class Mart:
         """The versions of ``write_versions``, listed or not."""
         return {t: self.spark.read.parquet(self._path(t, v)) for t, v, _, _ in rows}
 
-    def write_run(self, fact: DataFrame, dates: list[tuple[int, int]]) -> tuple[list[tuple], int]:
-        """Write a fact load covering the date-key ranges ``dates``; returns its manifest rows and its row count."""
+    def write_run(self, fact: DataFrame, dates: list[tuple[int, int]] | None = None) -> tuple[list[tuple], int]:
+        """Write a fact load covering the date-key ranges ``dates`` (by default the dates it holds).
+
+        Returns its manifest rows and its row count; rows and dates are observed during the write itself,
+        so ``fact`` is computed once.
+        """
         run = self._next(FACT)
         obs = Observation(f"fact_{run}")
+        told = [F.count(F.lit(1)).alias("rows")]
+        if dates is None:  # at most one number per calendar day
+            told.append(F.collect_set("DateKey").alias("days"))
         # Rebalance by date: rows of a date go to the same task (one file per
         # small date), AQE merges small partitions and splits any date larger
         # than its advisory size over several tasks, so a hot date does not
         # land in one task.  Unlike a range partitioning it needs no sampling pass.
         (
-            fact.hint("rebalance", "DateKey").observe(obs, F.count(F.lit(1)).alias("rows"))
+            fact.hint("rebalance", "DateKey").observe(obs, *told)
             .write.mode("error").partitionBy("DateKey").parquet(self._path(FACT, run))
         )
+        if dates is None:
+            dates = date_ranges(sorted(obs.get["days"]))
         return [(FACT, run, a, b) for a, b in dates], int(obs.get["rows"])
 
     def commit(self, rows: list[tuple]) -> None:
@@ -224,8 +233,7 @@ class Mart:
     def write_fact(self, fact: DataFrame) -> int:
         """Load ``fact``, replacing the dates it holds (idempotent per date); returns the rows written."""
         self._load_manifest()
-        days = sorted(r["DateKey"] for r in fact.select("DateKey").distinct().collect())  # one row per date
-        rows, written = self.write_run(fact, date_ranges(days))
+        rows, written = self.write_run(fact)
         self.commit(rows)
         return written
 

@@ -358,7 +358,7 @@ def first_load(spec: DimSpec, stage: DataFrame, start) -> DataFrame:
 def initial_fact(src: Oltp, strict: bool = False) -> DataFrame:
     """Fact over every order date, against dimensions first loaded on the first order date."""
     dims = build_dimensions(src, first_order_date(src))
-    return fact_of_orders(ex.order_headers(src), ex.order_items(src), dims, strict)
+    return fact_of_orders(ex.order_headers(src), src.order_lines, dims, strict, items=ex.item_names(src))
 
 
 # -- daily run -----------------------------------------------------------------------

@@ -27,7 +27,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimwright.functions.semantics import half_up_quotient
+from dimwright.functions.semantics import cents_of, half_up_quotient
 from dimwright.operators.joins import single_row_broadcast
 from dimwright.sources.tables import read_table
 
@@ -163,7 +163,6 @@ class Oltp:
     @cached_property
     def order_lines(self) -> DataFrame:
         qty = F.col("l_quantity").cast("int")
-        cents = (F.col("l_extendedprice").cast("decimal(18,2)") * 100).cast("long")
         return (
             self._t("lineitem")
             .select(
@@ -171,7 +170,7 @@ class Oltp:
                 F.col("l_linenumber").alias("LineNumber"),
                 F.col("l_partkey").alias("StockItemID"),
                 qty.alias("Quantity"),
-                cents.alias("_cents"),
+                cents_of(F.col("l_extendedprice")).alias("_cents"),
                 (F.col("l_tax") * 100).cast("decimal(18,3)").alias("TaxRate"),
             )
             .withColumn("UnitPrice", unit_price(F.col("_cents"), F.col("Quantity")))
@@ -185,5 +184,6 @@ class Oltp:
 
 def unit_price(cents: Column, qty: Column) -> Column:
     """cents / qty rounded half-up to whole cents, as decimal(18,2) (exact, no float step)."""
-    return F.when(qty > 0, (half_up_quotient(cents, qty).cast("decimal(18,0)") / 100).cast("decimal(18,2)"))
+    return F.when(qty > 0, (half_up_quotient(cents, qty).cast("decimal(18,0)") * F.lit("0.01").cast("decimal(2,2)")).cast(
+        "decimal(18,2)"))
 

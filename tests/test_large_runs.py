@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from dimwright.functions.semantics import cents_of, half_up_quotient
 from dimwright.operators.joins import asof_lookup, versions_by_id
 from dimwright.operators.load import Mart
 from dimwright.plans import extract as ex
@@ -78,3 +79,31 @@ def test_late_members_extract_each_date_once(spark):
     M.run_dates(Now(spark, src.sf_dir), mart, days[2], days[2], late_members=True)
     assert len(read) == 3  # own dates, and those built anew
     assert mart.read_fact().where("CustomerKey = -1 or ProductKey = -1").count() == 0
+
+
+def test_a_load_computes_its_fact_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def told(n):
+        seen.add(1)
+        return n
+
+    rows = spark.range(60).select(F.udf(told, "long")("id").alias("ProductKey"),
+                                  (F.lit(20130101) + F.col("id") % 3).cast("int").alias("DateKey"))
+    # The date is told by the same pass, so none may be pruned away from it.
+    rows = rows.withColumn("DateKey", F.when(F.col("ProductKey") < 0, -1).otherwise(F.col("DateKey")))
+    mart = Mart(spark)
+    assert mart.write_fact(rows) == 60
+    assert seen.value == 60
+    assert [(r["first_key"], r["last_key"]) for r in mart._rows] == [(20130101, 20130103)]
+    assert mart.write_fact(rows.where("ProductKey < 0")) == 0 and mart.read_fact().count() == 60
+
+
+def test_cents_equal_the_decimal_cast(spark):
+    values = [1.005, 0.615, -0.005, 2.675, 0.0, -0.0, 1e-300, 84197.04, -17.5, 123456789012.345, 9e15, None]
+    df = spark.createDataFrame([(v,) for v in values], "x double").unionByName(
+        spark.range(2000).select((F.round(F.rand(1) * 100_000, 3)).alias("x")))
+    slow = (F.col("x").cast("decimal(18,2)") * 100).cast("long")
+    assert df.where(~cents_of(F.col("x")).eqNullSafe(slow)).count() == 0
+    plan = df.select(half_up_quotient(F.col("x").cast("long"), F.lit(3)))._jdf.queryExecution().optimizedPlan().toString()
+    assert "decimal" not in plan
